@@ -111,3 +111,98 @@ def history_union(spark, sf_dir):
     i = inputs(spark, sf_dir)
     h = cl.history(i.known, i.unknown.drop("return"))
     return h.groupBy("return").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+
+
+# ---------------------------------------------------------------- fitted tables (L2)
+
+def r6(c):
+    return F.round(c, 6)
+
+
+def _woe_query(var: str):
+    def q(spark, sf_dir):
+        from ..operators import lookups as L
+        w = L.fit_woe(inputs(spark, sf_dir).known, var)
+        return w.select(var, F.round(f"woe_{var}", 9).alias(f"woe_{var}"))
+    q.__doc__ = f"A1: weight of evidence of ``{var}`` on labelled rows."
+    return q
+
+
+for _name, _var in (("woe_color", "item_color"), ("woe_month", "month"), ("woe_size", "item_size")):
+    register(_name, S.with_fit(f"SELECT {_var}, round(woe_{_var}, 9) AS woe_{_var} FROM woe_{_var}_fit"))(
+        _woe_query(_var))
+
+
+@register("item_stats", S.with_fit(
+    "SELECT item_id, item_max_delivery, round(item_mean_delivery, 6) AS item_mean_delivery, "
+    "item_min_delivery, item_orders, item_max_price FROM items_fit"))
+def item_stats(spark, sf_dir):
+    """A2: per-item delivery and price statistics over all rows."""
+    from ..operators import lookups as L
+    t = L.fit_items(inputs(spark, sf_dir).history)
+    return t.withColumn("item_mean_delivery", r6(F.col("item_mean_delivery")))
+
+
+@register("order_stats", S.with_fit(
+    "SELECT user_id, order_date, order_num_items, order_max_price, round(order_total_value, 6) AS order_total_value, "
+    "round(order_median_price, 6) AS order_median_price, order_min_price, order_num_sizes, order_num_colors "
+    "FROM baskets_fit"))
+def order_stats(spark, sf_dir):
+    """A3: basket statistics (exact median, exact distinct counts)."""
+    from ..operators import lookups as L
+    t = L.fit_baskets(inputs(spark, sf_dir).history)
+    return (t.withColumn("order_total_value", r6(F.col("order_total_value")))
+             .withColumn("order_median_price", r6(F.col("order_median_price"))))
+
+
+@register("order_seqnum", S.with_fit("SELECT user_id, order_date, order_seqnum FROM baskets_seq"))
+def order_seqnum(spark, sf_dir):
+    """Dense rank of the basket date per user."""
+    from ..operators import lookups as L
+    b = inputs(spark, sf_dir).history.select("user_id", "order_date").distinct()
+    return L.with_seqnum(b)
+
+
+@register("order_brand_counts", S.with_fit(
+    "SELECT user_id, order_date, brand_id, order_num_items, order_seqnum, order_num_brand_id FROM orders_fit"))
+def order_brand_counts(spark, sf_dir):
+    """Basket rows fanned out per brand with the brand's row count."""
+    from ..operators import lookups as L
+    return L.fit_orders(inputs(spark, sf_dir).history).select(
+        "user_id", "order_date", "brand_id", "order_num_items", "order_seqnum", "order_num_brand_id")
+
+
+@register("brand_stats", S.with_fit(
+    "SELECT brand_id, brand_min_price, round(brand_mean_price, 6) AS brand_mean_price, brand_max_price FROM brands_fit"))
+def brand_stats(spark, sf_dir):
+    """A5: per-brand min / mean / max price."""
+    from ..operators import lookups as L
+    return L.fit_brands(inputs(spark, sf_dir).history).withColumn(
+        "brand_mean_price", r6(F.col("brand_mean_price")))
+
+
+@register("state_stats", S.with_fit(
+    "SELECT user_state, round(state_mean_delivery, 6) AS state_mean_delivery, state_max_delivery FROM states_fit"))
+def state_stats(spark, sf_dir):
+    """Per-state mean / max days to delivery."""
+    from ..operators import lookups as L
+    return L.fit_states(inputs(spark, sf_dir).history).withColumn(
+        "state_mean_delivery", r6(F.col("state_mean_delivery")))
+
+
+@register("return_history", S.with_fit(
+    "SELECT user_id, order_date, history, history_cumsum, round(history_perc, 6) AS history_perc FROM rethist_fit"))
+def return_history(spark, sf_dir):
+    """Lagged basket return flag, running sum and running share (no target leak)."""
+    from ..operators import lookups as L
+    return L.fit_return_history(inputs(spark, sf_dir).history).withColumn(
+        "history_perc", r6(F.col("history_perc")))
+
+
+@register("price_quantiles", S.with_fit(
+    "SELECT round(q1, 6) AS q1, round(q2, 6) AS q2, round(q3, 6) AS q3 FROM qs"))
+def price_quantiles(spark, sf_dir):
+    """Price quartiles with linear interpolation."""
+    from ..operators import lookups as L
+    q = L.price_quantiles(inputs(spark, sf_dir).history)
+    return q.select(*[r6(F.col(c)).alias(c) for c in ("q1", "q2", "q3")])

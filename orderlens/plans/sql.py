@@ -93,3 +93,52 @@ def with_ctes(final: str, extra: list[tuple[str, str]] | None = None, na_values=
     parts = ctes(na_values) + (extra or [])
     body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in parts)
     return f"WITH {body}\n{final}"
+
+
+# ------------------------------------------------------------------ fitted tables
+
+def woe_sql(var: str) -> str:
+    return f"""SELECT {var}, ln((CASE WHEN g.ev = 0 THEN 0.5 ELSE g.ev END / t.te)
+                 / (CASE WHEN g.cnt - g.ev = 0 THEN 0.5 ELSE g.cnt - g.ev END / (t.n - t.te))) AS woe_{var}
+FROM (SELECT {var}, CAST(sum("return") AS DOUBLE) AS ev, CAST(count("return") AS DOUBLE) AS cnt
+      FROM known WHERE {var} IS NOT NULL GROUP BY {var}) g
+CROSS JOIN (SELECT CAST(sum("return") AS DOUBLE) AS te, CAST(count(*) AS DOUBLE) AS n FROM known) t"""
+
+
+FIT_CTES: list[tuple[str, str]] = [
+    ("items_fit", """SELECT item_id, max(days_to_delivery) AS item_max_delivery,
+        avg(days_to_delivery) AS item_mean_delivery, min(days_to_delivery) AS item_min_delivery,
+        count(user_id) AS item_orders, max(item_price) AS item_max_price
+      FROM history GROUP BY item_id"""),
+    ("baskets_fit", """SELECT user_id, order_date, count(item_id) AS order_num_items,
+        max(item_price) AS order_max_price, sum(item_price) AS order_total_value,
+        median(item_price) AS order_median_price, min(item_price) AS order_min_price,
+        count(DISTINCT item_size) AS order_num_sizes, count(DISTINCT item_color) AS order_num_colors
+      FROM history GROUP BY user_id, order_date"""),
+    ("baskets_seq", """SELECT *, dense_rank() OVER (PARTITION BY user_id ORDER BY order_date) AS order_seqnum
+      FROM baskets_fit"""),
+    ("brandcounts", """SELECT user_id, order_date, brand_id, count(*) AS order_num_brand_id
+      FROM history WHERE brand_id IS NOT NULL GROUP BY user_id, order_date, brand_id"""),
+    ("orders_fit", """SELECT b.*, c.brand_id, c.order_num_brand_id
+      FROM baskets_seq b LEFT JOIN brandcounts c ON b.user_id = c.user_id AND b.order_date = c.order_date"""),
+    ("brands_fit", """SELECT brand_id, min(item_price) AS brand_min_price, avg(item_price) AS brand_mean_price,
+        max(item_price) AS brand_max_price FROM history GROUP BY brand_id"""),
+    ("states_fit", """SELECT user_state, avg(days_to_delivery) AS state_mean_delivery,
+        max(days_to_delivery) AS state_max_delivery FROM history WHERE user_state IS NOT NULL GROUP BY user_state"""),
+    ("rh0", """SELECT user_id, order_date, max("return") AS ret FROM known GROUP BY user_id, order_date"""),
+    ("rh1", """SELECT *, CAST(coalesce(lag(ret, 1) OVER (PARTITION BY user_id ORDER BY order_date), 0) AS DOUBLE) AS history,
+        dense_rank() OVER (PARTITION BY user_id ORDER BY order_date) AS seq FROM rh0"""),
+    ("rethist_fit", """SELECT user_id, order_date, history,
+        sum(history) OVER (PARTITION BY user_id ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS history_cumsum,
+        sum(history) OVER (PARTITION BY user_id ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / seq AS history_perc
+      FROM rh1"""),
+    ("woe_item_color_fit", woe_sql("item_color")),
+    ("woe_month_fit", woe_sql("month")),
+    ("woe_item_size_fit", woe_sql("item_size")),
+    ("qs", """SELECT quantile_cont(item_price, 0.25) AS q1, quantile_cont(item_price, 0.5) AS q2,
+        quantile_cont(item_price, 0.75) AS q3 FROM history"""),
+]
+
+
+def with_fit(final: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return with_ctes(final, FIT_CTES + (extra or []))
