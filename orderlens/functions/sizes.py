@@ -64,9 +64,13 @@ def normalised_size(col: Column) -> Column:
     return s
 
 
-def size_bucket(col: Column) -> Column:
-    """Numeric strings -> bucket label (or null outside all bins); other strings stay as they are."""
-    x = col.try_cast("double")
+def size_bucket(col: Column, num: Column | None = None) -> Column:
+    """Numeric strings -> bucket label (or null outside all bins); other strings stay as they are.
+
+    ``num`` may be a column already holding ``try_cast(col as double)``: pass
+    it so the (regex-heavy) input is computed once per row, not once per branch.
+    """
+    x = col.try_cast("double") if num is None else num
     case = None
     for lo, hi, lab in bucket_conditions():
         cond = (F.lit(lo) <= x) & (x < F.lit(hi))

@@ -93,7 +93,12 @@ def clean_with(df: DataFrame, params: CleanParams) -> DataFrame:
     size = F.col("item_size")
     price = F.col("item_price")
 
-    base = [F.col(f"`{c}`") for c in df.columns if c not in ("delivery_date", "user_dob")]
+    # the normalised size and its numeric value are computed once, in their own projection;
+    # the optimizer does not inline a non-trivial expression that is used many times, so
+    # the 30-branch bucket CASE below compares a column, not a regex chain.
+    df = df.withColumn("__size_norm", sizes.normalised_size(F.col("item_size")))
+    df = df.withColumn("__size_num", F.col("__size_norm").try_cast("double"))
+    base = [F.col(f"`{c}`") for c in df.columns if c not in ("delivery_date", "user_dob", "__size_norm", "__size_num")]
     out = df.select(
         *base,
         delivery.alias("delivery_date"),
@@ -114,10 +119,10 @@ def clean_with(df: DataFrame, params: CleanParams) -> DataFrame:
         (age * age).alias("age2"),
         (tenure * tenure).alias("user_tenure2"),
         (price * price).alias("item_price2"),
-        sizes.clean_size(size).alias("item_size_cl"),
+        sizes.size_bucket(F.col("__size_norm"), F.col("__size_num")).alias("item_size_cl"),
     )
     # restore the raw column order, derived columns after it
-    raw_order = [c for c in df.columns]
+    raw_order = [c for c in df.columns if not c.startswith("__size")]
     return out.select(*[F.col(f"`{c}`") for c in raw_order + CLEAN_COLUMNS])
 
 

@@ -206,3 +206,176 @@ def price_quantiles(spark, sf_dir):
     from ..operators import lookups as L
     q = L.price_quantiles(inputs(spark, sf_dir).history)
     return q.select(*[r6(F.col(c)).alias(c) for c in ("q1", "q2", "q3")])
+
+
+# ---------------------------------------------------------------- transform (L2): joins + features
+
+def _fitted_on_known(spark, sf_dir):
+    """Spec fitted on the labelled file, applied to the unlabelled file (exercises every imputation)."""
+    from ..operators import features as FT
+    i = inputs(spark, sf_dir)
+    return FT, FT.fit(i.known), i
+
+
+def _rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(F.col(f"`{c}`"), digits).alias(c) if c in cols else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+_ITEM = ["item_max_delivery", "item_mean_delivery", "item_min_delivery", "item_orders", "item_max_price"]
+_ORD = ["order_num_items", "order_max_price", "order_total_value", "order_median_price", "order_min_price",
+        "order_num_sizes", "order_num_colors", "order_seqnum", "order_num_brand_id"]
+_BS = ["brand_min_price", "brand_mean_price", "brand_max_price", "state_mean_delivery", "state_max_delivery"]
+_HIST = ["history", "history_cumsum", "history_perc"]
+_WOE = ["woe_item_color", "woe_month", "woe_item_size"]
+
+
+def _sel(cols, digits=6, keys=()):
+    return ", ".join(list(keys) + [f"round(CAST({c} AS DOUBLE), {digits}) AS \"{c}\"" for c in cols])
+
+
+@register("join_items", S.with_transform(f"SELECT {_sel(_ITEM, keys=['item_id'])} FROM featw"))
+def join_items(spark, sf_dir):
+    """Rows ⟕ item stats, unseen items imputed with the column means."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, _ITEM, keep=("item_id",)), _ITEM)
+
+
+@register("join_orders", S.with_transform(
+    f"SELECT {_sel(_ORD, keys=['user_id', 'order_date', 'brand_id'])} FROM featw"))
+def join_orders(spark, sf_dir):
+    """Rows ⟕ basket stats per brand; fixed 1 / fitted-mean imputation, brand count 0."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, _ORD, keep=("user_id", "order_date", "brand_id")), _ORD)
+
+
+@register("join_brands_states", S.with_transform(
+    f"SELECT {_sel(_BS, keys=['brand_id', 'user_state'])} FROM featw"))
+def join_brands_states(spark, sf_dir):
+    """Rows ⟕ brand stats ⟕ state stats, imputed with the means."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, _BS, keep=("brand_id", "user_state")), _BS)
+
+
+@register("join_history", S.with_transform(
+    f"SELECT {_sel(_HIST, keys=['user_id', 'order_date'])} FROM featw"))
+def join_history(spark, sf_dir):
+    """Rows ⟕ return history; baskets without labelled history get 0."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, _HIST, keep=("user_id", "order_date")), _HIST)
+
+
+@register("join_woe", S.with_transform(
+    f"SELECT {_sel(_WOE, digits=9, keys=['item_color', 'month', 'item_size'])} FROM featw"))
+def join_woe(spark, sf_dir):
+    """Rows ⟕ three WOE tables; unseen categories get the batch mean."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, _WOE, keep=("item_color", "month", "item_size")), _WOE, 9)
+
+
+@register("price_off", S.with_transform(f"SELECT {_sel(['price_off'], keys=['item_id', 'item_price'])} FROM featw"))
+def price_off(spark, sf_dir):
+    """Relative discount to the item's max price, 0 where undefined."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, ["price_off"], keep=("item_id", "item_price")), ["price_off"])
+
+
+@register("gift_flag", S.with_transform(
+    f"SELECT {_sel(['order_min_price', 'order_has_gift'], keys=['user_id', 'order_date'])} FROM featw"))
+def gift_flag(spark, sf_dir):
+    """Basket contains a zero-price item."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    cols = ["order_min_price", "order_has_gift"]
+    return _rounded(FT.transform(spec, i.unknown, cols, keep=("user_id", "order_date")), cols)
+
+
+_QF = ["is_q1_value", "is_q2_value", "is_q3_value", "is_q4_value"]
+
+
+@register("quartile_flags", S.with_transform(
+    "SELECT item_price, "
+    "CAST(item_price <= q1 AS DOUBLE) AS is_q1_value, CAST(item_price > q1 AND item_price <= q2 AS DOUBLE) AS is_q2_value, "
+    "CAST(item_price > q2 AND item_price <= q3 AS DOUBLE) AS is_q3_value, CAST(item_price > q3 AS DOUBLE) AS is_q4_value "
+    "FROM featw CROSS JOIN qs"))
+def quartile_flags(spark, sf_dir):
+    """P20: price quartile flags from the fitted quartiles."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return FT.transform(spec, i.unknown, _QF, keep=("item_price",))
+
+
+RATIOS = ["order_total_value/state_mean_delivery", "days_to_delivery/state_mean_delivery",
+          "item_price/state_mean_delivery", "age/order_num_sizes", "item_mean_delivery/order_seqnum",
+          "item_max_delivery/order_num_colors", "user_tenure/history_perc", "price_off/item_price"]
+
+
+def _ratio_sql(name):
+    a, b = name.split("/")
+    return f'round(CAST({a} AS DOUBLE) / (CAST({b} AS DOUBLE) + 1), 6) AS "{name}"'
+
+
+@register("ratio_features", S.with_transform("SELECT " + ", ".join(_ratio_sql(n) for n in RATIOS) + " FROM featw"))
+def ratio_features(spark, sf_dir):
+    """Named ratio features a / (b + 1)."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return _rounded(FT.transform(spec, i.unknown, RATIOS, keep=()), RATIOS)
+
+
+INTERACTIONS = ["item_price*order_num_items", "days_to_delivery*item_min_delivery",
+                "is_letter_coded*order_total_value", "item_price2*order_num_sizes",
+                "is_dob_missing*is_item_clothes", "delivery_fri*state_max_delivery", "age*history"]
+
+
+def _inter_sql(name):
+    a, b = name.split("*")
+    from ..operators.features import FLAGS
+    if a in FLAGS and b in FLAGS:
+        return f'CAST({a} AND {b} AS DOUBLE) AS "{name}"'
+    return f'CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE) AS "{name}"'
+
+
+@register("interaction_features", S.with_transform(
+    "SELECT " + ", ".join(_inter_sql(n) for n in INTERACTIONS) + " FROM featw"))
+def interaction_features(spark, sf_dir):
+    """Named interactions a * b (AND for two flags)."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return FT.transform(spec, i.unknown, INTERACTIONS, keep=())
+
+
+ONEHOTS = ([f"user_title_{v}" for v in ("Company", "Family", "Mr", "Mrs")]
+           + [f"month_{m}" for m in range(1, 13)]
+           + [f"item_size_cl_{v}" for v in ("UNSIZED", "XS", "S", "M", "L", "XL")])
+
+
+def _onehot_sql(name):
+    for src in ("user_title", "month", "item_size_cl"):
+        if name.startswith(src + "_"):
+            v = name[len(src) + 1:]
+            lit = v if src == "month" else f"'{v}'"
+            return f'CAST(coalesce({src} = {lit}, false) AS DOUBLE) AS "{name}"'
+    raise KeyError(name)
+
+
+@register("onehot", S.with_transform(
+    "SELECT user_title, month, item_size_cl, " + ", ".join(_onehot_sql(n) for n in ONEHOTS) + " FROM featw"))
+def onehot(spark, sf_dir):
+    """One-hot columns ``col_value``; a null category gives all zeros."""
+    FT, spec, i = _fitted_on_known(spark, sf_dir)
+    return FT.transform(spec, i.unknown, ONEHOTS, keep=("user_title", "month", "item_size_cl"))
+
+
+LOGIT_SUBSET = ["item_price", "order_total_value/state_mean_delivery", "days_to_delivery",
+                "days_to_delivery/state_mean_delivery", "item_price/state_mean_delivery"]
+
+
+@register("feature_matrix", S.with_transform(
+    'SELECT "return", round(CAST(item_price AS DOUBLE), 6) AS item_price, '
+    + _ratio_sql("order_total_value/state_mean_delivery") + ", "
+    + 'round(CAST(days_to_delivery AS DOUBLE), 6) AS days_to_delivery, '
+    + _ratio_sql("days_to_delivery/state_mean_delivery") + ", " + _ratio_sql("item_price/state_mean_delivery")
+    + " FROM featw", src="history", x="known"))
+def feature_matrix(spark, sf_dir):
+    """Keep-list selection cast to DOUBLE with the label (spec fitted on all rows)."""
+    from ..operators import features as FT
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    return _rounded(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return",)), LOGIT_SUBSET)

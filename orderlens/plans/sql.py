@@ -105,7 +105,12 @@ FROM (SELECT {var}, CAST(sum("return") AS DOUBLE) AS ev, CAST(count("return") AS
 CROSS JOIN (SELECT CAST(sum("return") AS DOUBLE) AS te, CAST(count(*) AS DOUBLE) AS n FROM known) t"""
 
 
-FIT_CTES: list[tuple[str, str]] = [
+def fit_ctes(src: str = "history") -> list[tuple[str, str]]:
+    """Fitted tables over ``src`` (WOE and return history always use the labelled rows)."""
+    return [(n, q.replace("FROM history", f"FROM {src}")) for n, q in _FIT_CTES]
+
+
+_FIT_CTES: list[tuple[str, str]] = [
     ("items_fit", """SELECT item_id, max(days_to_delivery) AS item_max_delivery,
         avg(days_to_delivery) AS item_mean_delivery, min(days_to_delivery) AS item_min_delivery,
         count(user_id) AS item_orders, max(item_price) AS item_max_price
@@ -140,5 +145,65 @@ FIT_CTES: list[tuple[str, str]] = [
 ]
 
 
-def with_fit(final: str, extra: list[tuple[str, str]] | None = None) -> str:
-    return with_ctes(final, FIT_CTES + (extra or []))
+def with_fit(final: str, extra: list[tuple[str, str]] | None = None, src: str = "history") -> str:
+    return with_ctes(final, fit_ctes(src) + (extra or []))
+
+
+def transform_ctes(x: str) -> list[tuple[str, str]]:
+    """Lookup joins with their imputation, as the feature transform does it (CTE ``feat``)."""
+    return [
+        ("im", """SELECT avg(item_max_delivery) AS item_max_delivery, avg(item_mean_delivery) AS item_mean_delivery,
+            avg(item_min_delivery) AS item_min_delivery, avg(item_orders) AS item_orders,
+            avg(item_max_price) AS item_max_price FROM items_fit"""),
+        ("om", """SELECT avg(order_total_value) AS order_total_value, avg(order_median_price) AS order_median_price,
+            avg(order_min_price) AS order_min_price, avg(order_max_price) AS order_max_price FROM orders_fit"""),
+        ("bm", """SELECT avg(brand_min_price) AS brand_min_price, avg(brand_mean_price) AS brand_mean_price,
+            avg(brand_max_price) AS brand_max_price FROM brands_fit"""),
+        ("sm", """SELECT avg(state_mean_delivery) AS state_mean_delivery,
+            avg(state_max_delivery) AS state_max_delivery FROM states_fit"""),
+        ("feat", f"""SELECT x.*,
+            coalesce(CAST(i.item_max_delivery AS DOUBLE), im.item_max_delivery) AS item_max_delivery,
+            coalesce(i.item_mean_delivery, im.item_mean_delivery) AS item_mean_delivery,
+            coalesce(CAST(i.item_min_delivery AS DOUBLE), im.item_min_delivery) AS item_min_delivery,
+            coalesce(CAST(i.item_orders AS DOUBLE), im.item_orders) AS item_orders,
+            coalesce(i.item_max_price, im.item_max_price) AS item_max_price,
+            coalesce(o.order_num_items, 1) AS order_num_items,
+            coalesce(o.order_max_price, om.order_max_price) AS order_max_price,
+            coalesce(o.order_total_value, om.order_total_value) AS order_total_value,
+            coalesce(o.order_median_price, om.order_median_price) AS order_median_price,
+            coalesce(o.order_min_price, om.order_min_price) AS order_min_price,
+            coalesce(o.order_num_sizes, 1) AS order_num_sizes,
+            coalesce(o.order_num_colors, 1) AS order_num_colors,
+            coalesce(o.order_seqnum, 1) AS order_seqnum,
+            coalesce(o.order_num_brand_id, 0) AS order_num_brand_id,
+            coalesce(b.brand_min_price, bm.brand_min_price) AS brand_min_price,
+            coalesce(b.brand_mean_price, bm.brand_mean_price) AS brand_mean_price,
+            coalesce(b.brand_max_price, bm.brand_max_price) AS brand_max_price,
+            coalesce(s.state_mean_delivery, sm.state_mean_delivery) AS state_mean_delivery,
+            coalesce(CAST(s.state_max_delivery AS DOUBLE), sm.state_max_delivery) AS state_max_delivery,
+            coalesce(h.history, 0) AS history,
+            coalesce(h.history_cumsum, 0) AS history_cumsum,
+            coalesce(h.history_perc, 0) AS history_perc,
+            CAST(coalesce(o.order_min_price, om.order_min_price) = 0 AS DOUBLE) AS order_has_gift,
+            wc.woe_item_color AS woe_item_color_raw, wm.woe_month AS woe_month_raw, ws.woe_item_size AS woe_item_size_raw
+          FROM {x} x
+          LEFT JOIN items_fit i ON x.item_id = i.item_id
+          LEFT JOIN orders_fit o ON x.user_id = o.user_id AND x.order_date = o.order_date AND x.brand_id = o.brand_id
+          LEFT JOIN brands_fit b ON x.brand_id = b.brand_id
+          LEFT JOIN states_fit s ON x.user_state = s.user_state
+          LEFT JOIN rethist_fit h ON x.user_id = h.user_id AND x.order_date = h.order_date
+          LEFT JOIN woe_item_color_fit wc ON x.item_color = wc.item_color
+          LEFT JOIN woe_month_fit wm ON x.month = wm.month
+          LEFT JOIN woe_item_size_fit ws ON x.item_size = ws.item_size
+          CROSS JOIN im CROSS JOIN om CROSS JOIN bm CROSS JOIN sm"""),
+        ("featw", """SELECT f.*,
+            coalesce(woe_item_color_raw, avg(woe_item_color_raw) OVER ()) AS woe_item_color,
+            coalesce(woe_month_raw, avg(woe_month_raw) OVER ()) AS woe_month,
+            coalesce(woe_item_size_raw, avg(woe_item_size_raw) OVER ()) AS woe_item_size,
+            coalesce((item_max_price - item_price) / nullif(item_max_price, 0), 0) AS price_off
+          FROM feat f"""),
+    ]
+
+
+def with_transform(final: str, src: str = "known", x: str = "unknown") -> str:
+    return with_ctes(final, fit_ctes(src) + transform_ctes(x))
