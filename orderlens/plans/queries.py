@@ -119,6 +119,17 @@ def r6(c):
     return F.round(c, 6)
 
 
+def round_sig(c, digits: int = 12):
+    """Round to ``digits`` significant digits (for large magnitudes where fixed decimals exceed precision)."""
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, c).otherwise(F.round(c / p, digits - 1) * p)
+
+
+def round_sig_sql(x: str, digits: int = 12) -> str:
+    p = f"pow(10.0, floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN {x} ELSE round({x} / {p}, {digits - 1}) * {p} END"
+
+
 def _woe_query(var: str):
     def q(spark, sf_dir):
         from ..operators import lookups as L
@@ -379,3 +390,157 @@ def feature_matrix(spark, sf_dir):
     i = inputs(spark, sf_dir)
     spec = FT.fit(i.history)
     return _rounded(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return",)), LOGIT_SUBSET)
+
+
+# ---------------------------------------------------------------- EDA (L3)
+
+_EDA_NA = ("not_reported", "?", "1994-12-31")
+
+
+def _eda_raw(spark, sf_dir):
+    from ..sources import adapter
+    return adapter.order_items(spark, sf_dir)
+
+
+@register("rate_by_delivery_days", S.with_ctes(
+    'SELECT days_to_delivery, round(avg("return"), 6) AS perc_returned, count("return") AS total_items '
+    "FROM (SELECT date_diff('day', order_date, delivery_date) AS days_to_delivery, \"return\" FROM sent "
+    'WHERE "return" IS NOT NULL) WHERE days_to_delivery IS NOT NULL GROUP BY days_to_delivery '
+    'HAVING count("return") > 10', na_values=_EDA_NA))
+def rate_by_delivery_days(spark, sf_dir):
+    """A12 (flagship): return rate by days to delivery, groups with more than 10 items."""
+    from ..operators import eda
+    out = eda.rate_by_delivery_days(eda.eda_known(_eda_raw(spark, sf_dir)))
+    return out.withColumn("perc_returned", r6(F.col("perc_returned")))
+
+
+@register("rate_by_weekday", S.with_ctes(
+    "SELECT weekday, round(perc_returned, 6) AS perc_returned, "
+    "round(stddev_samp(perc_returned) OVER (), 6) AS std_between_days FROM ("
+    'SELECT CAST(isodow(delivery_date) - 1 AS BIGINT) AS weekday, avg("return") AS perc_returned FROM sent '
+    'WHERE "return" IS NOT NULL AND delivery_date IS NOT NULL GROUP BY 1)', na_values=_EDA_NA))
+def rate_by_weekday(spark, sf_dir):
+    """Return rate per delivery weekday and its spread across weekdays."""
+    from ..operators import eda
+    out = eda.rate_by_weekday(eda.eda_known(_eda_raw(spark, sf_dir)))
+    return out.select("weekday", r6(F.col("perc_returned")).alias("perc_returned"),
+                      r6(F.col("std_between_days")).alias("std_between_days"))
+
+
+_BASKETS_SQL = ('SELECT user_id, order_date, count(item_color) AS n_colors, count(item_size) AS n_sizes, '
+                'CAST(least(coalesce(sum("return"), 0), 1) AS BIGINT) AS returned FROM sent GROUP BY user_id, order_date')
+
+
+@register("basket_by_returned", S.with_ctes(_BASKETS_SQL, na_values=_EDA_NA))
+def basket_by_returned(spark, sf_dir):
+    """Basket colour / size counts and returned flag (all rows, EDA sentinels)."""
+    from ..operators import eda
+    from ..sources.scan import apply_sentinels
+    return eda.basket_by_returned(apply_sentinels(_eda_raw(spark, sf_dir), _EDA_NA))
+
+
+def _box_sql():
+    cols = []
+    for c in ("n_colors", "n_sizes"):
+        cols += [f"CAST(min({c}) AS DOUBLE) AS {c}_min",
+                 f"round(quantile_cont({c}, 0.25), 6) AS {c}_q1",
+                 f"round(quantile_cont({c}, 0.5), 6) AS {c}_median",
+                 f"round(quantile_cont({c}, 0.75), 6) AS {c}_q3",
+                 f"CAST(max({c}) AS DOUBLE) AS {c}_max"]
+    return f"SELECT returned, {', '.join(cols)} FROM ({_BASKETS_SQL}) GROUP BY returned"
+
+
+@register("boxplot_summary", S.with_ctes(_box_sql(), na_values=_EDA_NA))
+def boxplot_summary(spark, sf_dir):
+    """Five-number summaries of basket colour / size counts per returned flag."""
+    from ..operators import eda
+    from ..sources.scan import apply_sentinels
+    b = eda.basket_by_returned(apply_sentinels(_eda_raw(spark, sf_dir), _EDA_NA))
+    out = eda.boxplot_summary(b)
+    return _rounded(out, [c for c in out.columns if c.endswith(("_q1", "_median", "_q3"))])
+
+
+PROFILE_COLS = ["item_price", "days_to_delivery", "user_tenure", "age", "month", "item_price2"]
+
+
+def _profile_sql():
+    parts = []
+    for c in PROFILE_COLS:
+        parts.append(
+            f"SELECT '{c}' AS column_name, count(x) AS count, {round_sig_sql('avg(x)')} AS mean, "
+            f"{round_sig_sql('stddev_samp(x)')} AS std, "
+            f"min(x) AS min, {round_sig_sql('quantile_cont(x, 0.25)')} AS q25, "
+            f"{round_sig_sql('quantile_cont(x, 0.5)')} AS q50, "
+            f"{round_sig_sql('quantile_cont(x, 0.75)')} AS q75, max(x) AS max, count(DISTINCT x) AS n_unique "
+            f"FROM (SELECT CAST({c} AS DOUBLE) AS x FROM known)")
+    return " UNION ALL ".join(parts)
+
+
+@register("table_profile", S.with_ctes(_profile_sql()))
+def table_profile(spark, sf_dir):
+    """describe() of the cleaned labelled table, long form."""
+    from ..operators import eda
+    out = eda.table_profile(inputs(spark, sf_dir).known, PROFILE_COLS)
+    for c in ("mean", "std", "q25", "q50", "q75"):
+        out = out.withColumn(c, round_sig(F.col(c)))
+    return out
+
+
+CORR_COLS = ["item_price", "item_price2", "item_max_price", "order_max_price", "order_total_value",
+             "order_median_price", "order_min_price", "brand_max_price", "age", "age2", "user_tenure",
+             "user_tenure2", "days_to_delivery", "item_mean_delivery", "item_max_delivery"]
+
+
+def _corr_long_sql():
+    from itertools import combinations
+    pairs = list(combinations(CORR_COLS, 2))
+    aggs = ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"' for a, b in pairs)
+    return [("cw", f"SELECT {aggs} FROM featw"),
+            ("cl0", "UNPIVOT cw ON COLUMNS(*) INTO NAME pair VALUE correlation"),
+            ("corr_long", "SELECT split_part(pair, '|', 1) AS var1, split_part(pair, '|', 2) AS var2, correlation FROM cl0 "
+                          "UNION ALL SELECT split_part(pair, '|', 2), split_part(pair, '|', 1), correlation FROM cl0")]
+
+
+def _corr_oracle(final):
+    return S.with_ctes(final, S.fit_ctes("history") + S.transform_ctes("known") + _corr_long_sql())
+
+
+def _corr_input(spark, sf_dir):
+    from ..operators import eda
+    from ..operators import features as FT
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    feats = FT.transform(spec, i.known, CORR_COLS, keep=())
+    return eda, eda.corr_long(feats, CORR_COLS)
+
+
+@register("corr_pairs", _corr_oracle(
+    "SELECT var1, var2, round(abs(correlation), 6) AS abs_correlation FROM corr_long "
+    "WHERE var1 < var2 AND abs(correlation) > 0.9"))
+def corr_pairs(spark, sf_dir):
+    """Correlation pairs above 0.9, mirror pairs removed, strongest first."""
+    eda, long = _corr_input(spark, sf_dir)
+    out = eda.high_corr_pairs(long, 0.9)
+    return out.withColumn("abs_correlation", r6(F.col("abs_correlation")))
+
+
+@register("corr_partners", _corr_oracle(
+    "SELECT var1, count(DISTINCT var2) AS n_partners, count(DISTINCT var2) > 3 AS problematic FROM corr_long "
+    "WHERE var1 <> var2 AND abs(correlation) > 0.9 GROUP BY var1"))
+def corr_partners(spark, sf_dir):
+    """Number of highly correlated partners per variable, flagged above 3."""
+    eda, long = _corr_input(spark, sf_dir)
+    return eda.corr_partners(long, 0.9, 3)
+
+
+@register("droplist", S.with_ctes(
+    "SELECT DISTINCT CASE WHEN pa.n > pb.n THEN c.var1 WHEN pb.n > pa.n THEN c.var2 "
+    "ELSE greatest(c.var1, c.var2) END AS variable FROM corr_long c JOIN p pa ON c.var1 = pa.var1 "
+    "JOIN p pb ON c.var2 = pb.var1 WHERE c.var1 < c.var2 AND abs(c.correlation) > 0.9",
+    S.fit_ctes("history") + S.transform_ctes("known") + _corr_long_sql()
+    + [("p", "SELECT var1, count(DISTINCT var2) AS n FROM corr_long WHERE var1 <> var2 AND abs(correlation) > 0.9 "
+             "GROUP BY var1")]))
+def droplist(spark, sf_dir):
+    """Automatic drop-list from the correlation pairs."""
+    eda, long = _corr_input(spark, sf_dir)
+    return eda.droplist(long, 0.9)
