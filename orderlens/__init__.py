@@ -12,3 +12,17 @@ Layers (all DataFrame / SQL / ML work on Spark):
 """
 
 __all__ = ["session"]
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value, so Python workers need not have it installed."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - optional
+        pass
+
+
+_ship_by_value()

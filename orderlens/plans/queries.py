@@ -544,3 +544,202 @@ def droplist(spark, sf_dir):
     """Automatic drop-list from the correlation pairs."""
     eda, long = _corr_input(spark, sf_dir)
     return eda.droplist(long, 0.9)
+
+
+# ---------------------------------------------------------------- cost layer
+
+# fixed coefficients of the scored-rows queries: intercept + one per LOGIT_SUBSET feature
+BETA = [-0.5, 0.8, -0.3, 0.5, -0.2, 0.4]
+POOL = [[0.0] * 6, BETA, [2 * b for b in BETA], [-b for b in BETA]]
+_FN = ["f1", "f2", "f3", "f4", "f5"]
+
+
+def _scored(spark, sf_dir, cutoff=0.5):
+    """Labelled rows -> standardised LOGIT_SUBSET features (global std) -> p = sigmoid(x·BETA)."""
+    from ..operators import cost as CO
+    from ..operators import features as FT
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    fm = FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return", "item_price"))
+    # the keep-list already holds item_price as a feature; carry the price separately
+    fm = fm.select(F.col("return").alias("y"), F.col("item_price").alias("price"),
+                   *[F.col(f"`{n}`").alias(f) for n, f in zip(LOGIT_SUBSET, _FN)])
+    means, stds = CO.standardize_params(fm, _FN, "global")
+    x = CO.standardized_array(_FN, means, stds, intercept=True)
+    return fm.select("y", "price", x.alias("x")).withColumn("p", CO.logit_score(F.col("x"), BETA))
+
+
+def _scored_sql():
+    feats = [
+        "CAST(item_price AS DOUBLE)",
+        "CAST(order_total_value AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
+        "CAST(days_to_delivery AS DOUBLE)",
+        "CAST(days_to_delivery AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
+        "CAST(item_price AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
+    ]
+    fm = 'SELECT "return" AS y, item_price AS price, ' + ", ".join(f"{e} AS {f}" for e, f in zip(feats, _FN)) + " FROM featw"
+    st = "SELECT count(*) AS n, " + ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in _FN) + " FROM fm"
+    grand = "(" + " + ".join(f"m_{f}" for f in _FN) + f") / {len(_FN)}"
+    gs = f"SELECT *, {grand} AS grand FROM st"
+    m2 = " + ".join(f"(v_{f} * n + n * ((m_{f} - grand) * (m_{f} - grand)))" for f in _FN)
+    gstd = f"SELECT *, sqrt(({m2}) / (n * {len(_FN)})) AS g FROM gs"
+    z = "(1.0 * " + str(BETA[0]) + "".join(f" + ((fm.{f} - m_{f}) / g) * {b}" for f, b in zip(_FN, BETA[1:])) + ")"
+    sc = ("SELECT y, price, z, CASE WHEN z >= 0 THEN 1.0 / (1.0 + exp(-abs(z))) ELSE exp(-abs(z)) / (1.0 + exp(-abs(z))) END AS p "
+          f"FROM (SELECT fm.*, {z} AS z FROM fm CROSS JOIN gstd)")
+    # bucket = number of grid cutoffs (i * (1/99), last = 1) strictly below p
+    g = "(1.0 / 99)"
+    k0 = "CAST(least(greatest(ceil(p * 99), 0), 99) AS INTEGER)"
+    gv = lambda e: f"(CASE WHEN {e} = 99 THEN 1.0 ELSE ({e}) * {g} END)"
+    bk = (f"SELECT *, least(greatest(k0 + CASE WHEN {gv('k0')} < p THEN 1 ELSE 0 END "
+          f"- CASE WHEN k0 > 0 AND {gv('k0 - 1')} >= p THEN 1 ELSE 0 END, 0), 100) AS k, "
+          "CAST(round(price * 100) AS BIGINT) AS cents FROM (SELECT *, " + k0 + " AS k0 FROM scored)")
+    return S.fit_ctes("history") + S.transform_ctes("known") + [
+        ("fm", fm), ("st", st), ("gs", gs), ("gstd", gstd), ("scored", sc), ("scored_b", bk)]
+
+
+def _cost_oracle(final, extra=None):
+    return S.with_ctes(final, _scored_sql() + (extra or []))
+
+
+_UNITS_SQL = ("CASE WHEN pred AND y = 0 THEN cents * 50 WHEN NOT pred AND y = 1 THEN cents * 25 + 75000 ELSE 0 END")
+
+
+@register("standardize", _cost_oracle(
+    "SELECT y, " + ", ".join(f"round((fm.{f} - m_{f}) / g, 9) AS {f}" for f in _FN) + " FROM fm CROSS JOIN gstd"))
+def standardize(spark, sf_dir):
+    """(x - column mean) / global population std."""
+    s = _scored(spark, sf_dir)
+    return s.select("y", *[F.round(F.col("x")[j + 1], 9).alias(f) for j, f in enumerate(_FN)])
+
+
+@register("logit_score", _cost_oracle("SELECT y, price, round(p, 9) AS p, p > 0.5 AS predicted FROM scored"))
+def logit_score(spark, sf_dir):
+    """Stable sigmoid of x·beta (fixed beta) and the hard label at 0.5."""
+    s = _scored(spark, sf_dir)
+    return s.select("y", "price", F.round("p", 9).alias("p"), (F.col("p") > 0.5).alias("predicted"))
+
+
+@register("row_cost", _cost_oracle(
+    f"SELECT y, price, pred AS predicted, ({_UNITS_SQL}) / 10000.0 AS cost "
+    "FROM (SELECT *, p > 0.5 AS pred FROM scored_b)"))
+def row_cost(spark, sf_dir):
+    """Per-row misclassification cost at cutoff 0.5 (FP 0.5·price, FN 2.5·(3 + 0.1·price))."""
+    from ..functions import cost as C
+    s = _scored(spark, sf_dir)
+    pred = F.col("p") > 0.5
+    return s.select("y", "price", pred.alias("predicted"),
+                    (C.row_cost_units(pred, F.col("y"), F.col("price")) / C.UNITS).alias("cost"))
+
+
+@register("utility_at_cutoff", _cost_oracle(
+    f"SELECT -sum({_UNITS_SQL}) / 10000.0 AS utility, count(*) AS n, "
+    f"round(-sum({_UNITS_SQL}) / 10000.0 / count(*), 9) AS avg_utility FROM (SELECT *, p > 0.5 AS pred FROM scored_b)"))
+def utility_at_cutoff(spark, sf_dir):
+    """Total and per-item utility at one cutoff."""
+    from ..operators import cost as CO
+    out = CO.utility_at(_scored(spark, sf_dir), "p", "y", "price", 0.5)
+    return out.withColumn("avg_utility", F.round("avg_utility", 9))
+
+
+_SWEEP_SQL = [
+    ("bc", "SELECT k, sum(CASE WHEN y = 1 THEN cents * 25 + 75000 ELSE 0 END) AS fn, "
+           "sum(CASE WHEN y = 0 THEN cents * 50 ELSE 0 END) AS fp FROM scored_b GROUP BY k"),
+    ("fullk", "SELECT g.k, coalesce(bc.fn, 0) AS fn, coalesce(bc.fp, 0) AS fp FROM range(0, 101) g(k) "
+             "LEFT JOIN bc ON bc.k = g.k"),
+    ("util", "SELECT k, sum(fn) OVER (ORDER BY k) + sum(fp) OVER () - sum(fp) OVER (ORDER BY k) AS units FROM fullk"),
+    ("best", "SELECT k, units FROM util WHERE k < 100 ORDER BY units, k LIMIT 1"),
+]
+
+
+@register("cutoff_sweep", _cost_oracle(
+    "SELECT -units / 10000.0 AS best_utility, CASE WHEN k = 99 THEN 1.0 ELSE k * (1.0 / 99) END AS best_cutoff, "
+    "CAST(k AS INTEGER) AS best_index FROM best", _SWEEP_SQL))
+def cutoff_sweep(spark, sf_dir):
+    """Best utility over 100 cutoffs in one pass (bucket sums + running window)."""
+    from ..operators import cost as CO
+    return CO.cutoff_sweep(_scored(spark, sf_dir), "p", "y", "price")
+
+
+@register("avg_cost", _cost_oracle(
+    "SELECT round(-units / 10000.0 / (SELECT count(*) FROM scored_b), 9) AS avg_best_utility FROM best", _SWEEP_SQL))
+def avg_cost(spark, sf_dir):
+    """Per-item utility of the best cutoff (rescaled fitness)."""
+    from ..operators import cost as CO
+    s = _scored(spark, sf_dir)
+    best = CO.cutoff_sweep(s, "p", "y", "price")
+    n = s.agg(F.count(F.lit(1)).alias("n"))
+    return best.crossJoin(F.broadcast(n)).select(F.round(F.col("best_utility") / F.col("n"), 9).alias("avg_best_utility"))
+
+
+@register("cost_baselines", _cost_oracle(
+    "SELECT -sum(CASE WHEN y = 1 THEN cents * 25 + 75000 ELSE 0 END) / 10000.0 AS predict_none, "
+    "-sum(CASE WHEN y = 0 THEN cents * 50 ELSE 0 END) / 10000.0 AS predict_all, count(*) AS n FROM scored_b"))
+def cost_baselines(spark, sf_dir):
+    """Utility of predicting no returns / all returns."""
+    from ..operators import cost as CO
+    return CO.baselines(_scored(spark, sf_dir), "y", "price")
+
+
+def _pool_sql():
+    rows = []
+    for ci, cand in enumerate(POOL):
+        z = f"(1.0 * {cand[0]}" + "".join(f" + ((fm.{f} - m_{f}) / g) * {b}" for f, b in zip(_FN, cand[1:])) + ")"
+        rows.append(f"SELECT {ci} AS cand_id, y, price, {z} AS z FROM fm CROSS JOIN gstd")
+    zz = " UNION ALL ".join(rows)
+    p = ("SELECT cand_id, y, price, CASE WHEN z >= 0 THEN 1.0 / (1.0 + exp(-abs(z))) "
+         "ELSE exp(-abs(z)) / (1.0 + exp(-abs(z))) END AS p FROM (" + zz + ")")
+    g = "(1.0 / 99)"
+    gv = lambda e: f"(CASE WHEN {e} = 99 THEN 1.0 ELSE ({e}) * {g} END)"
+    k0 = "CAST(least(greatest(ceil(p * 99), 0), 99) AS INTEGER)"
+    bk = (f"SELECT *, least(greatest(k0 + CASE WHEN {gv('k0')} < p THEN 1 ELSE 0 END "
+          f"- CASE WHEN k0 > 0 AND {gv('k0 - 1')} >= p THEN 1 ELSE 0 END, 0), 100) AS k, "
+          f"CAST(round(price * 100) AS BIGINT) AS cents FROM (SELECT *, {k0} AS k0 FROM ({p}))")
+    return [
+        ("pb", bk),
+        ("pbc", "SELECT cand_id, k, sum(CASE WHEN y = 1 THEN cents * 25 + 75000 ELSE 0 END) AS fn, "
+                "sum(CASE WHEN y = 0 THEN cents * 50 ELSE 0 END) AS fp FROM pb GROUP BY cand_id, k"),
+        ("pfull", "SELECT c.cand_id, g.k, coalesce(pbc.fn, 0) AS fn, coalesce(pbc.fp, 0) AS fp "
+                  f"FROM range(0, {len(POOL)}) c(cand_id) CROSS JOIN range(0, 101) g(k) "
+                  "LEFT JOIN pbc ON pbc.cand_id = c.cand_id AND pbc.k = g.k"),
+        ("putil", "SELECT cand_id, k, sum(fn) OVER (PARTITION BY cand_id ORDER BY k) + sum(fp) OVER (PARTITION BY cand_id) "
+                  "- sum(fp) OVER (PARTITION BY cand_id ORDER BY k) AS units FROM pfull"),
+        ("pbest", "SELECT cand_id, arg_min(k, units * 1000 + k) AS k, min(units) AS units FROM putil WHERE k < 100 "
+                  "GROUP BY cand_id"),
+        ("pfit", "SELECT CAST(cand_id AS BIGINT) AS cand_id, -units / 10000.0 AS best_utility, "
+                 "CASE WHEN k = 99 THEN 1.0 ELSE k * (1.0 / 99) END AS best_cutoff, CAST(k AS INTEGER) AS best_index, "
+                 "row_number() OVER (ORDER BY units, cand_id) AS rank FROM pbest"),
+    ]
+
+
+def _population(spark, sf_dir):
+    import numpy as np
+
+    from ..operators import cost as CO
+    s = _scored(spark, sf_dir)
+    fit = CO.population_fitness(s, "x", "y", "price", np.asarray(POOL))
+    return CO.rank_candidates(fit).withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("population_fitness", _cost_oracle("SELECT * FROM pfit", _pool_sql()))
+def population_fitness(spark, sf_dir):
+    """Best utility and cutoff for each candidate coefficient vector, ranked."""
+    return _population(spark, sf_dir)
+
+
+@register("elite_topk", _cost_oracle("SELECT cand_id, best_utility, rank FROM pfit WHERE rank <= 2", _pool_sql()))
+def elite_topk(spark, sf_dir):
+    """The elite -- top int(elitism * population) candidates (elitism 0.5 of 4)."""
+    return _population(spark, sf_dir).filter(F.col("rank") <= 2).select("cand_id", "best_utility", "rank")
+
+
+@register("auc_exact", _cost_oracle(
+    "SELECT round(sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)), 6) AS auc, "
+    "CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM ("
+    "SELECT p, pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below "
+    "FROM (SELECT p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg "
+    "FROM scored GROUP BY p))"))
+def auc_exact(spark, sf_dir):
+    """Exact ROC AUC with tie handling, scalable two-level prefix sum."""
+    from ..operators import cost as CO
+    out = CO.auc_exact(_scored(spark, sf_dir), "p", "y")
+    return out.withColumn("auc", F.round("auc", 6))
