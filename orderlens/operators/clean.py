@@ -139,8 +139,17 @@ def clean_split(raw: DataFrame, na_values=NA_VALUES) -> tuple[DataFrame, DataFra
 
     This mirrors cleaning two input files, one with labels and one without.
     """
-    known = clean(raw.filter(F.col("return").isNotNull()), na_values)
-    unknown = clean(raw.filter(F.col("return").isNull()), na_values)
+    s = apply_sentinels(raw, na_values)
+    # both files' medians in one aggregation job
+    rows = {r["is_known"]: r for r in
+            s.groupBy(F.col("return").isNotNull().alias("is_known")).agg(*median_columns()).collect()}
+
+    def params(flag):
+        r = rows.get(flag)
+        return CleanParams(r["median_delivery_days"], r["median_dob_days"]) if r else CleanParams(None, None)
+
+    known = clean_with(s.filter(F.col("return").isNotNull()), params(True))
+    unknown = clean_with(s.filter(F.col("return").isNull()), params(False))
     return known, unknown
 
 

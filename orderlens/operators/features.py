@@ -28,8 +28,6 @@ them, and broadcasts a table only after counting it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,22 +65,65 @@ ORDER_FILL_MEAN = ["order_total_value", "order_median_price", "order_min_price",
 MAX_CATEGORIES = 10_000
 
 
-@dataclass
 class FeatureSpec:
-    items: DataFrame
-    orders: DataFrame
-    brands: DataFrame
-    states: DataFrame
-    return_history: DataFrame
-    woe: dict[str, DataFrame]
-    item_means: dict[str, float]
-    order_means: dict[str, float]
-    brand_means: dict[str, float]
-    state_means: dict[str, float]
-    quantiles: tuple[float, float, float]
-    categories: dict[str, list] = field(default_factory=dict)
-    fit_data: DataFrame | None = None
-    profile: dict[str, tuple[bool, bool]] | None = None
+    """Fitted tables (lazy DataFrames) plus small fitted scalars, computed on first use."""
+
+    def __init__(self, history: DataFrame, target: str = TARGET, exact_quantiles: bool = True):
+        labelled = history.filter(F.col(target).isNotNull())
+        self.fit_data = history
+        self.items = L.fit_items(history)
+        self.orders = L.fit_orders(history)
+        self.brands = L.fit_brands(history)
+        self.states = L.fit_states(history)
+        self.return_history = L.fit_return_history(history, target)
+        self.woe = {v: L.fit_woe(labelled, v, target) for v in L.WOE_VARS}
+        self.exact_quantiles = exact_quantiles
+        self.profile: dict[str, tuple[bool, bool]] | None = None
+        self._cache: dict[str, object] = {}
+
+    def _scalar(self, key, make):
+        if key not in self._cache:
+            self._cache[key] = make()
+        return self._cache[key]
+
+    # small scalar aggregates (one row each), computed only when a transform needs them
+    @property
+    def item_means(self) -> dict:
+        return self._scalar("im", lambda: _one_row(L.column_means(self.items, L.ITEM_COLS)))
+
+    @property
+    def order_means(self) -> dict:
+        return self._scalar("om", lambda: _one_row(L.column_means(self.orders, ORDER_FILL_MEAN)))
+
+    @property
+    def brand_means(self) -> dict:
+        return self._scalar("bm", lambda: _one_row(L.column_means(self.brands, L.BRAND_COLS)))
+
+    @property
+    def state_means(self) -> dict:
+        return self._scalar("sm", lambda: _one_row(L.column_means(self.states, L.STATE_COLS)))
+
+    @property
+    def quantiles(self) -> tuple:
+        def make():
+            q = _one_row(L.price_quantiles(self.fit_data, exact=self.exact_quantiles))
+            return (q.get("q1"), q.get("q2"), q.get("q3"))
+        return self._scalar("q", make)
+
+    @property
+    def categories(self) -> dict[str, list]:
+        def make():
+            cats = {}
+            for c in DUMMY_SOURCES:
+                # distinct first (the key is computed once per row in the projection); a null
+                # filter here would be pushed below the projection and inline the size CASE
+                d = self.fit_data.select(c).distinct().limit(MAX_CATEGORIES + 2).collect()
+                vals = [r[0] for r in d if r[0] is not None]
+                if len(vals) > MAX_CATEGORIES:
+                    raise ValueError(f"too many categories in {c} for one-hot encoding")
+                cats[c] = sorted(vals)
+            return cats
+        return self._scalar("cats", make)
 
     # -------------------------------------------------------------- persistence
     def materialize(self) -> "FeatureSpec":
@@ -101,35 +142,9 @@ def _one_row(df: DataFrame) -> dict:
     return {} if row is None else row.asDict()
 
 
-def fit(history: DataFrame, target: str = TARGET, categories: bool = True,
-        exact_quantiles: bool = True) -> FeatureSpec:
+def fit(history: DataFrame, target: str = TARGET, exact_quantiles: bool = True) -> FeatureSpec:
     """Fit all lookup tables on ``history`` (labelled rows feed WOE and return history)."""
-    labelled = history.filter(F.col(target).isNotNull())
-    items = L.fit_items(history)
-    orders = L.fit_orders(history)
-    brands = L.fit_brands(history)
-    states = L.fit_states(history)
-    rh = L.fit_return_history(history, target)
-    woe = {v: L.fit_woe(labelled, v, target) for v in L.WOE_VARS}
-
-    # small scalar aggregates (one row each)
-    item_means = _one_row(L.column_means(items, L.ITEM_COLS))
-    order_means = _one_row(L.column_means(orders, ORDER_FILL_MEAN))
-    brand_means = _one_row(L.column_means(brands, L.BRAND_COLS))
-    state_means = _one_row(L.column_means(states, L.STATE_COLS))
-    q = _one_row(L.price_quantiles(history, exact=exact_quantiles))
-    cats: dict[str, list] = {}
-    if categories:
-        for c in DUMMY_SOURCES:
-            # distinct first (the key is computed once per row in the projection); a null
-            # filter here would be pushed below the projection and inline the size CASE
-            d = history.select(c).distinct().limit(MAX_CATEGORIES + 2).collect()
-            vals = [r[0] for r in d if r[0] is not None]
-            if len(vals) > MAX_CATEGORIES:
-                raise ValueError(f"too many categories in {c} for one-hot encoding")
-            cats[c] = sorted(vals)
-    return FeatureSpec(items, orders, brands, states, rh, woe, item_means, order_means, brand_means,
-                       state_means, (q.get("q1"), q.get("q2"), q.get("q3")), cats, fit_data=history)
+    return FeatureSpec(history, target, exact_quantiles)
 
 
 # ------------------------------------------------------------------ name resolution
@@ -147,11 +162,6 @@ def _dummy(name: str, spec: FeatureSpec) -> tuple[str, object] | None:
         pre = src + "_"
         if name.startswith(pre):
             val = name[len(pre):]
-            cats = spec.categories.get(src)
-            if cats is not None:
-                for v in cats:
-                    if str(v) == val:
-                        return src, v
             return src, (int(val) if src == "month" and val.isdigit() else val)
     return None
 
@@ -248,7 +258,9 @@ def transform(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str
     """
     need = atoms(names, spec)
     df = join_lookups(spec, X, need)
-    q1, q2, q3 = spec.quantiles
+    q1 = q2 = q3 = None
+    if any(n in QUARTILE_FLAGS for n in need):
+        q1, q2, q3 = spec.quantiles
     exprs: dict[str, Column] = {}
 
     def base(n: str) -> Column:

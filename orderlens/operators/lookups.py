@@ -25,6 +25,11 @@ HISTORY_COLS = ["history", "history_cumsum", "history_perc"]
 WOE_VARS = ["item_color", "month", "item_size"]
 
 
+def money_sum(c: str) -> Column:
+    """Exact sum of a money column (DECIMAL accumulation, DOUBLE result): order-independent."""
+    return F.sum(F.col(c).cast("decimal(38,6)")).cast("double")
+
+
 def _nunique(c: str) -> Column:
     # exact distinct count without an Expand: the set is bounded by the distinct values in one basket
     return F.size(F.collect_set(F.col(c)))
@@ -71,7 +76,7 @@ def fit_baskets(features: DataFrame) -> DataFrame:
     return features.groupBy("user_id", "order_date").agg(
         F.count("item_id").alias("order_num_items"),
         F.max("item_price").alias("order_max_price"),
-        F.sum("item_price").alias("order_total_value"),
+        money_sum("item_price").alias("order_total_value"),
         F.median("item_price").alias("order_median_price"),
         F.min("item_price").alias("order_min_price"),
         _nunique("item_size").cast("long").alias("order_num_sizes"),
@@ -101,7 +106,7 @@ def fit_brands(features: DataFrame) -> DataFrame:
     """A5: per brand -- min/mean/max price."""
     return features.groupBy("brand_id").agg(
         F.min("item_price").alias("brand_min_price"),
-        F.avg("item_price").alias("brand_mean_price"),
+        (money_sum("item_price") / F.count("item_price")).alias("brand_mean_price"),
         F.max("item_price").alias("brand_max_price"))
 
 

@@ -116,7 +116,8 @@ _FIT_CTES: list[tuple[str, str]] = [
         count(user_id) AS item_orders, max(item_price) AS item_max_price
       FROM history GROUP BY item_id"""),
     ("baskets_fit", """SELECT user_id, order_date, count(item_id) AS order_num_items,
-        max(item_price) AS order_max_price, sum(item_price) AS order_total_value,
+        max(item_price) AS order_max_price,
+        CAST(sum(CAST(item_price AS DECIMAL(38,6))) AS DOUBLE) AS order_total_value,
         median(item_price) AS order_median_price, min(item_price) AS order_min_price,
         count(DISTINCT item_size) AS order_num_sizes, count(DISTINCT item_color) AS order_num_colors
       FROM history GROUP BY user_id, order_date"""),
@@ -126,7 +127,8 @@ _FIT_CTES: list[tuple[str, str]] = [
       FROM history WHERE brand_id IS NOT NULL GROUP BY user_id, order_date, brand_id"""),
     ("orders_fit", """SELECT b.*, c.brand_id, c.order_num_brand_id
       FROM baskets_seq b LEFT JOIN brandcounts c ON b.user_id = c.user_id AND b.order_date = c.order_date"""),
-    ("brands_fit", """SELECT brand_id, min(item_price) AS brand_min_price, avg(item_price) AS brand_mean_price,
+    ("brands_fit", """SELECT brand_id, min(item_price) AS brand_min_price,
+        CAST(sum(CAST(item_price AS DECIMAL(38,6))) AS DOUBLE) / count(item_price) AS brand_mean_price,
         max(item_price) AS brand_max_price FROM history GROUP BY brand_id"""),
     ("states_fit", """SELECT user_state, avg(days_to_delivery) AS state_mean_delivery,
         max(days_to_delivery) AS state_max_delivery FROM history WHERE user_state IS NOT NULL GROUP BY user_state"""),
