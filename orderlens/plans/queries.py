@@ -743,3 +743,96 @@ def auc_exact(spark, sf_dir):
     from ..operators import cost as CO
     out = CO.auc_exact(_scored(spark, sf_dir), "p", "y")
     return out.withColumn("auc", F.round("auc", 6))
+
+
+# ---------------------------------------------------------------- fit scalars, profile, expansion, split
+
+@register("impute_means", S.with_transform(
+    "SELECT " + ", ".join(f"round(im.{c}, 6) AS {c}" for c in _ITEM) + ", "
+    + ", ".join(f"round(om.{c}, 6) AS {c}" for c in ["order_total_value", "order_median_price", "order_min_price",
+                                                    "order_max_price"]) + ", "
+    + ", ".join(f"round(bm.{c}, 6) AS {c}" for c in ["brand_min_price", "brand_mean_price", "brand_max_price"]) + ", "
+    + ", ".join(f"round(sm.{c}, 6) AS {c}" for c in ["state_mean_delivery", "state_max_delivery"])
+    + " FROM im CROSS JOIN om CROSS JOIN bm CROSS JOIN sm"))
+def impute_means(spark, sf_dir):
+    """A10: imputation means of the fitted tables (order means after the per-brand fan-out)."""
+    from ..operators import features as FT
+    from ..operators import lookups as L
+    spec = FT.fit(inputs(spark, sf_dir).known)
+    parts = [L.column_means(spec.items, L.ITEM_COLS), L.column_means(spec.orders, FT.ORDER_FILL_MEAN),
+             L.column_means(spec.brands, L.BRAND_COLS), L.column_means(spec.states, L.STATE_COLS)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(F.broadcast(p))     # 1-row frames: proven size bound
+    return out.select(*[r6(F.col(c)).alias(c) for c in out.columns])
+
+
+_PROFILE_FEATS = None
+
+
+def _profile_cols():
+    from ..operators import features as FT
+    return [c for c in FT.BASE_NUMERIC if c not in FT.FLAGS] + ["price_off"]
+
+
+def _profile_sql():
+    parts = [f"SELECT '{c}' AS column_name, min(CAST({c} AS DOUBLE)) = 0 AS min_is_zero, "
+             f"count_if({c} IS NULL) > 0 AS has_nulls FROM featw" for c in _profile_cols()]
+    return " UNION ALL ".join(parts)
+
+
+@register("column_profile", S.with_transform(_profile_sql(), src="history", x="known"))
+def column_profile(spark, sf_dir):
+    """Per feature column -- minimum is 0 / any null (decides which ratios exist)."""
+    from ..operators import features as FT
+    from ..operators import lookups as L
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    cols = _profile_cols()
+    return L.column_profile(FT.transform(spec, i.known, cols, keep=()), cols)
+
+
+def _expansion_sql():
+    from ..operators import features as FT
+    non_flag = _profile_cols()
+    m = len(non_flag) // 2
+    noms, dens = non_flag[:m], non_flag[m:]
+    half = len(FT.BASE_NUMERIC) // 2
+    ia, ib = FT.BASE_NUMERIC[:half], FT.BASE_NUMERIC[half:]
+
+    def values(lst):
+        return ", ".join(f"({i}, '{n}')" for i, n in enumerate(lst))
+
+    prof = " UNION ALL ".join(f"SELECT '{c}' AS c, min(CAST({c} AS DOUBLE)) = 0 AS z FROM featw" for c in dens)
+    names = (
+        f"SELECT 0 AS grp, pos AS a, 0 AS b, name FROM (VALUES {values(FT.BASE_NUMERIC)}) t(pos, name) "
+        "UNION ALL SELECT 1, 0, 0, 'price_off' "
+        "UNION ALL SELECT 2, n.pos, d.pos, CASE WHEN d.name = 'price_off' THEN d.name || '/' || n.name "
+        f"ELSE n.name || '/' || d.name END FROM (VALUES {values(noms)}) n(pos, name) "
+        f"CROSS JOIN (VALUES {values(dens)}) d(pos, name) JOIN prof ON prof.c = d.name WHERE NOT prof.z "
+        f"UNION ALL SELECT 3, a.pos, b.pos, a.name || '*' || b.name FROM (VALUES {values(ia)}) a(pos, name) "
+        f"CROSS JOIN (VALUES {values(ib)}) b(pos, name)")
+    drops = "('delivery_thu', 'delivery_fri', 'order_has_gift')"
+    final = ("SELECT CAST(row_number() OVER (ORDER BY grp, a, b) - 1 AS BIGINT) AS position, name AS feature_name "
+             f"FROM names WHERE NOT (name LIKE 'is%' OR name IN {drops})")
+    return S.with_ctes(final, S.fit_ctes("history") + S.transform_ctes("history") + [("prof", prof), ("names", names)])
+
+
+@register("all_features", _expansion_sql())
+def all_features(spark, sf_dir):
+    """U4: the full candidate feature list of the half-split rules (fit profile, one-hots off)."""
+    from ..operators import features as FT
+    spec = FT.fit(inputs(spark, sf_dir).history)
+    names = FT.expand_names(spec)
+    return spark.createDataFrame(list(enumerate(names)), "position long, feature_name string")
+
+
+@register("hash_split", S.with_ctes(
+    "SELECT CASE WHEN ((item_id * 7919 + user_id * 104729 + date_diff('day', DATE '1970-01-01', order_date) * 1299709) "
+    "% 100 + 100) % 100 < 80 THEN 'train' ELSE 'test' END AS split, \"return\", count(*) AS n "
+    "FROM known GROUP BY ALL"))
+def hash_split(spark, sf_dir):
+    """Deterministic 80/20 train/test labelling of every labelled row."""
+    from ..operators import split
+    k = inputs(spark, sf_dir).known
+    return k.groupBy(split.train_test_label(80, 0).alias("split"), "return").agg(F.count(F.lit(1)).alias("n"))
