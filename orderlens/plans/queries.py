@@ -836,3 +836,23 @@ def hash_split(spark, sf_dir):
     from ..operators import split
     k = inputs(spark, sf_dir).known
     return k.groupBy(split.train_test_label(80, 0).alias("split"), "return").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- k-NN
+
+@register("knn_vote", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS true_label, b.vec_id AS nb, b.label, list_distance(a.v, b.v) AS dist
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb) AS rn FROM d),
+v AS (SELECT vec_id, true_label, label, count(*) AS votes FROM r WHERE rn <= 5 GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, label) AS pick FROM v)
+SELECT vec_id, true_label AS label, label AS predicted FROM w WHERE pick = 1
+""")
+def knn_vote(spark, sf_dir):
+    """Leave-one-out 5-NN majority vote over the embeddings (Euclidean, ties by id / label)."""
+    from ..operators import knn
+    from ..sources.adapter import read_table
+    e = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long"))
+    return knn.knn_predict(e, e, "vec_id", "embedding", "label", k=5, p=2)
