@@ -856,3 +856,234 @@ def knn_vote(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long"))
     return knn.knn_predict(e, e, "vec_id", "embedding", "label", k=5, p=2)
+
+
+# ---------------------------------------------------------------- models, GA, sinks (rows-only checks)
+
+# keep-list of the network script (resolved by name: base, ratio, interaction)
+MODEL_FEATURES = ["days_to_delivery/order_median_price", "order_total_value", "item_price",
+                  "order_total_value/order_num_colors", "is_item_clothes*order_median_price",
+                  "item_price/brand_mean_price", "order_total_value/brand_mean_price",
+                  "days_to_delivery*order_total_value", "item_mean_delivery/brand_min_price", "item_mean_delivery",
+                  "item_price/brand_max_price", "order_max_price/order_median_price", "is_letter_coded*brand_min_price"]
+
+
+def _model_data(spark, sf_dir, names=None):
+    """Labelled rows with named features, assembled; deterministic 80/20 split; both cached."""
+    from ..operators import features as FT
+    from ..operators import models as M
+    from ..operators import split
+    names = names or MODEL_FEATURES
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    fm = FT.transform(spec, i.known.withColumn("split", split.train_test_label(80, 0)), names,
+                      keep=("order_item_id", "return", "item_price", "split"))
+    data = M.assemble(fm, names)
+    train = data.filter(F.col("split") == "train").cache()
+    test = data.filter(F.col("split") == "test").cache()
+    return M, names, train, test, i, spec
+
+
+def _fit_report(spark, name, model_pipe, train, test, two_sided=True):
+    from ..operators import models as M
+    _, t = M.evaluate(model_pipe, train, test, two_sided)
+    return spark.createDataFrame([(name, t.train_auc, t.test_auc, t.score, t.seconds)],
+                                 "model string, train_auc double, test_auc double, penalised double, seconds double")
+
+
+@register("scaled_poly")
+def scaled_poly(spark, sf_dir):
+    """M1-M3: standard scaling, min-max scaling and degree-2 expansion of the feature vector."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import MinMaxScaler, PolynomialExpansion, StandardScaler
+    from pyspark.ml.functions import vector_to_array
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    data = train.unionByName(test)
+    pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="std", withMean=True, withStd=True),
+                            MinMaxScaler(inputCol="features", outputCol="mm"),
+                            PolynomialExpansion(degree=2, inputCol="std", outputCol="poly")])
+    out = pipe.fit(data).transform(data)
+    return out.select("return", vector_to_array("std").alias("std_features"),
+                      vector_to_array("mm").alias("minmax_features"), F.size(vector_to_array("poly")).alias("poly_dim"))
+
+
+@register("pca_scores")
+def pca_scores(spark, sf_dir):
+    """Scores on the first principal components of the standardised features."""
+    from pyspark.ml.functions import vector_to_array
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    _, scored, _ = M.pca_fit(train, 5)
+    return scored.select("return", vector_to_array("pca").alias("pca_scores"))
+
+
+@register("pca_variance")
+def pca_variance(spark, sf_dir):
+    """Explained variance ratio per component and its running sum."""
+    from ..operators import eda
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    _, _, ev = M.pca_fit(train, len(names))
+    df = spark.createDataFrame(list(enumerate(ev)), "component long, explained_variance double")
+    return eda.cumulative(df, "component", "explained_variance", "cumulative_variance")
+
+
+@register("logit_fit")
+def logit_fit(spark, sf_dir):
+    """M4 (+M1, M3, M12, M13): L2 logistic regression on scaled degree-2 terms, exact train/test AUC."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
+    return _fit_report(spark, "logistic", M.logistic(C=0.5, penalty="l2", n=train.count()), train, test)
+
+
+@register("forest_importance")
+def forest_importance(spark, sf_dir):
+    """Random forest importances by feature name, largest first (top 61)."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    model = M.forest(num_trees=30, max_depth=8, n=train.count()).fit(train)
+    imp = M.feature_importance(model, names)
+    df = spark.createDataFrame([(r + 1, n, v) for r, (n, v) in enumerate(imp)],
+                               "rank long, feature string, importance double")
+    return df.orderBy("rank").limit(61)
+
+
+@register("penalised_auc")
+def penalised_auc(spark, sf_dir):
+    """Overfit-penalised score, two-sided (most models) and one-sided (forest) gap rule."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    model = M.forest(num_trees=20, max_depth=10, n=train.count()).fit(train)
+    a_tr, a_te = M.auc(model.transform(train)), M.auc(model.transform(test))
+    rows = [("two_sided", a_tr, a_te, M.penalised(a_tr, a_te, two_sided=True)),
+            ("one_sided", a_tr, a_te, M.penalised(a_tr, a_te, two_sided=False))]
+    return spark.createDataFrame(rows, "rule string, train_auc double, test_auc double, penalised double")
+
+
+@register("gbt_fit")
+def gbt_fit(spark, sf_dir):
+    """M6: gradient-boosted trees, exact train/test AUC and penalised score."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    return _fit_report(spark, "boosted", M.boosted(max_iter=20, max_depth=3, subsample=0.8, n=train.count()),
+                       train, test)
+
+
+@register("mlp_fit")
+def mlp_fit(spark, sf_dir):
+    """M7: feed-forward network on min-max scaled features."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    return _fit_report(spark, "network", M.network(len(names), hidden=(16,), max_iter=50), train, test)
+
+
+@register("svm_fit")
+def svm_fit(spark, sf_dir):
+    """M8: linear SVM on random Fourier features (RBF kernel approximation); AUC from the margin."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
+    return _fit_report(spark, "svm_rbf", M.svm(C=0.75, kernel="rbf", n=train.count(), rff_dim=32, max_iter=50),
+                       train, test)
+
+
+@register("random_search")
+def random_search(spark, sf_dir):
+    """Seeded random search of the logistic pipeline (penalty, C) with the penalised AUC objective."""
+    M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
+    n = train.count()
+    space = {"penalty": lambda r: r.choice(["l1", "l2"]), "C": lambda r: r.uniform(0.0, 1.0)}
+
+    def objective(p):
+        return M.evaluate(M.logistic(C=p["C"], penalty=p["penalty"], n=n, max_iter=50), train, test)[1]
+
+    return M.trials_frame(spark, M.random_search(space, objective, max_evals=3, seed=42), "logistic")
+
+
+def _ga(spark, sf_dir, generations=4, population=20):
+    from ..operators.genetic import GeneticSearch
+    M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
+    ga = GeneticSearch(elitism=0.1, population_size=population, crossover="arithmetic", prob_mutation=0.3, seed=42)
+    ga.fit(train, LOGIT_SUBSET, "return", "item_price", ["order_item_id"], loc=0.0, scale=3.0)
+    ga.run(maxiter=generations, subsample=0.5, reset_prob=0.5)
+    return ga, M, names, train, test, i, spec
+
+
+@register("ga_run")
+def ga_run(spark, sf_dir):
+    """Genetic search of logit coefficients; one history row per generation."""
+    ga, *_ = _ga(spark, sf_dir)
+    return ga.history_frame(spark)
+
+
+@register("cost_report")
+def cost_report(spark, sf_dir):
+    """Test-set cost of the GA (its cutoff), forest and logistic (best cutoff), and both baselines."""
+    from ..operators import cost as CO
+    ga, M, names, train, test, i, spec = _ga(spark, sf_dir, generations=3, population=16)
+    ga_test = ga.predict_proba(test).select(F.col("p"), F.col("return").alias("y"), F.col("item_price").alias("price"))
+    rows = [("genetic", CO.utility_at(ga_test, "p", "y", "price", ga.optimal_cutoff).first()["utility"],
+             float(ga.optimal_cutoff))]
+    for name, pipe in (("forest", M.forest(num_trees=20, max_depth=8, n=train.count())),
+                       ("logistic", M.logistic(C=0.5, n=train.count(), poly=False))):
+        sc = M.positive_score(pipe.fit(train).transform(test)).select(
+            F.col("score").alias("p"), F.col("return").alias("y"), F.col("item_price").alias("price"))
+        b = CO.cutoff_sweep(sc, "p", "y", "price").first()
+        rows.append((name, b["best_utility"], b["best_cutoff"]))
+    base = CO.baselines(ga_test, "y", "price").first()
+    rows += [("baseline_none", base["predict_none"], None), ("baseline_all", base["predict_all"], None)]
+    return spark.createDataFrame(rows, "model string, utility double, cutoff double")
+
+
+@register("score_unknown")
+def score_unknown(spark, sf_dir):
+    """Refit on all labelled rows and score every unlabelled row (probability of return)."""
+    from ..operators import features as FT
+    from ..operators import models as M
+    from ..session import scratch_path
+    from ..sources import sinks
+    import uuid
+    i = inputs(spark, sf_dir)
+    spec = FT.fit(i.history)
+    known = M.assemble(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("order_item_id", "return")), LOGIT_SUBSET)
+    unknown = M.assemble(FT.transform(spec, i.unknown, LOGIT_SUBSET, keep=("order_item_id",)), LOGIT_SUBSET, None)
+    model = M.logistic(C=0.5, n=known.count()).fit(known)
+    pred = M.positive_score(model.transform(unknown)).select("order_item_id", F.col("score").alias("p"))
+    path = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
+    sinks.write_predictions(pred, path)
+    return spark.read.option("header", True).schema("order_item_id string, `return` double").csv(path)
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Raw order items written as CSV with text dates, read back with the typed scan."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import adapter, scan
+    raw = adapter.order_items(spark, sf_dir)
+    text = raw.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if c in scan.DATE_COLUMNS else F.col(f"`{c}`")
+                        for c in raw.columns])
+    path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
+    scan.write_order_items_csv(text, path)
+    return scan.read_order_items_csv(spark, path, scan.EDA_NA_VALUES)
+
+
+@register("name_lists")
+def name_lists(spark, sf_dir):
+    """A keep-list written one name per line (with a duplicate and a blank line), read back distinct."""
+    import uuid
+
+    from ..operators import features as FT
+    from ..session import scratch_path
+    from ..sources import lists
+    spec = FT.fit(inputs(spark, sf_dir).history)
+    names = FT.expand_names(spec)
+    lines = spark.createDataFrame([(n,) for n in names + [names[0], ""]], "value string")
+    path = scratch_path(spark, f"names-{uuid.uuid4().hex}")
+    lines.coalesce(1).write.mode("overwrite").text(path)
+    return lists.read_name_list(spark, path)
+
+
+@register("trials_log")
+def trials_log(spark, sf_dir):
+    """Forest importances written as a ranked log, the top names extracted back from its tail."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import lists, sinks
+    imp = forest_importance(spark, sf_dir)
+    path = scratch_path(spark, f"importance-log-{uuid.uuid4().hex}")
+    sinks.write_importance_log(imp, path)
+    return lists.important_variables(spark, path, tail=300, top=61)

@@ -56,7 +56,7 @@ def parse_dates(df: DataFrame, columns=DATE_COLUMNS) -> DataFrame:
     out = df
     for c in columns:
         if c in df.columns and isinstance(df.schema[c].dataType, T.StringType):
-            out = out.withColumn(c, F.try_to_date(F.col(c), F.lit("yyyy-MM-dd")))
+            out = out.withColumn(c, F.try_to_date(F.col(c), "yyyy-MM-dd"))
     return out
 
 
