@@ -114,7 +114,7 @@ class FeatureSpec:
     def categories(self) -> dict[str, list]:
         def make():
             cats = {}
-            for c in DUMMY_SOURCES:
+            for c in [c for c in DUMMY_SOURCES if c in self.fit_data.columns]:
                 # distinct first (the key is computed once per row in the projection); a null
                 # filter here would be pushed below the projection and inline the size CASE
                 d = self.fit_data.select(c).distinct().limit(MAX_CATEGORIES + 2).collect()
