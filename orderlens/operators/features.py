@@ -127,13 +127,14 @@ class FeatureSpec:
 
     # -------------------------------------------------------------- persistence
     def materialize(self) -> "FeatureSpec":
-        """Cut lineage: reliable checkpoints in the shared folder (``spark.checkpoint.dir``)."""
-        self.items = self.items.checkpoint()
-        self.orders = self.orders.checkpoint()
-        self.brands = self.brands.checkpoint()
-        self.states = self.states.checkpoint()
-        self.return_history = self.return_history.checkpoint()
-        self.woe = {k: v.checkpoint() for k, v in self.woe.items()}
+        """Cut lineage: write every fitted table once as parquet in the shared checkpoint folder."""
+        from ..session import materialize as write_table
+        self.items = write_table(self.items, "fit-items")
+        self.orders = write_table(self.orders, "fit-orders")
+        self.brands = write_table(self.brands, "fit-brands")
+        self.states = write_table(self.states, "fit-states")
+        self.return_history = write_table(self.return_history, "fit-return-history")
+        self.woe = {k: write_table(v, f"fit-woe-{k}") for k, v in self.woe.items()}
         return self
 
 

@@ -20,7 +20,19 @@ class Inputs:
     history: DataFrame        # known ∪ unknown
 
 
-def inputs(spark: SparkSession, sf_dir: str, na_values=NA_VALUES) -> Inputs:
+def inputs(spark: SparkSession, sf_dir: str, na_values=NA_VALUES, materialize: bool = False) -> Inputs:
+    """Cleaned inputs.  ``materialize`` writes the cleaned table once (reliable checkpoint in the
+    shared checkpoint folder) for queries that make several passes: every later job -- fitted
+    tables, imputation means, scaling parameters, the final plan -- reads it instead of re-running
+    the adapter join and the cleaning, and the lineage is cut (a lost executor does not replay
+    the raw scan)."""
     raw = adapter.order_items(spark, sf_dir)
     known, unknown = cl.clean_split(raw, na_values)
-    return Inputs(raw, apply_sentinels(raw, na_values), known, unknown, cl.history(known, unknown))
+    hist = cl.history(known, unknown)
+    if materialize:
+        from ..session import materialize as write_table
+        hist = write_table(hist, "cleaned-history")
+        from pyspark.sql import functions as F
+        known = hist.filter(F.col("return").isNotNull())
+        unknown = hist.filter(F.col("return").isNull())
+    return Inputs(raw, apply_sentinels(raw, na_values), known, unknown, hist)

@@ -224,7 +224,7 @@ def price_quantiles(spark, sf_dir):
 def _fitted_on_known(spark, sf_dir):
     """Spec fitted on the labelled file, applied to the unlabelled file (exercises every imputation)."""
     from ..operators import features as FT
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     return FT, FT.fit(i.known), i
 
 
@@ -387,7 +387,7 @@ LOGIT_SUBSET = ["item_price", "order_total_value/state_mean_delivery", "days_to_
 def feature_matrix(spark, sf_dir):
     """Keep-list selection cast to DOUBLE with the label (spec fitted on all rows)."""
     from ..operators import features as FT
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     return _rounded(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return",)), LOGIT_SUBSET)
 
@@ -480,7 +480,7 @@ def _profile_sql():
 def table_profile(spark, sf_dir):
     """describe() of the cleaned labelled table, long form."""
     from ..operators import eda
-    out = eda.table_profile(inputs(spark, sf_dir).known, PROFILE_COLS)
+    out = eda.table_profile(inputs(spark, sf_dir, materialize=True).known, PROFILE_COLS)
     for c in ("mean", "std", "q25", "q50", "q75"):
         out = out.withColumn(c, round_sig(F.col(c)))
     return out
@@ -508,7 +508,7 @@ def _corr_oracle(final):
 def _corr_input(spark, sf_dir):
     from ..operators import eda
     from ..operators import features as FT
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     feats = FT.transform(spec, i.known, CORR_COLS, keep=())
     return eda, eda.corr_long(feats, CORR_COLS)
@@ -558,7 +558,7 @@ def _scored(spark, sf_dir, cutoff=0.5):
     """Labelled rows -> standardised LOGIT_SUBSET features (global std) -> p = sigmoid(x·BETA)."""
     from ..operators import cost as CO
     from ..operators import features as FT
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     fm = FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return", "item_price"))
     # the keep-list already holds item_price as a feature; carry the price separately
@@ -758,7 +758,7 @@ def impute_means(spark, sf_dir):
     """A10: imputation means of the fitted tables (order means after the per-brand fan-out)."""
     from ..operators import features as FT
     from ..operators import lookups as L
-    spec = FT.fit(inputs(spark, sf_dir).known)
+    spec = FT.fit(inputs(spark, sf_dir, materialize=True).known)
     parts = [L.column_means(spec.items, L.ITEM_COLS), L.column_means(spec.orders, FT.ORDER_FILL_MEAN),
              L.column_means(spec.brands, L.BRAND_COLS), L.column_means(spec.states, L.STATE_COLS)]
     out = parts[0]
@@ -786,7 +786,7 @@ def column_profile(spark, sf_dir):
     """Per feature column -- minimum is 0 / any null (decides which ratios exist)."""
     from ..operators import features as FT
     from ..operators import lookups as L
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     cols = _profile_cols()
     return L.column_profile(FT.transform(spec, i.known, cols, keep=()), cols)
@@ -822,7 +822,7 @@ def _expansion_sql():
 def all_features(spark, sf_dir):
     """U4: the full candidate feature list of the half-split rules (fit profile, one-hots off)."""
     from ..operators import features as FT
-    spec = FT.fit(inputs(spark, sf_dir).history)
+    spec = FT.fit(inputs(spark, sf_dir, materialize=True).history)
     names = FT.expand_names(spec)
     return spark.createDataFrame(list(enumerate(names)), "position long, feature_name string")
 
@@ -874,7 +874,7 @@ def _model_data(spark, sf_dir, names=None):
     from ..operators import models as M
     from ..operators import split
     names = names or MODEL_FEATURES
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     fm = FT.transform(spec, i.known.withColumn("split", split.train_test_label(80, 0)), names,
                       keep=("order_item_id", "return", "item_price", "split"))
@@ -1034,7 +1034,7 @@ def score_unknown(spark, sf_dir):
     from ..session import scratch_path
     from ..sources import sinks
     import uuid
-    i = inputs(spark, sf_dir)
+    i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
     known = M.assemble(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("order_item_id", "return")), LOGIT_SUBSET)
     unknown = M.assemble(FT.transform(spec, i.unknown, LOGIT_SUBSET, keep=("order_item_id",)), LOGIT_SUBSET, None)
@@ -1068,7 +1068,7 @@ def name_lists(spark, sf_dir):
     from ..operators import features as FT
     from ..session import scratch_path
     from ..sources import lists
-    spec = FT.fit(inputs(spark, sf_dir).history)
+    spec = FT.fit(inputs(spark, sf_dir, materialize=True).history)
     names = FT.expand_names(spec)
     lines = spark.createDataFrame([(n,) for n in names + [names[0], ""]], "value string")
     path = scratch_path(spark, f"names-{uuid.uuid4().hex}")

@@ -21,6 +21,7 @@ _LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,3 +61,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    One pass to write (no recomputation), columnar reads with pruning and
+    pushdown afterwards, and the lineage is cut: a lost executor re-reads the
+    written files instead of replaying the upstream joins.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
