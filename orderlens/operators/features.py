@@ -302,11 +302,14 @@ def transform(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str
     if woe_cols:
         if impute == "batch":
             means = out.agg(*[F.avg(c).alias(f"__m_{c}") for c in woe_cols])
+            out = out.crossJoin(F.broadcast(means))   # one row: proven size bound
+            fill = {c: F.col(f"__m_{c}") for c in woe_cols}
         else:
+            # fit-time means as literals: no aggregate over the batch, so it also works on a stream
             base_df = join_lookups(spec, spec.fit_data, set(woe_cols))
-            means = base_df.agg(*[F.avg(c).alias(f"__m_{c}") for c in woe_cols])
-        out = out.crossJoin(F.broadcast(means))   # one row: proven size bound
-        out = out.select(*[F.coalesce(F.col(f"`{c}`"), F.col(f"__m_{c}")).alias(c) if c in woe_cols
+            row = base_df.agg(*[F.avg(c).alias(c) for c in woe_cols]).first()
+            fill = {c: F.lit(row[c]).cast("double") for c in woe_cols}
+        out = out.select(*[F.coalesce(F.col(f"`{c}`"), fill[c]).alias(c) if c in woe_cols
                            else F.col(f"`{c}`") for c in kept + list(exprs)])
     return out
 
