@@ -26,13 +26,12 @@ def inputs(spark: SparkSession, sf_dir: str, na_values=NA_VALUES, materialize: b
     tables, imputation means, scaling parameters, the final plan -- reads it instead of re-running
     the adapter join and the cleaning, and the lineage is cut (a lost executor does not replay
     the raw scan)."""
+    from pyspark.sql import functions as F
     raw = adapter.order_items(spark, sf_dir)
-    known, unknown = cl.clean_split(raw, na_values)
-    hist = cl.history(known, unknown)
+    hist = cl.clean_history(raw, na_values)          # one pass for both files
     if materialize:
         from ..session import materialize as write_table
         hist = write_table(hist, "cleaned-history")
-        from pyspark.sql import functions as F
-        known = hist.filter(F.col("return").isNotNull())
-        unknown = hist.filter(F.col("return").isNull())
+    known = hist.filter(F.col("return").isNotNull())
+    unknown = hist.filter(F.col("return").isNull())
     return Inputs(raw, apply_sentinels(raw, na_values), known, unknown, hist)
