@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - some deployments forbid runtime changes; the setter below suffices
+            pass
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
