@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, decontaminate, embeddings, sentencepiece_bpe, simhash, url_filter, warc
+from . import chat, common, decontaminate, embeddings, quality, sentencepiece_bpe, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op1_warc(spark, sf_dir):
             .select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+@register("op2_quality_classifier")
+def op2_quality_classifier(spark, sf_dir):
+    return quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 @register("op4_embedding_neardup", """
     with recursive v as (
       select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
