@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, decontaminate, embeddings, quality, sentencepiece_bpe, simhash, url_filter, warc
+from . import chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,6 +62,11 @@ def op4_embedding_neardup(spark, sf_dir):
     return rows.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+@register("op5_html_text")
+def op5_html_text(spark, sf_dir):
+    return html_text.extract_text(common.table(spark, sf_dir, "pages"))
+
+
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
 
