@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, url_filter, warc
+from . import chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op2_quality_classifier(spark, sf_dir):
     return quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+@register("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
 @register("op4_embedding_neardup", """
     with recursive v as (
       select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
