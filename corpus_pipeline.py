@@ -1,4 +1,67 @@
-STAGES = []
+"""A training corpus from ``documents``: quality, near duplicates, repeated passages, benchmark
+passages, tokens.  Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its
+result is written as Parquet and read again as the next one's documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderlens.llm import common, decontaminate, quality, sentencepiece_bpe, simhash, suffix_dedup
+from orderlens.llm.queries import tokenizer_path
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _with_text(df: DataFrame, text: str) -> DataFrame:
+    """The columns of documents with a new text."""
+    return df.select("doc_id", F.col(text).alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    judged = quality.classify(docs, common.table(spark, sf_dir, "labels"), keep=COLUMNS)
+    return judged.filter("kept").select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group."""
+    return simhash.deduplicate(docs.select(*COLUMNS), shingle=3, radius=3, seed=42)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that repeat."""
+    return _with_text(suffix_dedup.remove_repeats(docs, keep=("doc_id", "lang", "source"), kept_text=True), "kept")
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without benchmark passages."""
+    found = decontaminate.decontaminate(docs, common.table(spark, sf_dir, "benchmark"), keep=("doc_id", "lang", "source"), cleaned=True)
+    return _with_text(found, "clean_text")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to as a digest."""
+    return (sentencepiece_bpe.encode_documents(docs, tokenizer_path(), tokens=True)
+            .select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near-duplicates", drop_near_duplicates),
+    ("repeats", cut_repeats),
+    ("benchmark", cut_benchmark),
+    ("tokens", tokenize),
+]
+
+#: SQL can express neither the model's training nor the token merges; tests/llm compares the stages
+#: with brute-force versions.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -90,10 +90,7 @@ class Lines(HTMLParser):
         self.part = part
 
     def handle_startendtag(self, tag, attrs):
-        if tag in VOID:
-            self.handle_starttag(tag, attrs)
-        else:  # HTML has no self-closing elements but the void ones: an open tag as browsers see it
-            self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs)  # to browsers, <div/> is an open tag
 
     def handle_endtag(self, tag):
         block = tag in BLOCKS

@@ -6,9 +6,10 @@ two pieces; otherwise the next shorter piece is tried, and when none is left the
 back and its start is marked in a bitfield of positions that lead nowhere.  The result equals that of
 applying all merges by score.
 
-Stretches are cut where no merge can cross: before a run of spaces (no piece has a space after
-another character; checked when the model is read) and around characters that are in no piece.
-Each worker keeps the stretches it has met, at most ``CACHE`` of them.
+Text is cut where no merge can cross: between two characters that stand side by side in no piece, and
+so before a run of spaces (checked when the model is read) and around characters that are in no
+piece.  Each worker keeps the stretches and units it has met, at most ``CACHE`` of each.  A unit's
+ids are decoded when it is met: where that gives the unit's own text, decoding the whole does, too.
 
 Defined results: a null text is empty; an empty text has only the begin and end ids.
 """
@@ -16,14 +17,14 @@ Defined results: a null text is empty; an empty text has only the begin and end
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-#: Stretches kept by a worker, and the longest one that is kept.
-CACHE, CACHE_CHARS = 300_000, 48
+#: Stretches, and the units they are cut into, that a worker keeps, and the longest one that is kept.
+CACHE, CACHE_CHARS = 600_000, 32
+NEVER = 1 << 60
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -46,11 +47,16 @@ class Model:
         if any(SPACE in self.piece[i].lstrip(SPACE) for i in normal):
             raise ValueError("a piece has a space after another character")
         self.id = {self.piece[i]: i for i in normal}
-        self.rank = {self.piece[i]: (-sp.get_score(i), i) for i in normal}
+        # merges by score; equal scores (there are none in practice) merge leftmost first
+        scores = sorted({-sp.get_score(i) for i in normal})
+        order = {x: r for r, x in enumerate(scores)}
+        self.rank = {self.piece[i]: order[-sp.get_score(i)] for i in normal if len(self.piece[i]) > 1}
         self.byte = {int(self.piece[i][3:5], 16): i for i in range(n) if kind[i] == BYTE}
         if len(self.byte) != 256:
             raise ValueError("the model has no byte pieces")
         self.chars = frozenset(p for p in self.id if len(p) == 1)
+        # characters side by side in some piece: between any other two, no merge can cross
+        self.beside = frozenset(p[k:k + 2] for p in self.id for k in range(len(p) - 1))
         # a piece that its own merges do not give can never be in a result
         self.id = {p: i for p, i in self.id.items() if len(p) == 1 or self.merged(p) == [p]}
         self.automaton = ahocorasick.Automaton()
@@ -59,37 +65,26 @@ class Model:
         self.automaton.make_automaton()
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), None) for p in self.id}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
         # what decoding gives for each id: text, or a byte
         self.value = [int(self.piece[i][3:5], 16) if kind[i] == BYTE else "" if kind[i] == CONTROL
                       else " ⁇ " if kind[i] == UNKNOWN else self.piece[i].replace(SPACE, " ") for i in range(n)]
 
     def merged(self, text: str) -> list[str]:
         """Pieces of ``text`` by applying the best merge again and again (ties: leftmost)."""
-        parts: list[str | None] = list(text)
-        n = len(parts)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue: list = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < n and (r := self.rank.get(both := parts[i] + parts[j])) is not None:
-                heapq.heappush(queue, (r, i, both))
-
-        for i in range(n - 1):
-            offer(i)
-        while queue:
-            _, i, both = heapq.heappop(queue)
-            if parts[i] is None or (j := after[i]) >= n or parts[i] + parts[j] != both:
-                continue
-            parts[i], parts[j] = both, None
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
-        return [p for p in parts if p is not None]
+        parts, rank, never = list(text), self.rank.get, NEVER
+        ranks = [rank(x + y, never) for x, y in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != never:
+            i = ranks.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], never)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], never)
+        return parts
 
     def compatible(self, a: str, b: str) -> bool:
         if (known := self.pairs.get((a, b))) is None:
@@ -122,20 +117,34 @@ class Model:
                 piece = pieces.pop()
                 at -= len(piece)
 
-    def stretch(self, text: str) -> tuple[list[int], str]:
-        """(ids, decoded text) of a stretch; a character that is in no piece gives its bytes."""
-        ids: list[int] = []
-        run: list[str] = []
-        for c in [*text, None]:
-            if c in self.chars:
-                run.append(c)
-                continue
-            if run:
-                ids += [self.id[p] for p in self.backtracked("".join(run))]
-                run = []
-            if c is not None:
-                ids += [self.byte[b] for b in c.encode()]
-        return ids, self.decoded(ids)
+    def unit(self, text: str) -> list[int]:
+        """Ids of a text that no cut parts; a character that is in no piece gives its bytes."""
+        if text in self.chars:
+            return [self.id[text]]
+        if len(text) == 1:
+            return [self.byte[b] for b in text.encode()]
+        return [self.id[p] for p in self.backtracked(text)]
+
+    def stretch(self, text: str) -> bytes:
+        """Packed ids of a stretch, cut wherever no merge can cross."""
+        known, beside, at = self.units, self.beside, 0
+        out = []
+        for i in [*(i for i in range(1, len(text)) if text[i - 1:i + 1] not in beside), len(text)]:
+            part = text[at:i]
+            at = i
+            got = known.get(part)
+            if got is None:
+                ids = self.unit(part)
+                got = b"".join(i.to_bytes(4, "little") for i in ids)
+                # what the ids decode to is the text itself (spaces for their marks), or is kept apart
+                if (back := self.decoded(ids)) != part.replace(SPACE, " "):
+                    self.odd[part] = back
+                if len(part) <= CACHE_CHARS:
+                    if len(known) >= CACHE:
+                        known.clear()
+                    known[part] = got
+            out.append(got)
+        return b"".join(out)
 
     def decoded(self, ids: list[int]) -> str:
         """The pieces' texts; bytes side by side become characters, each bad byte U+FFFD."""
@@ -162,19 +171,21 @@ class Model:
         """(ids between begin and end as little-endian 32-bit integers, decoded text)."""
         if not text:
             return b"", ""
-        cache, ids, out = self.cache, [], []
-        for s in STRETCH.findall(SPACE + text.replace(" ", SPACE)):
+        cache, ids = self.cache, []
+        stretches = STRETCH.findall(SPACE + text.replace(" ", SPACE))
+        for s in stretches:
             got = cache.get(s)
             if got is None:
-                found, back = self.stretch(s)
-                got = (b"".join(i.to_bytes(4, "little") for i in found), back)
+                got = self.stretch(s)
                 if len(s) <= CACHE_CHARS:
                     if len(cache) >= CACHE:
                         cache.clear()
                     cache[s] = got
-            ids.append(got[0])
-            out.append(got[1])
-        return b"".join(ids), "".join(out)[1:]
+            ids.append(got)
+        packed = b"".join(ids)
+        if self.odd:
+            return packed, self.decode(list(memoryview(packed).cast("I")))
+        return packed, text.replace(SPACE, " ")
 
     def encode(self, text: str) -> list[int]:
         packed, _ = self.encode_packed(text)

@@ -51,14 +51,16 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", keep: tuple[str,
     """``keep`` columns and ``fp`` (the fingerprint's bits as a long) of every row."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields] + ["fp long"]
     n = len(keep)
+    at = keep.index(text_col) if text_col in keep else n  # a text that is kept is sent once
 
     def mark(batches):
         import pyarrow as pa
         for b in batches:
-            fp = np.array([fingerprint(v.as_py(), shingle, seed) for v in b.column(n)], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(v.as_py(), shingle, seed) for v in b.column(at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(fp)], names=[*keep, "fp"])
 
-    return docs.select(*keep, docs[text_col].cast("string").alias("_text")).mapInArrow(mark, ", ".join(fields))
+    wide = docs.select(*keep) if at < n else docs.select(*keep, docs[text_col].cast("string"))
+    return wide.mapInArrow(mark, ", ".join(fields))
 
 
 class BKForest:
@@ -168,18 +170,37 @@ def link_fingerprints(fps: DataFrame, radius: int = 3, block_rows: int = BLOCK_R
             .mapInArrow(search, "u long, v long"))
 
 
+def _grouped(marked: DataFrame, radius: int, block_rows: int) -> DataFrame:
+    """(fp, component_id) of the distinct fingerprints of ``marked`` (doc_id, fp)."""
+    # a class of equal fingerprints is named by its smallest id; one without ids has no links to report
+    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
+    known = classes.filter("node is not null")
+    labels = connected_components(link_fingerprints(known, radius, block_rows))
+    return known.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
                     radius: int = 3, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``doc_id, fp, component_id`` of every row: component_id is the smallest id reachable by links."""
     marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marked = written(with_fingerprints(marked, "text", ("doc_id",), shingle, seed), "fingerprints")
-    # a class of equal fingerprints is named by its smallest id; one without ids has no links to report
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
-    known = classes.filter("node is not null")
-    labels = connected_components(link_fingerprints(known, radius, block_rows))
-    reached = (known.join(labels, "node", "left")
-               .select("fp", F.coalesce("component", "node").alias("component_id")))
-    return marked.join(reached, "fp", "left").select("doc_id", "fp", "component_id")
+    return marked.join(_grouped(marked, radius, block_rows), "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
+                radius: int = 3, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one of the smallest id, the first of
+    repeated rows; rows without an id make a group by fingerprint unless a row with an id has it."""
+    columns = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    text, key = f"c{columns.index(text_col)}", f"c{columns.index(id_col)}"
+    marked = written(with_fingerprints(numbered, text, tuple(numbered.columns), shingle, seed)
+                     .withColumn("row", F.monotonically_increasing_id()), "marked")  # written, so the numbers stay
+    small = marked.select(F.col(key).cast("long").alias("doc_id"), "fp", "row")
+    chosen = (small.join(_grouped(small, radius, block_rows), "fp", "left")
+              .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
+              .agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")))
+    return marked.join(chosen.select("row"), "row", "left_semi").select(*numbered.columns).toDF(*columns)
 
 
 def hex_of(fp) -> F.Column:

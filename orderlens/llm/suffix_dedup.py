@@ -37,8 +37,8 @@ from .common import written
 
 SIZE, KMER, CELL = 400, 16, 64
 #: Bytes of distinct suffixes in a run, and what a range of the merge holds on average.
-RUN_BYTES = 40_000_000
-RANGE_BYTES = 32_000_000
+RUN_BYTES = 24_000_000
+RANGE_BYTES = 24_000_000
 #: Splitters are taken from at most about so many sampled suffixes, and are cut to so many bytes: two
 #: suffixes with a longer common prefix are never parted.
 SAMPLES, SPLITTER = 100_000, 64
@@ -264,6 +264,12 @@ def _run_numbers(kind: int):
         n += 2
 
 
+def _rows(batch, at_once: int = 256):
+    """Rows of a batch as dicts, a few at a time."""
+    for i in range(0, batch.num_rows, at_once):
+        yield from batch.slice(i, at_once).to_pylist()
+
+
 def _batch(rows: list[dict], schema):
     import pyarrow as pa
     return pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -331,7 +337,7 @@ def _first_runs(picked: DataFrame, size: int, run_bytes: int) -> DataFrame:
         expand = zstandard.ZstdDecompressor().decompress
         numbers, run = _run_numbers(0), Run()
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b):
                 raw = expand(r["z"])
                 h = prefix_hash(np.frombuffer(raw, np.uint8))
                 mine = r["picked"]
@@ -355,7 +361,7 @@ def _windows(runs: DataFrame, size: int) -> DataFrame:
     def of(batches):
         import pyarrow as pa
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b, 1):
                 chosen, cols = set(r["chosen"]), [[], [], [], []]
                 for i, (_, s) in enumerate(front_decoded(r["block"])):
                     if i not in chosen:
@@ -381,7 +387,7 @@ def _second_runs(runs: DataFrame, run_bytes: int) -> DataFrame:
     def sort(batches):
         numbers, run = _run_numbers(1), Run()
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b, 1):
                 wanted: dict[int, list[int]] = {}
                 for x in r["inner"]:
                     wanted.setdefault(x["entry"], []).append(x["at"])
@@ -492,7 +498,7 @@ def _found_spans(runs: DataFrame, merged: DataFrame, size: int) -> DataFrame:
     def of(batches):
         import pyarrow as pa
         for b in batches:
-            for r in b.to_pylist():
+            for r in _rows(b, 1):
                 length = np.zeros(r["entries"], np.int32)
                 for part in r["parts"]:
                     x = np.frombuffer(part["lengths"], np.int32)

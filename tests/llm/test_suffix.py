@@ -73,8 +73,7 @@ def test_odd_tables(spark):
     cols = "doc_id long, text string, z string, bytes int, copies string, spans int, picked int"
     base = "".join(chr(97 + i * 7 % 26) + chr(97 + i % 23) for i in range(400))
     rows = [(None, base, "a", 1, "b", 2, 3), (4, base, None, None, None, None, None), (4, base, "q", 1, "w", 2, 3), (5, None, "a", 1, "b", 2, 3)]
-    out = S.remove_repeats(spark.createDataFrame(rows, cols), keep=("doc_id", "z", "copies"), kept_text=True).collect() \
-        if False else S.remove_repeats(spark.createDataFrame(rows, cols), kept_text=True).collect()
+    out = S.remove_repeats(spark.createDataFrame(rows, cols), kept_text=True).collect()
     assert sorted((r.n_bytes, r.n_removed, r.kept) for r in out) == [(0, 0, "")] + [(800, 800, "")] * 3
     assert S.remove_repeats(spark.createDataFrame([], cols)).count() == 0
 
