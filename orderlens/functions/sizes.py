@@ -21,6 +21,8 @@ PANTS_RE = "^[0-9]{4}"
 UNDERWEAR_RE = "^[3-9]\\+?$"
 LETTER_RE = "^[xlsmXLSM]"
 UNSIZED_PREFIX = "unsized"
+# text that is a decimal number; engines' casts also take type suffixes (``75D``), which are bra sizes
+NUMBER_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def bin_edges(low: float, high: float, bins: int = 5) -> list[float]:
@@ -64,13 +66,17 @@ def normalised_size(col: Column) -> Column:
     return s
 
 
+def numeric_size(col: Column) -> Column:
+    """The text as a double, if it is a decimal number (``nan`` and ``inf`` are in no bin)."""
+    return F.when(col.rlike(NUMBER_RE), col.try_cast("double")).when(F.upper(F.trim(col)).isin("NAN", "INF", "-INF", "INFINITY"), F.lit(float("nan")))
+
+
 def size_bucket(col: Column, num: Column | None = None) -> Column:
     """Numeric strings -> bucket label (or null outside all bins); other strings stay as they are.
 
-    ``num`` may be a column already holding ``try_cast(col as double)``: pass
-    it so the (regex-heavy) input is computed once per row, not once per branch.
+    ``num`` may be a column already holding ``numeric_size(col)``: pass it so the (regex-heavy) input is computed once per row, not once per branch.
     """
-    x = col.try_cast("double") if num is None else num
+    x = numeric_size(col) if num is None else num
     # one literal array of (low, high, label) bins and a first-match lookup: the same comparisons
     # as a 30-branch CASE, but compact generated code (a wide CASE inflates the fused stage
     # beyond what the JIT compiles, which slowed the whole cleaning projection several-fold)

@@ -110,7 +110,7 @@ def clean_with(df: DataFrame, params) -> DataFrame:
     # the optimizer does not inline a non-trivial expression that is used many times, so
     # the 30-branch bucket CASE below compares a column, not a regex chain.
     df = df.withColumn("__size_norm", sizes.normalised_size(F.col("item_size")))
-    df = df.withColumn("__size_num", F.col("__size_norm").try_cast("double"))
+    df = df.withColumn("__size_num", sizes.numeric_size(F.col("__size_norm")))
     base = [F.col(f"`{c}`") for c in df.columns if c not in ("delivery_date", "user_dob", "__size_norm", "__size_num")]
     out = df.select(
         *base,

@@ -7,6 +7,8 @@ recomputes exactly the same rows).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,17 @@ _M_ITEM, _M_USER, _M_DAY = 7919, 104729, 1299709
 def split_key(seed: int = 0) -> Column:
     """An integer in [0, 100) from (item, user, order day); plain arithmetic so SQL engines can repeat it."""
     day = F.datediff(F.col("order_date"), F.lit("1970-01-01").cast("date")).cast("long")
-    raw = F.col("item_id").cast("long") * _M_ITEM + F.col("user_id").cast("long") * _M_USER + day * _M_DAY + seed
+    # each term is reduced before it is added: no overflow whatever the ids
+    term = lambda c, m: F.pmod(_number(c), F.lit(100)) * (m % 100)
+    raw = term("item_id", _M_ITEM) + term("user_id", _M_USER) + F.pmod(day, F.lit(100)) * (_M_DAY % 100) + seed
     return F.pmod(raw, F.lit(100))
 
 
+def _number(c: str) -> Column:
+    """An id as a number: itself, or a hash of an id that is no number."""
+    return F.coalesce(F.col(c).try_cast("long"), F.xxhash64(F.col(c).cast("string")))
+
+
 def train_test_label(train_pct: int = 80, seed: int = 0) -> Column:
     """T7: 'train' for the first ``train_pct`` percent of the key space, else 'test'."""
     return F.when(split_key(seed) < train_pct, F.lit("train")).otherwise(F.lit("test"))
@@ -29,7 +38,7 @@ def train_test_label(train_pct: int = 80, seed: int = 0) -> Column:
 def hash_fraction(keys: list[str], seed: int) -> Column:
     """A uniform value in [0, 1) from a 64-bit hash of the key columns and a seed."""
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
+    return F.pmod(h, F.lit(1 << 53)).cast("double") / float(1 << 53)
 
 
 def subsample(df: DataFrame, keys: list[str], fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -41,20 +50,20 @@ def subsample(df: DataFrame, keys: list[str], fraction: float, seed: int) -> tup
 def bootstrap(df: DataFrame, keys: list[str], seed: int) -> tuple[DataFrame, DataFrame]:
     """T8 with replacement: each row is repeated Poisson(1) times (deterministic per key and seed);
     rows drawn zero times form the out-of-bag set."""
-    u = hash_fraction(keys, seed)
-    # inverse-CDF Poisson(1) draw from u, up to 8 copies (P(>8) < 1e-5 is folded into 8)
-    cdf, acc, fact, edges = 0.0, [], 1.0, []
-    import math
-    for k in range(9):
-        if k > 0:
-            fact *= k
-        cdf += math.exp(-1.0) / fact
-        edges.append(cdf)
-    n = F.lit(8)
-    for k in range(8, -1, -1):
-        n = F.when(u < edges[k], F.lit(k)).otherwise(n) if k < 8 else n
-    counted = df.withColumn("__copies", n)
-    inbag = counted.filter(F.col("__copies") > 0).withColumn(
+    inbag = df.withColumn("__copies", poisson_one(keys, seed)).filter(F.col("__copies") > 0).withColumn(
         "__rep", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__rep")
-    oob = counted.filter(F.col("__copies") == 0).drop("__copies")
+    oob = df.filter(poisson_one(keys, seed) == 0)
     return inbag, oob
+
+
+def poisson_one(keys: list[str], seed: int) -> Column:
+    """A Poisson(1) draw from a 64-bit hash: the number of steps of the distribution function at or
+    below a uniform value.  The steps end where a double cannot tell them from 1."""
+    u = hash_fraction(keys, seed)
+    steps, below, term, k = [], 0.0, math.exp(-1.0), 0
+    while below + term > below and below + term < 1.0:
+        below += term
+        steps.append(below)
+        k += 1
+        term /= k
+    return F.size(F.filter(F.array(*[F.lit(x) for x in steps]), lambda x: x <= u))

@@ -2,36 +2,51 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as cl
 from ..sources import adapter
 from ..sources.scan import NA_VALUES, apply_sentinels
 
 
-@dataclass
 class Inputs:
-    raw: DataFrame            # raw order items, sentinels intact
-    sentinel: DataFrame       # sentinels -> null
-    known: DataFrame          # cleaned labelled rows
-    unknown: DataFrame        # cleaned unlabelled rows
-    history: DataFrame        # known ∪ unknown
+    """Each table is made when a query first asks for it; only the cleaned ones need the medians' job.
+
+    ``materialize`` writes the cleaned table once (Parquet in the shared checkpoint folder) for
+    queries that make several passes: every later job -- fitted tables, scaling parameters, the
+    final plan -- reads it instead of re-running the adapter join and the cleaning, and the lineage
+    is cut (a lost executor does not replay the raw scan).
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, na_values=NA_VALUES, materialize: bool = False):
+        self.na_values, self.materialize = na_values, materialize
+        self.raw: DataFrame = adapter.order_items(spark, sf_dir)
+
+    @cached_property
+    def sentinel(self) -> DataFrame:
+        """Raw rows, sentinels -> null."""
+        return apply_sentinels(self.raw, self.na_values)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """Both files cleaned, in one pass."""
+        hist = cl.clean_history(self.raw, self.na_values)
+        if self.materialize:
+            from ..session import materialize as write_table
+            hist = write_table(hist, "cleaned-history")
+        return hist
+
+    @cached_property
+    def known(self) -> DataFrame:
+        return self.history.filter(F.col("return").isNotNull())
+
+    @cached_property
+    def unknown(self) -> DataFrame:
+        return self.history.filter(F.col("return").isNull())
 
 
 def inputs(spark: SparkSession, sf_dir: str, na_values=NA_VALUES, materialize: bool = False) -> Inputs:
-    """Cleaned inputs.  ``materialize`` writes the cleaned table once (reliable checkpoint in the
-    shared checkpoint folder) for queries that make several passes: every later job -- fitted
-    tables, imputation means, scaling parameters, the final plan -- reads it instead of re-running
-    the adapter join and the cleaning, and the lineage is cut (a lost executor does not replay
-    the raw scan)."""
-    from pyspark.sql import functions as F
-    raw = adapter.order_items(spark, sf_dir)
-    hist = cl.clean_history(raw, na_values)          # one pass for both files
-    if materialize:
-        from ..session import materialize as write_table
-        hist = write_table(hist, "cleaned-history")
-    known = hist.filter(F.col("return").isNotNull())
-    unknown = hist.filter(F.col("return").isNull())
-    return Inputs(raw, apply_sentinels(raw, na_values), known, unknown, hist)
+    return Inputs(spark, sf_dir, na_values, materialize)

@@ -32,7 +32,9 @@ def _sentinel_select(na_values) -> str:
 def size_cl_sql(col: str) -> str:
     s = (f"regexp_replace(regexp_replace(replace(upper({col}), '+', '.5'), "
          f"'[xX]{{2,}}[Ll]', 'XL', 'g'), '[xX]{{2,}}[Ss]', 'XS', 'g')")
-    x = f"TRY_CAST({s} AS DOUBLE)"
+    # a decimal number, by the rule rather than by what a cast accepts
+    x = (f"CASE WHEN regexp_matches({s}, '^\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*$') THEN TRY_CAST({s} AS DOUBLE) "
+         f"WHEN upper(trim({s})) IN ('NAN', 'INF', '-INF', 'INFINITY') THEN CAST('nan' AS DOUBLE) END")
     return f"CASE WHEN {x} IS NULL THEN {s} ELSE {sizes.size_bucket_sql(x)} END"
 
 

@@ -6,7 +6,8 @@ session for tests / bench and a shared checkpoint directory.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,31 +40,32 @@ def local_session(cpus: int | str = "*", app: str = "orderlens", extra: dict | N
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder comes from the session configuration and must be
-    shared storage.  Only when it is unset (local tests) a private scratch
-    folder is created.
+    Only a local session (tests, bench) may go without: it gets one private folder that is
+    removed when the process ends.  A cluster session without a folder is an error, as each
+    executor would write to its own disk.
     """
     sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # noqa: BLE001 - some deployments forbid runtime changes; the setter below suffices
-            pass
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = tempfile.mkdtemp(prefix="orderlens-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
+    return sc.getCheckpointDir() or own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
 def materialize(df, name: str = "table"):
@@ -78,4 +80,4 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

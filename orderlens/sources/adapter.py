@@ -35,32 +35,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a fact-table scan that yields fewer splits than the cluster has cores.
-
-    A large input arrives in many splits and is left alone (no shuffle); a
-    small file with one row group would otherwise push the whole scan -> join
-    -> clean pipeline through a single task.  Checking the split count only
-    plans the scan; it runs no job.
-    """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order items (F1 schema) derived from the driver tables."""
-    li = widen(read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate"))
+        "l_extendedprice", "l_returnflag", "l_shipdate")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
 
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+    # orders grow with the line items: always the co-partitioned join, whatever today's size
+    j = (li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
            .join(c, o.o_custkey == c.c_custkey)
            .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)   # fixed 25-row dimension
            .join(p, li.l_partkey == p.p_partkey))

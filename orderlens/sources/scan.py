@@ -15,18 +15,22 @@ from pyspark.sql import types as T
 NA_VALUES = ("not_reported", "1994-12-31")
 EDA_NA_VALUES = ("not_reported", "?", "1994-12-31")
 
+# fixed values: cells that a table reader takes as missing by default
+MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
 DATE_COLUMNS = ("order_date", "delivery_date", "user_dob", "user_reg_date")
 
 RAW_SCHEMA = T.StructType([
     T.StructField("order_item_id", T.StringType(), False),
     T.StructField("order_date", T.StringType(), True),
     T.StructField("delivery_date", T.StringType(), True),
-    T.StructField("item_id", T.LongType(), True),
+    T.StructField("item_id", T.StringType(), True),
     T.StructField("item_size", T.StringType(), True),
     T.StructField("item_color", T.StringType(), True),
     T.StructField("brand_id", T.StringType(), True),
     T.StructField("item_price", T.DoubleType(), True),
-    T.StructField("user_id", T.LongType(), True),
+    T.StructField("user_id", T.StringType(), True),
     T.StructField("user_title", T.StringType(), True),
     T.StructField("user_dob", T.StringType(), True),
     T.StructField("user_state", T.StringType(), True),
@@ -64,14 +68,21 @@ def read_order_items_csv(spark: SparkSession, path: str, na_values=NA_VALUES,
                          schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """S1 (+S2, S3 with ``EDA_NA_VALUES``): typed CSV scan of a raw order-item file.
 
-    The label column may be absent (the unlabelled file); it is then added as
+    Columns are taken by their name in the header, in whatever order the file has them, read as
+    text and cast; ids stay text.  A cell that is a default missing token, a sentinel, or no value
+    of its type is null.  The label column may be absent (the unlabelled file); it is then added as
     a null integer so both files share one schema.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    fields = [f for f in schema.fields if f.name in header]
-    df = spark.read.option("header", True).schema(T.StructType(fields)).csv(path)
-    df = apply_sentinels(df, na_values)
-    df = parse_dates(df)
+    text = spark.read.option("header", True).option("nullValue", "").csv(path)
+    missing = [*MISSING_TOKENS, *na_values]
+    cols = []
+    for f in schema.fields:
+        if f.name not in text.columns:
+            continue
+        c = F.col(f"`{f.name}`")
+        c = F.when(~F.trim(c).isin(missing), c)
+        cols.append((c if isinstance(f.dataType, T.StringType) else F.trim(c).try_cast(f.dataType)).alias(f.name))
+    df = parse_dates(text.select(*cols))
     if "return" not in df.columns:
         df = df.withColumn("return", F.lit(None).cast("int"))
     return df
