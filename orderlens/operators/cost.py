@@ -27,7 +27,7 @@ def utility_at(df: DataFrame, p: str, y: str, price: str, cutoff: float) -> Data
     pred = F.col(p) > F.lit(float(cutoff))
     units = F.sum(C.row_cost_units(pred, F.col(y), F.col(price)))
     return df.agg((-units / C.UNITS).alias("utility"), F.count(F.lit(1)).alias("n")).withColumn(
-        "avg_utility", F.col("utility") / F.col("n"))
+        "avg_utility", F.try_divide(F.col("utility"), F.col("n")))
 
 
 def baselines(df: DataFrame, y: str, price: str) -> DataFrame:
@@ -47,11 +47,12 @@ def bucket_costs(df: DataFrame, p: str, y: str, price: str, group: list[str] | N
     return (df.select(*[F.col(g) for g in group], C.bucket(F.col(p)).alias("k"),
                       F.when(yc == 1, C.fn_units(pc)).otherwise(0).alias("fn"),
                       F.when(yc == 0, C.fp_units(pc)).otherwise(0).alias("fp"))
-            .groupBy(*group, "k").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp")))
+            .groupBy(*group, "k").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"), F.count(F.lit(1)).alias("n")))
 
 
 def sweep_buckets(costs: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """From bucket sums to the best cutoff per group: (group..., best_utility, best_cutoff, best_index, n_cutoffs).
+    """From bucket sums to the best cutoff per group: (group..., best_utility, best_cutoff, best_index, n),
+    n being the rows.
 
     Every group gets all 101 buckets (sequence + explode, then a left join), a
     running sum over them, and ``max_by`` picks the first maximum (smallest
@@ -61,20 +62,21 @@ def sweep_buckets(costs: DataFrame, group: list[str] | None = None) -> DataFrame
     spark = costs.sparkSession
     keys = costs.select(*group).distinct() if group else spark.range(1).select()
     full = keys.select(*group, F.explode(F.sequence(F.lit(0), F.lit(C.GRID_POINTS))).alias("k"))
-    j = full.join(costs, group + ["k"], "left").fillna(0, subset=["fn", "fp"])
+    j = full.join(costs, group + ["k"], "left").fillna(0, subset=["fn", "fp", "n"])
     w = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy("k")
     cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     u = (j.withColumn("cfn", F.sum("fn").over(cum))
           .withColumn("cfp", F.sum("fp").over(cum))
           .withColumn("tfp", F.sum("fp").over(tot))
+          .withColumn("rows", F.sum("n").over(tot))
           .filter(F.col("k") < C.GRID_POINTS)
           .withColumn("units", F.col("cfn") + F.col("tfp") - F.col("cfp")))
     best = u.groupBy(*group).agg(
         F.min("units").alias("_units"),
-        F.max_by("k", F.struct(-F.col("units"), -F.col("k"))).alias("best_index"))
+        F.max_by("k", F.struct(-F.col("units"), -F.col("k"))).alias("best_index"), F.max("rows").alias("n"))
     return best.select(*group, (-F.col("_units") / C.UNITS).alias("best_utility"),
-                       C.grid_value_col(F.col("best_index")).alias("best_cutoff"), "best_index")
+                       C.grid_value_col(F.col("best_index")).alias("best_cutoff"), "best_index", "n")
 
 
 def cutoff_sweep(df: DataFrame, p: str, y: str, price: str, group: list[str] | None = None) -> DataFrame:
@@ -111,17 +113,17 @@ def standardize_params(df: DataFrame, cols: list[str], scale: str = "global") ->
     aggs = []
     for c in cols:
         x = F.col(f"`{c}`").cast("double")
-        aggs += [F.avg(x).alias(f"{c}__m"), F.var_pop(x).alias(f"{c}__v")]
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *aggs).first()
-    means = [row[f"{c}__m"] for c in cols]
-    vars_ = [row[f"{c}__v"] for c in cols]
+        aggs += [F.avg(x).alias(f"{c}__m"), F.var_pop(x).alias(f"{c}__v"), F.count(x).alias(f"{c}__n")]
+    row = df.agg(*aggs).first()
+    means = [row[f"{c}__m"] or 0.0 for c in cols]
+    vars_ = [row[f"{c}__v"] or 0.0 for c in cols]
+    ns = [row[f"{c}__n"] for c in cols]
     if scale == "column":
-        return means, [float(np.sqrt(v)) for v in vars_]
-    n = row["__n"]
-    grand = float(np.mean(means))
-    m2 = sum(v * n + n * (m - grand) ** 2 for m, v in zip(means, vars_))
-    g = float(np.sqrt(m2 / (n * len(cols))))
-    return means, [g] * len(cols)
+        return means, [float(np.sqrt(v)) or 1.0 for v in vars_]      # a constant column is centred only
+    cells = sum(ns)
+    grand = sum(m * n for m, n in zip(means, ns)) / cells if cells else 0.0
+    m2 = sum(n * (v + (m - grand) ** 2) for m, v, n in zip(means, vars_, ns))
+    return means, [float(np.sqrt(m2 / cells)) or 1.0 if cells else 1.0] * len(cols)
 
 
 def standardized_array(cols: list[str], means: list[float], stds: list[float], intercept: bool = True) -> Column:
@@ -139,7 +141,7 @@ def logit_score(x: Column, beta: list[float]) -> Column:
 
 # ------------------------------------------------------------------ A21 population fitness
 
-MAX_POOL_CELLS = 10_000_000
+POOL_CELLS = 4_000_000                # candidates x features that one pass takes with its tasks
 
 
 def _np_sigmoid(z: np.ndarray) -> np.ndarray:
@@ -157,65 +159,73 @@ def _np_bucket(p: np.ndarray) -> np.ndarray:
     return np.clip(k, 0, C.GRID_POINTS)
 
 
+def _int_bincount(idx: np.ndarray, units: np.ndarray, P: int, nb: int) -> np.ndarray:
+    """Sums of integer units a (candidate, bucket): high and low halves are summed apart, so that each
+    float64 sum stays below 2**53."""
+    low, high = (units & 0xFFFFF), units >> 20
+    add = lambda w: np.bincount(idx, weights=np.repeat(w.astype(np.float64), P), minlength=2 * P * nb).astype(np.int64)
+    return add(low) + (add(high) << 20)
+
+
 def population_bucket_costs(df: DataFrame, x: str, y: str, price: str, pool: np.ndarray,
-                            cand_ids: list[int] | None = None) -> DataFrame:
-    """Per (cand_id, bucket) cost sums for every candidate coefficient vector of ``pool``.
+                            cand_ids: list[int] | None = None, copies: str | None = None) -> DataFrame:
+    """Per (cand_id, out_of_bag, bucket) cost sums and rows for every candidate coefficient vector of ``pool``.
+
+    ``copies`` names a column that says how often a row is in the sample; rows with 0 are summed
+    apart, as out of bag.  Without it all rows are in the sample.
 
     Runs as ``mapInPandas``: each Arrow batch is one matrix product
     (rows x features) @ (features x candidates), a vectorised bucket index and
     a weighted bincount; only <= 101 x P partial rows per batch leave the task.
-    The pool is shipped with the task closure, after a size check.
+    The pool is shipped with the task closure; a larger one takes several passes.
     """
     pool = np.asarray(pool, dtype=np.float64)
-    if pool.size > MAX_POOL_CELLS:
-        raise ValueError("candidate pool too large to ship with the tasks")
+    ids = np.asarray(cand_ids if cand_ids is not None else list(range(len(pool))), dtype=np.int64)
+    at_once = max(1, POOL_CELLS // max(1, pool.shape[1]))
+    if len(pool) > at_once:
+        parts = [population_bucket_costs(df, x, y, price, pool[i:i + at_once], ids[i:i + at_once].tolist(), copies)
+                 for i in range(0, len(pool), at_once)]
+        out = parts[0]
+        for part_ in parts[1:]:
+            out = out.unionByName(part_)
+        return out
     P = pool.shape[0]
-    ids = np.asarray(cand_ids if cand_ids is not None else list(range(P)), dtype=np.int64)
     nb = C.GRID_POINTS + 1
     fn_base, fn_pc, fp_pc = C.FN_BASE, C.FN_PER_CENT, C.FP_PER_CENT
 
     def part(batches):
         import pandas as pd
-        fn_acc = np.zeros(P * nb, dtype=np.float64)
-        fp_acc = np.zeros(P * nb, dtype=np.float64)
-        seen = False
+        sums = {c: np.zeros(2 * P * nb, dtype=np.int64) for c in ("fn", "fp", "n")}
         for b in batches:
             if len(b) == 0:
                 continue
-            seen = True
             X = np.stack(b[x].to_numpy())
             yy = b[y].to_numpy().astype(np.int64)
             cents = np.round(b[price].to_numpy().astype(np.float64) * 100).astype(np.int64)
-            fnu = np.where(yy == 1, cents * fn_pc + fn_base, 0).astype(np.float64)
-            fpu = np.where(yy == 0, cents * fp_pc, 0).astype(np.float64)
+            times = b[copies].to_numpy().astype(np.int64) if copies else np.ones(len(b), np.int64)
+            out = times == 0
+            times = np.where(out, 1, times)
+            units = {"fn": np.where(yy == 1, cents * fn_pc + fn_base, 0) * times,
+                     "fp": np.where(yy == 0, cents * fp_pc, 0) * times, "n": times}
             k = _np_bucket(_np_sigmoid(X @ pool.T))            # n x P
-            idx = (np.arange(P, dtype=np.int64)[None, :] * nb + k).ravel()
-            fn_acc += np.bincount(idx, weights=np.repeat(fnu, P), minlength=P * nb)
-            fp_acc += np.bincount(idx, weights=np.repeat(fpu, P), minlength=P * nb)
-        if not seen:
-            return
-        nz = np.nonzero((fn_acc != 0) | (fp_acc != 0))[0]
-        yield pd.DataFrame({"cand_id": ids[nz // nb], "k": (nz % nb).astype(np.int32),
-                            "fn": fn_acc[nz].astype(np.int64), "fp": fp_acc[nz].astype(np.int64)})
+            idx = ((out[:, None] * P + np.arange(P, dtype=np.int64)[None, :]) * nb + k).ravel()
+            for c, u in units.items():
+                # whole units in int64: exact past 2**53, whatever the order
+                sums[c] += _int_bincount(idx, u, P, nb)
+        nz = np.flatnonzero(sums["n"])
+        yield pd.DataFrame({"cand_id": ids[nz // nb % P], "out_of_bag": nz // nb >= P, "k": (nz % nb).astype(np.int32),
+                            **{c: v[nz] for c, v in sums.items()}})
 
-    schema = "cand_id long, k int, fn long, fp long"
-    partial = df.select(x, y, price).mapInPandas(part, schema)
-    return partial.groupBy("cand_id", "k").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"))
+    schema = "cand_id long, out_of_bag boolean, k int, fn long, fp long, n long"
+    partial = df.select(x, y, price, *([copies] if copies else [])).mapInPandas(part, schema)
+    return partial.groupBy("cand_id", "out_of_bag", "k").agg(F.sum("fn").alias("fn"), F.sum("fp").alias("fp"), F.sum("n").alias("n"))
 
 
 def population_fitness(df: DataFrame, x: str, y: str, price: str, pool: np.ndarray,
-                       cand_ids: list[int] | None = None) -> DataFrame:
-    """(cand_id, best_utility, best_cutoff, best_index) for every candidate, one pass over the rows."""
-    costs = population_bucket_costs(df, x, y, price, pool, cand_ids)
-    spark = df.sparkSession
-    P = len(pool)
-    ids = cand_ids if cand_ids is not None else list(range(P))
-    # candidates whose rows all cost 0 still need a row: complete the key set
-    keys = spark.createDataFrame([(int(i),) for i in ids], "cand_id long")
-    full = keys.join(costs, "cand_id", "left").select("cand_id", F.coalesce("k", F.lit(0)).alias("k"),
-                                                      F.coalesce("fn", F.lit(0)).alias("fn"),
-                                                      F.coalesce("fp", F.lit(0)).alias("fp"))
-    return sweep_buckets(full, ["cand_id"])
+                       cand_ids: list[int] | None = None, copies: str | None = None) -> DataFrame:
+    """(cand_id, out_of_bag, best_utility, best_cutoff, best_index, n) for every candidate, one pass over
+    the rows; with ``copies`` one row for the sample and one for the rows out of bag."""
+    return sweep_buckets(population_bucket_costs(df, x, y, price, pool, cand_ids, copies), ["cand_id", "out_of_bag"])
 
 
 def rank_candidates(fitness: DataFrame) -> DataFrame:
@@ -226,31 +236,22 @@ def rank_candidates(fitness: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ M12 exact AUC
 
-AUC_BUCKETS = 1 << 20
-
-
 def auc_exact(df: DataFrame, score: str, y: str) -> DataFrame:
     """Exact ROC AUC (Mann-Whitney with average ranks for ties), scalable.
 
-    Scores are first aggregated per distinct value (positives, negatives).
-    The running count of negatives below each score is a two-level prefix sum:
-    scores are bucketed by a fixed, data-independent rule on the logistic
-    transform of the score, bucket totals (at most 2^20 rows) get a running sum,
-    and inside each bucket a window partitioned by the bucket finishes it --
-    no single-partition window over the data.  The numerator is an exact
-    integer: Σ pos_s * (2 * neg_below_s + neg_s); AUC = num / (2 * P * N).
+    Scores are first aggregated per distinct value (positives, negatives).  The count of negatives
+    below each score is a prefix sum over ranges of the scores themselves, so it adapts to any
+    distribution.  The numerator is an exact integer: Σ pos_s * (2 * neg_below_s + neg_s);
+    AUC = num / (2 * P * N), null where a class is missing.
     """
+    from . import prefix
     s = F.col(score).cast("double")
-    per = df.groupBy(s.alias("s")).agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("pos"),
-                                       F.sum(F.when(F.col(y) == 0, 1).otherwise(0)).cast("long").alias("neg"))
-    b = F.least(F.floor(C.sigmoid(F.col("s")) * AUC_BUCKETS), F.lit(AUC_BUCKETS - 1)).cast("long")
-    per = per.withColumn("b", b)
-    bt = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bt.withColumn("off", F.coalesce(F.sum("bneg").over(wb), F.lit(0))).select("b", "off")
-    wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    j = per.join(offsets, "b").withColumn("below", F.col("off") + F.coalesce(F.sum("neg").over(wi), F.lit(0)))
-    tot = j.agg(F.sum(F.col("pos") * (2 * F.col("below") + F.col("neg"))).alias("num"),
-                F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return tot.select((F.col("num") / (2.0 * F.col("P") * F.col("N"))).alias("auc"),
-                      F.col("P").alias("n_pos"), F.col("N").alias("n_neg"))
+    per = (df.filter(s.isNotNull()).groupBy(s.alias("s"))
+           .agg(F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("pos"),
+                F.sum(F.when(F.col(y) == 0, 1).otherwise(0)).cast("long").alias("neg")))
+    ranked = prefix.below(per, [], "s", ["neg"])
+    exact = lambda c: F.col(c).cast("decimal(38,0)")
+    tot = ranked.agg(F.sum((exact("pos") * (2 * F.col("below_neg") + F.col("neg")).cast("decimal(20,0)")).cast("decimal(38,0)")).alias("num"),
+                     F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return tot.select(F.try_divide(F.col("num").cast("double"), 2.0 * F.col("P") * F.col("N")).alias("auc"),
+                      F.coalesce("P", F.lit(0)).alias("n_pos"), F.coalesce("N", F.lit(0)).alias("n_neg"))

@@ -17,13 +17,12 @@ and joins only the lookup tables those names need:
 so a 20-feature request never materialises the ~600 candidate columns.
 ``expand_names`` gives the full candidate list of the half-split rules.
 
-Joins: the lookup tables are aggregates whose size grows with the data (items,
-baskets), so no unconditional broadcast: AQE turns a join into a broadcast
-join at run time when the materialised side is below the broadcast threshold
-(a size check), and otherwise keeps the sort-merge join, splitting skewed
-partitions of the big side.  ``FeatureSpec.materialize`` writes the fitted
-tables to the shared checkpoint folder so repeated transforms do not recompute
-them, and broadcasts a table only after counting it.
+``feature_array`` gives any list of them, hundreds if need be, as one ``array<double>``.
+
+Joins: each fitted table that a transform needs is written once to the shared checkpoint folder; one
+small job over it counts its rows and takes its imputation means.  A table of at most
+``BROADCAST_ROWS`` rows is broadcast (a size known from that count); a larger one is joined by
+shuffle, with AQE splitting skewed partitions of the big side.
 """
 
 from __future__ import annotations
@@ -62,90 +61,87 @@ NON_DUMMY_DROPS = ["delivery_thu", "delivery_fri", "order_has_gift"]
 ORDER_FILL_ONE = ["order_num_items", "order_num_sizes", "order_num_colors", "order_seqnum"]
 ORDER_FILL_MEAN = ["order_total_value", "order_median_price", "order_min_price", "order_max_price"]
 
-MAX_CATEGORIES = 10_000
+# a fitted table of at most so many rows (about 10 MB) is broadcast
+BROADCAST_ROWS = 100_000
+# lookup tables: key columns and value columns
+TABLES = {
+    "items": (["item_id"], L.ITEM_COLS),
+    "orders": (["user_id", "order_date", "brand_id"], L.ORDER_COLS),
+    "brands": (["brand_id"], L.BRAND_COLS),
+    "states": (["user_state"], L.STATE_COLS),
+    "return_history": (["user_id", "order_date"], L.HISTORY_COLS),
+    **{f"woe_{v}": ([v], [f"woe_{v}"]) for v in L.WOE_VARS},
+}
 
 
 class FeatureSpec:
-    """Fitted tables (lazy DataFrames) plus small fitted scalars, computed on first use."""
-
-    def __init__(self, history: DataFrame, target: str = TARGET, exact_quantiles: bool = True):
-        labelled = history.filter(F.col(target).isNotNull())
-        self.fit_data = history
-        self.items = L.fit_items(history)
-        self.orders = L.fit_orders(history)
-        self.brands = L.fit_brands(history)
-        self.states = L.fit_states(history)
-        self.return_history = L.fit_return_history(history, target)
-        self.woe = {v: L.fit_woe(labelled, v, target) for v in L.WOE_VARS}
-        self.exact_quantiles = exact_quantiles
+    """Fitted tables plus small fitted scalars, each made and written once, on first use."""
+
+    def __init__(self, history: DataFrame, target: str = TARGET):
+        self.fit_data, self.target = history, target
         self.profile: dict[str, tuple[bool, bool]] | None = None
         self._cache: dict[str, object] = {}
 
-    def _scalar(self, key, make):
+    def _once(self, key, make):
         if key not in self._cache:
             self._cache[key] = make()
         return self._cache[key]
 
-    # small scalar aggregates (one row each), computed only when a transform needs them
-    @property
-    def item_means(self) -> dict:
-        return self._scalar("im", lambda: _one_row(L.column_means(self.items, L.ITEM_COLS)))
+    def _build(self, name: str) -> DataFrame:
+        h = self.fit_data
+        if name.startswith("woe_"):
+            return L.fit_woe(h.filter(F.col(self.target).isNotNull()), name[4:], self.target)
+        return {"items": L.fit_items, "orders": L.fit_orders, "brands": L.fit_brands, "states": L.fit_states,
+                "return_history": lambda d: L.fit_return_history(d, self.target)}[name](h)
 
-    @property
-    def order_means(self) -> dict:
-        return self._scalar("om", lambda: _one_row(L.column_means(self.orders, ORDER_FILL_MEAN)))
+    def table(self, name: str) -> DataFrame:
+        """A fitted table, written once: later joins read it and a lost executor replays no fit."""
+        from ..session import materialize
+        return self._once(name, lambda: materialize(self._build(name), f"fit-{name}"))
 
-    @property
-    def brand_means(self) -> dict:
-        return self._scalar("bm", lambda: _one_row(L.column_means(self.brands, L.BRAND_COLS)))
-
-    @property
-    def state_means(self) -> dict:
-        return self._scalar("sm", lambda: _one_row(L.column_means(self.states, L.STATE_COLS)))
+    def stats(self, name: str) -> dict:
+        """``rows``, and for each value column its ``mean`` and whether it is -1 anywhere: one small job."""
+        def make():
+            cols = TABLES[name][1]
+            aggs = [F.count(F.lit(1)).alias("rows")]
+            for j, c in enumerate(cols):
+                aggs += [F.avg(c).alias(f"m{j}"), (F.count_if(F.col(c) == -1) > 0).alias(f"u{j}")]
+            row = self.table(name).agg(*aggs).first()
+            return {"rows": row["rows"], "mean": {c: row[f"m{j}"] for j, c in enumerate(cols)},
+                    "minus_one": {c for j, c in enumerate(cols) if row[f"u{j}"]}}
+        return self._once(f"stats {name}", make)
+
+    def lookup(self, name: str) -> DataFrame:
+        """The table as a join side: broadcast if its counted rows are few."""
+        df = self.table(name)
+        return F.broadcast(df) if self.stats(name)["rows"] <= BROADCAST_ROWS else df
+
+    def means(self, name: str) -> dict:
+        return self.stats(name)["mean"]
 
     @property
     def quantiles(self) -> tuple:
         def make():
-            q = _one_row(L.price_quantiles(self.fit_data, exact=self.exact_quantiles))
-            return (q.get("q1"), q.get("q2"), q.get("q3"))
-        return self._scalar("q", make)
+            q = L.price_quantiles(self.fit_data).first()
+            return (q["q1"], q["q2"], q["q3"])
+        return self._once("quantiles", make)
 
     @property
     def categories(self) -> dict[str, list]:
+        """One-hot categories: they become columns, so their number is that of the plan's columns."""
         def make():
             cats = {}
             for c in [c for c in DUMMY_SOURCES if c in self.fit_data.columns]:
                 # distinct first (the key is computed once per row in the projection); a null
                 # filter here would be pushed below the projection and inline the size CASE
-                d = self.fit_data.select(c).distinct().limit(MAX_CATEGORIES + 2).collect()
-                vals = [r[0] for r in d if r[0] is not None]
-                if len(vals) > MAX_CATEGORIES:
-                    raise ValueError(f"too many categories in {c} for one-hot encoding")
-                cats[c] = sorted(vals)
+                cats[c] = sorted(r[0] for r in self.fit_data.select(c).distinct().collect() if r[0] is not None)
             return cats
-        return self._scalar("cats", make)
-
-    # -------------------------------------------------------------- persistence
-    def materialize(self) -> "FeatureSpec":
-        """Cut lineage: write every fitted table once as parquet in the shared checkpoint folder."""
-        from ..session import materialize as write_table
-        self.items = write_table(self.items, "fit-items")
-        self.orders = write_table(self.orders, "fit-orders")
-        self.brands = write_table(self.brands, "fit-brands")
-        self.states = write_table(self.states, "fit-states")
-        self.return_history = write_table(self.return_history, "fit-return-history")
-        self.woe = {k: write_table(v, f"fit-woe-{k}") for k, v in self.woe.items()}
-        return self
+        return self._once("categories", make)
 
 
-def _one_row(df: DataFrame) -> dict:
-    row = df.first()
-    return {} if row is None else row.asDict()
-
-
-def fit(history: DataFrame, target: str = TARGET, exact_quantiles: bool = True) -> FeatureSpec:
+def fit(history: DataFrame, target: str = TARGET) -> FeatureSpec:
     """Fit all lookup tables on ``history`` (labelled rows feed WOE and return history)."""
-    return FeatureSpec(history, target, exact_quantiles)
+    return FeatureSpec(history, target)
 
 
 # ------------------------------------------------------------------ name resolution
@@ -213,27 +209,24 @@ def join_lookups(spec: FeatureSpec, X: DataFrame, need: set[str]) -> DataFrame:
     """
     out = X
     looked_up: list[str] = []
+
+    def joined(df: DataFrame, name: str, fills: dict) -> DataFrame:
+        looked_up.extend(TABLES[name][1])
+        return _fill(df.join(spec.lookup(name), TABLES[name][0], "left"), fills)
+
+    def mean_fills(name: str, cols: list[str]) -> dict:
+        return {c: float(m) for c, m in spec.means(name).items() if c in cols and m is not None}
+
     if need & set(L.ITEM_COLS):
-        out = out.join(spec.items, "item_id", "left")
-        out = _fill(out, {c: float(spec.item_means[c]) for c in L.ITEM_COLS if spec.item_means.get(c) is not None})
-        looked_up += L.ITEM_COLS
+        out = joined(out, "items", mean_fills("items", L.ITEM_COLS))
     if need & set(L.ORDER_COLS) or "order_has_gift" in need:
-        out = out.join(spec.orders, ["user_id", "order_date", "brand_id"], "left")
-        fills = {c: 1 for c in ORDER_FILL_ONE}
-        fills.update({c: float(spec.order_means[c]) for c in ORDER_FILL_MEAN if spec.order_means.get(c) is not None})
-        out = _fill(out, fills)
-        looked_up += L.ORDER_COLS
+        out = joined(out, "orders", {**{c: 1 for c in ORDER_FILL_ONE}, **mean_fills("orders", ORDER_FILL_MEAN)})
     if need & set(L.BRAND_COLS):
-        out = out.join(spec.brands, "brand_id", "left")
-        out = _fill(out, {c: float(spec.brand_means[c]) for c in L.BRAND_COLS if spec.brand_means.get(c) is not None})
-        looked_up += L.BRAND_COLS
+        out = joined(out, "brands", mean_fills("brands", L.BRAND_COLS))
     if need & set(L.STATE_COLS):
-        out = out.join(spec.states, "user_state", "left")
-        out = _fill(out, {c: float(spec.state_means[c]) for c in L.STATE_COLS if spec.state_means.get(c) is not None})
-        looked_up += L.STATE_COLS
+        out = joined(out, "states", mean_fills("states", L.STATE_COLS))
     if need & set(L.HISTORY_COLS):
-        out = out.join(spec.return_history, ["user_id", "order_date"], "left")
-        looked_up += L.HISTORY_COLS
+        out = joined(out, "return_history", {})
     # The last merge fills every remaining numeric null with 0
     base_numeric = [c for c in BASE_NUMERIC if c in out.columns]
     out = _numeric_fill0(out, looked_up + base_numeric)
@@ -241,7 +234,7 @@ def join_lookups(spec: FeatureSpec, X: DataFrame, need: set[str]) -> DataFrame:
         out = out.withColumn("order_has_gift", (F.col("order_min_price") == 0).cast("double"))
     for v in L.WOE_VARS:
         if f"woe_{v}" in need:
-            out = out.join(spec.woe[v], v, "left")
+            out = out.join(spec.lookup(f"woe_{v}"), v, "left")
     return out
 
 
@@ -249,16 +242,8 @@ def _as_double(c: Column, is_flag: bool) -> Column:
     return c.cast("double") if not is_flag else c.cast("boolean").cast("double")
 
 
-def transform(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str, ...] = ("order_item_id", TARGET),
-              impute: str = "batch") -> DataFrame:
-    """Resolve ``names`` to columns of ``X`` (joined with the needed lookups); all features as DOUBLE.
-
-    ``impute='batch'`` fills remaining nulls (unseen WOE categories) with the
-    batch mean, as the original; ``'fit'`` uses the mean over the fit data
-    (stream-safe, no batch aggregate).
-    """
-    need = atoms(names, spec)
-    df = join_lookups(spec, X, need)
+def _expressions(spec: FeatureSpec, df: DataFrame, names: list[str], need: set[str]) -> dict[str, Column]:
+    """Each name as a DOUBLE expression over the joined rows ``df``."""
     q1 = q2 = q3 = None
     if any(n in QUARTILE_FLAGS for n in need):
         q1, q2, q3 = spec.quantiles
@@ -296,22 +281,70 @@ def transform(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str
             exprs[n] = df[n].cast("double")
         else:
             raise KeyError(n)
+    return exprs
+
+
+def _woe_mean(spec: FeatureSpec, X: DataFrame, name: str) -> float | None:
+    """Mean of a WOE column over the rows of ``X`` whose category is known, from category counts."""
+    var = name[4:]
+    counts = X.filter(F.col(var).isNotNull()).groupBy(var).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.join(spec.lookup(name), var).agg((F.sum(F.col(name) * F.col("n")) / F.sum("n")).alias("m")).first()
+    return row["m"]
+
+
+def _undefined_ratios(spec: FeatureSpec, X: DataFrame, names: list[str]) -> list[str]:
+    """Ratios whose denominator is -1 (so that b + 1 is 0) in some row: known from the fitted tables'
+    statistics, and for columns of ``X`` itself from one narrow job."""
+    of = {n: _split(n)[2] for n in names if _split(n) is not None and _split(n)[1] == "/" and _dummy(n, spec) is None}
+    table_of = {c: t for t, (_, cols) in TABLES.items() for c in cols}
+    own = sorted({d for d in of.values() if d in X.columns and d not in FLAGS})
+    bad = set()
+    if own:
+        row = X.agg(*[(F.count_if(F.col(f"`{d}`") == -1) > 0).alias(f"u{j}") for j, d in enumerate(own)]).first()
+        bad = {d for j, d in enumerate(own) if row[f"u{j}"]}
+    for d in set(of.values()) - set(own):
+        if d in table_of and (d in spec.stats(table_of[d])["minus_one"] or spec.means(table_of[d]).get(d) == -1):
+            bad.add(d)
+    return [n for n, d in of.items() if d in bad]
+
+
+def _resolved(spec: FeatureSpec, X: DataFrame, names: list[str], impute: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The joined rows and, by name, expressions without nulls."""
+    need = atoms(names, spec)
+    df = join_lookups(spec, X, need)
+    exprs = _expressions(spec, df, names, need)
+    # batch means as the original; ``fit`` takes them over the fit data, so it also works on a stream
+    rows = X if impute == "batch" else spec.fit_data
+    fills = {n: _woe_mean(spec, rows, n) for n in names if n in WOE_NAMES}
+    if ratios := _undefined_ratios(spec, rows, names):
+        basis = df if impute == "batch" else join_lookups(spec, rows, need)
+        row = basis.agg(*[F.avg(exprs[n]).alias(f"m{j}") for j, n in enumerate(ratios)]).first()
+        fills |= {n: row[f"m{j}"] for j, n in enumerate(ratios)}
+    for n, m in fills.items():
+        exprs[n] = F.coalesce(exprs[n], F.lit(m).cast("double"))
+    return df, exprs
+
+
+def transform(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str, ...] = ("order_item_id", TARGET),
+              impute: str = "batch") -> DataFrame:
+    """Resolve ``names`` to columns of ``X`` (joined with the needed lookups); all features as DOUBLE.
+
+    A value that is still missing -- an unseen WOE category, a ratio whose denominator is 0 -- gets the
+    column's mean: over the batch (``impute='batch'``, as the original) or over the fit data (``'fit'``,
+    without an aggregate of the batch).
+    """
+    df, exprs = _resolved(spec, X, names, impute)
     kept = [k for k in keep if k in df.columns and k not in exprs]
-    out = df.select(*[F.col(f"`{k}`") for k in kept], *[e.alias(n) for n, e in exprs.items()])
-    woe_cols = [n for n in names if n in WOE_NAMES]
-    if woe_cols:
-        if impute == "batch":
-            means = out.agg(*[F.avg(c).alias(f"__m_{c}") for c in woe_cols])
-            out = out.crossJoin(F.broadcast(means))   # one row: proven size bound
-            fill = {c: F.col(f"__m_{c}") for c in woe_cols}
-        else:
-            # fit-time means as literals: no aggregate over the batch, so it also works on a stream
-            base_df = join_lookups(spec, spec.fit_data, set(woe_cols))
-            row = base_df.agg(*[F.avg(c).alias(c) for c in woe_cols]).first()
-            fill = {c: F.lit(row[c]).cast("double") for c in woe_cols}
-        out = out.select(*[F.coalesce(F.col(f"`{c}`"), fill[c]).alias(c) if c in woe_cols
-                           else F.col(f"`{c}`") for c in kept + list(exprs)])
-    return out
+    return df.select(*[F.col(f"`{k}`") for k in kept], *[e.alias(n) for n, e in exprs.items()])
+
+
+def feature_array(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple[str, ...] = ("order_item_id", TARGET),
+                  out: str = "x", impute: str = "batch") -> DataFrame:
+    """``keep`` columns and all of ``names`` as one ``array<double>``, in that order: hundreds of features
+    are one column, so no stage outgrows code generation."""
+    df, exprs = _resolved(spec, X, names, impute)
+    kept = [k for k in keep if k in df.columns]
+    return df.select(*[F.col(f"`{k}`") for k in kept], F.array(*[exprs[n] for n in names]).alias(out))
 
 
 # ------------------------------------------------------------------ full expansion (U4)

@@ -1,13 +1,11 @@
-"""k-nearest-neighbour classification.
+"""k-nearest-neighbour classification (M9 / J11), exact for any Minkowski-p, in blocks.
 
-Exact mode: the labelled reference set is shipped to the tasks once (after a
-size check) and every Arrow batch of query rows computes its distances with
-one matrix product, keeps a few more than k candidates, re-measures those
-exactly and takes the k nearest (ties by reference id).  No pair of rows is
-ever materialised as a Spark row; work is O(queries x references) vectorised.
-
-Beyond the size bound the exact mode refuses, and ``approx_neighbours`` uses
-Spark's bucketed random-projection LSH instead (Euclidean, approximate).
+Queries and references are packed into blocks, one row each.  Every query block is sent to every
+reference block by an equi-join on the reference block's number; such a pair of blocks is one task's
+batch, which computes all distances in the metric asked for and keeps each query's k nearest of the
+block (ties by reference id).  The partial lists are merged a query.  Nothing is collected, nothing
+is pre-ranked by another distance, and no pair of rows becomes a row: a query has k rows a reference
+block.  Blocks are the unit of memory; their number grows with the data.
 """
 
 from __future__ import annotations
@@ -16,76 +14,119 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_REFERENCE_CELLS = 50_000_000      # ~400 MB of float64: the broadcast size bound
-_EXTRA = 16                           # candidates re-measured exactly beyond k
+BLOCK_ROWS = 4096
+_PACKED = "block int, ids binary, vectors binary, labels binary, n int"
+_CELLS = 4_000_000                    # differences held at a time
+
+
+def _packed(df: DataFrame, id_col: str, vec_col: str, label_col: str, block_rows: int) -> tuple[DataFrame, int]:
+    """Rows packed into blocks of about ``block_rows``, dealt by a hash of the id."""
+    blocks = max(1, -(-df.count() // block_rows))
+    dealt = df.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("id"),
+                      F.col(vec_col).cast("array<double>").alias("v"), F.col(label_col).cast("long").alias("label"))
+
+    def pack(batches):
+        import pandas as pd
+        held: list = []
 
+        def row():
+            b = pd.concat(held)
+            return pd.DataFrame([{"block": int(b["block"].iloc[0]), "ids": b["id"].to_numpy(np.int64).tobytes(),
+                                  "vectors": np.stack(b["v"].to_numpy()).astype(np.float64).tobytes(),
+                                  "labels": b["label"].to_numpy(np.int64).tobytes(), "n": len(b)}])
 
-def _minkowski(q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
-    diff = np.abs(q[None, :] - R)
+        for batch in batches:
+            for number, part in batch.groupby("block", sort=False):
+                if held and int(held[0]["block"].iloc[0]) != number:
+                    yield row()
+                    held = []
+                held.append(part)
+        if held:
+            yield row()
+
+    return (dealt.filter("v is not null").repartition(blocks, "block").sortWithinPartitions("block", "id")
+            .mapInPandas(pack, _PACKED)), blocks
+
+
+def _distances(q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
+    diff = np.abs(q[:, None, :] - R[None, :, :])
     if p == 1:
-        return diff.sum(axis=1)
+        return diff.sum(axis=2)
     if p == 2:
-        return np.sqrt((diff * diff).sum(axis=1))
-    return (diff ** p).sum(axis=1) ** (1.0 / p)
+        return np.sqrt((diff * diff).sum(axis=2))
+    return (diff ** p).sum(axis=2) ** (1.0 / p)
 
 
-def knn_predict(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: str, label_col: str,
-                k: int = 5, p: int = 2, weights: str = "uniform", exclude_self: bool = True) -> DataFrame:
-    """For every query row: (id, label, predicted) by majority (or inverse-distance) vote of its k nearest
-    reference rows under the Minkowski-p distance.  Vote ties go to the smallest label."""
-    n_ref = reference.count()
-    dim = len(reference.select(vec_col).first()[0]) if n_ref else 0
-    if n_ref * max(dim, 1) > MAX_REFERENCE_CELLS:
-        raise ValueError("reference set above the broadcast bound; use approx_neighbours")
-    ref_pdf = reference.select(id_col, vec_col, label_col).toPandas()
-    sc = queries.sparkSession.sparkContext
-    bref = sc.broadcast((ref_pdf[id_col].to_numpy(np.int64),
-                         np.stack(ref_pdf[vec_col].to_numpy()).astype(np.float64) if n_ref else np.zeros((0, dim)),
-                         ref_pdf[label_col].to_numpy(np.int64)))
-
-    def run(batches):
+def _nearest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of each row's k smallest; columns are in id order, so ties go to the smallest id."""
+    n, m = d.shape
+    if m <= k:
+        return np.repeat(np.arange(n), m), np.tile(np.arange(m), n)
+    limit = np.partition(d, k - 1, axis=1)[:, k - 1:k]
+    row, col = np.nonzero(d <= limit)
+    if len(row) > n * k:                                   # ties at the limit
+        order = np.lexsort((col, d[row, col], row))
+        row, col = row[order], col[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        row, col = row[rank < k], col[rank < k]
+    return row, col
+
+
+def neighbours(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 5,
+               p: int = 2, exclude_self: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, label, near): each query's k nearest references as an array of (distance, id, label)."""
+    if p not in (1, 2, 3):
+        raise ValueError("p must be 1, 2 or 3")
+    q, _ = _packed(queries, id_col, vec_col, label_col, block_rows)
+    r, blocks = _packed(reference, id_col, vec_col, label_col, block_rows)
+    pairs = (q.toDF("q_block", "q_ids", "q_vectors", "q_labels", "q_n")
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+             .hint("shuffle_hash").join(r, "block"))
+
+    def partial(batches):
         import pandas as pd
-        rid, R, rlab = bref.value
-        rn = (R * R).sum(axis=1)
         for b in batches:
-            if len(b) == 0:
-                continue
-            Q = np.stack(b[vec_col].to_numpy()).astype(np.float64)
-            qid = b[id_col].to_numpy(np.int64)
-            approx = (Q * Q).sum(axis=1)[:, None] + rn[None, :] - 2.0 * (Q @ R.T)
-            if exclude_self:
-                approx[qid[:, None] == rid[None, :]] = np.inf
-            m = min(k + _EXTRA, R.shape[0])
-            cand = np.argpartition(approx, m - 1, axis=1)[:, :m] if m < R.shape[0] else \
-                np.tile(np.arange(R.shape[0]), (len(Q), 1))
-            preds = np.empty(len(Q), dtype=np.int64)
-            for i in range(len(Q)):
-                c = cand[i]
-                if exclude_self:
-                    c = c[rid[c] != qid[i]]
-                d = _minkowski(Q[i], R[c], p)
-                order = np.lexsort((rid[c], d))[:k]
-                labs, dist = rlab[c][order], d[order]
-                if weights == "distance":
-                    w = np.where(dist == 0, 1e300, 1.0 / np.where(dist == 0, 1.0, dist))
-                else:
-                    w = np.ones_like(dist)
-                uniq = np.unique(labs)
-                score = np.array([w[labs == u].sum() for u in uniq])
-                preds[i] = uniq[np.argmax(score)]      # first max = smallest label
-            yield pd.DataFrame({id_col: qid, label_col: b[label_col].to_numpy(np.int64), "predicted": preds})
-
-    schema = f"{id_col} long, {label_col} long, predicted long"
-    return queries.select(id_col, vec_col, label_col).mapInPandas(run, schema)
-
-
-def approx_neighbours(queries: DataFrame, reference: DataFrame, vec_col: str, threshold: float,
-                      bucket_length: float = 1.0, num_tables: int = 3) -> DataFrame:
-    """Approximate neighbour pairs within ``threshold`` via bucketed random projections (scale path)."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    q = queries.withColumn("__v", array_to_vector(F.col(vec_col)))
-    r = reference.withColumn("__v", array_to_vector(F.col(vec_col)))
-    lsh = BucketedRandomProjectionLSH(inputCol="__v", outputCol="__h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=7).fit(r)
-    return lsh.approxSimilarityJoin(q, r, threshold, distCol="distance")
+            for x in b.itertuples(index=False):
+                qid, rid = np.frombuffer(x.q_ids, np.int64), np.frombuffer(x.ids, np.int64)
+                ql, rl = np.frombuffer(x.q_labels, np.int64), np.frombuffer(x.labels, np.int64)
+                Q, R = np.frombuffer(x.q_vectors).reshape(x.q_n, -1), np.frombuffer(x.vectors).reshape(x.n, -1)
+                step = max(1, _CELLS // max(1, R.size))
+                out = []
+                for i in range(0, len(Q), step):
+                    d = _distances(Q[i:i + step], R, p)
+                    if exclude_self:
+                        d[qid[i:i + step, None] == rid[None, :]] = np.inf
+                    row, col = _nearest(d, k)
+                    keep = np.isfinite(d[row, col])
+                    row, col = row[keep], col[keep]
+                    out.append(pd.DataFrame({"id": qid[i + row], "label": ql[i + row], "distance": d[row, col],
+                                             "near_id": rid[col], "near_label": rl[col]}))
+                yield pd.concat(out)
+
+    found = pairs.repartition(F.col("q_block"), F.col("block")).mapInPandas(
+        partial, "id long, label long, distance double, near_id long, near_label long")
+    near = F.slice(F.sort_array(F.collect_list(F.struct("distance", "near_id", "near_label"))), 1, k)
+    return found.groupBy("id", "label").agg(near.alias("near"))
+
+
+def knn_predict(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: str, label_col: str,
+                k: int = 5, p: int = 2, weights: str = "uniform", exclude_self: bool = True,
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """For every query row: (id, label, predicted, score) by the vote of its k nearest references.
+
+    ``weights='distance'`` votes with the inverse distance; where a neighbour is at distance 0 only
+    such neighbours vote.  Vote ties go to the smallest label.  ``score`` is the predicted label's
+    share of the votes, ``positive`` that of label 1.
+    """
+    near = neighbours(queries, reference, id_col, vec_col, label_col, k, p, exclude_self, block_rows)
+    votes = near.select("id", "label", F.col("near")[0]["distance"].alias("least"), F.explode("near").alias("v"))
+    if weights == "distance":
+        w = F.when(F.col("least") == 0, (F.col("v.distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("v.distance")))
+    else:
+        w = F.lit(1.0)
+    tally = votes.groupBy("id", "label", F.col("v.near_label").alias("vote")).agg(F.sum(w).alias("w"))
+    best = tally.groupBy("id", "label").agg(
+        F.max_by("vote", F.struct("w", -F.col("vote"))).alias("predicted"),
+        (F.max("w") / F.sum("w")).alias("score"),
+        (F.sum(F.when(F.col("vote") == 1, F.col("w")).otherwise(0.0)) / F.sum("w")).alias("positive"))
+    return best.select(F.col("id").alias(id_col), F.col("label").alias(label_col), "predicted", "score", "positive")

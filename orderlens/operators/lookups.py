@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import prefix as P
+
 TARGET = "return"
 
 ITEM_COLS = ["item_max_delivery", "item_mean_delivery", "item_min_delivery", "item_orders", "item_max_price"]
@@ -41,12 +43,10 @@ def fit_woe(labelled: DataFrame, var: str, target: str = TARGET) -> DataFrame:
     """A1: ``ln((ev/EV) / (nev/NEV))`` per category; zero counts -> 0.5; totals unsmoothed.
 
     Totals are over all labelled rows (including rows whose category is
-    null); null categories get no row.  The totals are a 1-row aggregate,
-    cross-joined by broadcast (size bound: exactly one row).
+    null) and enter as two numbers; null categories get no row.
     """
-    totals = labelled.agg(
-        F.sum(F.col(target)).cast("double").alias("_te"),
-        F.count(F.lit(1)).cast("double").alias("_n"))
+    totals = labelled.agg(F.sum(F.col(target)).cast("double"), F.count(F.lit(1)).cast("double")).first()
+    events, rows = totals[0], totals[1]
     per = (labelled.filter(F.col(var).isNotNull())
            .groupBy(var)
            .agg(F.sum(F.col(target)).cast("double").alias("_ev"),
@@ -54,9 +54,9 @@ def fit_woe(labelled: DataFrame, var: str, target: str = TARGET) -> DataFrame:
     ev = F.when(F.col("_ev") == 0, F.lit(0.5)).otherwise(F.col("_ev"))
     nev_raw = F.col("_cnt") - F.col("_ev")
     nev = F.when(nev_raw == 0, F.lit(0.5)).otherwise(nev_raw)
-    woe = F.log(F.try_divide(F.try_divide(ev, F.col("_te")),
-                             F.try_divide(nev, F.col("_n") - F.col("_te"))))
-    return per.crossJoin(F.broadcast(totals)).select(F.col(var), woe.alias(f"woe_{var}"))
+    total, rest = F.lit(events).cast("double"), F.lit(None if events is None else rows - events).cast("double")
+    woe = F.log(F.try_divide(F.try_divide(ev, total), F.try_divide(nev, rest)))
+    return per.select(F.col(var), woe.alias(f"woe_{var}"))
 
 
 # ------------------------------------------------------------------ A2-A6
@@ -142,14 +142,15 @@ def fit_return_history(features: DataFrame, target: str = TARGET) -> DataFrame:
 
 # ------------------------------------------------------------------ A9-A11
 
-def price_quantiles(features: DataFrame, exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    """Quartiles of the item price, linear interpolation (exact) or approximate for very large data."""
-    if exact:
-        q = F.percentile("item_price", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        q = F.percentile_approx("item_price", [0.25, 0.5, 0.75], accuracy)
-    return features.agg(q.alias("_q")).select(
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q2"), F.col("_q")[2].alias("q3"))
+def price_quantiles(features: DataFrame) -> DataFrame:
+    """Quartiles of the item price, linear interpolation, exact: ranks come from prefix sums over
+    the price histogram, so no task holds all distinct prices."""
+    hist = (features.filter(F.col("item_price").isNotNull()).groupBy("item_price").agg(F.count(F.lit(1)).alias("c")))
+    ranked = P.below(hist, [], "item_price", ["c"])
+    n = F.lit(ranked.agg(F.sum("c")).first()[0])
+    names = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    aggs = [a for k, q in names.items() for a in P.quantile_columns(q, k, F.col("item_price"), n, F.col("below_c"), F.col("c"))]
+    return ranked.agg(*aggs).select(*[P.interpolated(k) for k in names])
 
 
 def column_means(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -460,27 +460,41 @@ def boxplot_summary(spark, sf_dir):
     return _rounded(out, [c for c in out.columns if c.endswith(("_q1", "_median", "_q3"))])
 
 
-PROFILE_COLS = ["item_price", "days_to_delivery", "user_tenure", "age", "month", "item_price2"]
+_PROFILE_NUMBERS = ["item_price", "days_to_delivery", "user_tenure", "age", "month", "age2", "user_tenure2", "item_price2", "return"]
+_PROFILE_OTHERS = {"text": ["item_size", "item_color", "brand_id", "user_title", "user_state", "color", "item_size_cl"],
+                   "date": ["order_date", "delivery_date", "user_dob", "user_reg_date"],
+                   "flag": ["is_na_delivery_date", "is_dob_missing", "is_item_pants", "is_item_underwear", "is_letter_coded",
+                            "is_item_clothes", "delivery_thu", "delivery_fri"]}
+PROFILE_COLS = _PROFILE_NUMBERS + [c for cs in _PROFILE_OTHERS.values() for c in cs]
 
 
 def _profile_sql():
     parts = []
-    for c in PROFILE_COLS:
+    for c in _PROFILE_NUMBERS:
         parts.append(
-            f"SELECT '{c}' AS column_name, count(x) AS count, {round_sig_sql('avg(x)')} AS mean, "
-            f"{round_sig_sql('stddev_samp(x)')} AS std, "
+            f"SELECT '{c}' AS column_name, 'number' AS kind, count(x) AS count, count(*) - count(x) AS n_nulls, "
+            f"count(DISTINCT x) AS n_unique, CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, "
+            f"{round_sig_sql('avg(x)')} AS mean, {round_sig_sql('stddev_samp(x)')} AS std, "
             f"min(x) AS min, {round_sig_sql('quantile_cont(x, 0.25)')} AS q25, "
             f"{round_sig_sql('quantile_cont(x, 0.5)')} AS q50, "
-            f"{round_sig_sql('quantile_cont(x, 0.75)')} AS q75, max(x) AS max, count(DISTINCT x) AS n_unique "
-            f"FROM (SELECT CAST({c} AS DOUBLE) AS x FROM known)")
-    return " UNION ALL ".join(parts)
+            f"{round_sig_sql('quantile_cont(x, 0.75)')} AS q75, max(x) AS max "
+            f'FROM (SELECT CAST("{c}" AS DOUBLE) AS x FROM known)')
+    none = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    for kind, cols in _PROFILE_OTHERS.items():
+        for c in cols:
+            parts.append(
+                f"SELECT '{c}' AS column_name, '{kind}' AS kind, sum(n) FILTER (s IS NOT NULL) AS count, "
+                f"coalesce(sum(n) FILTER (s IS NULL), 0) AS n_nulls, count(s) AS n_unique, "
+                f"arg_min(s, (-n, s)) FILTER (s IS NOT NULL) AS top, max(n) FILTER (s IS NOT NULL) AS freq, {none} "
+                f"FROM (SELECT CAST({c} AS VARCHAR) AS s, count(*) AS n FROM known GROUP BY 1)")
+    return " UNION ALL ".join(f"({p})" for p in parts)
 
 
 @register("table_profile", S.with_ctes(_profile_sql()))
 def table_profile(spark, sf_dir):
-    """describe() of the cleaned labelled table, long form."""
+    """describe(include="all") and info of the cleaned labelled table, long form."""
     from ..operators import eda
-    out = eda.table_profile(inputs(spark, sf_dir, materialize=True).known, PROFILE_COLS)
+    out = eda.table_profile(inputs(spark, sf_dir).known, PROFILE_COLS)
     for c in ("mean", "std", "q25", "q50", "q75"):
         out = out.withColumn(c, round_sig(F.col(c)))
     return out
@@ -657,7 +671,7 @@ _SWEEP_SQL = [
 def cutoff_sweep(spark, sf_dir):
     """Best utility over 100 cutoffs in one pass (bucket sums + running window)."""
     from ..operators import cost as CO
-    return CO.cutoff_sweep(_scored(spark, sf_dir), "p", "y", "price")
+    return CO.cutoff_sweep(_scored(spark, sf_dir), "p", "y", "price").drop("n")
 
 
 @register("avg_cost", _cost_oracle(
@@ -665,10 +679,8 @@ def cutoff_sweep(spark, sf_dir):
 def avg_cost(spark, sf_dir):
     """Per-item utility of the best cutoff (rescaled fitness)."""
     from ..operators import cost as CO
-    s = _scored(spark, sf_dir)
-    best = CO.cutoff_sweep(s, "p", "y", "price")
-    n = s.agg(F.count(F.lit(1)).alias("n"))
-    return best.crossJoin(F.broadcast(n)).select(F.round(F.col("best_utility") / F.col("n"), 9).alias("avg_best_utility"))
+    best = CO.cutoff_sweep(_scored(spark, sf_dir), "p", "y", "price")
+    return best.select(F.round(F.col("best_utility") / F.col("n"), 9).alias("avg_best_utility"))
 
 
 @register("cost_baselines", _cost_oracle(
@@ -717,7 +729,7 @@ def _population(spark, sf_dir):
     from ..operators import cost as CO
     s = _scored(spark, sf_dir)
     fit = CO.population_fitness(s, "x", "y", "price", np.asarray(POOL))
-    return CO.rank_candidates(fit).withColumn("rank", F.col("rank").cast("long"))
+    return CO.rank_candidates(fit.drop("out_of_bag", "n")).withColumn("rank", F.col("rank").cast("long"))
 
 
 @register("population_fitness", _cost_oracle("SELECT * FROM pfit", _pool_sql()))
@@ -728,7 +740,7 @@ def population_fitness(spark, sf_dir):
 
 @register("elite_topk", _cost_oracle("SELECT cand_id, best_utility, rank FROM pfit WHERE rank <= 2", _pool_sql()))
 def elite_topk(spark, sf_dir):
-    """The elite -- top int(elitism * population) candidates (elitism 0.5 of 4)."""
+    """The elite -- top int(elitism * population) candidates (elitism 0.5 of 4)."""
     return _population(spark, sf_dir).filter(F.col("rank") <= 2).select("cand_id", "best_utility", "rank")
 
 
@@ -759,15 +771,10 @@ def impute_means(spark, sf_dir):
     from ..operators import features as FT
     from ..operators import lookups as L
     spec = FT.fit(inputs(spark, sf_dir, materialize=True).known)
-    parts = [L.column_means(spec.items, L.ITEM_COLS), L.column_means(spec.orders, FT.ORDER_FILL_MEAN),
-             L.column_means(spec.brands, L.BRAND_COLS), L.column_means(spec.states, L.STATE_COLS)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(F.broadcast(p))     # 1-row frames: proven size bound
-    return out.select(*[r6(F.col(c)).alias(c) for c in out.columns])
-
-
-_PROFILE_FEATS = None
+    means = {c: spec.means(t)[c] for t, cols in (("items", _ITEM), ("orders", FT.ORDER_FILL_MEAN), ("brands", L.BRAND_COLS),
+                                                ("states", L.STATE_COLS)) for c in cols}
+    row = spark.createDataFrame([tuple(means.values())], ", ".join(f"{c} double" for c in means))
+    return row.select(*[r6(F.col(c)).alias(c) for c in row.columns])
 
 
 def _profile_cols():
@@ -818,6 +825,45 @@ def _expansion_sql():
     return S.with_ctes(final, S.fit_ctes("history") + S.transform_ctes("history") + [("prof", prof), ("names", names)])
 
 
+def _feature_sums_sql():
+    """Sums of every candidate feature: one wide aggregate, unpivoted, kept where the ratio exists; one-hots
+    by counting."""
+    from ..operators import features as FT
+    flags = FT.FLAGS
+    num = lambda c: f"CAST({c} AS DOUBLE)"
+    plain = list(FT.BASE_NUMERIC) + FT.WOE_NAMES + ["price_off"]
+    non_flag = [n for n in plain if n not in flags]
+    m, half = len(non_flag) // 2, len(FT.BASE_NUMERIC) // 2
+    cells, dens = {n: num(n) for n in plain}, {}
+    for a in non_flag[:m]:
+        for b in non_flag[m:]:
+            if not a.startswith("woe") and not b.startswith("woe"):
+                n, d, name = (b, a, f"{b}/{a}") if b == "price_off" else (a, b, f"{a}/{b}")
+                cells[name], dens[name] = f"{num(n)} / ({num(d)} + 1)", b
+    for a in FT.BASE_NUMERIC[:half]:
+        for b in FT.BASE_NUMERIC[half:]:
+            cells[f"{a}*{b}"] = f"{num(a)} * {num(b)}"
+    price = {"is_q1_value": "item_price <= q1", "is_q2_value": "item_price > q1 AND item_price <= q2",
+             "is_q3_value": "item_price > q2 AND item_price <= q3", "is_q4_value": "item_price > q3"}
+    cells |= {k: num(f"({v})") for k, v in price.items()}
+    wide = "SELECT " + ", ".join(f'sum({e}) AS "{n}"' for n, e in cells.items()) + " FROM featw CROSS JOIN qs"
+    gone = " UNION ALL ".join(f"SELECT '{d}' AS d, min({num(d)}) = 0 AS z FROM fit_rows" for d in sorted(set(dens.values())))
+    of = ", ".join(f"('{n}', '{d}')" for n, d in dens.items())
+    hot = " UNION ALL ".join(
+        f"SELECT '{c}_' || CAST(h.v AS VARCHAR) AS feature_name, CAST(count(k.v) AS DOUBLE) AS total FROM "
+        f"(SELECT DISTINCT {c} AS v FROM history WHERE {c} IS NOT NULL) h LEFT JOIN (SELECT {c} AS v FROM known) k ON h.v = k.v GROUP BY h.v"
+        for c in FT.DUMMY_SOURCES)
+    fit_rows = [(n + "_h" if n in ("feat", "featw") else n, q) for n, q in S.transform_ctes("history")]
+    fit_rows = [(n, q.replace("FROM feat f", "FROM feat_h f")) for n, q in fit_rows if n in ("feat_h", "featw_h")]
+    return S.with_ctes(
+        f"SELECT feature_name, {round_sig_sql('total', 9)} AS total, (SELECT count(*) FROM known) AS n FROM "
+        "(SELECT feature_name, total FROM long_ WHERE feature_name NOT IN (SELECT n FROM of_ JOIN gone ON gone.d = of_.d WHERE z) "
+        f"UNION ALL SELECT feature_name, total FROM ({hot}))",
+        S.fit_ctes("history") + S.transform_ctes("known") + fit_rows + [
+            ("fit_rows", "SELECT * FROM featw_h"), ("gone", gone), ("of_", f"SELECT * FROM (VALUES {of}) t(n, d)"),
+            ("wide_", wide), ("long_", "UNPIVOT wide_ ON COLUMNS(*) INTO NAME feature_name VALUE total")])
+
+
 @register("all_features", _expansion_sql())
 def all_features(spark, sf_dir):
     """U4: the full candidate feature list of the half-split rules (fit profile, one-hots off)."""
@@ -840,28 +886,73 @@ def hash_split(spark, sf_dir):
 
 # ---------------------------------------------------------------- k-NN
 
-@register("knn_vote", """
+_KNN_DISTANCE = {1: "list_sum(list_transform(list_zip(a.v, b.v), lambda x: abs(x[1] - x[2])))",
+                 2: "list_distance(a.v, b.v)",
+                 3: "list_sum(list_transform(list_zip(a.v, b.v), lambda x: pow(abs(x[1] - x[2]), 3)))"}
+
+
+def _knn_sql(p: int, k: int, weights: str) -> str:
+    weight = "count(*)" if weights == "uniform" else (
+        "sum(CASE WHEN least = 0 THEN CASE WHEN dist = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / dist END)")
+    dist = "dist" if p < 3 else "pow(dist, 1.0 / 3)"
+    return f"""
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS BIGINT) AS label FROM embeddings),
-d AS (SELECT a.vec_id, a.label AS true_label, b.vec_id AS nb, b.label, list_distance(a.v, b.v) AS dist
-      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb) AS rn FROM d),
-v AS (SELECT vec_id, true_label, label, count(*) AS votes FROM r WHERE rn <= 5 GROUP BY ALL),
+d0 AS (SELECT a.vec_id, a.label AS true_label, b.vec_id AS nb, b.label, {_KNN_DISTANCE[p]} AS dist
+       FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+d AS (SELECT vec_id, true_label, nb, label, {dist} AS dist FROM d0),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, nb) AS rn, min(dist) OVER (PARTITION BY vec_id) AS least FROM d),
+v AS (SELECT vec_id, true_label, label, {weight} AS votes FROM r WHERE rn <= {k} GROUP BY ALL),
 w AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY votes DESC, label) AS pick FROM v)
-SELECT vec_id, true_label AS label, label AS predicted FROM w WHERE pick = 1
-""")
-def knn_vote(spark, sf_dir):
-    """Leave-one-out 5-NN majority vote over the embeddings (Euclidean, ties by id / label)."""
+SELECT vec_id, true_label AS label, label AS predicted FROM w WHERE pick = 1"""
+
+
+def _knn(spark, sf_dir, k, p, weights):
     from ..operators import knn
     from ..sources.adapter import read_table
     e = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long"))
-    return knn.knn_predict(e, e, "vec_id", "embedding", "label", k=5, p=2)
+    return knn.knn_predict(e, e, "vec_id", "embedding", "label", k, p, weights).select("vec_id", "label", "predicted")
+
+
+@register("knn_vote", _knn_sql(2, 5, "uniform"))
+def knn_vote(spark, sf_dir):
+    """Leave-one-out 5-NN majority vote over the embeddings (Euclidean, ties by id / label)."""
+    return _knn(spark, sf_dir, 5, 2, "uniform")
+
+
+@register("knn_vote_p1", _knn_sql(1, 7, "distance"))
+def knn_vote_p1(spark, sf_dir):
+    """7-NN by city-block distance, votes by inverse distance."""
+    return _knn(spark, sf_dir, 7, 1, "distance")
+
+
+@register("knn_vote_p3", _knn_sql(3, 15, "uniform"))
+def knn_vote_p3(spark, sf_dir):
+    """15-NN by the Minkowski distance of order 3."""
+    return _knn(spark, sf_dir, 15, 3, "uniform")
+
+
+@register("knn_returns")
+def knn_returns(spark, sf_dir):
+    """M9 on the standardised return features: every test row against all train rows, votes by inverse
+    distance; exact AUC of the share of returned neighbours."""
+    from pyspark.ml.functions import vector_to_array
+    from ..operators import cost as CO
+    from ..operators import knn
+    M, names, train, test = _model_data(spark, sf_dir, LOGIT_SUBSET)[:4]
+    scaler = M.Pipeline(stages=M._scaled("standard")).fit(train)
+    side = lambda d: scaler.transform(d).select(F.xxhash64("order_item_id").alias("id"), vector_to_array("scaled").alias("v"),
+                                                F.col("return").cast("long").alias("label"))
+    out = knn.knn_predict(side(test), side(train), "id", "v", "label", k=15, p=2, weights="distance", exclude_self=False)
+    return CO.auc_exact(out, "positive", "label")
 
 
 # ---------------------------------------------------------------- models, GA, sinks (rows-only checks)
 
-# keep-list of the network script (resolved by name: base, ratio, interaction)
-MODEL_FEATURES = ["days_to_delivery/order_median_price", "order_total_value", "item_price",
+# fixed values: the keep-list of the network script (resolved by name: base, ratio, interaction)
+MODEL_FEATURES = ["days_to_delivery", "item_price*order_num_items", "item_price*order_num_sizes",
+                  "days_to_delivery/brand_mean_price", "days_to_delivery*order_seqnum", "days_to_delivery*brand_max_price",
+                  "days_to_delivery/order_median_price", "order_total_value", "item_price",
                   "order_total_value/order_num_colors", "is_item_clothes*order_median_price",
                   "item_price/brand_mean_price", "order_total_value/brand_mean_price",
                   "days_to_delivery*order_total_value", "item_mean_delivery/brand_min_price", "item_mean_delivery",
@@ -869,19 +960,37 @@ MODEL_FEATURES = ["days_to_delivery/order_median_price", "order_total_value", "i
 
 
 def _model_data(spark, sf_dir, names=None):
-    """Labelled rows with named features, assembled; deterministic 80/20 split; both cached."""
+    """Labelled rows with named features, written once and assembled; deterministic 80/20 split."""
     from ..operators import features as FT
     from ..operators import models as M
     from ..operators import split
+    from ..session import materialize
     names = names or MODEL_FEATURES
     i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
-    fm = FT.transform(spec, i.known.withColumn("split", split.train_test_label(80, 0)), names,
-                      keep=("order_item_id", "return", "item_price", "split"))
-    data = M.assemble(fm, names)
-    train = data.filter(F.col("split") == "train").cache()
-    test = data.filter(F.col("split") == "test").cache()
-    return M, names, train, test, i, spec
+    fm = FT.transform(spec, i.known.withColumn("split", split.train_test_label(80, 0)).withColumn("price", F.col("item_price")), names,
+                      keep=("order_item_id", "return", "price", "split"))
+    data = M.assemble(materialize(fm, "model-features"), names)
+    return M, names, data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test"), i, spec
+
+
+def _full_data(spark, sf_dir):
+    """All candidate features -- WOE and one-hots included -- as one vector, for both files."""
+    from pyspark.ml.functions import array_to_vector
+    from ..operators import features as FT
+    from ..operators import models as M
+    from ..operators import split
+    from ..session import materialize
+    i = inputs(spark, sf_dir, materialize=True)
+    spec = FT.fit(i.history)
+    names = FT.expand_names(spec, ignore_woe=False, add_dummies=True)
+
+    def side(rows, name):
+        arrays = FT.feature_array(spec, rows, names, keep=("order_item_id", "return", "split"))
+        return materialize(arrays, name).withColumn("features", array_to_vector("x")).withColumn("label", F.col("return").cast("double"))
+
+    known = side(i.known.withColumn("split", split.train_test_label(80, 0)), "full-known")
+    return M, names, known, lambda: side(i.unknown, "full-unknown")
 
 
 def _fit_report(spark, name, model_pipe, train, test, two_sided=True):
@@ -891,41 +1000,86 @@ def _fit_report(spark, name, model_pipe, train, test, two_sided=True):
                                  "model string, train_auc double, test_auc double, penalised double, seconds double")
 
 
-@register("scaled_poly")
+def _scaled_poly_sql():
+    feats = ["CAST(item_price AS DOUBLE)", "CAST(order_total_value AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
+             "CAST(days_to_delivery AS DOUBLE)", "CAST(days_to_delivery AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
+             "CAST(item_price AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)"]
+    cells = ", ".join(f"{e} AS f{j}" for j, e in enumerate(feats))
+    parts = [f"SELECT '{n}' AS feature, round(avg((f{j} - lo) / (hi - lo)), 6) AS minmax_mean, "
+             f"round(avg(((f{j} - m) / s) * ((f{j} - m) / s)), 6) AS square_mean, "
+             f"round(avg(((f{j} - m) / s) * ((f0 - m0) / s0)), 6) AS product_mean "
+             f"FROM pm CROSS JOIN (SELECT min(f{j}) AS lo, max(f{j}) AS hi, avg(f{j}) AS m, stddev_samp(f{j}) AS s, "
+             f"avg(f0) AS m0, stddev_samp(f0) AS s0 FROM pm)" for j, n in enumerate(LOGIT_SUBSET)]
+    return S.with_ctes(" UNION ALL ".join(f"({p})" for p in parts),
+                       S.fit_ctes("history") + S.transform_ctes("known") + [("pm", f"SELECT {cells} FROM featw")])
+
+
+@register("scaled_poly", _scaled_poly_sql())
 def scaled_poly(spark, sf_dir):
-    """M1-M3: standard scaling, min-max scaling and degree-2 expansion of the feature vector."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import MinMaxScaler, PolynomialExpansion, StandardScaler
+    """M1-M3: min-max scaling, standard scaling and degree-2 terms; a feature's mean of the first, of its
+    square among the terms, and of its product with the first feature."""
     from pyspark.ml.functions import vector_to_array
-    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    M, names, train, test = _model_data(spark, sf_dir, LOGIT_SUBSET)[:4]
     data = train.unionByName(test)
-    pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="std", withMean=True, withStd=True),
-                            MinMaxScaler(inputCol="features", outputCol="mm"),
-                            PolynomialExpansion(degree=2, inputCol="std", outputCol="poly")])
-    out = pipe.fit(data).transform(data)
-    return out.select("return", vector_to_array("std").alias("std_features"),
-                      vector_to_array("mm").alias("minmax_features"), F.size(vector_to_array("poly")).alias("poly_dim"))
+    pipe = M.Pipeline(stages=M._scaled("standard") + M.degree_two("scaled", "poly")
+                      + [M.MinMaxScaler(inputCol="features", outputCol="mm")])
+    out = pipe.fit(data).transform(data).select(vector_to_array("mm").alias("mm"), vector_to_array("poly").alias("poly"))
+    # degree-2 terms after the constant: x0, x0², x1, x0 x1, x1², x2, ...
+    start = lambda j: 1 + j * (j + 3) // 2
+    cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.col("mm")[j].alias("a"), F.col("poly")[start(j) + j + 1].alias("b"),
+                               F.col("poly")[start(j) + 1].alias("c")) for j, n in enumerate(names)])
+    return out.select(F.explode(cells).alias("v")).groupBy("v.feature").agg(
+        F.round(F.avg("v.a"), 6).alias("minmax_mean"), F.round(F.avg("v.b"), 6).alias("square_mean"),
+        F.round(F.avg("v.c"), 6).alias("product_mean"))
 
 
 @register("pca_scores")
 def pca_scores(spark, sf_dir):
-    """Scores on the first principal components of the standardised features."""
+    """Scores on the principal components of the standardised features: fitted on the train rows, given
+    for train and test rows."""
     from pyspark.ml.functions import vector_to_array
-    M, names, train, test, i, spec = _model_data(spark, sf_dir)
-    _, scored, _ = M.pca_fit(train, 5)
-    return scored.select("return", vector_to_array("pca").alias("pca_scores"))
+    M, names, train, test = _model_data(spark, sf_dir)[:4]
+    model, scored, _ = M.pca_fit(train, len(names))
+    both = scored.unionByName(model.transform(test))
+    return both.select("split", "return", vector_to_array("pca").alias("pca_scores"))
 
 
 @register("pca_variance")
 def pca_variance(spark, sf_dir):
-    """Explained variance ratio per component and its running sum."""
+    """Explained variance ratio per component and its running sum, over the full feature matrix."""
     from ..operators import eda
-    M, names, train, test, i, spec = _model_data(spark, sf_dir)
-    _, _, ev = M.pca_fit(train, len(names))
+    M, names, known, _ = _full_data(spark, sf_dir)
+    _, _, ev = M.pca_fit(known.filter("split = 'train'"), 20)
     df = spark.createDataFrame(list(enumerate(ev)), "component long, explained_variance double")
     return eda.cumulative(df, "component", "explained_variance", "cumulative_variance")
 
 
+@register("feature_sums", _feature_sums_sql())
+def feature_sums(spark, sf_dir):
+    """The full feature matrix of the labelled rows -- every candidate, WOE and one-hots
+    included -- as one array column; its rows and sum a feature."""
+    import numpy as np
+    from ..operators import features as FT
+    i = inputs(spark, sf_dir, materialize=True)
+    spec = FT.fit(i.history)
+    names = FT.expand_names(spec, ignore_woe=False, add_dummies=True)
+    x = FT.feature_array(spec, i.known, names, keep=())
+
+    def sums(batches):
+        import pandas as pd
+        total, n = np.zeros(len(names)), 0
+        for b in batches:
+            if len(b):
+                total += np.stack(b["x"].to_numpy()).sum(axis=0)
+                n += len(b)
+        yield pd.DataFrame({"position": np.arange(len(names)), "total": total, "n": n})
+
+    name = F.array(*[F.lit(n) for n in names])
+    return (x.mapInPandas(sums, "position int, total double, n long").groupBy("position")
+            .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+            .select(F.element_at(name, F.col("position") + 1).alias("feature_name"), round_sig(F.col("total"), 9).alias("total"), "n"))
+
+
 @register("logit_fit")
 def logit_fit(spark, sf_dir):
     """M4 (+M1, M3, M12, M13): L2 logistic regression on scaled degree-2 terms, exact train/test AUC."""
@@ -935,8 +1089,9 @@ def logit_fit(spark, sf_dir):
 
 @register("forest_importance")
 def forest_importance(spark, sf_dir):
-    """Random forest importances by feature name, largest first (top 61)."""
-    M, names, train, test, i, spec = _model_data(spark, sf_dir)
+    """Forest importances over the full feature matrix, largest first (top 61)."""
+    M, names, known, _ = _full_data(spark, sf_dir)
+    train = known.filter("split = 'train'")
     model = M.forest(num_trees=30, max_depth=8, n=train.count()).fit(train)
     imp = M.feature_importance(model, names)
     df = spark.createDataFrame([(r + 1, n, v) for r, (n, v) in enumerate(imp)],
@@ -974,7 +1129,7 @@ def mlp_fit(spark, sf_dir):
 def svm_fit(spark, sf_dir):
     """M8: linear SVM on random Fourier features (RBF kernel approximation); AUC from the margin."""
     M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
-    return _fit_report(spark, "svm_rbf", M.svm(C=0.75, kernel="rbf", n=train.count(), rff_dim=32, max_iter=50),
+    return _fit_report(spark, "svm_rbf", M.svm(len(names), C=0.75, kernel="rbf", n=train.count()),
                        train, test)
 
 
@@ -983,19 +1138,17 @@ def random_search(spark, sf_dir):
     """Seeded random search of the logistic pipeline (penalty, C) with the penalised AUC objective."""
     M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
     n = train.count()
-    space = {"penalty": lambda r: r.choice(["l1", "l2"]), "C": lambda r: r.uniform(0.0, 1.0)}
-
     def objective(p):
         return M.evaluate(M.logistic(C=p["C"], penalty=p["penalty"], n=n, max_iter=50), train, test)[1]
 
-    return M.trials_frame(spark, M.random_search(space, objective, max_evals=3, seed=42), "logistic")
+    return M.trials_frame(spark, M.random_search(M.SPACES["logistic"], objective, max_evals=10, seed=42), "logistic")
 
 
 def _ga(spark, sf_dir, generations=4, population=20):
     from ..operators.genetic import GeneticSearch
     M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
     ga = GeneticSearch(elitism=0.1, population_size=population, crossover="arithmetic", prob_mutation=0.3, seed=42)
-    ga.fit(train, LOGIT_SUBSET, "return", "item_price", ["order_item_id"], loc=0.0, scale=3.0)
+    ga.fit(train, LOGIT_SUBSET, "return", "price", ["order_item_id"], loc=0.0, scale=3.0)
     ga.run(maxiter=generations, subsample=0.5, reset_prob=0.5)
     return ga, M, names, train, test, i, spec
 
@@ -1012,13 +1165,13 @@ def cost_report(spark, sf_dir):
     """Test-set cost of the GA (its cutoff), forest and logistic (best cutoff), and both baselines."""
     from ..operators import cost as CO
     ga, M, names, train, test, i, spec = _ga(spark, sf_dir, generations=3, population=16)
-    ga_test = ga.predict_proba(test).select(F.col("p"), F.col("return").alias("y"), F.col("item_price").alias("price"))
+    ga_test = ga.predict_proba(test).select(F.col("p"), F.col("return").alias("y"), "price")
     rows = [("genetic", CO.utility_at(ga_test, "p", "y", "price", ga.optimal_cutoff).first()["utility"],
              float(ga.optimal_cutoff))]
     for name, pipe in (("forest", M.forest(num_trees=20, max_depth=8, n=train.count())),
-                       ("logistic", M.logistic(C=0.5, n=train.count(), poly=False))):
+                       ("logistic", M.logistic(C=1.0, n=train.count(), poly=False))):
         sc = M.positive_score(pipe.fit(train).transform(test)).select(
-            F.col("score").alias("p"), F.col("return").alias("y"), F.col("item_price").alias("price"))
+            F.col("score").alias("p"), F.col("return").alias("y"), "price")
         b = CO.cutoff_sweep(sc, "p", "y", "price").first()
         rows.append((name, b["best_utility"], b["best_cutoff"]))
     base = CO.baselines(ga_test, "y", "price").first()
@@ -1028,39 +1181,43 @@ def cost_report(spark, sf_dir):
 
 @register("score_unknown")
 def score_unknown(spark, sf_dir):
-    """Refit on all labelled rows and score every unlabelled row (probability of return)."""
-    from ..operators import features as FT
-    from ..operators import models as M
+    """Refit on all labelled rows with every feature and score every unlabelled row (probability of return)."""
+    import uuid
+
     from ..session import scratch_path
     from ..sources import sinks
-    import uuid
-    i = inputs(spark, sf_dir, materialize=True)
-    spec = FT.fit(i.history)
-    known = M.assemble(FT.transform(spec, i.known, LOGIT_SUBSET, keep=("order_item_id", "return")), LOGIT_SUBSET)
-    unknown = M.assemble(FT.transform(spec, i.unknown, LOGIT_SUBSET, keep=("order_item_id",)), LOGIT_SUBSET, None)
-    model = M.logistic(C=0.5, n=known.count()).fit(known)
-    pred = M.positive_score(model.transform(unknown)).select("order_item_id", F.col("score").alias("p"))
+    M, names, known, unknown = _full_data(spark, sf_dir)
+    model = M.logistic(C=0.5, n=known.count(), poly=False).fit(known)
+    pred = M.positive_score(model.transform(unknown())).select("order_item_id", F.col("score").alias("p"))
     path = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
     sinks.write_predictions(pred, path)
     return spark.read.option("header", True).schema("order_item_id string, `return` double").csv(path)
 
 
-@register("csv_roundtrip")
+@register("csv_roundtrip", S.with_ctes(
+    "SELECT order_date, delivery_date, CAST(item_id AS VARCHAR) AS item_id, item_size, item_color, brand_id, item_price, "
+    "CAST(user_id AS VARCHAR) AS user_id, user_title, user_dob, user_state, user_reg_date, \"return\" FROM sent",
+    na_values=("not_reported", "?", "1994-12-31")))
 def csv_roundtrip(spark, sf_dir):
-    """Raw order items written as CSV with text dates, read back with the typed scan."""
+    """Raw order items written as CSV with text dates and the columns in another order, read back
+    by name with the typed scan."""
     import uuid
 
     from ..session import scratch_path
     from ..sources import adapter, scan
     raw = adapter.order_items(spark, sf_dir)
     text = raw.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if c in scan.DATE_COLUMNS else F.col(f"`{c}`")
-                        for c in raw.columns])
+                        for c in sorted(raw.columns)])
     path = scratch_path(spark, f"raw-{uuid.uuid4().hex}")
     scan.write_order_items_csv(text, path)
-    return scan.read_order_items_csv(spark, path, scan.EDA_NA_VALUES)
+    return scan.read_order_items_csv(spark, path, scan.EDA_NA_VALUES).drop("order_item_id")
+
+
+def _name_list_sql():
+    return f"SELECT feature_name AS name FROM ({_expansion_sql()})"
 
 
-@register("name_lists")
+@register("name_lists", _name_list_sql())
 def name_lists(spark, sf_dir):
     """A keep-list written one name per line (with a duplicate and a blank line), read back distinct."""
     import uuid
@@ -1072,7 +1229,7 @@ def name_lists(spark, sf_dir):
     names = FT.expand_names(spec)
     lines = spark.createDataFrame([(n,) for n in names + [names[0], ""]], "value string")
     path = scratch_path(spark, f"names-{uuid.uuid4().hex}")
-    lines.coalesce(1).write.mode("overwrite").text(path)
+    lines.write.mode("overwrite").text(path)
     return lists.read_name_list(spark, path)
 
 

@@ -42,9 +42,9 @@ def score_stream(raw_stream: DataFrame, params: cl.CleanParams, spec: FT.Feature
         "predicted", F.col("p") > F.lit(float(cutoff)))
 
 
-def run_to_memory(scored: DataFrame, name: str, checkpoint: str):
-    """Drive the stream to completion into an in-memory table (tests / smoke); returns the query."""
-    q = (scored.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", checkpoint).start())
-    q.processAllAvailable()
+def run_to_table(scored: DataFrame, path: str, checkpoint: str):
+    """Drive the stream over all that is there into a Parquet table; returns the ended query."""
+    q = (scored.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", checkpoint).start(path))
+    q.awaitTermination()
     return q

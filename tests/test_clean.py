@@ -123,3 +123,40 @@ def test_clean_is_one_stage_without_python(spark):
     plan = cl.clean(df)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_sizes_with_letters_are_not_numbers(spark):
+    from orderlens.functions import sizes
+    rows = [("75D",), ("80F",), ("42d",), ("1e1",), ("nan",), ("38+",), ("15",), ("xxl",), (None,)]
+    df = spark.createDataFrame(rows, "s string").select("s", sizes.clean_size("s").alias("c"))
+    got = {r["s"]: r["c"] for r in df.collect()}
+    assert got == {"75D": "75D", "80F": "80F", "42d": "42D", "1e1": "L", "nan": None, "38+": "S", "15": None, "xxl": "XL", None: None}
+
+
+def test_csv_by_name_with_missing_tokens(spark, tmp_path):
+    from orderlens.sources import scan
+    (tmp_path / "x.csv").write_text(
+        "user_id,delivery_date,item_id,order_date,item_price,item_color,user_title,return\n"
+        "U7,?,A12,2012-06-22,49.9,NA,not_reported,1\n"
+        "8,1994-12-31,13,2012-06-23,nan,red,Mrs,\n"
+        "9,2012-06-25,14,bad,null,n/a,Mr,0\n")
+    rows = {r["user_id"]: r for r in scan.read_order_items_csv(spark, str(tmp_path), scan.EDA_NA_VALUES).collect()}
+    assert rows["U7"]["item_id"] == "A12" and rows["U7"]["delivery_date"] is None and rows["U7"]["item_price"] == 49.9
+    assert rows["U7"]["item_color"] is None and rows["U7"]["user_title"] is None and rows["U7"]["return"] == 1
+    assert rows["8"]["delivery_date"] is None and rows["8"]["item_price"] is None and rows["8"]["return"] is None
+    assert rows["9"]["order_date"] is None and str(rows["9"]["delivery_date"]) == "2012-06-25" and rows["9"]["item_price"] is None
+
+
+def test_split_key_of_any_id(spark):
+    import datetime as dt
+    from orderlens.operators import split
+    rows = [(2**62, -2**62, dt.date(2012, 1, 1)), (5, 7, dt.date(1960, 1, 1))]
+    df = spark.createDataFrame(rows, "item_id long, user_id long, order_date date")
+    days = [(r[2] - dt.date(1970, 1, 1)).days for r in rows]
+    want = [(i * 7919 + u * 104729 + d * 1299709) % 100 for (i, u, _), d in zip(rows, days)]
+    assert [r[0] for r in df.select(split.split_key()).collect()] == want
+    text = spark.createDataFrame([("A12", "U7", dt.date(2012, 1, 1))], "item_id string, user_id string, order_date date")
+    assert 0 <= text.select(split.split_key()).first()[0] < 100
+    copies = spark.range(20000).select(split.poisson_one(["id"], 3).alias("c")).groupBy("c").count().collect()
+    share = {r["c"]: r["count"] / 20000 for r in copies}
+    assert abs(share[0] - 0.3679) < 0.015 and abs(share[1] - 0.3679) < 0.015 and abs(share[3] - 0.0613) < 0.01

@@ -64,8 +64,8 @@ def test_transform_imputes_unseen(spark, hist):
              "history", "order_has_gift", "price_off"]
     r = FT.transform(spec, x, names, keep=()).first()
     assert r["order_num_items"] == 1.0 and r["order_num_brand_id"] == 0.0 and r["history"] == 0.0
-    assert math.isclose(r["item_orders"], spec.item_means["item_orders"])
-    assert math.isclose(r["brand_mean_price"], spec.brand_means["brand_mean_price"])
+    assert math.isclose(r["item_orders"], spec.means("items")["item_orders"])
+    assert math.isclose(r["brand_mean_price"], spec.means("brands")["brand_mean_price"])
 
 
 def test_ratio_and_interaction_by_name(spark, hist):
@@ -96,3 +96,37 @@ def test_expansion_rules(spark):
     assert all("woe" not in n for n in names)
     # denominators whose minimum is 0 never appear
     assert not any(n.endswith("/history") for n in names)
+
+
+def test_ratio_over_minus_one_gets_the_mean(spark, hist):
+    """A denominator of -1 makes b + 1 zero: the value is the column's mean over the batch, never null."""
+    rows = [(1, D(2012, 1, 1), 10, "b1", 10.0, "m", "red", "S1", d, 1, 1) for d in (-1, 1, 4)]
+    x = spark.createDataFrame(rows, SCHEMA)
+    spec = FT.fit(hist)
+    got = sorted(r[0] for r in FT.transform(spec, x, ["item_price/days_to_delivery"], keep=()).collect())
+    assert got == pytest.approx(sorted([10 / 2, 10 / 5, (10 / 2 + 10 / 5) / 2]))
+    fit = FT.fit(x.withColumn("item_price", F.lit(6.0)))
+    again = sorted(r[0] for r in FT.transform(fit, x, ["item_price/days_to_delivery"], keep=(), impute="fit").collect())
+    assert again == pytest.approx(sorted([10 / 2, 10 / 5, (6 / 2 + 6 / 5) / 2]))
+
+
+def test_feature_array_equals_columns(spark, hist):
+    spec = FT.fit(hist)
+    names = ["item_price", "woe_item_color", "item_price/order_num_items", "user_state_S1", "is_q1_value", "history"]
+    wide = sorted(tuple(r) for r in FT.transform(spec, hist, names, keep=()).collect())
+    assert sorted(tuple(r["x"]) for r in FT.feature_array(spec, hist, names, keep=()).collect()) == wide
+
+
+def test_small_tables_are_broadcast_and_written_once(spark, hist):
+    from orderlens import session
+    spec = FT.fit(hist)
+    written = []
+    real = session.materialize
+    session.materialize = lambda df, name="table": written.append(name) or real(df, name)
+    try:
+        for _ in range(2):
+            out = FT.transform(spec, hist, ["brand_mean_price", "state_mean_delivery", "woe_month", "item_orders"], keep=())
+    finally:
+        session.materialize = real
+    assert sorted(written) == ["fit-brands", "fit-items", "fit-states", "fit-woe_month"]
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()

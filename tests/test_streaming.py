@@ -30,10 +30,9 @@ def test_stream_matches_batch(spark):
     unl.write.parquet(src)
     stream = scoring.read_raw_stream(spark, src, schema=unl.schema)
     scored = scoring.score_stream(stream, params, spec, NAMES, beta, means, stds, 0.5)
-    name = "scored_" + uuid.uuid4().hex[:8]
-    q = scoring.run_to_memory(scored, name, scratch_path(spark, f"stream-ckpt-{uuid.uuid4().hex}"))
-    q.stop()
-    got = {r["order_item_id"]: r["p"] for r in spark.table(name).collect()}
+    table = scratch_path(spark, f"scored-{uuid.uuid4().hex}")
+    scoring.run_to_table(scored, table, scratch_path(spark, f"stream-ckpt-{uuid.uuid4().hex}"))
+    got = {r["order_item_id"]: r["p"] for r in spark.read.parquet(table).collect()}
 
     batch = scoring.score_stream(spark.read.parquet(src), params, spec, NAMES, beta, means, stds, 0.5)
     want = {r["order_item_id"]: r["p"] for r in batch.collect()}
