@@ -60,23 +60,18 @@ def color_family(col: Column | str, mapping: dict[str, str] | None = None) -> Co
     return F.coalesce(F.try_element_at(color_map_column(mapping), c), F.lit(DEFAULT_FAMILY))
 
 
-def read_color_map(spark: SparkSession, path: str) -> dict[str, str]:
-    """Read a JSON object ``{colour: family}`` with Spark and return it as a dict.
-
-    The map is a small dimension (one entry per distinct colour name); it is
-    checked against a size bound before it is turned into a literal.
-    """
-    df = spark.read.option("multiLine", True).json(path)
-    # one row, one column per colour
-    if len(df.columns) > 10_000:
-        raise ValueError("colour map too large to inline; join it instead")
-    row = df.first()
-    return {k: row[k] for k in df.columns} if row is not None else {}
-
-
-def color_map_dataframe(spark: SparkSession, mapping: dict[str, str] | None = None) -> DataFrame:
-    mapping = COLOR_FAMILIES if mapping is None else mapping
-    return spark.createDataFrame(list(mapping.items()), "item_color string, color string")
+def read_color_map(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON object ``{colour: family}`` (one file, over any number of lines) as rows (item_color, color)."""
+    pairs = F.from_json("value", "map<string,string>")
+    return (spark.read.text(path, wholetext=True).select(F.explode(pairs).alias("item_color", "color"))
+            .dropDuplicates(["item_color"]))
+
+
+def with_color_family(df: DataFrame, families: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+    """P1 / J8 by join: ``color`` from a (item_color, color) table, ``other`` where it has none.  The table is
+    broadcast if it has at most ``broadcast_rows`` rows."""
+    side = F.broadcast(families) if families.count() <= broadcast_rows else families
+    return df.drop("color").join(side, "item_color", "left").fillna(DEFAULT_FAMILY, subset=["color"])
 
 
 def color_map_sql_values(mapping: dict[str, str] | None = None) -> str:

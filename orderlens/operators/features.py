@@ -347,6 +347,17 @@ def feature_array(spec: FeatureSpec, X: DataFrame, names: list[str], keep: tuple
     return df.select(*[F.col(f"`{k}`") for k in kept], F.array(*[exprs[n] for n in names]).alias(out))
 
 
+def numeric_only(df: DataFrame) -> DataFrame:
+    """The columns that are numbers or flags by their type, in their order."""
+    return df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.BooleanType))])
+
+
+def drop_columns(df: DataFrame, names) -> DataFrame:
+    """Without the columns of a drop-list; names that are no column are ignored."""
+    gone = set(names)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])
+
+
 # ------------------------------------------------------------------ full expansion (U4)
 
 def fit_profile(spec: FeatureSpec, data: DataFrame | None = None) -> dict[str, tuple[bool, bool]]:

@@ -30,6 +30,21 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def r6(c):
+    return F.round(c, 6)
+
+
+def round_sig(c, digits: int = 12):
+    """Round to ``digits`` significant digits (for large magnitudes where fixed decimals exceed precision)."""
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, c).otherwise(F.round(c / p, digits - 1) * p)
+
+
+def round_sig_sql(x: str, digits: int = 12) -> str:
+    p = f"pow(10.0, floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN {x} ELSE round({x} / {p}, {digits - 1}) * {p} END"
+
+
 # ---------------------------------------------------------------- cleaning (L1)
 
 _RAW_OUT = ["order_date", "delivery_date", "item_id", "item_size", "item_color", "brand_id",
@@ -46,10 +61,40 @@ def scan_sentinels(spark, sf_dir):
 @register("color_family", S.with_ctes(
     "SELECT item_color, color, count(*) AS n FROM history GROUP BY item_color, color"))
 def color_family(spark, sf_dir):
-    """Colour -> family, default ``other``."""
+    """Colour -> family, default ``other``."""
     return inputs(spark, sf_dir).history.groupBy("item_color", "color").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("color_json", S.with_ctes(
+    "SELECT item_color, color, count(*) AS n FROM history GROUP BY item_color, color"))
+def color_json(spark, sf_dir):
+    """The colour map read from a JSON file and joined to the rows."""
+    import json
+    import uuid
+
+    from ..functions import colors
+    from ..session import scratch_path
+    path = scratch_path(spark, f"colors-{uuid.uuid4().hex}")
+    spark.createDataFrame([(json.dumps(colors.COLOR_FAMILIES, indent=1),)], "value string").write.text(path)
+    rows = colors.with_color_family(inputs(spark, sf_dir).history, colors.read_color_map(spark, path))
+    return rows.groupBy("item_color", "color").agg(F.count(F.lit(1)).alias("n"))
+
+
+_NUMERIC = ["item_price", "return", "is_na_delivery_date", "is_dob_missing", "is_item_pants", "is_item_underwear", "is_letter_coded",
+            "is_item_clothes", "days_to_delivery", "user_tenure", "age", "month", "delivery_thu", "delivery_fri", "age2", "item_price2"]
+
+
+@register("numeric_projection", S.with_ctes(" UNION ALL ".join(
+    f"(SELECT '{c}' AS column_name, {round_sig_sql(f'sum(CAST({chr(34)}{c}{chr(34)} AS DOUBLE))', 9)} AS total FROM known)"
+    for c in _NUMERIC)))
+def numeric_projection(spark, sf_dir):
+    """The number and flag columns of the cleaned table by their types, without a drop-list; a sum each."""
+    from ..operators import features as FT
+    rows = FT.numeric_only(FT.drop_columns(inputs(spark, sf_dir).known, ["item_id", "user_id", "user_tenure2", "no_such_column"]))
+    sums = rows.agg(*[round_sig(F.sum(F.col(f"`{c}`").cast("double")), 9).alias(c) for c in rows.columns])
+    return sums.unpivot([], rows.columns, "column_name", "total")
+
+
 @register("global_medians", S.with_ctes(
     "SELECT known_ AS is_known, m_del AS median_delivery_days, m_dob AS median_dob_days FROM med"))
 def global_medians(spark, sf_dir):
@@ -115,21 +160,6 @@ def history_union(spark, sf_dir):
 
 # ---------------------------------------------------------------- fitted tables (L2)
 
-def r6(c):
-    return F.round(c, 6)
-
-
-def round_sig(c, digits: int = 12):
-    """Round to ``digits`` significant digits (for large magnitudes where fixed decimals exceed precision)."""
-    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
-    return F.when(c == 0, c).otherwise(F.round(c / p, digits - 1) * p)
-
-
-def round_sig_sql(x: str, digits: int = 12) -> str:
-    p = f"pow(10.0, floor(log10(abs({x}))))"
-    return f"CASE WHEN {x} = 0 THEN {x} ELSE round({x} / {p}, {digits - 1}) * {p} END"
-
-
 def _woe_query(var: str):
     def q(spark, sf_dir):
         from ..operators import lookups as L
@@ -993,6 +1023,17 @@ def _full_data(spark, sf_dir):
     return M, names, known, lambda: side(i.unknown, "full-unknown")
 
 
+def _appended(spark, records, name):
+    """Records appended to a metrics table, read back."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    sinks.append_metrics(records, path)
+    return spark.read.schema(records.schema).parquet(path)
+
+
 def _fit_report(spark, name, model_pipe, train, test, two_sided=True):
     from ..operators import models as M
     _, t = M.evaluate(model_pipe, train, test, two_sided)
@@ -1141,7 +1182,7 @@ def random_search(spark, sf_dir):
     def objective(p):
         return M.evaluate(M.logistic(C=p["C"], penalty=p["penalty"], n=n, max_iter=50), train, test)[1]
 
-    return M.trials_frame(spark, M.random_search(M.SPACES["logistic"], objective, max_evals=10, seed=42), "logistic")
+    return _appended(spark, M.trials_frame(spark, M.random_search(M.SPACES["logistic"], objective, max_evals=10, seed=42), "logistic"), "trials")
 
 
 def _ga(spark, sf_dir, generations=4, population=20):
@@ -1157,7 +1198,7 @@ def _ga(spark, sf_dir, generations=4, population=20):
 def ga_run(spark, sf_dir):
     """Genetic search of logit coefficients; one history row per generation."""
     ga, *_ = _ga(spark, sf_dir)
-    return ga.history_frame(spark)
+    return _appended(spark, ga.history_frame(spark), "ga-history")
 
 
 @register("cost_report")

@@ -34,3 +34,50 @@ def test_population_fitness_is_batched_not_crossed(spark):
     p = plan(CO.population_fitness(s, "x", "y", "price", np.asarray(Q.POOL)))
     assert "MapInPandas" in p or "PythonMapInArrow" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_fact_table_is_not_shuffled_on_few_keys(spark):
+    """Small fitted tables are broadcast after their rows were counted, static size estimates or not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, keys in (("join_brands_states", ("brand_id", "user_state")), ("join_woe", ("item_color", "month", "item_size"))):
+            p = plan(E.queries()[name](spark, SF))
+            for k in keys:
+                assert f"hashpartitioning({k}#" not in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_basket_table_is_built_once(spark, monkeypatch):
+    from orderlens.operators import lookups as L
+    built = []
+    real = L.fit_baskets
+    monkeypatch.setattr(L, "fit_baskets", lambda df: built.append(1) or real(df))
+    E.queries()["cutoff_sweep"](spark, SF).collect()
+    assert len(built) == 1
+
+
+def test_medians_only_where_they_are_needed(spark, monkeypatch):
+    from orderlens.operators import clean
+    monkeypatch.setattr(clean, "clean_history", None)
+    for name in ("scan_sentinels", "global_medians", "rate_by_delivery_days"):
+        E.queries()[name](spark, SF).count()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from orderlens import session
+
+    class Elsewhere:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Elsewhere()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
