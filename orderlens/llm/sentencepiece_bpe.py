@@ -8,8 +8,7 @@ applying all merges by score.
 
 Text is cut where no merge can cross: between two characters that stand side by side in no piece, and
 so before a run of spaces (checked when the model is read) and around characters that are in no
-piece.  Each worker keeps the stretches and units it has met, at most ``CACHE`` of each.  A unit's
-ids are decoded when it is met: where that gives the unit's own text, decoding the whole does, too.
+piece.  Each worker keeps stretches and units it has met lately, at most ``2 * CACHE`` of each.
 
 Defined results: a null text is empty; an empty text has only the begin and end ids.
 """
@@ -23,12 +22,32 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Stretches, and the units they are cut into, that a worker keeps, and the longest one that is kept.
-CACHE, CACHE_CHARS = 600_000, 32
+CACHE, CACHE_CHARS = 200_000, 32
 NEVER = 1 << 60
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
+class Kept(dict):
+    """Results by text, made when first asked for.  Short ones are kept in two generations of at most
+    ``CACHE`` each: a full one becomes the old one, from which what is asked for again comes back."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.old.get(text)
+        if got is None:
+            got = self.make(text)
+        if len(text) <= CACHE_CHARS:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[text] = got
+        return got
+
+
 class Model:
     """Pieces, scores and tables of a merge-type model (bytes of its file)."""
 
@@ -65,12 +84,12 @@ class Model:
         self.automaton.make_automaton()
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), None) for p in self.id}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-        self.odd: dict[str, str] = {}
+        self.units = Kept(lambda s: b"".join(i.to_bytes(4, "little") for i in self.unit(s)))
+        self.stretches = Kept(lambda s: self.stretch(s.replace(" ", SPACE)))
         # what decoding gives for each id: text, or a byte
         self.value = [int(self.piece[i][3:5], 16) if kind[i] == BYTE else "" if kind[i] == CONTROL
                       else " ⁇ " if kind[i] == UNKNOWN else self.piece[i].replace(SPACE, " ") for i in range(n)]
+        self.raw = [bytes([v]) if isinstance(v, int) else v.encode() for v in self.value]
 
     def merged(self, text: str) -> list[str]:
         """Pieces of ``text`` by applying the best merge again and again (ties: leftmost)."""
@@ -119,32 +138,19 @@ class Model:
 
     def unit(self, text: str) -> list[int]:
         """Ids of a text that no cut parts; a character that is in no piece gives its bytes."""
-        if text in self.chars:
-            return [self.id[text]]
+        if (known := self.id.get(text)) is not None:  # such a piece is what its own merges give
+            return [known]
         if len(text) == 1:
             return [self.byte[b] for b in text.encode()]
         return [self.id[p] for p in self.backtracked(text)]
 
     def stretch(self, text: str) -> bytes:
         """Packed ids of a stretch, cut wherever no merge can cross."""
-        known, beside, at = self.units, self.beside, 0
-        out = []
-        for i in [*(i for i in range(1, len(text)) if text[i - 1:i + 1] not in beside), len(text)]:
-            part = text[at:i]
-            at = i
-            got = known.get(part)
-            if got is None:
-                ids = self.unit(part)
-                got = b"".join(i.to_bytes(4, "little") for i in ids)
-                # what the ids decode to is the text itself (spaces for their marks), or is kept apart
-                if (back := self.decoded(ids)) != part.replace(SPACE, " "):
-                    self.odd[part] = back
-                if len(part) <= CACHE_CHARS:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[part] = got
-            out.append(got)
-        return b"".join(out)
+        beside = self.beside
+        cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in beside]
+        if not cuts:
+            return self.units[text]
+        return b"".join([self.units[text[i:j]] for i, j in zip([0, *cuts], [*cuts, len(text)])])
 
     def decoded(self, ids: list[int]) -> str:
         """The pieces' texts; bytes side by side become characters, each bad byte U+FFFD."""
@@ -161,38 +167,27 @@ class Model:
             out.append(v)
         return "".join(out)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         """As the library's ``decode``: the leading space that encoding adds is taken off."""
-        out = self.decoded(ids)
+        try:
+            out = b"".join(map(self.raw.__getitem__, ids)).decode()
+        except UnicodeDecodeError:  # bytes that are no characters
+            out = self.decoded(list(ids))
         first = next((i for i in ids if i not in (self.bos, self.eos)), None)
         return out[1:] if first is not None and self.piece[first].startswith(SPACE) else out
 
-    def encode_packed(self, text: str) -> tuple[bytes, str]:
-        """(ids between begin and end as little-endian 32-bit integers, decoded text)."""
-        if not text:
-            return b"", ""
-        cache, ids = self.cache, []
-        stretches = STRETCH.findall(SPACE + text.replace(" ", SPACE))
-        for s in stretches:
-            got = cache.get(s)
-            if got is None:
-                got = self.stretch(s)
-                if len(s) <= CACHE_CHARS:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[s] = got
-            ids.append(got)
-        packed = b"".join(ids)
-        if self.odd:
-            return packed, self.decode(list(memoryview(packed).cast("I")))
-        return packed, text.replace(SPACE, " ")
+    def encode_packed(self, text: str) -> bytes:
+        """Ids between begin and end as little-endian 32-bit integers."""
+        if SPACE in text:  # in this model's texts it is a space
+            text = text.replace(SPACE, " ")
+        return b"".join(map(self.stretches.__getitem__, STRETCH.findall(" " + text))) if text else b""
 
     def encode(self, text: str) -> list[int]:
-        packed, _ = self.encode_packed(text)
+        packed = self.encode_packed(text)
         return [self.bos, *memoryview(packed).cast("I"), self.eos] if packed else [self.bos, self.eos]
 
 
-STRETCH = re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
+STRETCH = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _MODELS: dict[str, Model] = {}
 
 
@@ -241,8 +236,8 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", k
         for b in batches:
             counts, id_sums, text_sums, all_ids, texts = [], [], [], [], []
             for v in b.column(len(keep)):
-                packed, back = m.encode_packed(v.as_py() or "")
-                packed = bos + packed + eos
+                packed = bos + m.encode_packed(v.as_py() or "") + eos
+                back = m.decode(memoryview(packed).cast("I"))
                 counts.append(len(packed) // 4)
                 id_sums.append(hashlib.sha256(packed).hexdigest())
                 text_sums.append(hashlib.sha256(back.encode()).hexdigest())
