@@ -30,7 +30,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: no recomputation, lineage cut."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more: what was made of them is written, too."""
+    for t in tables:
+        spark = t.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release() -> None:
+    """Let Spark drop the shuffle files of steps that are done: their frames are garbage."""
+    import gc
+
+    from pyspark import SparkContext
+    gc.collect()
+    SparkContext._active_spark_context._jvm.System.gc()
 
 
 def shared_bytes(spark: SparkSession, name: str, data: bytes) -> str:
@@ -120,11 +139,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "large")
+        before, large = links, written(large, "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
         now = state(links)
+        discard(before, large)
         if now == seen:
             break
         seen = now

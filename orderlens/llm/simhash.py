@@ -189,18 +189,29 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3,
                 radius: int = 3, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one of the smallest id, the first of
-    repeated rows; rows without an id make a group by fingerprint unless a row with an id has it."""
+    """``docs`` with one row of each group of near duplicates: the one of the smallest id, one of repeated
+    rows; rows without an id make a group by fingerprint unless a row with an id has it."""
     columns = docs.columns
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     text, key = f"c{columns.index(text_col)}", f"c{columns.index(id_col)}"
-    marked = written(with_fingerprints(numbered, text, tuple(numbered.columns), shingle, seed)
-                     .withColumn("row", F.monotonically_increasing_id()), "marked")  # written, so the numbers stay
-    small = marked.select(F.col(key).cast("long").alias("doc_id"), "fp", "row")
-    chosen = (small.join(_grouped(small, radius, block_rows), "fp", "left")
-              .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_fp"))
-              .agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")))
-    return marked.join(chosen.select("row"), "row", "left_semi").select(*numbered.columns).toDF(*columns)
+    ids = plain.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    small = written(with_fingerprints(ids, "text", ("doc_id",), shingle, seed), "fingerprints")
+    grouped = small.join(_grouped(small, radius, block_rows), "fp", "left")
+    copies = small.groupBy("doc_id").agg(F.count("*").alias("copies"))
+    chosen = (grouped.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("fp").alias("fp")).join(copies, "doc_id"))
+    chosen = written(chosen.unionByName(grouped.filter("component_id is null").select(F.lit(None).cast("long").alias("doc_id"), "fp")
+                                        .distinct().withColumn("copies", F.lit(0).cast("long"))), "chosen")
+    match = F.col(key).cast("long") == F.col("doc_id")
+    out = plain.join(chosen.filter("copies = 1").hint("merge"), match, "left_semi")
+    # an id of several rows, or none: its rows are told apart by their fingerprints, and equal ones count once
+    for some, rows in ((chosen.filter("copies > 1"), plain.join(chosen.filter("copies > 1"), match, "left_semi")),
+                       (chosen.filter("copies = 0"), plain.filter(F.col(key).isNull()))):
+        if not some.isEmpty():
+            marked = with_fingerprints(rows, text, tuple(plain.columns), shingle, seed)
+            some = some.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
+            same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
+            out = out.unionByName(marked.join(some, same, "left_semi").dropDuplicates([key, "fp"]).select(*plain.columns))
+    return out.toDF(*columns)
 
 
 def hex_of(fp) -> F.Column:

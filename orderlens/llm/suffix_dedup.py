@@ -25,7 +25,6 @@ are copies of each other; matches never cross documents; an empty table gives no
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import struct
 
@@ -33,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, release, written
 
 SIZE, KMER, CELL = 400, 16, 64
 #: Bytes of distinct suffixes in a run, and what a range of the merge holds on average.
@@ -428,7 +427,9 @@ def _inner_suffixes(runs: DataFrame, size: int, run_bytes: int) -> DataFrame:
     begins = seen.groupBy("hash").agg(F.min("before").alias("a"), F.max("before").alias("b")).filter("a <> b").select("hash")
     inner = (seen.filter("at > 0").select("hash", "run", "entry", "at").join(begins, "hash", "left_semi")
              .groupBy("run").agg(F.collect_list(F.struct("entry", "at")).alias("inner")))
-    return written(_second_runs(runs.select("run", "block", "m_entry", "m_text", "m_bytes", "m_at").join(inner, "run"), run_bytes), "second-runs")
+    out = written(_second_runs(runs.select("run", "block", "m_entry", "m_text", "m_bytes", "m_at").join(inner, "run"), run_bytes), "second-runs")
+    discard(seen)
+    return out
 
 
 def _splitters(runs: DataFrame, range_bytes: int) -> list[bytes]:
@@ -516,13 +517,6 @@ def _found_spans(runs: DataFrame, merged: DataFrame, size: int) -> DataFrame:
             .mapInArrow(of, "text long, bytes int, begin int, end int"))
 
 
-def _release() -> None:
-    """Let Spark drop the shuffle files of steps that are done: their frames are garbage."""
-    from pyspark import SparkContext
-    gc.collect()
-    SparkContext._active_spark_context._jvm.System.gc()
-
-
 def repeated_spans(docs: DataFrame, size: int = SIZE, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(text, bytes, copies, spans) of the texts (last column of ``docs``) that lose something; ``spans`` is an
     array of (begin, end) that may overlap, and null where the whole text goes as a copy."""
@@ -530,24 +524,31 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, run_bytes: int = RUN_BYTES
         raise ValueError(f"size must be at least {CELL + 2 * KMER}")
     texts = written(_packed(docs, [], size).groupBy("text", "bytes")
                     .agg(F.count("*").alias("copies"), F.first("z").alias("z")), "texts")
-    _release()
+    release()
     cores = written(_cells(texts, size).groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
-    _release()
+    release()
     picked = written(_cells(texts, size).join(cores, "core")
                      .groupBy("text", "bytes").agg(F.collect_list(F.struct("core", "first", "last")).alias("picked")), "picked")
-    _release()
+    discard(cores)
+    release()
     first = written(_first_runs(texts.select("text", "bytes", "z").join(picked, ["text", "bytes"]), size, run_bytes), "first-runs")
-    _release()
-    runs = first.unionByName(_inner_suffixes(first, size, run_bytes))
-    _release()
+    discard(picked)
+    whole = written(texts.filter("copies > 1").select("text", "bytes", "copies"), "whole")
+    discard(texts)
+    release()
+    second = _inner_suffixes(first, size, run_bytes)
+    release()
+    runs = first.unionByName(second)
     splitters = _splitters(runs, range_bytes)
     merged = written(_merged(_ranges(runs, splitters), len(splitters) + 1), "merged")
-    _release()
+    release()
     spans = _found_spans(runs, merged, size).groupBy("text", "bytes").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    whole = texts.filter("copies > 1").select("text", "bytes", "copies")
     out = whole.join(spans, ["text", "bytes"], "full_outer")
-    return written(out.select("text", "bytes", F.coalesce("copies", F.lit(1)).alias("copies"),
-                              F.when(F.col("copies") > 1, None).otherwise(F.col("spans")).alias("spans")), "spans")
+    out = written(out.select("text", "bytes", F.coalesce("copies", F.lit(1)).alias("copies"),
+                             F.when(F.col("copies") > 1, None).otherwise(F.col("spans")).alias("spans")), "spans")
+    discard(first, second, merged, whole)
+    release()
+    return out
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -566,7 +567,6 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...
     remaining bytes as text; a character that was cut goes) of every row."""
     source = docs.select(*keep, docs[text_col].cast("string").alias("_text"))
     found = repeated_spans(source.select("_text"), size, run_bytes, range_bytes)
-    _release()
     rows = _packed(source, list(keep)).join(found, ["text", "bytes"], "left")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
     fields += ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept string"] * kept_text
