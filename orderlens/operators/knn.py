@@ -81,7 +81,7 @@ def neighbours(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: s
     r, blocks = _packed(reference, id_col, vec_col, label_col, block_rows)
     pairs = (q.toDF("q_block", "q_ids", "q_vectors", "q_labels", "q_n")
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-             .hint("shuffle_hash").join(r, "block"))
+             .hint("merge").join(r, "block"))
 
     def partial(batches):
         import pandas as pd

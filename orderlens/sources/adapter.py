@@ -46,7 +46,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
 
     # orders grow with the line items: always the co-partitioned join, whatever today's size
-    j = (li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
+    j = (li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
            .join(c, o.o_custkey == c.c_custkey)
            .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)   # fixed 25-row dimension
            .join(p, li.l_partkey == p.p_partkey))
