@@ -34,6 +34,8 @@ CHROME_WORDS = frozenset("""ad ads advert adverts advertisement advertisements a
  banner nav navbar navigation menu menus breadcrumb breadcrumbs header masthead footer sidebar aside cookie cookies
  consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login form search share sharing
  social related recommended comment comments disqus reply replies widget pagination pager skip hidden""".split())
+#: Words that inside an article name its own heading.
+HEADINGS = frozenset(["header", "masthead"])
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: A start tag that ends an open element of these names.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -79,10 +81,10 @@ class Lines(HTMLParser):
         part = self.part
         if part != CHROME_LINE:
             if tag in ("article", "main"):
-                part = ARTICLE
+                part = CHROME_LINE if _is_chrome_itself(attrs) else ARTICLE
             elif tag in CHROME and not (tag == "header" and part == ARTICLE):
                 part = CHROME_LINE
-            elif tag not in ("html", "body") and _names_chrome(attrs):
+            elif tag not in ("html", "body") and _names_chrome(attrs, HEADINGS if part == ARTICLE else frozenset()):
                 part = CHROME_LINE
         if part != self.part:
             self.flush()
@@ -111,11 +113,14 @@ class Lines(HTMLParser):
             self.text.append(data)
 
 
-def _names_chrome(attrs) -> bool:
+def _names_chrome(attrs, but: frozenset) -> bool:
+    """Whether a part of a class or id, a role or hiding says so; ``but``: words that do not count."""
     for k, v in attrs:
         if k in ("class", "id") and v:
-            if any(w.lower() in CHROME_WORDS for w in PARTS.findall(v)):
-                return True
+            for name in v.split():
+                parts = [w.lower() for w in PARTS.findall(name)]
+                if any(w in CHROME_WORDS and w not in but for w in [*parts, "".join(parts)]):
+                    return True
         elif k == "role" and v and v.strip().lower() in CHROME_ROLES:
             return True
         elif k == "hidden" or k == "aria-hidden" and v == "true":
@@ -123,6 +128,11 @@ def _names_chrome(attrs) -> bool:
     return False
 
 
+def _is_chrome_itself(attrs) -> bool:
+    """An article element may be a reader's comment or an advert: a whole class name says so."""
+    return any(k == "class" and v and CHROME_WORDS & set(v.lower().split()) for k, v in attrs)
+
+
 def lines_of(html: str | None) -> list[tuple[str, int]]:
     if not html:
         return []

@@ -40,6 +40,14 @@ def test_article():
         "Title & more\nFirst line.\nSecond one <3 é\na\nb c"
 
 
+def test_names_of_parts():
+    html = """<main class="has-sidebar"><div class="article-header"><h1>Title</h1></div><p class="lead">Text</p>
+    <div class="sideBar">no</div><article class="comment"><p>first!</p></article><div role="search">no</div><p hidden>no</p></main>
+    <div class="page-header">no</div><div id="footerLinks">no</div>"""
+    assert [x for x, p in H.lines_of(html) if p == H.ARTICLE] == ["Title", "Text"]
+    assert all(p == H.ARTICLE for _, p in H.lines_of(html))
+
+
 @pytest.mark.parametrize("html,want", [(None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\nb"),
                                        ("<article></article>", ""), ("a &amp b &am", "a & b &am"), ("<p>x</b> y", "x y")])
 def test_odd_pages(spark, html, want):
