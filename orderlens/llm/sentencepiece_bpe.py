@@ -8,7 +8,7 @@ applying all merges by score.
 
 Text is cut where no merge can cross: between two characters that stand side by side in no piece, and
 so before a run of spaces (checked when the model is read) and around characters that are in no
-piece.  Each worker keeps stretches and units it has met lately, at most ``2 * CACHE`` of each.
+piece.  A task keeps stretches and units it has met lately, at most ``2 * CACHE`` of each.
 
 Defined results: a null text is empty; an empty text has only the begin and end ids.
 """
@@ -24,6 +24,8 @@ SPACE = "▁"
 #: Stretches, and the units they are cut into, that a worker keeps, and the longest one that is kept.
 CACHE, CACHE_CHARS = 200_000, 32
 NEVER = 1 << 60
+#: Texts whose results are handed on at a time.
+ROWS = 1024
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -91,6 +93,13 @@ class Model:
                       else " ⁇ " if kind[i] == UNKNOWN else self.piece[i].replace(SPACE, " ") for i in range(n)]
         self.raw = [bytes([v]) if isinstance(v, int) else v.encode() for v in self.value]
 
+    def forget(self) -> None:
+        """Drop what was kept while a task ran."""
+        for kept in (self.stretches, self.units):
+            kept.clear()
+            kept.old = {}
+        self.pairs.clear()
+
     def merged(self, text: str) -> list[str]:
         """Pieces of ``text`` by applying the best merge again and again (ties: leftmost)."""
         parts, rank, never = list(text), self.rank.get, NEVER
@@ -229,27 +238,33 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", k
     keep = list(keep)
 
     def encode(batches):
+        m = _model(model.value)
+        try:
+            for b in batches:
+                for i in range(0, b.num_rows, ROWS):
+                    yield encoded(m, b.slice(i, ROWS))
+        finally:
+            m.forget()  # the worker may live on, with other work
+
+    def encoded(m, b):
         import numpy as np
         import pyarrow as pa
-        m = _model(model.value)
         bos, eos = m.bos.to_bytes(4, "little"), m.eos.to_bytes(4, "little")
-        for b in batches:
-            counts, id_sums, text_sums, all_ids, texts = [], [], [], [], []
-            for v in b.column(len(keep)):
-                packed = bos + m.encode_packed(v.as_py() or "") + eos
-                back = m.decode(memoryview(packed).cast("I"))
-                counts.append(len(packed) // 4)
-                id_sums.append(hashlib.sha256(packed).hexdigest())
-                text_sums.append(hashlib.sha256(back.encode()).hexdigest())
-                if tokens:
-                    all_ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
-                    texts.append(back)
-            cols = [*b.columns[:len(keep)], pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()),
-                    pa.array(text_sums, pa.string())]
-            names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
+        counts, id_sums, text_sums, all_ids, texts = [], [], [], [], []
+        for v in b.column(len(keep)):
+            packed = bos + m.encode_packed(v.as_py() or "") + eos
+            back = m.decode(memoryview(packed).cast("I"))
+            counts.append(len(packed) // 4)
+            id_sums.append(hashlib.sha256(packed).hexdigest())
+            text_sums.append(hashlib.sha256(back.encode()).hexdigest())
             if tokens:
-                cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                all_ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
+                texts.append(back)
+        cols = [*b.columns[:len(keep)], pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
+        names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
+        if tokens:
+            cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
+            names += ["ids", "decoded"]
+        return pa.RecordBatch.from_arrays(cols, names=names)
 
     return docs.select(*keep, docs[text_col].cast("string").alias("_text")).mapInArrow(encode, ", ".join(fields))

@@ -449,27 +449,21 @@ def _ranges(runs: DataFrame, splitters: list[bytes]) -> DataFrame:
     schema = _arrow(runs.sparkSession, fields)
 
     def cut(batches):
-        from bisect import bisect_left
+        from bisect import bisect_right
         for b in batches:
             for run, block, m_entry, n in zip(*(b.column(i).to_pylist() for i in range(4))):
                 many = np.bincount(np.frombuffer(m_entry, np.int32), minlength=n) > 1
                 strings = [s for _, s in front_decoded(block)]
-                bounds = sorted({0, n, *(bisect_left(strings, c) for c in cuts.value)})
-                rows = []
-                for s, e in zip(bounds, bounds[1:]):
-                    at = _range_of(strings[s], cuts.value)
-                    rows.append({"range": at, "run": run, "start": s, "block": front_code(strings[s:e]), "many": many[s:e].tobytes()})
+                at = np.array([bisect_right(cuts.value, s) for s in strings])
+                bounds = np.flatnonzero(np.diff(at, prepend=-1, append=-1)).tolist()
+                rows = [{"range": int(at[s]), "run": run, "start": s, "block": front_code(strings[s:e]), "many": many[s:e].tobytes()}
+                        for s, e in zip(bounds, bounds[1:])]
                 if rows:
                     yield _batch(rows, schema)
 
     return runs.select("run", "block", "m_entry", "entries").mapInArrow(cut, fields)
 
 
-def _range_of(string: bytes, cuts: list[bytes]) -> int:
-    from bisect import bisect_right
-    return bisect_right(cuts, string)
-
-
 def _merged(ranges: DataFrame, n_ranges: int) -> DataFrame:
     """(run, start, lengths) of every block, after each range's merge."""
     fields = "run long, start int, lengths binary"
