@@ -15,10 +15,10 @@ from ..sources.scan import NA_VALUES, apply_sentinels
 class Inputs:
     """Each table is made when a query first asks for it; only the cleaned ones need the medians' job.
 
-    ``materialize`` writes the cleaned table once (Parquet in the shared checkpoint folder) for
-    queries that make several passes: every later job -- fitted tables, scaling parameters, the
-    final plan -- reads it instead of re-running the adapter join and the cleaning, and the lineage
-    is cut (a lost executor does not replay the raw scan).
+    ``materialize`` writes the joined rows once (Parquet in the shared checkpoint folder) for queries
+    that make several passes: the medians, every fitted table, scaling parameters and the final plan
+    read only the columns they need of it; cleaning is a narrow projection on top.  The lineage is
+    cut (a lost executor does not replay the raw joins).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, na_values=NA_VALUES, materialize: bool = False):
@@ -28,16 +28,16 @@ class Inputs:
     @cached_property
     def sentinel(self) -> DataFrame:
         """Raw rows, sentinels -> null."""
-        return apply_sentinels(self.raw, self.na_values)
+        rows = apply_sentinels(self.raw, self.na_values)
+        if self.materialize:
+            from ..session import materialize as write_table
+            rows = write_table(rows, "order-items")
+        return rows
 
     @cached_property
     def history(self) -> DataFrame:
         """Both files cleaned, in one pass."""
-        hist = cl.clean_history(self.raw, self.na_values)
-        if self.materialize:
-            from ..session import materialize as write_table
-            hist = write_table(hist, "cleaned-history")
-        return hist
+        return cl.clean_history(self.sentinel, self.na_values)
 
     @cached_property
     def known(self) -> DataFrame:
