@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
 _PACKED = "block int, ids binary, vectors binary, labels binary, n int"
-_CELLS = 4_000_000                    # differences held at a time
+_CELLS = 500_000                      # distances held at a time
 
 
 def _packed(df: DataFrame, id_col: str, vec_col: str, label_col: str, block_rows: int) -> tuple[DataFrame, int]:
@@ -49,12 +49,16 @@ def _packed(df: DataFrame, id_col: str, vec_col: str, label_col: str, block_rows
 
 
 def _distances(q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
-    diff = np.abs(q[:, None, :] - R[None, :, :])
-    if p == 1:
-        return diff.sum(axis=2)
-    if p == 2:
-        return np.sqrt((diff * diff).sum(axis=2))
-    return (diff ** p).sum(axis=2) ** (1.0 / p)
+    """Summed a dimension at a time: no array larger than the result."""
+    total = np.zeros((len(q), len(R)))
+    for a, b in zip(q.T, R.T):
+        diff = a[:, None] - b[None, :]
+        if p == 2:
+            total += np.multiply(diff, diff, out=diff)
+        else:
+            np.abs(diff, out=diff)
+            total += diff if p == 1 else diff ** p
+    return total if p == 1 else np.sqrt(total) if p == 2 else total ** (1.0 / p)
 
 
 def _nearest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +94,7 @@ def neighbours(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: s
                 qid, rid = np.frombuffer(x.q_ids, np.int64), np.frombuffer(x.ids, np.int64)
                 ql, rl = np.frombuffer(x.q_labels, np.int64), np.frombuffer(x.labels, np.int64)
                 Q, R = np.frombuffer(x.q_vectors).reshape(x.q_n, -1), np.frombuffer(x.vectors).reshape(x.n, -1)
-                step = max(1, _CELLS // max(1, R.size))
+                step = max(1, _CELLS // max(1, len(R)))
                 out = []
                 for i in range(0, len(Q), step):
                     d = _distances(Q[i:i + step], R, p)
