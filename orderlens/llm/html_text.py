@@ -1,20 +1,22 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page becomes text lines, one a block.  Lines in menus, headers, footers, sidebars, notices,
-adverts, forms and comments, which markup names, are chrome.  Lines inside an ``article`` or ``main``
-element are the article.  The rest is open: open lines are aligned by longest common subsequence with
-those of the page's two neighbours in the order of URL paths within its host, and what a neighbour
-shares is site furniture and deleted.  A page with an article is the article alone (a passage two
-articles share stays); a page without one is its open lines that no neighbour shares.
+adverts, forms and comments, which markup names, are chrome.  All other lines of every page are
+aligned by longest common subsequence with those of the page's two neighbours in the order of URL
+paths within its host, and what a neighbour shares is site furniture and deleted.  An ``article``
+element is judged whole: one with a line of its own keeps all its lines (a licence line or a passage
+that two articles share stays), one without is a card that the site repeats and deleted, unless the
+page has less text left than its deleted articles hold.
 
 Defined results: a null html is empty; a null url has an empty host and path; a neighbour with the
-very same open lines (a copy) tells nothing and is passed over; rows repeated whole are pages of
+very same lines (a copy) tells nothing and is passed over; rows repeated whole are pages of
 their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -43,6 +45,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = frozenset("article aside body button div dl fieldset footer form header html main nav ol section table td th ul".split())
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 OPEN, CHROME_LINE, ARTICLE = 0, 1, 2
+#: Bytes of a line's digest.
+DIGEST = 16
 
 
 class Lines(HTMLParser):
@@ -51,9 +55,10 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
+        self.units: list[int] = []  # of each line: the number of its innermost article element; 0: none
         self.text: list[str] = []
-        self.stack: list[tuple[str, int]] = []  # (element, part)
-        self.part = OPEN
+        self.stack: list[tuple[str, int, int]] = []  # (element, part, article)
+        self.part, self.unit, self.articles = OPEN, 0, 0
 
     def flush(self) -> None:
         if self.text:
@@ -61,10 +66,11 @@ class Lines(HTMLParser):
             self.text = []
             if line and self.part != CHROME_LINE:
                 self.lines.append((line, self.part))
+                self.units.append(self.unit)
 
     def _pop_to(self, size: int) -> None:
         del self.stack[size:]
-        self.part = self.stack[-1][1] if self.stack else OPEN
+        _, self.part, self.unit = self.stack[-1] if self.stack else ("", OPEN, 0)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -88,7 +94,10 @@ class Lines(HTMLParser):
                 part = CHROME_LINE
         if part != self.part:
             self.flush()
-        self.stack.append((tag, part))
+        if tag == "article":
+            self.articles += 1
+            self.unit = self.articles
+        self.stack.append((tag, part, self.unit))
         self.part = part
 
     def handle_startendtag(self, tag, attrs):
@@ -99,7 +108,7 @@ class Lines(HTMLParser):
         if block:
             self.flush()
         for i in range(len(self.stack) - 1, -1, -1):
-            name, _ = self.stack[i]
+            name = self.stack[i][0]
             if name == tag:
                 if self.stack[i][1] != (self.stack[i - 1][1] if i else OPEN):
                     self.flush()
@@ -133,24 +142,27 @@ def _is_chrome_itself(attrs) -> bool:
     return any(k == "class" and v and CHROME_WORDS & set(v.lower().split()) for k, v in attrs)
 
 
-def lines_of(html: str | None) -> list[tuple[str, int]]:
-    if not html:
-        return []
+def page_of(html: str | None) -> Lines:
     page = Lines()
-    page.feed(html)
-    page.close()
-    page.flush()
-    return page.lines
+    if html:
+        page.feed(html)
+        page.close()
+        page.flush()
+    return page
+
 
+def lines_of(html: str | None) -> list[tuple[str, int]]:
+    return page_of(html).lines
 
-def shared_lines(a: list[str], b: list[str]) -> set[int]:
+
+def shared_lines(a: list, b: list) -> set[int]:
     """Indexes of ``a``'s lines in a longest common subsequence with ``b`` (bit-parallel rows)."""
     in_a, in_b = set(a), set(b)
     ia = [i for i, x in enumerate(a) if x in in_b]
     b = [x for x in b if x in in_a]
     if not ia:
         return set()
-    places: dict[str, int] = {}
+    places: dict = {}
     for j, x in enumerate(b):
         places[x] = places.get(x, 0) | 1 << j
     full = (1 << len(b)) - 1
@@ -172,99 +184,114 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
     return out
 
 
-def kept_lines(page: list[str], neighbours: list[list[str]]) -> list[str]:
+def deleted_lines(page: list, units: list[int], sizes: list[int], neighbours: list[list]) -> set[int]:
+    """Indexes of the lines of ``page`` that go: ``units`` are their articles, ``sizes`` their lengths."""
     gone: set[int] = set()
     for other in neighbours:
         if other != page:
             gone |= shared_lines(page, other)
-    return [x for i, x in enumerate(page) if i not in gone]
+    if not gone:
+        return gone
+    own = {u for i, u in enumerate(units) if u and i not in gone}
+    gone = {i for i in gone if units[i] not in own}
+    cards = sum(sizes[i] for i in gone if units[i])
+    if cards > sum(sizes) - sum(sizes[i] for i in gone):
+        gone = {i for i in gone if not units[i]}
+    return gone
 
 
 def parse_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """``keep`` columns, ``text`` (the article; null if the page has none) and ``lines`` (open lines)."""
+    """``keep`` columns, ``lines`` (all that are not chrome) and ``units`` (the article of each; 0: none)."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema.fields]
     n = len(keep)
 
     def parse(batches):
         import pyarrow as pa
         for b in batches:
-            texts, open_ = [], []
-            for v in b.column(n):
-                found = lines_of(v.as_py())
-                article = [x for x, part in found if part == ARTICLE]
-                texts.append("\n".join(article) if article else None)
-                open_.append([x for x, part in found if part == OPEN])
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(texts, pa.string()), pa.array(open_, pa.list_(pa.string()))],
-                                             names=[*keep, "text", "lines"])
+            found = [page_of(v.as_py()) for v in b.column(n)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([[x for x, _ in p.lines] for p in found], pa.list_(pa.string())),
+                                              pa.array([p.units for p in found], pa.list_(pa.int32()))], names=[*keep, "lines", "units"])
 
     return pages.select(*keep, pages[html_col].cast("string").alias("_html")).mapInArrow(
-        parse, ", ".join([*fields, "text string", "lines array<string>"]))
+        parse, ", ".join([*fields, "lines array<string>", "units array<int>"]))
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    """``row, host, path, id, units`` of ``rows``, and for ``lines`` their digests (end to end) and lengths:
+    pages are aligned by these, texts stay where they are."""
+    kept = ["row", "host", "path", "id", "units"]
+
+    def digest(batches):
+        import pyarrow as pa
+        for b in batches:
+            lines = [v.as_py() for v in b.column(len(kept))]
+            codes = [b"".join(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=DIGEST).digest() for x in p) for p in lines]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], pa.array(codes, pa.binary()),
+                                              pa.array([[len(x) for x in p] for p in lines], pa.list_(pa.int32()))],
+                                             names=[*kept, "codes", "sizes"])
+
+    wide = rows.select("row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "id", "units", "lines")
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in wide.drop("lines").schema.fields]
+    return wide.mapInArrow(digest, ", ".join([*fields, "codes binary", "sizes array<int>"]))
 
 
 def _differenced(rows: DataFrame) -> DataFrame:
-    """(id, url, text) of the rows without an article: open lines that no URL neighbour shares.
+    """(row, keep) of the rows that lose a line to differencing: whether each line stays.
 
     Rows are dealt to ranges of (host, path); each range also gets the row before its first and the
     one after its last, so neighbours meet wherever a range is cut, and a large host is spread."""
     order = ["host", "path", "id"]
-    dealt = (rows.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "id", "url", "lines",
-                         F.col("text").isNull().alias("wanted"))
-             .repartitionByRange(*order).sortWithinPartitions(*order)
-             .withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
+    dealt = (_digests(rows).repartitionByRange(*order).sortWithinPartitions(*order)
+             .select("row", "host", "units", "codes", "sizes", F.spark_partition_id().alias("part"),
+                     F.monotonically_increasing_id().alias("place")))
     dealt = written(dealt, "url-order")  # the numbers stay as written
-    row = F.struct(*dealt.columns)
-    ends = dealt.groupBy("part").agg(F.min_by(row, "place").alias("first"), F.max_by(row, "place").alias("last"))
-    # the next range that has rows: one small row a range
-    nearby = written(ends.select("part", "first", "last"), "range-ends")
-    parts = sorted(r.part for r in nearby.select("part").collect())
-    after = dict(zip(parts, parts[1:]))
-    if after:
-        steps = rows.sparkSession.createDataFrame(list(after.items()), "part int, next int")
-        forward = nearby.join(steps, "part").select(F.col("last").alias("r"), F.col("next").alias("to"))
-        back = (nearby.withColumnRenamed("part", "next").join(steps, "next")
-                .select(F.col("first").alias("r"), F.col("part").alias("to")))
-        context = forward.unionByName(back).select("r.*", "to").withColumn("part", F.col("to")).drop("to").withColumn("wanted", F.lit(None).cast("boolean"))
-        dealt = dealt.unionByName(context)
-    kind = dict(rows.dtypes)["id"]
+    # a range's first and last place: one small row a range
+    ends = sorted(dealt.groupBy("part").agg(F.min("place"), F.max("place")).collect())
+    nearby = [(last, after) for (_, _, last), (after, _, _) in zip(ends, ends[1:])]
+    nearby += [(first, before) for (before, _, _), (_, first, _) in zip(ends, ends[1:])]
+    dealt = dealt.withColumn("wanted", F.lit(True))
+    if nearby:
+        steps = rows.sparkSession.createDataFrame(nearby, "place long, to int")
+        context = dealt.join(F.broadcast(steps), "place").withColumn("part", F.col("to")).withColumn("wanted", F.lit(False))
+        dealt = dealt.unionByName(context.drop("to"))
 
     def difference(batches):
         import pyarrow as pa
+        types = pa.schema([("row", pa.int64()), ("keep", pa.list_(pa.bool_()))])
 
         def stream():
             for b in batches:
                 for r in b.to_pylist():
+                    c = r["codes"]
+                    r["codes"] = [c[i:i + DIGEST] for i in range(0, len(c), DIGEST)]
                     yield r
             yield None
 
         before, here = None, None
-        out: list[tuple] = []
-        types = pa.schema([("id", id_type), ("url", pa.string()), ("text", pa.string())])
-        for after_ in stream():
-            if here is not None:
-                if here["wanted"]:
-                    near = [x["lines"] for x in (before, after_)
-                            if x is not None and x["host"] == here["host"] and x["part"] == here["part"]]
-                    out.append((here["id"], here["url"], "\n".join(kept_lines(here["lines"], near))))
+        out: list[dict] = []
+        for after in stream():
+            if here is not None and here["wanted"]:
+                near = [x["codes"] for x in (before, after)
+                        if x is not None and x["host"] == here["host"] and x["part"] == here["part"]]
+                if gone := deleted_lines(here["codes"], here["units"], here["sizes"], near):
+                    out.append({"row": here["row"], "keep": [i not in gone for i in range(len(here["codes"]))]})
                 if len(out) >= 256:
-                    yield pa.RecordBatch.from_pylist([dict(zip(types.names, x)) for x in out], schema=types)
+                    yield pa.RecordBatch.from_pylist(out, schema=types)
                     out = []
-            before, here = here, after_
+            before, here = here, after
         if out:
-            yield pa.RecordBatch.from_pylist([dict(zip(types.names, x)) for x in out], schema=types)
+            yield pa.RecordBatch.from_pylist(out, schema=types)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    id_type = to_arrow_type(rows.schema["id"].dataType)
     # a context row goes before or after the range's own by its place
     return (dealt.repartition("part").sortWithinPartitions("part", "place")
-            .mapInArrow(difference, f"id {kind}, url string, text string"))
+            .mapInArrow(difference, "row long, keep array<boolean>"))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    parsed = written(parse_pages(rows, "html", ("id", "url")), "parsed")
-    whole = parsed.filter(F.col("text").isNotNull() | (F.size("lines") == 0))
-    out = whole.select("id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    if not parsed.filter(F.col("text").isNull() & (F.size("lines") > 0)).isEmpty():
-        out = out.unionByName(_differenced(parsed.filter(F.size("lines") > 0)))
-    return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+    parsed = written(parse_pages(rows, "html", ("id", "url")).withColumn("row", F.monotonically_increasing_id()), "parsed")
+    kept = written(_differenced(parsed.filter(F.size("lines") > 0)), "kept-lines")
+    text = F.array_join(F.filter("lines", lambda _, i: F.coalesce(F.get("keep", i), F.lit(True))), "\n")
+    return (parsed.join(kept, "row", "left").withColumn("text", text)
+            .select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")))

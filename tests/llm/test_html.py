@@ -75,6 +75,21 @@ def test_differencing_across_ranges(spark):
     assert H.extract_text(df.limit(0)).count() == 0
 
 
+def test_pages_with_articles_are_differenced(spark):
+    card = "<article><h2>Latest</h2><p>Teaser of the site</p></article>"
+    body = "<p>A body of page {i}, in a paragraph beside the cards.</p><p>It goes on for a second line {i}.</p>"
+    rows = [(i, f"http://h.org/{i}", f"<div>Top</div>{card}{body.format(i=i)}<div>Bottom</div>") for i in range(5)]
+    want = {i: f"A body of page {i}, in a paragraph beside the cards.\nIt goes on for a second line {i}." for i in range(5)}
+    for i in range(10, 13):  # a licence line that articles share stays; shared lines of main go
+        rows.append((i, f"http://l.org/{i}", f"<main><p>Menu</p><article><p>Story {i}</p><p>Licence</p></article></main>"))
+        want[i] = f"Story {i}\nLicence"
+    rows += [(20, "http://n.org/1", "<i>3 May</i><article><p>One line of it</p></article>"),  # part of its neighbour
+             (21, "http://n.org/2", "<article><p>One line of it</p><p>Two</p></article>")]
+    want |= {20: "3 May\nOne line of it", 21: "One line of it\nTwo"}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in H.extract_text(df).collect()} == want
+
+
 def test_query_keeps_every_article(spark):
     import re
     from html import unescape
