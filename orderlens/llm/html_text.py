@@ -1,12 +1,16 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page becomes text lines, one a block.  Lines in menus, headers, footers, sidebars, notices,
-adverts, forms and comments, which markup names, are chrome.  All other lines of every page are
+adverts, forms and comments are chrome where an element, a role or a whole class name says so (outside
+articles also a whole id).  All other lines of every page are
 aligned by longest common subsequence with those of the page's two neighbours in the order of URL
 paths within its host, and what a neighbour shares is site furniture and deleted.  An ``article``
 element is judged whole: one with a line of its own keeps all its lines (a licence line or a passage
 that two articles share stays), one without is a card that the site repeats and deleted, unless the
-page has less text left than its deleted articles hold.
+page has less text left than its deleted articles hold.  A block whose name has a chrome word for a
+part (``share-buttons``, ``social-history``) is unclear: inside an article its lines go one by one if a
+neighbour shares them; outside, what is left of it stays only on a page that has no article or main text,
+and an ``article`` or ``main`` that it wraps is none of it.
 
 Defined results: a null html is empty; a null url has an empty host and path; a neighbour with the
 very same lines (a copy) tells nothing and is passed over; rows repeated whole are pages of
@@ -38,13 +42,17 @@ CHROME_WORDS = frozenset("""ad ads advert adverts advertisement advertisements a
  social related recommended comment comments disqus reply replies widget pagination pager skip hidden""".split())
 #: Words that inside an article name its own heading.
 HEADINGS = frozenset(["header", "masthead"])
+#: First words of names that tell what stands beside an element, not what it is.
+BESIDE = frozenset("no non not has with without".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: A start tag that ends an open element of these names.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("article aside body button div dl fieldset footer form header html main nav ol section table td th ul".split())
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-OPEN, CHROME_LINE, ARTICLE = 0, 1, 2
+OPEN, CHROME_LINE, ARTICLE, UNCLEAR = 0, 1, 2, 3
+#: Numbers of lines that no article element judges: in unclear blocks outside articles, in main, in unclear blocks of articles.
+ASIDE, MAIN, WITHIN = -1, -2, -3
 #: Bytes of a line's digest.
 DIGEST = 16
 
@@ -55,7 +63,7 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int]] = []
-        self.units: list[int] = []  # of each line: the number of its innermost article element; 0: none
+        self.units: list[int] = []  # of each line: the number of its innermost article element; ASIDE, MAIN, WITHIN; 0: none
         self.text: list[str] = []
         self.stack: list[tuple[str, int, int]] = []  # (element, part, article)
         self.part, self.unit, self.articles = OPEN, 0, 0
@@ -84,21 +92,30 @@ class Lines(HTMLParser):
                     break
         if tag in VOID:
             return
-        part = self.part
+        part, unit = self.part, self.unit
         if part != CHROME_LINE:
             if tag in ("article", "main"):
-                part = CHROME_LINE if _is_chrome_itself(attrs) else ARTICLE
+                if _is_chrome_itself(attrs):
+                    part = CHROME_LINE
+                elif tag == "article":
+                    self.articles += 1
+                    part, unit = ARTICLE, self.articles
+                elif part != ARTICLE:
+                    part, unit = ARTICLE, MAIN
             elif tag in CHROME and not (tag == "header" and part == ARTICLE):
                 part = CHROME_LINE
-            elif tag not in ("html", "body") and _names_chrome(attrs, HEADINGS if part == ARTICLE else frozenset()):
-                part = CHROME_LINE
+            elif tag not in ("html", "body"):
+                named = _names_chrome(attrs, part == ARTICLE)
+                if named == CHROME_LINE:
+                    part = CHROME_LINE
+                elif named == UNCLEAR and part == OPEN:
+                    part, unit = UNCLEAR, ASIDE
+                elif named == UNCLEAR and unit > 0 and tag in BLOCKS:
+                    unit = WITHIN
         if part != self.part:
             self.flush()
-        if tag == "article":
-            self.articles += 1
-            self.unit = self.articles
-        self.stack.append((tag, part, self.unit))
-        self.part = part
+        self.stack.append((tag, part, unit))
+        self.part, self.unit = part, unit
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # to browsers, <div/> is an open tag
@@ -122,19 +139,24 @@ class Lines(HTMLParser):
             self.text.append(data)
 
 
-def _names_chrome(attrs, but: frozenset) -> bool:
-    """Whether a part of a class or id, a role or hiding says so; ``but``: words that do not count."""
+def _names_chrome(attrs, inside: bool) -> int:
+    """CHROME_LINE if a whole class or id, a role or hiding says so, UNCLEAR if a part of a class or id does,
+    else OPEN.  ``inside`` an article, ids are anchors of its text and do not count, nor do names of its heading."""
+    found = OPEN
     for k, v in attrs:
-        if k in ("class", "id") and v:
+        if (k == "class" or k == "id" and not inside) and v:
             for name in v.split():
                 parts = [w.lower() for w in PARTS.findall(name)]
-                if any(w in CHROME_WORDS and w not in but for w in [*parts, "".join(parts)]):
-                    return True
+                words = CHROME_WORDS - HEADINGS if inside else CHROME_WORDS
+                if name.lower() in words or "".join(parts) in words:
+                    return CHROME_LINE
+                if not words.isdisjoint(parts) and parts[0] not in BESIDE:
+                    found = UNCLEAR
         elif k == "role" and v and v.strip().lower() in CHROME_ROLES:
-            return True
+            return CHROME_LINE
         elif k == "hidden" or k == "aria-hidden" and v == "true":
-            return True
-    return False
+            return CHROME_LINE
+    return found
 
 
 def _is_chrome_itself(attrs) -> bool:
@@ -152,7 +174,9 @@ def page_of(html: str | None) -> Lines:
 
 
 def lines_of(html: str | None) -> list[tuple[str, int]]:
-    return page_of(html).lines
+    """Lines that are not chrome, each with its part; without the unclear ones on a page with an article."""
+    lines = page_of(html).lines
+    return [x for x in lines if x[1] != UNCLEAR] if any(p == ARTICLE for _, p in lines) else lines
 
 
 def shared_lines(a: list, b: list) -> set[int]:
@@ -190,18 +214,18 @@ def deleted_lines(page: list, units: list[int], sizes: list[int], neighbours: li
     for other in neighbours:
         if other != page:
             gone |= shared_lines(page, other)
-    if not gone:
-        return gone
-    own = {u for i, u in enumerate(units) if u and i not in gone}
+    own = {u for i, u in enumerate(units) if u > 0 and i not in gone}
     gone = {i for i in gone if units[i] not in own}
-    cards = sum(sizes[i] for i in gone if units[i])
+    cards = sum(sizes[i] for i in gone if units[i] > 0)
     if cards > sum(sizes) - sum(sizes[i] for i in gone):
-        gone = {i for i in gone if not units[i]}
+        gone = {i for i in gone if units[i] <= 0}
+    if any(u not in (0, ASIDE) and i not in gone for i, u in enumerate(units)):
+        gone |= {i for i, u in enumerate(units) if u == ASIDE}
     return gone
 
 
 def parse_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """``keep`` columns, ``lines`` (all that are not chrome) and ``units`` (the article of each; 0: none)."""
+    """``keep`` columns, ``lines`` (all that are not chrome) and ``units`` (of each: its article's number, or as in ``Lines``)."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema.fields]
     n = len(keep)
 
@@ -236,7 +260,7 @@ def _digests(rows: DataFrame) -> DataFrame:
 
 
 def _differenced(rows: DataFrame) -> DataFrame:
-    """(row, keep) of the rows that lose a line to differencing: whether each line stays.
+    """(row, keep) of the rows that lose a line: whether each line stays.
 
     Rows are dealt to ranges of (host, path); each range also gets the row before its first and the
     one after its last, so neighbours meet wherever a range is cut, and a large host is spread."""

@@ -48,6 +48,27 @@ def test_names_of_parts():
     assert all(p == H.ARTICLE for _, p in H.lines_of(html))
 
 
+@pytest.mark.parametrize("html", [
+    '<article><p>A</p><h2 id="related-work">B</h2><p id="notice-period">C</p></article>',
+    '<article><p>A</p><section id="search-and-rescue">B</section><div class="social-history"><p>C</p></div></article>',
+    '<div class="layout has-sidebar"><article><p>A<p>B<p>C</article><div class="side-bar">no</div></div>',
+    '<div id="page-with-footer" class="no-sidebar"><main><p>A<p>B<p>C</main></div>',
+    '<div class="banner-page"><p>x</p><article><p>A<p>B<p>C</article><nav>no</nav></div>',
+    '<div class="social-history"><p>A<p>B<p>C</div><div class="social">no</div>'])
+def test_parts_of_names_drop_no_article(spark, html):
+    rows = spark.createDataFrame([(1, None, html)], "page_id long, url string, html string")
+    assert H.extract_text(rows).first().text == "A\nB\nC"
+
+
+def test_unclear_blocks_are_differenced(spark):
+    rows = [(i, f"http://h.org/{i}", f'<div class="page-top">Top</div><div class="share-page">Page {i}</div>'
+             f'<article><p>Story {i}<p>Licence</p><div class="share-buttons"><p>Share</p><p>Note {i}</p></div></article>') for i in range(3)]
+    rows += [(i, f"http://l.org/{i}", f'<div class="menu-left"><p>Menu</p><p>Text {i}</p></div>') for i in range(5, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract_text(df).collect()} == \
+        {i: f"Story {i}\nLicence\nNote {i}" for i in range(3)} | {i: f"Text {i}" for i in range(5, 7)}
+
+
 @pytest.mark.parametrize("html,want", [(None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<p>b", "a\nb"),
                                        ("<article></article>", ""), ("a &amp b &am", "a & b &am"), ("<p>x</b> y", "x y")])
 def test_odd_pages(spark, html, want):
