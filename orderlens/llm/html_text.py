@@ -3,8 +3,8 @@
 A page becomes text lines, one a block.  Lines in menus, headers, footers, sidebars, notices,
 adverts, forms and comments are chrome where an element, a role or a whole class name says so (outside
 articles also a whole id).  All other lines of every page are
-aligned by longest common subsequence with those of the page's two neighbours in the order of URL
-paths within its host, and what a neighbour shares is site furniture and deleted.  An ``article``
+aligned by longest common subsequence with those of the page's two neighbours, the nearest pages before
+and after it in the order of URL paths within its host that have other lines, and what a neighbour shares is site furniture and deleted.  An ``article``
 element is judged whole: one with a line of its own keeps all its lines (a licence line or a passage
 that two articles share stays), one without is a card that the site repeats and deleted, unless the
 page has less text left than its deleted articles hold.  A block whose name has a chrome word for a
@@ -12,9 +12,9 @@ part (``share-buttons``, ``social-history``) is unclear: inside an article its l
 neighbour shares them; outside, what is left of it stays only on a page that has no article or main text,
 and an ``article`` or ``main`` that it wraps is none of it.
 
-Defined results: a null html is empty; a null url has an empty host and path; a neighbour with the
-very same lines (a copy) tells nothing and is passed over; rows repeated whole are pages of
-their own; an empty table gives no rows.
+Defined results: a null html is empty; a null url has an empty host and path; pages of a host with the very
+same lines (copies) that follow each other have the same neighbours and text; rows repeated whole are pages
+of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -208,12 +208,11 @@ def shared_lines(a: list, b: list) -> set[int]:
     return out
 
 
-def deleted_lines(page: list, units: list[int], sizes: list[int], neighbours: list[list]) -> set[int]:
+def deleted_lines(page: list, units: tuple[int, ...], sizes: list[int], neighbours: list[list]) -> set[int]:
     """Indexes of the lines of ``page`` that go: ``units`` are their articles, ``sizes`` their lengths."""
     gone: set[int] = set()
     for other in neighbours:
-        if other != page:
-            gone |= shared_lines(page, other)
+        gone |= shared_lines(page, other)
     own = {u for i, u in enumerate(units) if u > 0 and i not in gone}
     gone = {i for i in gone if units[i] not in own}
     cards = sum(sizes[i] for i in gone if units[i] > 0)
@@ -259,20 +258,49 @@ def _digests(rows: DataFrame) -> DataFrame:
     return wide.mapInArrow(digest, ", ".join([*fields, "codes binary", "sizes array<int>"]))
 
 
+def _nearest_others(dealt: DataFrame) -> list[tuple[int, int]]:
+    """(place, range it goes to): for each range the nearest row before it that is not of its first run, and the
+    nearest after it that is not of its last.  The driver gets one small row a range."""
+    keyed = dealt.select("part", "place", F.sha2(F.concat_ws("|", F.sha2("host", 256), F.hex("codes")), 256).alias("run"))
+    found = keyed.groupBy("part").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.min_by("run", "place").alias("first_run"),
+                                      F.max_by("run", "place").alias("last_run"))
+    marks = sorted(found.collect(), key=lambda r: r["part"])
+    if len(marks) < 2:
+        return []
+    of = F.broadcast(dealt.sparkSession.createDataFrame([(r["part"], r["first_run"], r["last_run"]) for r in marks],
+                                                        "part int, first_run string, last_run string"))
+    inner = keyed.join(of, "part").groupBy("part").agg(
+        F.max(F.when(F.col("run") != F.col("last_run"), F.col("place"))).alias("before_last"),
+        F.min(F.when(F.col("run") != F.col("first_run"), F.col("place"))).alias("after_first"))
+    other = {r["part"]: r for r in inner.collect()}
+    out = []
+    for ranges, mine, theirs, at, inside in ((marks, "first_run", "last_run", "last", "before_last"),
+                                             (marks[::-1], "last_run", "first_run", "first", "after_first")):
+        found = None  # the nearest for the range before
+        for a, b in zip(ranges, ranges[1:]):
+            if a[theirs] != b[mine]:
+                found = a[at]
+            elif other[a["part"]][inside] is not None:
+                found = other[a["part"]][inside]
+            # else all of a is one run, which goes on in b
+            if found is not None:
+                out.append((found, b["part"]))
+    return out
+
+
 def _differenced(rows: DataFrame) -> DataFrame:
     """(row, keep) of the rows that lose a line: whether each line stays.
 
-    Rows are dealt to ranges of (host, path); each range also gets the row before its first and the
-    one after its last, so neighbours meet wherever a range is cut, and a large host is spread."""
+    Rows are dealt to ranges of (host, path).  A run is what follows each other with equal lines within a host;
+    its rows share their neighbours.  Each range also gets the nearest row before it that is not of its first run
+    and the nearest after it that is not of its last, so neighbours meet wherever a range or a run is cut,
+    and a large host is spread."""
     order = ["host", "path", "id"]
     dealt = (_digests(rows).repartitionByRange(*order).sortWithinPartitions(*order)
              .select("row", "host", "units", "codes", "sizes", F.spark_partition_id().alias("part"),
                      F.monotonically_increasing_id().alias("place")))
     dealt = written(dealt, "url-order")  # the numbers stay as written
-    # a range's first and last place: one small row a range
-    ends = sorted(dealt.groupBy("part").agg(F.min("place"), F.max("place")).collect())
-    nearby = [(last, after) for (_, _, last), (after, _, _) in zip(ends, ends[1:])]
-    nearby += [(first, before) for (before, _, _), (_, first, _) in zip(ends, ends[1:])]
+    nearby = _nearest_others(dealt)
     dealt = dealt.withColumn("wanted", F.lit(True))
     if nearby:
         steps = rows.sparkSession.createDataFrame(nearby, "place long, to int")
@@ -283,25 +311,39 @@ def _differenced(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
         types = pa.schema([("row", pa.int64()), ("keep", pa.list_(pa.bool_()))])
 
-        def stream():
+        def lines(run):
+            return [run["codes"][i:i + DIGEST] for i in range(0, len(run["codes"]), DIGEST)]
+
+        def runs():
+            """The first row of each run of a range, with all its wanted rows' numbers by their units."""
+            run = None
             for b in batches:
                 for r in b.to_pylist():
-                    c = r["codes"]
-                    r["codes"] = [c[i:i + DIGEST] for i in range(0, len(c), DIGEST)]
-                    yield r
+                    if run is None or any(r[k] != run[k] for k in ("part", "host", "codes")):
+                        if run is not None:
+                            yield run
+                        run = r | {"rows": {}}
+                    if r["wanted"]:
+                        run["rows"].setdefault(tuple(r["units"]), []).append(r["row"])
+            if run is not None:
+                yield run
             yield None
 
         before, here = None, None
         out: list[dict] = []
-        for after in stream():
-            if here is not None and here["wanted"]:
-                near = [x["codes"] for x in (before, after)
+        for after in runs():
+            if here is not None and here["rows"]:
+                near = [lines(x) for x in (before, after)
                         if x is not None and x["host"] == here["host"] and x["part"] == here["part"]]
-                if gone := deleted_lines(here["codes"], here["units"], here["sizes"], near):
-                    out.append({"row": here["row"], "keep": [i not in gone for i in range(len(here["codes"]))]})
-                if len(out) >= 256:
-                    yield pa.RecordBatch.from_pylist(out, schema=types)
-                    out = []
+                page = lines(here)
+                for units, members in here["rows"].items():
+                    gone = deleted_lines(page, units, here["sizes"], near)
+                    keep = [i not in gone for i in range(len(page))]
+                    for row in members if gone else ():
+                        out.append({"row": row, "keep": keep})
+                        if len(out) >= 256:
+                            yield pa.RecordBatch.from_pylist(out, schema=types)
+                            out = []
             before, here = here, after
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=types)

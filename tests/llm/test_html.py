@@ -60,6 +60,25 @@ def test_parts_of_names_drop_no_article(spark, html):
     assert H.extract_text(rows).first().text == "A\nB\nC"
 
 
+@pytest.mark.parametrize("copies", [3, 40])
+def test_runs_of_copies_share_one_text(spark, copies):
+    page = "<div>Top</div><p>{}</p><div>Bottom</div><p>{}</p>"
+    rows = [(0, "http://h.org/a", page.format("first", "Old"))]
+    rows += [(1 + i, f"http://h.org/b/{i:03d}", page.format("copy", "New")) for i in range(copies)]
+    rows += [(900, "http://h.org/c", page.format("last", "New")), (901, "http://i.org/a", page.format("copy", "New")),
+             (902, "http://i.org/b", page.format("copy", "New"))]
+    want = {i: "copy" for i in range(1, copies + 1)} | {0: "first\nOld", 900: "last"} | {i: "Top\ncopy\nBottom\nNew" for i in (901, 902)}
+    rows.append((903, "http://h.org/b/000", page.format("copy", "New").replace("div", "main")))  # the same lines, marked up otherwise
+    want[903] = "copy"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert {r.page_id: r.text for r in H.extract_text(df).collect()} == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # runs cut by ranges
+    try:
+        assert {r.page_id: r.text for r in H.extract_text(df).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_unclear_blocks_are_differenced(spark):
     rows = [(i, f"http://h.org/{i}", f'<div class="page-top">Top</div><div class="share-page">Page {i}</div>'
              f'<article><p>Story {i}<p>Licence</p><div class="share-buttons"><p>Share</p><p>Note {i}</p></div></article>') for i in range(3)]
