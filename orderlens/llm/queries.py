@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, suffix_dedup, url_filter, warc
+from . import byte_bpe, chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,3 +155,14 @@ def op10_chat_format(spark, sf_dir):
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest.alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                     F.length("formatted").cast("long").alias("formatted_chars")))
+
+
+def byte_bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("op13_byte_bpe")
+def op13_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+    return byte_bpe.encode_documents(common.table(spark, sf_dir, "documents"), byte_bpe_path(), public_tokenizers.PATTERN)
