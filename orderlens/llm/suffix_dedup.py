@@ -8,7 +8,7 @@ suffix's longest common prefix with its neighbours in the merged order says how
 Only suffixes that can matter are sorted, as in the duplicate detection of distributed string
 sorting (hashes only leave out; every byte that goes was compared by the merge):
 
-1. Equal texts are one text; a text of ``size`` bytes or more that occurs twice goes whole.
+1. Equal texts (by SHA-256) are one text, with a number of its own; a text of ``size`` bytes or more that occurs twice goes whole.
 2. Each window of ``size`` bytes belongs to a cell: its leftmost minimal k-mer, and the window's
    distance to it in steps of ``CELL``.  Equal windows lie in equal cells, and all windows of a cell
    share a core of at least ``size - CELL + 1`` bytes; a cell whose core is nowhere else is left out.
@@ -283,7 +283,7 @@ def _arrow(spark, ddl: str):
 # ---- the steps -----------------------------------------------------------------------------------
 
 def _packed(docs: DataFrame, keep: list[str], min_bytes: int = 0) -> DataFrame:
-    """``keep`` columns (first of ``docs``), and of the last column, a text: ``text`` (64 bits of its SHA-256),
+    """``keep`` columns (first of ``docs``), and of the last column, a text: ``digest`` (its SHA-256),
     ``bytes`` (its length) and ``z`` (the text, compressed, as it is shuffled)."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     n = len(keep)
@@ -297,11 +297,11 @@ def _packed(docs: DataFrame, keep: list[str], min_bytes: int = 0) -> DataFrame:
             texts = [(v.as_py() or "").encode() for v in column]
             at = [i for i, t in enumerate(texts) if len(t) >= min_bytes]
             kept = b.select(range(n)) if len(at) == len(texts) else b.select(range(n)).take(pa.array(at, pa.int64()))
-            arrays = [*kept.columns, pa.array([struct.unpack("<q", hashlib.sha256(texts[i]).digest()[:8])[0] for i in at], pa.int64()),
+            arrays = [*kept.columns, pa.array([hashlib.sha256(texts[i]).digest() for i in at], pa.binary()),
                       pa.array([len(texts[i]) for i in at], pa.int32()), pa.array([squeeze(texts[i]) for i in at], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "text", "bytes", "z"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "digest", "bytes", "z"])
 
-    return docs.mapInArrow(pack, ", ".join([*fields, "text long", "bytes int", "z binary"]))
+    return docs.mapInArrow(pack, ", ".join([*fields, "digest binary", "bytes int", "z binary"]))
 
 
 def _cells(texts: DataFrame, size: int) -> DataFrame:
@@ -512,12 +512,14 @@ def _found_spans(runs: DataFrame, merged: DataFrame, size: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, run_bytes: int = RUN_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(text, bytes, copies, spans) of the texts (last column of ``docs``) that lose something; ``spans`` is an
+    """(digest, copies, spans) of the texts (last column of ``docs``) that lose something; ``spans`` is an
     array of (begin, end) that may overlap, and null where the whole text goes as a copy."""
     if size < CELL + 2 * KMER:
         raise ValueError(f"size must be at least {CELL + 2 * KMER}")
-    texts = written(_packed(docs, [], size).groupBy("text", "bytes")
-                    .agg(F.count("*").alias("copies"), F.first("z").alias("z")), "texts")
+    texts = written(_packed(docs, [], size).groupBy("digest", "bytes")
+                    .agg(F.count("*").alias("copies"), F.first("z").alias("z"))
+                    .withColumn("text", F.monotonically_increasing_id()), "texts")  # written, so the numbers stay
+    names = written(texts.select("text", "digest"), "names")
     release()
     cores = written(_cells(texts, size).groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "cores")
     release()
@@ -538,9 +540,9 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, run_bytes: int = RUN_BYTES
     release()
     spans = _found_spans(runs, merged, size).groupBy("text", "bytes").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     out = whole.join(spans, ["text", "bytes"], "full_outer")
-    out = written(out.select("text", "bytes", F.coalesce("copies", F.lit(1)).alias("copies"),
-                             F.when(F.col("copies") > 1, None).otherwise(F.col("spans")).alias("spans")), "spans")
-    discard(first, second, merged, whole)
+    out = written(out.join(names, "text").select("digest", F.coalesce("copies", F.lit(1)).alias("copies"),
+                                                 F.when(F.col("copies") > 1, None).otherwise(F.col("spans")).alias("spans")), "spans")
+    discard(first, second, merged, whole, names)
     release()
     return out
 
@@ -561,7 +563,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...
     remaining bytes as text; a character that was cut goes) of every row."""
     source = docs.select(*keep, docs[text_col].cast("string").alias("_text"))
     found = repeated_spans(source.select("_text"), size, run_bytes, range_bytes)
-    rows = _packed(source, list(keep)).join(found, ["text", "bytes"], "left")
+    rows = _packed(source, list(keep)).join(found, "digest", "left")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
     fields += ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept string"] * kept_text
     n = len(keep)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import sentencepiece
@@ -46,7 +47,7 @@ def test_stages_against_brute_force(spark):
     out = common.written(C.cut_repeats(spark, out, SF), "t")
     assert out.columns == docs.columns
     ids = sorted(alone)
-    want = dict(zip(ids, brute_repeats([alone[i].text for i in ids], 400)))
+    want = dict(zip(ids, brute_repeats([alone[i].text for i in ids], C.REPEAT_BYTES)))
     cut = {r.doc_id: r for r in out.collect()}
     assert cut.keys() == alone.keys()
     for i, r in cut.items():
@@ -90,3 +91,27 @@ def test_odd_documents(spark):
     for _, stage in C.STAGES:
         out = common.written(stage(spark, out, SF), "t")
     assert out.count() == 0
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    """Passages of 51 words or a few more, each in several documents, in words as long as in the given tables."""
+    rnd = random.Random(11)
+    words = [w for r in common.table(spark, SF, "documents").filter("text is not null").limit(200).collect() for w in r.text.split()][:20_000]
+    plain = [w for w in words if w.isalpha()]
+    some = lambda n: " ".join(rnd.choices(plain, k=n))
+    shared = [some(rnd.randint(51, 60)) for _ in range(40)]
+    rows, holds = [], {}
+    for i in range(200):
+        parts = [some(rnd.randint(20, 200))]
+        if i % 2:
+            holds[i] = shared[i % 40]
+            parts += [holds[i], some(rnd.randint(20, 200))]
+        rows.append((i, " ".join(parts), "en", "a", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in C.cut_repeats(spark, docs, SF).collect()}
+    assert len(got) == 200
+    for i, text, *_ in rows:
+        if i in holds:
+            assert holds[i] not in got[i] and len(got[i]) <= len(text) - len(holds[i])
+        else:
+            assert got[i] == text
