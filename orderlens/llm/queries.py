@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, byte_bpe, chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, suffix_dedup, url_filter, warc
+from . import align, byte_bpe, chat, common, decontaminate, embeddings, html_text, quality, sentencepiece_bpe, simhash, suffix_dedup, url_filter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -168,6 +168,11 @@ def op13_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(common.table(spark, sf_dir, "documents"), byte_bpe_path(), public_tokenizers.PATTERN)
 
 
+@register("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(common.table(spark, sf_dir, "embeddings"))
+
+
 @register("op12_token_alignment")
 def op12_token_alignment(spark, sf_dir):
     import public_tokenizers
