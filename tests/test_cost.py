@@ -119,7 +119,7 @@ def test_ga_simulation_study(spark, crossover, bootstrap):
     train, test = df.filter("k % 4 <> 0"), df.filter("k % 4 = 0")
     ga = GeneticSearch(elitism=0.1, population_size=200, crossover=crossover, prob_mutation=0.5, seed=1)
     ga.fit(train, ["a", "b", "c", "d"], "y", "price", ["k"], scale=3.0)
-    ga.run(maxiter=8, subsample=None if bootstrap else 0.6, bootstrap=bootstrap, reset_prob=0.5)
+    ga.run(maxiter=8, subsample=0.6, bootstrap=bootstrap, reset_prob=0.5)
     nobody = CO.baselines(train, "y", "price").first()["predict_none"]
     # the true coefficients cost 0; the search comes close to it, and far beyond predicting nobody
     assert ga.predict_cost() >= 0.25 * nobody
