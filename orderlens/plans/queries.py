@@ -530,32 +530,76 @@ def table_profile(spark, sf_dir):
     return out
 
 
-CORR_COLS = ["item_price", "item_price2", "item_max_price", "order_max_price", "order_total_value",
-             "order_median_price", "order_min_price", "brand_max_price", "age", "age2", "user_tenure",
-             "user_tenure2", "days_to_delivery", "item_mean_delivery", "item_max_delivery"]
+def _all_cells():
+    """SQL of every candidate feature by name (one-hots apart), and the ratios' denominators by name."""
+    from ..operators import features as FT
+    flags = FT.FLAGS
+    num = lambda c: f"CAST({c} AS DOUBLE)"
+    plain = list(FT.BASE_NUMERIC) + FT.WOE_NAMES + ["price_off"]
+    non_flag = [n for n in plain if n not in flags]
+    m, half = len(non_flag) // 2, len(FT.BASE_NUMERIC) // 2
+    cells, dens = {n: num(n) for n in plain}, {}
+    for a in non_flag[:m]:
+        for b in non_flag[m:]:
+            if not a.startswith("woe") and not b.startswith("woe"):
+                n, d, name = (b, a, f"{b}/{a}") if b == "price_off" else (a, b, f"{a}/{b}")
+                cells[name], dens[name] = f"{num(n)} / ({num(d)} + 1)", b
+    for a in FT.BASE_NUMERIC[:half]:
+        for b in FT.BASE_NUMERIC[half:]:
+            cells[f"{a}*{b}"] = f"{num(a)} * {num(b)}"
+    price = {"is_q1_value": "item_price <= q1", "is_q2_value": "item_price > q1 AND item_price <= q2",
+             "is_q3_value": "item_price > q2 AND item_price <= q3", "is_q4_value": "item_price > q3"}
+    cells |= {k: num(f"({v})") for k, v in price.items()}
+    return cells, dens
 
 
-def _corr_long_sql():
-    from itertools import combinations
-    pairs = list(combinations(CORR_COLS, 2))
-    aggs = ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"' for a, b in pairs)
-    return [("cw", f"SELECT {aggs} FROM featw"),
-            ("cl0", "UNPIVOT cw ON COLUMNS(*) INTO NAME pair VALUE correlation"),
-            ("corr_long", "SELECT split_part(pair, '|', 1) AS var1, split_part(pair, '|', 2) AS var2, correlation FROM cl0 "
-                          "UNION ALL SELECT split_part(pair, '|', 2), split_part(pair, '|', 1), correlation FROM cl0")]
+def _fit_rows_ctes(dens):
+    """The fitted rows' features, and denominators whose smallest value is 0: their ratios do not exist."""
+    fit_rows = [(n + "_h" if n in ("feat", "featw") else n, q) for n, q in S.transform_ctes("history")]
+    fit_rows = [(n, q.replace("FROM feat f", "FROM feat_h f")) for n, q in fit_rows if n in ("feat_h", "featw_h")]
+    gone = " UNION ALL ".join(f"SELECT '{d}' AS d, min(CAST({d} AS DOUBLE)) = 0 AS z FROM fit_rows" for d in sorted(set(dens.values())))
+    of = ", ".join(f"('{n}', '{d}')" for n, d in dens.items())
+    return fit_rows + [("fit_rows", "SELECT * FROM featw_h"), ("gone", gone), ("of_", f"SELECT * FROM (VALUES {of}) t(n, d)")]
 
 
-def _corr_oracle(final):
-    return S.with_ctes(final, S.fit_ctes("history") + S.transform_ctes("known") + _corr_long_sql())
+def _corr_ctes():
+    """Correlations above 0.9 of all candidate features.  Centred values stand in lists of 512 rows, so a pair is
+    some dot products."""
+    from ..operators import features as FT
+    cells, dens = _all_cells()
+    wide = "SELECT row_number() OVER (ORDER BY order_item_id) - 1 AS rn, * FROM featw"
+    hot = " UNION ALL ".join(
+        f"SELECT k.rn, '{c}_' || CAST(h.v AS VARCHAR) AS f, CASE WHEN k.{c} = h.v THEN 1.0 ELSE 0.0 END AS x FROM rows_ k "
+        f"CROSS JOIN (SELECT DISTINCT {c} AS v FROM history WHERE {c} IS NOT NULL) h" for c in FT.DUMMY_SOURCES)
+    return _fit_rows_ctes(dens) + [
+        ("rows_", wide),
+        ("cells_", "SELECT rn, " + ", ".join(f'{e} AS "{n}"' for n, e in cells.items()) + " FROM rows_ CROSS JOIN qs"),
+        ("long_", "SELECT * FROM cells_ UNPIVOT INCLUDE NULLS (x FOR f IN (COLUMNS(* EXCLUDE rn)))"),
+        ("all_", "SELECT rn, f, x FROM long_ WHERE f NOT IN (SELECT n FROM of_ JOIN gone ON gone.d = of_.d WHERE z) "
+                 f"UNION ALL SELECT rn, f, CAST(x AS DOUBLE) FROM ({hot})"),
+        ("mean_", "SELECT f, avg(x) AS m, count(*) AS n FROM all_ GROUP BY f"),
+        ("list_", "SELECT a.f, a.rn // 512 AS c, list(coalesce(a.x - m.m, 0) ORDER BY a.rn) AS v FROM all_ a JOIN mean_ m ON a.f = m.f GROUP BY ALL"),
+        ("var_", "SELECT l.f, sum(list_dot_product(v, v)) AS s, any_value(m.m) AS m, any_value(m.n) AS n FROM list_ l JOIN mean_ m ON l.f = m.f GROUP BY l.f"),
+        ("some_", "SELECT f, s FROM var_ WHERE s > 1e-12 * (s + n * m * m)"),
+        ("dot_", "SELECT a.f AS fa, b.f AS fb, sum(list_dot_product(a.v, b.v)) AS p FROM list_ a JOIN list_ b ON a.c = b.c AND a.f < b.f GROUP BY ALL"),
+        ("half_", "SELECT fa, fb, p / sqrt(x.s * y.s) AS r FROM dot_ JOIN some_ x ON x.f = fa JOIN some_ y ON y.f = fb"),
+        ("corr_long", "SELECT fa AS var1, fb AS var2, r AS correlation FROM half_ WHERE abs(r) > 0.9 "
+                      "UNION ALL SELECT fb, fa, r FROM half_ WHERE abs(r) > 0.9")]
+
+
+def _corr_oracle(final, more=()):
+    return S.with_ctes(final, S.fit_ctes("history") + S.transform_ctes("known") + _corr_ctes() + list(more))
 
 
 def _corr_input(spark, sf_dir):
+    """Correlations of the whole expanded matrix, WOE and one-hots included, written once."""
     from ..operators import eda
     from ..operators import features as FT
+    from ..session import materialize
     i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
-    feats = FT.transform(spec, i.known, CORR_COLS, keep=())
-    return eda, eda.corr_long(feats, CORR_COLS)
+    names = FT.expand_names(spec, ignore_woe=False, add_dummies=True)
+    return eda, eda.corr_arrays(materialize(FT.feature_array(spec, i.known, names, keep=()), "corr-features"), names)
 
 
 @register("corr_pairs", _corr_oracle(
@@ -577,12 +621,11 @@ def corr_partners(spark, sf_dir):
     return eda.corr_partners(long, 0.9, 3)
 
 
-@register("droplist", S.with_ctes(
+@register("droplist", _corr_oracle(
     "SELECT DISTINCT CASE WHEN pa.n > pb.n THEN c.var1 WHEN pb.n > pa.n THEN c.var2 "
     "ELSE greatest(c.var1, c.var2) END AS variable FROM corr_long c JOIN p pa ON c.var1 = pa.var1 "
     "JOIN p pb ON c.var2 = pb.var1 WHERE c.var1 < c.var2 AND abs(c.correlation) > 0.9",
-    S.fit_ctes("history") + S.transform_ctes("known") + _corr_long_sql()
-    + [("p", "SELECT var1, count(DISTINCT var2) AS n FROM corr_long WHERE var1 <> var2 AND abs(correlation) > 0.9 "
+    [("p", "SELECT var1, count(DISTINCT var2) AS n FROM corr_long WHERE var1 <> var2 AND abs(correlation) > 0.9 "
              "GROUP BY var1")]))
 def droplist(spark, sf_dir):
     """Automatic drop-list from the correlation pairs."""
@@ -859,38 +902,17 @@ def _feature_sums_sql():
     """Sums of every candidate feature: one wide aggregate, unpivoted, kept where the ratio exists; one-hots
     by counting."""
     from ..operators import features as FT
-    flags = FT.FLAGS
-    num = lambda c: f"CAST({c} AS DOUBLE)"
-    plain = list(FT.BASE_NUMERIC) + FT.WOE_NAMES + ["price_off"]
-    non_flag = [n for n in plain if n not in flags]
-    m, half = len(non_flag) // 2, len(FT.BASE_NUMERIC) // 2
-    cells, dens = {n: num(n) for n in plain}, {}
-    for a in non_flag[:m]:
-        for b in non_flag[m:]:
-            if not a.startswith("woe") and not b.startswith("woe"):
-                n, d, name = (b, a, f"{b}/{a}") if b == "price_off" else (a, b, f"{a}/{b}")
-                cells[name], dens[name] = f"{num(n)} / ({num(d)} + 1)", b
-    for a in FT.BASE_NUMERIC[:half]:
-        for b in FT.BASE_NUMERIC[half:]:
-            cells[f"{a}*{b}"] = f"{num(a)} * {num(b)}"
-    price = {"is_q1_value": "item_price <= q1", "is_q2_value": "item_price > q1 AND item_price <= q2",
-             "is_q3_value": "item_price > q2 AND item_price <= q3", "is_q4_value": "item_price > q3"}
-    cells |= {k: num(f"({v})") for k, v in price.items()}
+    cells, dens = _all_cells()
     wide = "SELECT " + ", ".join(f'sum({e}) AS "{n}"' for n, e in cells.items()) + " FROM featw CROSS JOIN qs"
-    gone = " UNION ALL ".join(f"SELECT '{d}' AS d, min({num(d)}) = 0 AS z FROM fit_rows" for d in sorted(set(dens.values())))
-    of = ", ".join(f"('{n}', '{d}')" for n, d in dens.items())
     hot = " UNION ALL ".join(
         f"SELECT '{c}_' || CAST(h.v AS VARCHAR) AS feature_name, CAST(count(k.v) AS DOUBLE) AS total FROM "
         f"(SELECT DISTINCT {c} AS v FROM history WHERE {c} IS NOT NULL) h LEFT JOIN (SELECT {c} AS v FROM known) k ON h.v = k.v GROUP BY h.v"
         for c in FT.DUMMY_SOURCES)
-    fit_rows = [(n + "_h" if n in ("feat", "featw") else n, q) for n, q in S.transform_ctes("history")]
-    fit_rows = [(n, q.replace("FROM feat f", "FROM feat_h f")) for n, q in fit_rows if n in ("feat_h", "featw_h")]
     return S.with_ctes(
         f"SELECT feature_name, {round_sig_sql('total', 9)} AS total, (SELECT count(*) FROM known) AS n FROM "
         "(SELECT feature_name, total FROM long_ WHERE feature_name NOT IN (SELECT n FROM of_ JOIN gone ON gone.d = of_.d WHERE z) "
         f"UNION ALL SELECT feature_name, total FROM ({hot}))",
-        S.fit_ctes("history") + S.transform_ctes("known") + fit_rows + [
-            ("fit_rows", "SELECT * FROM featw_h"), ("gone", gone), ("of_", f"SELECT * FROM (VALUES {of}) t(n, d)"),
+        S.fit_ctes("history") + S.transform_ctes("known") + _fit_rows_ctes(dens) + [
             ("wide_", wide), ("long_", "UNPIVOT wide_ ON COLUMNS(*) INTO NAME feature_name VALUE total")])
 
 

@@ -27,6 +27,27 @@ def test_pairwise_correlation(spark):
             assert r == pytest.approx(want.loc[a, b], abs=1e-9)
 
 
+@pytest.mark.parametrize("block,held", [(128, 1 << 26), (3, 1 << 26), (2, 100)])
+def test_correlation_in_blocks(spark, block, held):
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e4, 1, (400, 11))
+    x[:, 1] += 2 * x[:, 0]
+    x[:, 5] = 3.3                                          # constant
+    x[rng.random((400, 11)) < 0.1] = np.nan
+    x[:, 7] = rng.normal(0, 1e-6, 400) + 1e-3 * x[:, 7]
+    names = [f"f{i}" for i in range(11)]
+    rows = [([None if np.isnan(v) else float(v) for v in r],) for r in x] + [(None,)]
+    df = spark.createDataFrame(rows, "x array<double>").repartition(4)
+    got = {(r["var1"], r["var2"]): r["correlation"] for r in eda.corr_arrays(df, names, block=block, held_bytes=held).collect()}
+    want = pd.DataFrame(x, columns=names).corr()
+    assert len(got) == 11 * 10
+    for (a, b), r in got.items():
+        if "f5" in (a, b):
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-8)
+
+
 def test_profile(spark):
     rows = [("x", 1.0, True, 3), ("y", 2.5, None, 3), ("y", None, False, 1), (None, 2.5, False, None), ("x", 9.0, False, 2)]
     df = spark.createDataFrame(rows, "s string, d double, f boolean, i int")
