@@ -1,11 +1,20 @@
-"""k-nearest-neighbour classification (M9 / J11), exact for any Minkowski-p, in blocks.
-
-Queries and references are packed into blocks, one row each.  Every query block is sent to every
-reference block by an equi-join on the reference block's number; such a pair of blocks is one task's
-batch, which computes all distances in the metric asked for and keeps each query's k nearest of the
-block (ties by reference id).  The partial lists are merged a query.  Nothing is collected, nothing
-is pre-ranked by another distance, and no pair of rows becomes a row: a query has k rows a reference
-block.  Blocks are the unit of memory; their number grows with the data.
+"""k-nearest-neighbour classification (M9 / J11), exact for any Minkowski-p, over pivot cells.
+
+References are dealt to the cells of some pivots, each to its nearest, and cells to blocks; a block knows the
+least and the largest distance of its rows to the cell's pivot.  Queries are dealt to the same cells.
+
+1. A query block meets reference blocks near it, as few as hold k rows.  A query's k-th distance there bounds its
+   true one.
+2. By the triangle inequality (Minkowski distances have it for p of 1 and more) a reference is no nearer to a query
+   than the difference of their distances to a pivot.  A query goes on to those blocks only whose rows may be within
+   its bound; blocks beyond are never joined with it.
+
+The partial lists are merged a query.  No pair of rows becomes a row, nothing is ranked by another distance, and the
+result is that of comparing all pairs (ties by reference id).  The driver holds the pivots and a line a reference
+block: rows / ``BLOCK_ROWS`` lines, checked against ``MAX_BLOCKS``; with more rows blocks grow instead.
+
+Ids tell rows apart.  Vectors that are null, or not as long as most references, have no neighbours and are none; a
+reference without a label is none either.
 """
 
 from __future__ import annotations
@@ -14,16 +23,49 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BLOCK_ROWS = 4096
-_PACKED = "block int, ids binary, vectors binary, labels binary, n int"
+#: Lines of block statistics that are sent to the tasks (32 bytes each), and pivots.
+MAX_BLOCKS, MAX_PIVOTS = 1_000_000, 1024
+_PACKED = "block int, cell int, ids binary, vectors binary, labels binary, n int, low double, high double"
 _CELLS = 500_000                      # distances held at a time
+#: What rounding may add to a bound.
+_SLACK = 1e-9
+
+
+def _pivots(reference: DataFrame, dim: int, rows: int, block_rows: int, pivots: int | None) -> np.ndarray:
+    """Different vectors of some references, those with the smallest hashes of their ids."""
+    n = pivots or int(min(MAX_PIVOTS, max(1, 2 * rows // block_rows)))
+    found = reference.orderBy(F.xxhash64("id"), "id").limit(4 * n).collect()
+    return np.array([*dict.fromkeys(tuple(r["v"]) for r in found)][:n], float).reshape(-1, dim)
+
+
+def _celled(df: DataFrame, pivots, p: int) -> DataFrame:
+    """Rows (id, v, label) with their nearest pivot and the distance to it."""
+    def assign(batches):
+        import pandas as pd
+        for b in batches:
+            if not len(b):
+                continue
+            v = np.stack(b["v"].to_numpy())
+            cell, far = np.zeros(len(v), np.int32), np.zeros(len(v))
+            step = max(1, _CELLS // len(pivots.value))
+            for i in range(0, len(v), step):
+                d = _distances(v[i:i + step], pivots.value, p)
+                cell[i:i + step] = d.argmin(1)
+                far[i:i + step] = d.min(1)
+            yield pd.DataFrame({"cell": cell, "far": far, "id": b["id"], "v": b["v"], "label": b["label"]})
+
+    return df.mapInPandas(assign, "cell int, far double, id long, v array<double>, label long")
 
 
-def _packed(df: DataFrame, id_col: str, vec_col: str, label_col: str, block_rows: int) -> tuple[DataFrame, int]:
-    """Rows packed into blocks of about ``block_rows``, dealt by a hash of the id."""
-    blocks = max(1, -(-df.count() // block_rows))
-    dealt = df.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("id"),
-                      F.col(vec_col).cast("array<double>").alias("v"), F.col(label_col).cast("long").alias("label"))
+def _packed(celled: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks of about ``block_rows`` rows of a cell.  A large cell is dealt to blocks by a hash of the id, so no task
+    has to hold it."""
+    sizes = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"))
+    dealt = celled.join(F.broadcast(sizes), "cell")                      # a row a pivot
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / F.lit(block_rows))).cast("int")
 
     def pack(batches):
         import pandas as pd
@@ -31,21 +73,30 @@ def _packed(df: DataFrame, id_col: str, vec_col: str, label_col: str, block_rows
 
         def row():
             b = pd.concat(held)
-            return pd.DataFrame([{"block": int(b["block"].iloc[0]), "ids": b["id"].to_numpy(np.int64).tobytes(),
+            return pd.DataFrame([{"block": int(b["part"].iloc[0]), "cell": int(b["cell"].iloc[0]), "ids": b["id"].to_numpy(np.int64).tobytes(),
                                   "vectors": np.stack(b["v"].to_numpy()).astype(np.float64).tobytes(),
-                                  "labels": b["label"].to_numpy(np.int64).tobytes(), "n": len(b)}])
+                                  "labels": b["label"].to_numpy(np.int64, na_value=_NO_LABEL).tobytes(), "n": len(b), "low": b["far"].min(), "high": b["far"].max()}])
 
         for batch in batches:
-            for number, part in batch.groupby("block", sort=False):
-                if held and int(held[0]["block"].iloc[0]) != number:
+            for key, some in batch.groupby(["cell", "part"], sort=False):
+                if held and (held[0]["cell"].iloc[0], held[0]["part"].iloc[0]) != key:
                     yield row()
                     held = []
-                held.append(part)
+                held.append(some)
         if held:
             yield row()
 
-    return (dealt.filter("v is not null").repartition(blocks, "block").sortWithinPartitions("block", "id")
-            .mapInPandas(pack, _PACKED)), blocks
+    out = (dealt.withColumn("part", part).drop("rows").repartition("cell", "part").sortWithinPartitions("cell", "part", "id")
+           .mapInPandas(pack, _PACKED))
+    return out
+
+
+_NO_LABEL = -(1 << 62)
+
+
+def _numbered(packed: DataFrame, name: str) -> DataFrame:
+    """Blocks written once, with a number each."""
+    return materialize(packed.withColumn("block", F.monotonically_increasing_id()), name)
 
 
 def _distances(q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
@@ -76,41 +127,142 @@ def _nearest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row, col
 
 
+def _side(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"),
+                     F.col(label_col).cast("long").alias("label")).filter("v is not null and size(v) > 0 and forall(v, x -> x is not null)")
+
+
+def _found(qid, Q, ql, rid, R, rl, k: int, p: int, exclude_self: bool):
+    """Frames of each query's k nearest of a block."""
+    import pandas as pd
+    step = max(1, _CELLS // max(1, len(R)))
+    for i in range(0, len(Q), step):
+        d = _distances(Q[i:i + step], R, p)
+        if exclude_self:
+            d[qid[i:i + step, None] == rid[None, :]] = np.inf
+        row, col = _nearest(d, k)
+        keep = np.isfinite(d[row, col])
+        row, col = row[keep], col[keep]
+        yield pd.DataFrame({"id": qid[i + row], "label": ql[i + row], "distance": d[row, col], "near_id": rid[col], "near_label": rl[col]})
+
+
+_FOUND = "id long, label long, distance double, near_id long, near_label long"
+
+
+class Cells:
+    """References in pivot cells, ready for any number of searches."""
+
+    def __init__(self, reference: DataFrame, id_col: str, vec_col: str, label_col: str, p: int = 2, block_rows: int = BLOCK_ROWS,
+                 pivots: int | None = None):
+        if p not in (1, 2, 3):
+            raise ValueError("p must be 1, 2 or 3")
+        self.p, self.spark = p, reference.sparkSession
+        rows = materialize(_side(reference, id_col, vec_col, label_col).filter("label is not null"), "knn-references")
+        sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").collect()
+        self.dim = sizes[0]["dim"] if sizes else 0
+        rows = rows.filter(F.size("v") == self.dim)
+        n = sizes[0]["count"] if sizes else 0
+        self.block_rows = max(block_rows, -(-n // MAX_BLOCKS))
+        self.pivots = self.spark.sparkContext.broadcast(_pivots(rows, self.dim, n, self.block_rows, pivots) if n else np.empty((0, 0)))
+        self.blocks = _numbered(_packed(_celled(rows, self.pivots, p), self.block_rows), "knn-blocks") if n else None
+        lines = self.blocks.select("block", "cell", "n", "low", "high").orderBy("cell", "block").collect() if n else []
+        self.stats = self.spark.sparkContext.broadcast(tuple(np.array([r[c] for r in lines]) for c in ("block", "cell", "n", "low", "high")))
+
+    def neighbours(self, queries: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 5, exclude_self: bool = True) -> DataFrame:
+        """(id, label, near): each query's k nearest references as an array of (distance, id, label)."""
+        if self.blocks is None:
+            return self.spark.createDataFrame([], "id long, label long, near array<struct<distance:double,near_id:long,near_label:long>>")
+        found = self._first(queries, id_col, vec_col, label_col, k, exclude_self)
+        near = F.slice(F.sort_array(F.collect_list(F.struct("distance", "near_id", "near_label"))), 1, k)
+        return found.groupBy("id", F.nullif("label", F.lit(_NO_LABEL)).alias("label")).agg(near.alias("near"))
+
+    def _first(self, queries, id_col, vec_col, label_col, k, exclude_self) -> DataFrame:
+        p, pivots, stats = self.p, self.pivots, self.stats
+        mine = _side(queries, id_col, vec_col, label_col).filter(F.size("v") == self.dim)
+        q = _numbered(_packed(_celled(mine, pivots, p), self.block_rows), "knn-queries")
+        need = k + 1 if exclude_self else k
+        q = q.toDF("q_block", "q_cell", "q_ids", "q_vectors", "q_labels", "q_n", "q_low", "q_high")
+
+        # 1: the reference blocks of the nearest cells, as few as hold enough rows
+        def starts(batches):
+            import pandas as pd
+            block, cell, n, _, _ = stats.value
+            between = _distances(pivots.value, pivots.value, p)
+            for b in batches:
+                rows = []
+                for number, own in zip(b["q_block"], b["q_cell"]):
+                    order = np.argsort(between[own][cell], kind="stable")
+                    enough = int(np.searchsorted(np.cumsum(n[order]), need)) + 1
+                    rows += [(number, int(x)) for x in block[order[:enough]]]
+                yield pd.DataFrame(rows, columns=["q_block", "block"])
+
+        home = q.select("q_block", "q_cell").mapInPandas(starts, "q_block long, block long")
+        self.first_pairs = home
+
+        def search(batches):
+            import pandas as pd
+            for b in batches:
+                for x in b.itertuples(index=False):
+                    qid, rid = np.frombuffer(x.q_ids, np.int64), np.frombuffer(x.ids, np.int64)
+                    out = _found(qid, np.frombuffer(x.q_vectors).reshape(len(qid), -1), np.frombuffer(x.q_labels, np.int64),
+                                 rid, np.frombuffer(x.vectors).reshape(len(rid), -1), np.frombuffer(x.labels, np.int64), k, p, exclude_self)
+                    yield from (f.assign(block=x.q_block) for f in out)
+
+        r = self.blocks.select("block", "ids", "vectors", "labels")
+        start = (home.join(q.select("q_block", "q_ids", "q_vectors", "q_labels"), "q_block").hint("merge").join(r, "block")
+                 .repartition("q_block", "block").mapInPandas(search, _FOUND + ", block long"))
+        start = materialize(start, "knn-first")
+
+        # 2: each query's bound, and the blocks that may hold something within it
+        bounds = (start.groupBy("block", "id").agg(F.sort_array(F.collect_list("distance")).alias("d"))
+                  .select("block", "id", F.get("d", F.lit(k - 1)).alias("bound"))
+                  .groupBy(F.col("block").alias("q_block")).agg(F.collect_list(F.struct("id", "bound")).alias("bounds")))
+
+        def onward(batches):
+            import pandas as pd
+            block, cell, _, low, high = stats.value
+            between = _distances(pivots.value, pivots.value, p)
+            for b in batches:
+                for x in b.itertuples(index=False):
+                    ids, v = np.frombuffer(x.q_ids, np.int64), np.frombuffer(x.q_vectors).reshape(x.q_n, -1)
+                    bound = np.full(len(ids), np.inf)
+                    if x.bounds is not None:
+                        by = {e["id"]: e["bound"] for e in x.bounds if e["bound"] is not None}
+                        bound = np.array([by.get(i, np.inf) for i in ids.tolist()])
+                    order = np.argsort(between[x.q_cell][cell], kind="stable")
+                    seen = block[order[:x.done]]
+                    step = max(1, _CELLS // max(len(pivots.value), len(block)))
+                    wanted: dict[int, list] = {}
+                    for i in range(0, len(ids), step):
+                        d = _distances(v[i:i + step], pivots.value, p)[:, cell]            # to each block's pivot
+                        least = np.maximum(np.maximum(d - high, low - d), 0.0)
+                        row, col = np.nonzero(least <= bound[i:i + step, None] * (1 + _SLACK) + _SLACK * (1 + d))
+                        by_block = np.argsort(col, kind="stable")
+                        cuts = np.flatnonzero(np.diff(col[by_block])) + 1
+                        for at in np.split(by_block, cuts):
+                            if len(at):
+                                wanted.setdefault(int(col[at[0]]), []).append(i + row[at])
+                    skip = set(seen.tolist())
+                    labels = np.frombuffer(x.q_labels, np.int64)
+                    for j, rows in wanted.items():
+                        if int(block[j]) in skip:
+                            continue
+                        at = np.concatenate(rows)
+                        yield pd.DataFrame([{"q_block": x.q_block, "block": int(block[j]), "q_ids": ids[at].tobytes(),
+                                             "q_vectors": v[at].tobytes(), "q_labels": labels[at].tobytes()}])
+
+        done = home.groupBy("q_block").agg(F.count(F.lit(1)).cast("int").alias("done"))
+        rest = (q.join(done, "q_block").join(bounds, "q_block", "left")
+                .mapInPandas(onward, "q_block long, block long, q_ids binary, q_vectors binary, q_labels binary"))
+        self.further_pairs = rest = materialize(rest, "knn-onward")
+        later = rest.hint("merge").join(r, "block").repartition("q_block", "block").mapInPandas(search, _FOUND + ", block long")
+        return start.unionByName(later).drop("block")
+
+
 def neighbours(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 5,
-               p: int = 2, exclude_self: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+               p: int = 2, exclude_self: bool = True, block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
     """(id, label, near): each query's k nearest references as an array of (distance, id, label)."""
-    if p not in (1, 2, 3):
-        raise ValueError("p must be 1, 2 or 3")
-    q, _ = _packed(queries, id_col, vec_col, label_col, block_rows)
-    r, blocks = _packed(reference, id_col, vec_col, label_col, block_rows)
-    pairs = (q.toDF("q_block", "q_ids", "q_vectors", "q_labels", "q_n")
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-             .hint("merge").join(r, "block"))
-
-    def partial(batches):
-        import pandas as pd
-        for b in batches:
-            for x in b.itertuples(index=False):
-                qid, rid = np.frombuffer(x.q_ids, np.int64), np.frombuffer(x.ids, np.int64)
-                ql, rl = np.frombuffer(x.q_labels, np.int64), np.frombuffer(x.labels, np.int64)
-                Q, R = np.frombuffer(x.q_vectors).reshape(x.q_n, -1), np.frombuffer(x.vectors).reshape(x.n, -1)
-                step = max(1, _CELLS // max(1, len(R)))
-                out = []
-                for i in range(0, len(Q), step):
-                    d = _distances(Q[i:i + step], R, p)
-                    if exclude_self:
-                        d[qid[i:i + step, None] == rid[None, :]] = np.inf
-                    row, col = _nearest(d, k)
-                    keep = np.isfinite(d[row, col])
-                    row, col = row[keep], col[keep]
-                    out.append(pd.DataFrame({"id": qid[i + row], "label": ql[i + row], "distance": d[row, col],
-                                             "near_id": rid[col], "near_label": rl[col]}))
-                yield pd.concat(out)
-
-    found = pairs.repartition(F.col("q_block"), F.col("block")).mapInPandas(
-        partial, "id long, label long, distance double, near_id long, near_label long")
-    near = F.slice(F.sort_array(F.collect_list(F.struct("distance", "near_id", "near_label"))), 1, k)
-    return found.groupBy("id", "label").agg(near.alias("near"))
+    return Cells(reference, id_col, vec_col, label_col, p, block_rows, pivots).neighbours(queries, id_col, vec_col, label_col, k, exclude_self)
 
 
 def knn_predict(queries: DataFrame, reference: DataFrame, id_col: str, vec_col: str, label_col: str,

@@ -30,10 +30,36 @@ def test_matches_brute_force(spark, p, weights, block):
     assert got == brute(X, range(160), X, range(160), y, 6, p, weights)
 
 
-def test_nothing_is_collected(spark, monkeypatch):
-    from pyspark.sql import DataFrame
+@pytest.mark.parametrize("p,exclude", [(1, True), (2, False), (3, True)])
+def test_far_cells_are_never_joined(spark, p, exclude):
+    """Clusters far apart: a query block meets the blocks of its own cluster, and the result is exact."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1000, (20, 3))
+    X = np.concatenate([c + rng.normal(0, 1, (60, 3)) for c in centres])
+    y = rng.integers(0, 3, len(X))
+    df = spark.createDataFrame([(i, X[i].tolist(), int(y[i])) for i in range(len(X))], "id long, v array<double>, label long").repartition(6)
+    cells = knn.Cells(df, "id", "v", "label", p, block_rows=20, pivots=60)
+    got = {r["id"]: [(e["near_id"]) for e in r["near"]] for r in cells.neighbours(df, "id", "v", "label", 5, exclude).collect()}
+    for i in range(0, len(X), 7):
+        d = (np.abs(X - X[i]) ** p).sum(1) ** (1 / p)
+        if exclude:
+            d[i] = np.inf
+        assert got[i] == [int(j) for j in np.lexsort((np.arange(len(X)), d))[:5]]
+    blocks = len(cells.stats.value[0])
+    met = cells.first_pairs.count() + cells.further_pairs.count()
+    assert blocks >= 60 and met < 0.1 * blocks * blocks
+
+
+def test_odd_vectors_and_empty_tables(spark):
+    rows = [(1, [0.0, 0.0], 1), (2, [0.0, 1.0], 0), (3, None, 1), (4, [1.0], 1), (5, [0.0, 0.5], None), (6, [None, 1.0], 1), (7, [], 0)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label long")
+    got = {r["id"]: (r["label"], [e["near_id"] for e in r["near"]]) for r in knn.neighbours(df, df, "id", "v", "label", 3).collect()}
+    assert got == {1: (1, [2]), 2: (0, [1]), 5: (None, [1, 2])}
+    assert knn.neighbours(df, df.limit(0), "id", "v", "label", 3).count() == 0
+    assert knn.neighbours(df.limit(0), df, "id", "v", "label", 3).count() == 0
+
+
+def test_no_cartesian_product(spark):
     df = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(9)], "id long, v array<double>, label long")
-    monkeypatch.setattr(type(df), "toPandas", None)
-    monkeypatch.setattr(type(df), "collect", None)
     out = knn.knn_predict(df, df, "id", "v", "label", 3)
-    assert isinstance(out, DataFrame) and "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
