@@ -1,7 +1,8 @@
 """Exact byte-level BPE encoding from merge ranks, and decoding.
 
 A text is cut into pre-tokens by the tokenizer's pattern; each is encoded on its own.  A pre-token that
-is a token is done.  Any other starts as a linked list of its bytes.  Every pair of neighbours whose
+is a token is done.  Any other starts as a linked list of its bytes; those that some texts bring anew stand
+in one list, with walls between them that no pair crosses.  Every pair of neighbours whose
 bytes joined are a token waits in the bucket of that token's rank, by the position of its left part;
 a hierarchical bitmap has a bit for each bucket that holds something, so the next rank is found by one
 find-first-set a level, however many pairs wait.  A bucket is worked off from left to right.  A merge
@@ -9,7 +10,7 @@ only unlinks one node and files the two new pairs; entries whose pair has change
 are skipped when met.  Work is thus in proportion to the merges, for a pre-token of millions of bytes as
 for a word.  A merge can give a pair of a lower rank than its own: the rest of the bucket then goes back.
 
-A worker keeps pre-tokens that it has met lately, at most ``2 * CACHE`` short ones, from task to task.  A very long text is
+A worker keeps pre-tokens that it has met lately, at most about ``2 * CACHE`` short ones, from task to task.  A very long text is
 read some pre-tokens at a time.  No shuffle: a row's result comes from the row and the vocabulary.
 
 Defined results: a null or empty text has no tokens (``n_tokens`` 0, digests of the empty string); a
@@ -31,28 +32,8 @@ from pyspark.sql import DataFrame
 CACHE, CACHE_CHARS = 300_000, 32
 #: Characters of a text up to which its pre-tokens are listed at once, and pre-tokens listed at a time beyond.
 WHOLE, AT_ONCE = 1_000_000, 50_000
-#: Texts whose results are handed on at a time.
-ROWS = 1024
-
-
-class Lately(dict):
-    """Results by pre-token, made when first asked for.  A full generation becomes the old one, from which
-    what is asked for again comes back."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, piece: str) -> str:
-        got = self.old.get(piece)
-        if got is None:
-            got = self.make(piece)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = got
-        return got
+#: Texts handled at a time.
+ROWS = 256
 
 
 class Vocabulary:
@@ -74,31 +55,41 @@ class Vocabulary:
         self.bits = [1 << i for i in range(max(len(self.words), 1 << self.shift))]
         # by decimal text, in which ids are digested
         self.token = {str(i): t for t, i in ranks.items()}
-        self.decimal = Lately(lambda s: " ".join(map(str, self.pre_token(s.encode()))))
+        self.known: dict[str, str] = {}
+        self.old: dict[str, str] = {}
+        self.passing: list[str] = []  # long pre-tokens, which are not kept
 
-    def pre_token(self, piece: bytes) -> list[int]:
-        known = self.ranks.get(piece)
-        return [known] if known is not None else self.merged(piece)
+    def merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each of ``pieces`` by applying the lowest merge again and again, leftmost first.
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Ids of ``piece`` by applying the lowest merge again and again, leftmost first."""
-        n, rank, longest = len(piece), self.ranks.get, self.longest
+        The pieces stand in one linked list, and no pair crosses from one to the next; what is done to a
+        piece does not depend on the others, so one queue serves all."""
+        text = b"".join(pieces)
+        n, rank, longest = len(text), self.ranks.get, self.longest
         words, bits, shift, low = self.words, self.bits, self.shift, (1 << self.shift) - 1
+        begins = [0]
+        for p in pieces:
+            begins.append(begins[-1] + len(p))
+        wall = bytearray(n + 1)  # where a piece starts
+        for i in begins:
+            wall[i] = 1
         after = list(range(1, n + 1))  # where the next part starts
-        before = list(range(-1, n - 1))
-        pair = [rank(piece[i:i + 2], -1) for i in range(n - 1)]  # rank of a part with the next one
-        pair.append(-1)
+        before = list(range(-1, n))
+        pair = [rank(text[i:i + 2], -1) for i in range(n)]  # rank of a part with the next one
         buckets: dict[int, list[int]] = {}
-        top = 0  # the bitmap's upper level
+        for i in begins[1:]:
+            if i:
+                pair[i - 1] = -1
         for i, r in enumerate(pair):
             if r >= 0:
                 if r in buckets:
                     buckets[r].append(i)
                 else:
                     buckets[r] = [i]
-                    w = r >> shift
-                    words[w] |= bits[r & low]
-                    top |= bits[w]
+        top = 0  # the bitmap's upper level
+        for r in buckets:
+            words[r >> shift] |= bits[r & low]
+            top |= bits[r >> shift]
         while top:
             w = (top & -top).bit_length() - 1
             word = words[w]
@@ -108,71 +99,100 @@ class Vocabulary:
             if not word:
                 top ^= bits[w]
             waiting = buckets.pop(r)
-            if len(waiting) > 1:
-                waiting.sort()
+            waiting.sort()
             for k, i in enumerate(waiting):
                 if pair[i] != r:  # stale
                     continue
                 gone = after[i]
                 after[i] = end = after[gone]
+                before[end] = i
                 pair[gone] = pair[i] = -1
                 lower = False
-                if end < n:
-                    before[end] = i
+                if not wall[end]:
                     stop = after[end]
-                    if stop - i <= longest and (q := rank(piece[i:stop], -1)) >= 0:
+                    if stop - i <= longest and (q := rank(text[i:stop], -1)) >= 0:
                         pair[i] = q
                         if q in buckets:
                             buckets[q].append(i)
                         else:
                             buckets[q] = [i]
-                            w = q >> shift
-                            words[w] |= bits[q & low]
-                            top |= bits[w]
+                            words[q >> shift] |= bits[q & low]
+                            top |= bits[q >> shift]
                         lower = q < r
-                left = before[i]
-                if left >= 0:
-                    pair[left] = -1
-                    if end - left <= longest and (q := rank(piece[left:end], -1)) >= 0:
+                if not wall[i]:
+                    left = before[i]
+                    if end - left <= longest and (q := rank(text[left:end], -1)) >= 0:
                         pair[left] = q
                         if q in buckets:
                             buckets[q].append(left)
                         else:
                             buckets[q] = [left]
-                            w = q >> shift
-                            words[w] |= bits[q & low]
-                            top |= bits[w]
-                        lower |= q < r
+                            words[q >> shift] |= bits[q & low]
+                            top |= bits[q >> shift]
+                        if q < r:
+                            lower = True
+                    else:
+                        pair[left] = -1
                 if lower:  # a merge below this rank comes first: the rest goes back
                     if rest := waiting[k + 1:]:
                         buckets[r] = rest
-                        w = r >> shift
-                        words[w] |= bits[r & low]
-                        top |= bits[w]
+                        words[r >> shift] |= bits[r & low]
+                        top |= bits[r >> shift]
                     break
-        out, i, ranks = [], 0, self.ranks
-        while i < n:
-            out.append(ranks[piece[i:after[i]]])
-            i = after[i]
+        out, ranks = [], self.ranks
+        for i, stop in zip(begins, begins[1:]):
+            ids = []
+            while i < stop:
+                end = after[i]
+                ids.append(ranks[text[i:end]])
+                i = end
+            out.append(ids)
         return out
 
-    def pre_tokens(self, text: str):
-        """Lists of pre-tokens, in order."""
-        if len(text) <= WHOLE:
-            yield self.pattern.findall(text)
-            return
+    def learn(self, lists: list[list[str]]) -> None:
+        """Make ``known`` hold every pre-token of ``lists``.  Short ones stay in two generations of at most about
+        ``CACHE`` each: a full one becomes the old one, from which what is met again comes back."""
+        known = self.known
+        for p in self.passing:
+            del known[p]
+        self.passing = []
+        if len(known) >= CACHE:
+            self.old, self.known = known, {}
+            known = self.known
+        unknown = []
+        for p in set().union(*lists).difference(known):
+            if (got := self.old.get(p)) is not None:
+                known[p] = got
+            else:
+                unknown.append(p)
+                if len(p) > CACHE_CHARS:
+                    self.passing.append(p)
+        open_ = []
+        for p in unknown:
+            if (i := self.ranks.get(p.encode())) is not None:  # it is a token
+                known[p] = str(i)
+            else:
+                open_.append(p)
+        for p, ids in zip(open_, self.merged([p.encode() for p in open_])):
+            known[p] = " ".join(map(str, ids))
+
+    def decimals(self, texts: list[str]):
+        """For each text, its ids as decimal texts with a space between, in parts."""
+        lists = [self.pattern.findall(t) if len(t) <= WHOLE else None for t in texts]
+        self.learn([w for w in lists if w])
+        joined = [None if w is None else " ".join(map(self.known.__getitem__, w)) for w in lists]
+        for t, ids in zip(texts, joined):
+            yield self.parts(t) if ids is None else [ids] if ids else []
+
+    def parts(self, text: str):
+        """The ids of a very long text, some pre-tokens at a time."""
         found = self.pattern.finditer(text)
         while some := [m[0] for m in islice(found, AT_ONCE)]:
-            yield some
-
-    def encode_decimal(self, text: str):
-        """Ids of ``text`` as decimal texts with a space between, some at a time."""
-        for some in self.pre_tokens(text):
-            if some:
-                yield " ".join(map(self.decimal.__getitem__, some))
+            self.learn([some])
+            yield " ".join(map(self.known.__getitem__, some))
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for part in self.encode_decimal(text) for i in part.split(" ")]
+        return [int(i) for part in next(self.decimals([text])) for i in part.split(" ")]
 
     def decode(self, ids) -> bytes:
         return b"".join(self.token[str(i)] for i in ids)
@@ -218,9 +238,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_col: s
         import pyarrow as pa
         token = v.token.__getitem__
         counts, id_sums, text_sums, all_ids, texts = [], [], [], [], []
-        for value in b.column(len(keep)):
+        for parts in v.decimals([t or "" for t in b.column(len(keep)).to_pylist()]):
             n, id_sum, text_sum, kept, raw = 0, hashlib.sha256(), hashlib.sha256(), [], []
-            for part in v.encode_decimal(value.as_py() or ""):
+            for part in parts:
                 ids = part.split(" ")
                 back = b"".join(map(token, ids))
                 id_sum.update((" " + part if n else part).encode())

@@ -82,7 +82,7 @@ def test_lower_rank_after_a_merge():
     rnd = random.Random(9)
     for _ in range(3000):
         piece = bytes(rnd.choice(b"abcx") for _ in range(rnd.randint(1, 14)))
-        assert v.merged(piece) == naive(piece, ranks), piece
+        assert v.merged([piece, piece[1:]])[0] == naive(piece, ranks), piece
         assert not any(v.words)  # nothing stays for the next one
 
 
@@ -91,7 +91,19 @@ def test_ranks_of_any_size():
         ranks = {bytes([i]): i for i in range(256)} | {b"ab": top, b"abab": top + 9, b"ba": top + 3}
         v = B.Vocabulary(ranks, r".+")
         for piece in (b"ababab", b"bababa", b"aabb", b"a"):
-            assert v.pre_token(piece) == ([ranks[piece]] if piece in ranks else naive(piece, ranks))
+            assert v.merged([piece]) == [naive(piece, ranks)]
+
+
+def test_kept_pre_tokens_change_nothing(ranks, library, monkeypatch):
+    monkeypatch.setattr(B, "CACHE", 5)
+    monkeypatch.setattr(B, "CACHE_CHARS", 6)
+    v = B.Vocabulary(ranks, PATTERN)
+    rnd = random.Random(6)
+    for _ in range(300):
+        texts = [" ".join(rnd.choice(["zorb", "quxly", "a", "longerwordthanothers", "fnord", "blah9"]) for _ in range(rnd.randint(0, 6))) for _ in range(3)]
+        got = [[int(i) for part in parts for i in part.split(" ")] for parts in v.decimals(texts)]
+        assert got == [library.encode_ordinary(t) for t in texts]
+        assert len(v.known) + len(v.old) < 30
 
 
 def test_vocabulary_must_hold_every_byte():
