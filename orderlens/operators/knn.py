@@ -274,7 +274,11 @@ def knn_predict(queries: DataFrame, reference: DataFrame, id_col: str, vec_col:
     such neighbours vote.  Vote ties go to the smallest label.  ``score`` is the predicted label's
     share of the votes, ``positive`` that of label 1.
     """
-    near = neighbours(queries, reference, id_col, vec_col, label_col, k, p, exclude_self, block_rows)
+    return vote(neighbours(queries, reference, id_col, vec_col, label_col, k, p, exclude_self, block_rows), id_col, label_col, weights)
+
+
+def vote(near: DataFrame, id_col: str, label_col: str, weights: str = "uniform") -> DataFrame:
+    """The votes of ``neighbours``, as ``knn_predict`` gives them."""
     votes = near.select("id", "label", F.col("near")[0]["distance"].alias("least"), F.explode("near").alias("v"))
     if weights == "distance":
         w = F.when(F.col("least") == 0, (F.col("v.distance") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("v.distance")))

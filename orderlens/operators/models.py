@@ -196,6 +196,46 @@ SPACES: dict[str, dict[str, Callable[[random.Random], object]]] = {
 }
 
 
+def objective(family: str, train: DataFrame, test: DataFrame, n: int, n_features: int, gap: float = 0.03,
+              at_most: dict[str, int] | None = None) -> Callable[[dict], dict]:
+    """the objective of a family of ``SPACES``: fits its pipeline with a trial's parameters and returns the negative
+    penalised test AUC as loss (one-sided penalty for the forest, two-sided for the others).  ``at_most`` bounds
+    parameters that only make a trial longer (trees, rounds, iterations)."""
+    limits = at_most or {}
+    build = {
+        "logistic": lambda p: logistic(n=n, max_iter=limits.get("max_iter", 100), **p),
+        "svm": lambda p: svm(n_features, n=n, max_iter=limits.get("max_iter", 100), **p),
+        "network": lambda p: network(n_features, max_iter=limits.get("max_iter", 1000), **p),
+        "boosted": lambda p: boosted(n=n, **p),
+        "forest": lambda p: forest(n=n, **p),
+    }
+
+    def fit(params: dict) -> dict:
+        params = {k: min(v, limits[k]) if k in limits else v for k, v in params.items()}
+        if family == "knn":
+            a_tr, a_te = _knn_auc(train, test, **params)
+        else:
+            model = build[family](params).fit(train)
+            a_tr, a_te = auc(model.transform(train)), auc(model.transform(test))
+        score = penalised(a_tr, a_te, gap, two_sided=family != "forest")
+        return {"loss": -score, "status": "ok", "train_auc": a_tr, "test_auc": a_te}
+
+    return fit
+
+
+def _knn_auc(train: DataFrame, test: DataFrame, k: int, weights: str, p: int, id_col: str = "order_item_id") -> tuple[float, float]:
+    """M9 on standardised features: train and test AUC of the votes' share of returns (a train row is its own
+    neighbour, as in the original)."""
+    from . import knn
+    scaler = Pipeline(stages=_scaled("standard")).fit(train)
+    side = lambda d: scaler.transform(d).select(F.xxhash64(id_col).alias("id"), vector_to_array("scaled").alias("v"),
+                                                F.col(LABEL).cast("long").alias("label"))
+    cells = knn.Cells(side(train), "id", "v", "label", p)
+    out = [CO.auc_exact(knn.vote(cells.neighbours(side(d), "id", "v", "label", k, exclude_self=False), "id", "label", weights),
+                        "positive", "label").first()["auc"] for d in (train, test)]
+    return out[0], out[1]
+
+
 def random_search(space: dict[str, Callable[[random.Random], object]], objective: Callable[[dict], Trial],
                   max_evals: int = 100, seed: int = 42) -> list[Trial]:
     """Seeded random search over a space of ``SPACES``; each trial is one Spark fit (data stays cached)."""

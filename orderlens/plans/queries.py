@@ -1207,6 +1207,71 @@ def random_search(spark, sf_dir):
     return _appended(spark, M.trials_frame(spark, M.random_search(M.SPACES["logistic"], objective, max_evals=10, seed=42), "logistic"), "trials")
 
 
+# fixed values: the k-NN script's keep-list
+KNN_FEATURES = ["item_price", "days_to_delivery", "price_off"]
+
+
+def _search(spark, sf_dir, evals):
+    """One search over all six spaces, each on its script's features (WOE and one-hots for the trees); the trials
+    are appended to a metrics table as they end."""
+    import uuid
+
+    from pyspark.ml.functions import array_to_vector
+
+    from ..operators import features as FT
+    from ..operators import models as M
+    from ..operators import split, tuning
+    from ..session import materialize, scratch_path
+    from ..sources.sinks import MetricsTable
+    i = inputs(spark, sf_dir, materialize=True)
+    spec = FT.fit(i.history)
+    full = FT.expand_names(spec, ignore_woe=False, add_dummies=True)
+    known = i.known.withColumn("split", split.train_test_label(80, 0))
+    every = list(dict.fromkeys(full + MODEL_FEATURES + LOGIT_SUBSET + KNN_FEATURES))  # keep-lists may name ratios that the rules leave out
+    x = materialize(FT.feature_array(spec, known, every, keep=("order_item_id", "return", "split")), "search-features")
+    n = x.filter("split = 'train'").count()
+
+    def sides(names):
+        pick = F.slice("x", 1, len(full)) if names == full else F.array(*[F.col("x")[every.index(c)] for c in names])
+        data = x.select("order_item_id", "split", F.col("return").cast("double").alias("label"), array_to_vector(pick).alias("features"))
+        data = materialize(data, "search-side")
+        return data.filter("split = 'train'"), data.filter("split = 'test'"), n, len(names)
+
+    small, nineteen, three, whole = sides(LOGIT_SUBSET), sides(MODEL_FEATURES), sides(KNN_FEATURES), sides(full)
+    at_most = {"logistic": {"max_iter": 30}, "svm": {"max_iter": 30}, "network": {"max_iter": 15}, "boosted": {"max_iter": 8},
+               "forest": {"num_trees": 12, "max_depth": 10}}
+    data = {"logistic": small, "svm": small, "knn": three, "network": nineteen, "boosted": whole, "forest": whole}
+    tasks = {m: (M.SPACES[m], M.objective(m, *data[m], at_most=at_most.get(m))) for m in M.SPACES}
+    table = MetricsTable(scratch_path(spark, f"trials-{uuid.uuid4().hex}"))
+    return tuning, tuning.search(spark, tasks, evals, seed=42, parallel=4, table=table), table
+
+
+@register("tuning_trials")
+def tuning_trials(spark, sf_dir):
+    """Trials of all six models at a time, a row a trial with its status, read back from the metrics
+    table."""
+    _, trials, _ = _search(spark, sf_dir, 1)
+    return trials
+
+
+@register("sample_exact", S.with_ctes(
+    "SELECT order_item_id, CAST(rn <= floor(0.5 * n) AS INTEGER) AS copies FROM (SELECT order_item_id, count(*) OVER () AS n, "
+    "row_number() OVER (ORDER BY CAST('0x' || substr(md5('7|' || order_item_id), 1, 15) AS BIGINT), order_item_id) AS rn FROM known)"))
+def sample_exact(spark, sf_dir):
+    """Exactly half of the labelled rows, drawn without replacement; the rest is out of bag."""
+    from ..operators import split
+    known = inputs(spark, sf_dir, materialize=True).known.select("order_item_id")
+    return split.exact_sample(known, ["order_item_id"], int(0.5 * known.count()), 7).select("order_item_id", "copies")
+
+
+@register("sample_bootstrap")
+def sample_bootstrap(spark, sf_dir):
+    """int(0.5 * rows) draws with replacement; how often each labelled row was drawn (0: out of bag)."""
+    from ..operators import split
+    known = inputs(spark, sf_dir, materialize=True).known.select("order_item_id")
+    return split.exact_bootstrap(known, ["order_item_id"], int(0.5 * known.count()), 7).select("order_item_id", "copies")
+
+
 def _ga(spark, sf_dir, generations=4, population=20):
     from ..operators.genetic import GeneticSearch
     M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)

@@ -22,6 +22,7 @@ _LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    "spark.scheduler.mode": "FAIR",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
