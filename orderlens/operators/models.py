@@ -141,10 +141,84 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), array_to_vector(features(vector_to_array(F.col(self.getInputCol())))))
 
 
+# ------------------------------------------------------------------ calibrated margins
+
+def sigmoid_fit(scored: DataFrame, margin: str, label: str, max_iter: int = 100, tol: float = 1e-10) -> tuple[float, float]:
+    """(a, b) of P(1 | margin) = 1 / (1 + exp(a * margin + b)), by Newton steps over aggregates.
+
+    Targets are (n1 + 1) / (n1 + 2) and 1 / (n0 + 2) in place of 1 and 0, which keeps a separable sample finite.  A step is
+    one aggregate of six sums; it is halved while it does not lower the loss."""
+    m, y = F.col(margin).cast("double"), F.col(label) == 1
+    count = scored.agg(F.count_if(y).alias("n1"), F.count_if(~y).alias("n0")).first()
+    n1, n0 = count["n1"] or 0, count["n0"] or 0
+    hi, lo = (n1 + 1.0) / (n1 + 2.0), 1.0 / (n0 + 2.0)
+    target = F.when(y, F.lit(hi)).otherwise(F.lit(lo))
+
+    def sums(a: float, b: float):
+        z = F.lit(a) * m + F.lit(b)
+        e = F.exp(-F.abs(z))
+        p = F.when(z >= 0, e / (1 + e)).otherwise(1 / (1 + e))
+        loss = F.when(z >= 0, target * z).otherwise((target - 1) * z) + F.log1p(e)
+        d, w = target - p, p * (1 - p)
+        return scored.agg(F.sum(loss).alias("f"), F.sum(d * m).alias("ga"), F.sum(d).alias("gb"),
+                          F.sum(w * m * m).alias("haa"), F.sum(w * m).alias("hab"), F.sum(w).alias("hbb")).first()
+
+    a, b = 0.0, math.log((n0 + 1.0) / (n1 + 1.0))
+    now = sums(a, b)
+    if now["f"] is None:
+        return a, b
+    for _ in range(max_iter):
+        haa, hab, hbb = now["haa"] + 1e-12, now["hab"], now["hbb"] + 1e-12
+        det = haa * hbb - hab * hab
+        da, db = -(hbb * now["ga"] - hab * now["gb"]) / det, -(haa * now["gb"] - hab * now["ga"]) / det
+        step = 1.0
+        while step > 1e-10:
+            then = sums(a + step * da, b + step * db)
+            if then["f"] <= now["f"] + 1e-4 * step * (now["ga"] * da + now["gb"] * db):
+                break
+            step /= 2
+        else:
+            break
+        a, b, gain = a + step * da, b + step * db, now["f"] - then["f"]
+        now = then
+        if gain <= tol * (abs(now["f"]) + 1.0):
+            break
+    return a, b
+
+
+class Calibrated:
+    """A fitted margin model whose score is a probability."""
+
+    def __init__(self, model: PipelineModel, a: float, b: float):
+        self.model, self.a, self.b = model, a, b
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        margin = vector_to_array("rawPrediction")[1]
+        z = F.lit(self.a) * margin + F.lit(self.b)
+        return self.model.transform(df).withColumn("score", F.when(z >= 0, F.exp(-z) / (1 + F.exp(-z))).otherwise(1 / (1 + F.exp(z))))
+
+
+def calibrated(pipe: Pipeline, train: DataFrame, folds: int = 3, seed: int = 42) -> Calibrated:
+    """Class probabilities from margins.  The sigmoid is fitted to cross-fitted margins -- each row's from a
+    model that has not seen it -- and set on the model of all rows."""
+    from ..session import materialize
+    part = F.pmod(F.xxhash64(vector_to_array("features"), "label", F.lit(seed)), F.lit(folds))
+    dealt = train.withColumn("__fold", part)
+    out = None
+    for f in range(folds):
+        rest, mine = dealt.filter(F.col("__fold") != f), dealt.filter(F.col("__fold") == f)
+        scored = pipe.fit(rest).transform(mine).select(vector_to_array("rawPrediction")[1].alias("margin"), "label")
+        out = scored if out is None else out.unionByName(scored)
+    a, b = sigmoid_fit(materialize(out, "margins"), "margin", "label")
+    return Calibrated(pipe.fit(train), a, b)
+
+
 # ------------------------------------------------------------------ scores, AUC, penalty
 
 def positive_score(pred: DataFrame) -> DataFrame:
     """Positive-class probability, or the raw margin when the model has no probability column."""
+    if "score" in pred.columns:
+        return pred
     if "probability" in pred.columns:
         return pred.withColumn("score", vector_to_array("probability")[1])
     return pred.withColumn("score", vector_to_array("rawPrediction")[1])

@@ -1272,37 +1272,99 @@ def sample_bootstrap(spark, sf_dir):
     return split.exact_bootstrap(known, ["order_item_id"], int(0.5 * known.count()), 7).select("order_item_id", "copies")
 
 
-def _ga(spark, sf_dir, generations=4, population=20):
+def _ga_data(spark, sf_dir):
+    """Train and test rows with the full feature matrix, WOE and one-hots included, as one array."""
+    from ..operators import features as FT
+    from ..operators import split
+    from ..session import materialize
+    i = inputs(spark, sf_dir, materialize=True)
+    spec = FT.fit(i.history)
+    names = FT.expand_names(spec, ignore_woe=False, add_dummies=True)
+    rows = i.known.withColumn("split", split.train_test_label(80, 0)).withColumn("price", F.col("item_price"))
+    data = materialize(FT.feature_array(spec, rows, names, keep=("order_item_id", "return", "price", "split")), "ga-rows")
+    return names, data.filter("split = 'train'"), data.filter("split = 'test'")
+
+
+def _ga(train, components=None, generations=4, population=20):
     from ..operators.genetic import GeneticSearch
-    M, names, train, test, i, spec = _model_data(spark, sf_dir, LOGIT_SUBSET)
     ga = GeneticSearch(elitism=0.1, population_size=population, crossover="arithmetic", prob_mutation=0.3, seed=42)
-    ga.fit(train, LOGIT_SUBSET, "return", "price", ["order_item_id"], loc=0.0, scale=3.0)
+    ga.fit_array(train, "x", "return", "price", ["order_item_id"], components, loc=0.0, scale=3.0)
     ga.run(maxiter=generations, subsample=0.5, reset_prob=0.5)
-    return ga, M, names, train, test, i, spec
+    return ga
 
 
 @register("ga_run")
 def ga_run(spark, sf_dir):
-    """Genetic search of logit coefficients; one history row per generation."""
-    ga, *_ = _ga(spark, sf_dir)
-    return _appended(spark, ga.history_frame(spark), "ga-history")
+    """Genetic search over the full feature matrix and over its first 20 principal components; a history
+    row a generation."""
+    _, train, _ = _ga_data(spark, sf_dir)
+    spaces = [(name, _ga(train, k).history_frame(spark)) for name, k in (("features", None), ("components", 20))]
+    records = spaces[0][1].withColumn("space", F.lit(spaces[0][0])).unionByName(spaces[1][1].withColumn("space", F.lit(spaces[1][0])))
+    return _appended(spark, records, "ga-history")
+
+
+#: Fixed candidates over the full matrix: a coefficient depends on the feature's name only.
+FULL_POOL = 4
+
+
+def _pool_coefficient(name: str, c: int) -> float:
+    return ((len(name) * (c + 3)) % 7 - 3) * 0.05
+
+
+def _pool_full_sql():
+    mean = "SELECT f, avg(x) AS m, var_pop(x) AS v FROM all_ GROUP BY f"
+    z = ("SELECT c.cand_id, a.rn, 0.1 + sum((coalesce(a.x, m.m) - m.m) / (SELECT sqrt(avg(v + (m - (SELECT avg(m) FROM pm_)) * (m - (SELECT avg(m) FROM pm_)))) FROM pm_) "
+         "* ((length(a.f) * (c.cand_id + 3)) % 7 - 3) * 0.05) AS z "
+         f"FROM all_ a JOIN pm_ m ON a.f = m.f CROSS JOIN range(0, {FULL_POOL}) c(cand_id) GROUP BY ALL")
+    rows = 'SELECT cand_id, r."return" AS y, r.item_price AS price, z FROM z_ JOIN rows_ r ON r.rn = z_.rn'
+    pool = _pool_sql()
+    first = pool[0][1]
+    start, end = first.index(" AS p FROM (") + len(" AS p FROM ("), first.rindex(")))")
+    pool[0] = ("pb", first[:start] + rows + first[end:])
+    pool[2] = ("pfull", pool[2][1].replace(f"range(0, {len(POOL)})", f"range(0, {FULL_POOL})"))
+    ctes = [c for c in _corr_ctes() if c[0] in ("fit_rows", "gone", "of_", "rows_", "cells_", "long_", "all_", "feat_h", "featw_h")]
+    return S.with_ctes("SELECT cand_id, best_utility, best_cutoff, best_index, rank FROM pfit",
+                       S.fit_ctes("history") + S.transform_ctes("known") + ctes + [("pm_", mean), ("z_", z)] + pool)
+
+
+@register("population_full", _pool_full_sql())
+def population_full(spark, sf_dir):
+    """Utility and cutoff of fixed candidates over the full feature matrix of the labelled rows, scaled by
+    one standard deviation, scored from the raw features by folded coefficients."""
+    import numpy as np
+
+    from ..operators import cost as CO
+    from ..operators.genetic import GeneticSearch
+    names, train, test = _ga_data(spark, sf_dir)
+    ga = GeneticSearch(population_size=FULL_POOL).fit_array(train.unionByName(test), "x", "return", "price", ["order_item_id"])
+    pool = np.array([[0.1, *(_pool_coefficient(n, c) for n in names)] for c in range(FULL_POOL)])
+    fit = CO.population_fitness(ga.data, "x", "y", "price", ga._raw(pool))
+    return CO.rank_candidates(fit.drop("out_of_bag", "n")).withColumn("rank", F.col("rank").cast("long"))
 
 
 @register("cost_report")
 def cost_report(spark, sf_dir):
-    """Test-set cost of the GA (its cutoff), forest and logistic (best cutoff), and both baselines."""
+    """Test-set cost over the full feature matrix: the GA in both spaces (its own cutoff), forest, logistic and SVM
+    (best cutoff), and both baselines."""
+    from pyspark.ml.functions import array_to_vector
+
     from ..operators import cost as CO
-    ga, M, names, train, test, i, spec = _ga(spark, sf_dir, generations=3, population=16)
-    ga_test = ga.predict_proba(test).select(F.col("p"), F.col("return").alias("y"), "price")
-    rows = [("genetic", CO.utility_at(ga_test, "p", "y", "price", ga.optimal_cutoff).first()["utility"],
-             float(ga.optimal_cutoff))]
-    for name, pipe in (("forest", M.forest(num_trees=20, max_depth=8, n=train.count())),
-                       ("logistic", M.logistic(C=1.0, n=train.count(), poly=False))):
-        sc = M.positive_score(pipe.fit(train).transform(test)).select(
-            F.col("score").alias("p"), F.col("return").alias("y"), "price")
+    from ..operators import models as M
+    names, train, test = _ga_data(spark, sf_dir)
+    rows = []
+    for name, k in (("genetic", None), ("genetic on components", 20)):
+        ga = _ga(train, k, generations=3, population=16)
+        scored = ga.predict_proba(test).select("p", F.col("return").alias("y"), "price")
+        rows.append((name, CO.utility_at(scored, "p", "y", "price", ga.optimal_cutoff).first()["utility"], float(ga.optimal_cutoff)))
+    vector = lambda d: d.select(array_to_vector("x").alias("features"), F.col("return").cast("double").alias("label"), "price")
+    tr, te, n = vector(train), vector(test), train.count()
+    svm = M.calibrated(M.svm(len(names), C=0.75, n=n, max_iter=20), tr)
+    for name, pipe in (("forest", M.forest(num_trees=12, max_depth=8, n=n)), ("logistic", M.logistic(C=1.0, n=n, poly=False, max_iter=40)), ("svm", svm)):
+        sc = M.positive_score(pipe.fit(tr).transform(te) if name != "svm" else svm.transform(te)).select(
+            F.col("score").alias("p"), F.col("label").cast("int").alias("y"), "price")
         b = CO.cutoff_sweep(sc, "p", "y", "price").first()
         rows.append((name, b["best_utility"], b["best_cutoff"]))
-    base = CO.baselines(ga_test, "y", "price").first()
+    base = CO.baselines(test.select(F.col("return").alias("y"), "price"), "y", "price").first()
     rows += [("baseline_none", base["predict_none"], None), ("baseline_all", base["predict_all"], None)]
     return spark.createDataFrame(rows, "model string, utility double, cutoff double")
 

@@ -129,6 +129,47 @@ def test_ga_simulation_study(spark, crossover, bootstrap):
     assert len(ga.history) == 8 and all(g.out_of_bag is not None for g in ga.history)
 
 
+def test_search_over_arrays_and_components(spark):
+    """Folded coefficients score raw features as the scaled ones, and as the components, would be scored."""
+    from orderlens.operators.genetic import GeneticSearch
+    df = simulated(spark, 400).withColumn("x", F.expr("array(a, b * 50, c, d, 7.0D)"))
+    rows = df.orderBy("k").collect()
+    X = np.array([r["x"] for r in rows])
+    mean, std = X.mean(0), X.std(0, ddof=1)
+    ga = GeneticSearch(population_size=12, seed=3).fit_array(df, "x", "y", "price", ["k"])
+    cells = np.sqrt(((X - X.mean()) ** 2).mean())                      # one deviation over all cells
+    want = np.column_stack([np.ones(400), (X - mean) / cells])
+    raw = np.column_stack([np.ones(400), X])
+    assert np.allclose(raw @ ga._raw(ga.pool).T, want @ ga.pool.T)
+    pc = GeneticSearch(population_size=12, seed=3).fit_array(df, "x", "y", "price", ["k"], components=2)
+    Z = (X - mean) / np.where(std > 0, std, np.inf)
+    values, axes = np.linalg.eigh(np.cov(Z.T))
+    P = Z @ axes[:, ::-1][:, :2]
+    got = raw @ pc.fold.T
+    assert pc.m == 3 and np.allclose(got[:, 0], 1)
+    for j in range(2):
+        assert np.allclose(np.abs(got[:, 1 + j]), np.abs(P[:, j]) / np.sqrt((P ** 2).mean()), atol=1e-8)
+    pc.run(maxiter=3, subsample=0.5)
+    assert len(pc.history) == 3 and pc.predict_cost() <= 0
+    assert pc.predict_cost() == pytest.approx(pc.predict_cost(df, "y", "price"))
+
+
+def test_calibrated_margins(spark):
+    from orderlens.operators import models as M
+    rng = np.random.default_rng(2)
+    m = rng.normal(0, 2, 3000)
+    y = (rng.random(3000) < 1 / (1 + np.exp(-1.7 * m + 0.6))).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(m, y)], "m double, y int")
+    a, b = M.sigmoid_fit(df, "m", "y")
+    t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    p = 1 / (1 + np.exp(a * m + b))
+    assert abs(((t - p) * m).sum()) < 1e-4 and abs((t - p).sum()) < 1e-4   # the loss is flat there
+    assert a == pytest.approx(-1.7, abs=0.2) and b == pytest.approx(0.6, abs=0.2)
+    apart = spark.createDataFrame([(-1.0, 0), (1.0, 1)] * 5, "m double, y int")
+    assert all(np.isfinite(M.sigmoid_fit(apart, "m", "y")))
+    assert all(np.isfinite(M.sigmoid_fit(df.limit(0), "m", "y")))
+
+
 def test_one_class_and_constant_columns(spark):
     df = spark.createDataFrame([(0.1, 1), (0.4, 1), (None, 1)], "s double, y int")
     r = CO.auc_exact(df, "s", "y").first()
