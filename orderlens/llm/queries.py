@@ -141,7 +141,10 @@ CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
            cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
            sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
-           cast(sum(12 + length(er) + 1 + length(e) + 10 + 1) as bigint) as formatted_chars
+           cast(sum(12 + length(er) + 1 + length(e) + 10 + 1) as bigint) as formatted_chars,
+           list_reduce(list_prepend('begin', list(role order by turn nulls first, role, text)), lambda s, r:
+             case when s = 'begin' and r in ('system', 'user') or s in ('system', 'assistant') and r = 'user'
+                       or s = 'user' and r = 'assistant' then r else 'error' end) as state, state = 'assistant' as valid
     from f group by conv_id""".replace("\\\\", "\\"))
 def op10_chat_format(spark, sf_dir):
     rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -154,7 +157,7 @@ def op10_chat_format(spark, sf_dir):
     return (out.withColumn("turns", turns).withColumn("loss", chat.loss_text(F.col("segments")))
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest.alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                    F.length("formatted").cast("long").alias("formatted_chars")))
+                    F.length("formatted").cast("long").alias("formatted_chars"), "state", "valid"))
 
 
 def byte_bpe_path() -> str:

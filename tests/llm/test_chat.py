@@ -51,6 +51,11 @@ def test_query_reads_back_every_conversation(spark):
         loss = "".join(t for _, role, t in turns if role == "assistant")
         assert got[i].n_turns == len(turns) and got[i].loss_chars == len(loss)
         assert got[i].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        state = "begin"
+        for _, role, _ in turns:
+            state = chat.CHATML["transitions"].get(state, {}).get(role, "error")
+        assert got[i].state == state and got[i].valid == (state == "assistant")
         assert got[i].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in turns).encode()).hexdigest()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    assert "system>user" in df._jdf.queryExecution().optimizedPlan().toString()  # the machine's transitions
