@@ -9,6 +9,10 @@ A window is ``window`` consecutive words of an item; an item of fewer words, but
 window.  The index leaves out what no window can touch: a run of benchmark words shorter than the
 shortest window lies in no occurrence.
 
+The benchmark is cut into pieces that hold all windows, and pieces into parts of about ``PART_CHARS``.  One
+part is searched in one pass without a shuffle.  More are searched one after another, each with windows of bounded
+size; only texts with hits are passed on, named by their SHA-256, and a text's spans and items are merged.
+
 Defined results: a null text has no words; an item without words has no window; rows repeated whole
 are judged one by one; an empty benchmark hits nothing.
 """
@@ -21,11 +25,14 @@ from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import discard, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # after lower-casing A-Z
 WINDOW = 10
-#: The benchmark travels with the tasks, so its words are counted first and may be at most so many.
-MAX_BENCHMARK_WORDS = 20_000_000
+#: Characters of the benchmark that travel with the tasks at a time, and words of a piece of an item.
+PART_CHARS, PIECE_WORDS = 2_000_000, 20_000
 #: A shard's index is built over at most about so many words; a task with more builds several.
 SHARD_WORDS = 3_000_000
 SAMPLE = 16
@@ -226,15 +233,14 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-                  cleaned: bool = False) -> DataFrame:
+                  cleaned: bool = False, part_chars: int = PART_CHARS) -> DataFrame:
     """``keep`` columns, ``n_words, n_hit, n_items, items_sha256, contaminated, spans`` and, with
-    ``cleaned``, ``clean_text`` (the text without its spans) of every row.  No shuffle."""
-    import pyspark.sql.functions as F
-    bench = benchmark.select(F.col(item_col), F.col(item_text_col).cast("string").alias("_t"))
-    total = bench.agg(F.sum(F.length("_t"))).first()[0] or 0
-    if total > 2 * MAX_BENCHMARK_WORDS:
-        raise ValueError(f"the benchmark has {total} characters; search it in parts of {2 * MAX_BENCHMARK_WORDS}")
-    shared = docs.sparkSession.sparkContext.broadcast(Windows([tuple(r) for r in bench.toLocalIterator()], window))
+    ``cleaned``, ``clean_text`` (the text without its spans) of every row."""
+    bench = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text"))
+    total = bench.agg(F.sum(F.length("text"))).first()[0] or 0
+    if total > part_chars:
+        return _in_parts(docs, bench, window, text_col, keep, cleaned, -(-total // part_chars))
+    shared = docs.sparkSession.sparkContext.broadcast(Windows([tuple(r) for r in bench.collect()], window))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     fields += ["n_words long", "n_hit long", "n_items long", "items_sha256 string", "contaminated boolean",
                "spans array<struct<first:int,last:int>>"] + ["clean_text string"] * cleaned
@@ -290,3 +296,96 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
             yield from judge(w, held, ids)
 
     return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(search, ", ".join(fields))
+
+
+# ---- a benchmark of several parts ----------------------------------------------------------------
+
+def _pieces(bench: DataFrame, window: int, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """(item, piece, text): items cut into pieces of at most ``piece_words`` window starts, so that each window is in one."""
+    kind = bench.schema["item"].dataType.simpleString()
+
+    def cut(batches):
+        import pyarrow as pa
+        for b in batches:
+            for i in range(b.num_rows):
+                words = words_of(b.column(1)[i].as_py())
+                starts = range(0, max(1, len(words) - window + 1) if words else 0, piece_words)
+                parts = [b" ".join(words[s:s + piece_words + window - 1]).decode() for s in starts]
+                if parts:
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i] * len(parts))), pa.array(range(len(parts)), pa.int32()),
+                                                      pa.array(parts, pa.string())], names=["item", "piece", "text"])
+
+    return bench.mapInArrow(cut, f"item {kind}, piece int, text string")
+
+
+def _in_parts(docs: DataFrame, bench: DataFrame, window: int, text_col: str, keep: tuple[str, ...], cleaned: bool, parts: int) -> DataFrame:
+    spark = docs.sparkSession
+    part = F.pmod(F.xxhash64("item", "piece"), F.lit(parts)).cast("int")
+    pieces = written(_pieces(bench, window).withColumn("part", part), "benchmark")
+    plain = docs.select(*keep, F.col(text_col).cast("string").alias("_text")).withColumn("_digest", F.sha2("_text", 256))
+    n = len(keep)
+    found = []
+    for k in range(parts):
+        mine = [(r["item"], r["text"]) for r in pieces.filter(F.col("part") == k).select("item", "text").collect()]  # of bounded size
+        shared = spark.sparkContext.broadcast(Windows(mine, window))
+
+        def search(batches, shared=shared):
+            import pyarrow as pa
+            w = shared.value
+
+            def hits(digests, ids):
+                doc, begin, size, pattern = _shard(ids, w)
+                rows = []
+                for d in np.unique(doc).tolist():
+                    at = doc == d
+                    items = sorted({str(x) for q in set(pattern[at].tolist()) for x in w.items[q]})
+                    spans = [{"first": x, "last": y - 1} for x, y in merged_spans(begin[at], size[at])]
+                    rows.append((digests[d], spans, items))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
+                     pa.array([r[2] for r in rows], pa.list_(pa.string()))], names=["_digest", "spans", "items"])
+
+            digests, ids, words = [], [], 0
+            for b in batches:
+                for text, digest in zip(b.column(0), b.column(1)):
+                    these = words_of(text.as_py())
+                    ids.append(np.fromiter(map(w.ids.get, these, repeat(0)), np.int32, len(these)))
+                    digests.append(digest.as_py())
+                    words += len(these)
+                if words >= SHARD_WORDS:
+                    yield hits(digests, ids)
+                    digests, ids, words = [], [], 0
+            if ids:
+                yield hits(digests, ids)
+
+        out = plain.select("_text", "_digest").mapInArrow(search, "_digest string, spans array<struct<first:int,last:int>>, items array<string>")
+        found.append(written(out.dropDuplicates(["_digest"]), "hits"))
+        shared.unpersist()
+    hits_ = found[0]
+    for f in found[1:]:
+        hits_ = hits_.unionByName(f)
+    hits_ = written(hits_.groupBy("_digest").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items")), "all-hits")
+    discard(pieces, *found)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    fields += ["n_words long", "n_hit long", "n_items long", "items_sha256 string", "contaminated boolean",
+               "spans array<struct<first:int,last:int>>"] + ["clean_text string"] * cleaned
+
+    def together(batches):
+        import pyarrow as pa
+        for b in batches:
+            cols: list[list] = [[] for _ in range(7)]
+            for text, spans, items in zip(*(b.column(n + i).to_pylist() for i in range(3))):
+                begin = np.array([x["first"] for x in spans or []], np.int64)
+                size = np.array([x["last"] for x in spans or []], np.int64) - begin + 1
+                merged, names = merged_spans(begin, size), sorted(set(items or []))
+                hit = sum(y - x for x, y in merged)
+                for c, v in zip(cols, (len(words_of(text)), hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0,
+                                       [{"first": x, "last": y - 1} for x, y in merged], without_words(text, merged) if merged else text)):
+                    c.append(v)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])), pa.string()]
+            names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "clean_text"]
+            take = 6 + cleaned
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(c, t) for c, t in list(zip(cols, kinds))[:take])], names=[*keep, *names[:take]])
+
+    joined = plain.join(hits_, "_digest", "left").select(*(plain[c] for c in keep), "_text", "_spans", "_items")
+    return joined.mapInArrow(together, ", ".join(fields))

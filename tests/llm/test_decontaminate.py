@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from orderlens.llm import decontaminate as D
 from orderlens.llm import queries
@@ -58,19 +59,20 @@ def test_wavelet_ranks():
 ITEM = "One two three four five six seven eight nine ten eleven twelve"
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("more", [{}, {"part_chars": 40}])
+def test_odd_rows(spark, more):
     docs = [(1, f"So: {ITEM.upper()}, it ended.", "a", 3), (1, f"So: {ITEM.upper()}, it ended.", "a", 3), (2, None, None, None), (3, "", "b", 1),
             (None, "tiny ITEM", "c", 2), (4, "é" * 9 + " word " * 30_000 + ITEM, "d", 5), (5, "one two three four five six seven eight nine", "e", 6)]
     bench = [(0, ITEM, "x"), (7, "tiny item", "x"), (7, "tiny item", "x"), (8, None, "x"), (9, "", "x"), (None, "word word word word word word word word word word x", "x")]
     d = spark.createDataFrame(docs, "doc_id long, text string, items string, n_words int").repartition(3)
     b = spark.createDataFrame(bench, "item_id long, text string, n_hit string")
-    got = D.decontaminate(d, b, cleaned=True).collect()
+    got = D.decontaminate(d, b, cleaned=True, **more).collect()
     want = brute([r[1] for r in docs], [r[:2] for r in bench])
     assert sorted((r.doc_id or -1, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == \
         sorted((r[0] or -1, *w) for r, w in zip(docs, want))
     clean = {r.doc_id: r.clean_text for r in got}
     assert clean[1] == "So: , it ended." and clean[2] is None and clean[3] == "" and clean[None] == "" and clean[4] == "é" * 9 + " "
-    assert D.decontaminate(d.limit(0), b).count() == 0
+    assert D.decontaminate(d.limit(0), b, **more).count() == 0
     assert all(not r.contaminated for r in D.decontaminate(d, b.limit(0)).collect())
 
 
@@ -85,6 +87,23 @@ def test_several_shards_a_task(spark, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got.collect()} == want
 
 
+def test_a_benchmark_of_many_parts(spark):
+    """Parts of any size give the rows of one; an item in several pieces keeps all its windows."""
+    rnd = random.Random(8)
+    v = ["a", "b", "c"]
+    docs = [(i, " ".join(rnd.choices(v, k=rnd.choice([0, 5, 60])))) for i in range(50)]
+    items = [(i, " ".join(rnd.choices(v, k=rnd.choice([3, 11, 90])))) for i in range(12)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {i: w for (i, _), w in zip(docs, brute([t for _, t in docs], items))}
+    for chars in (10, 300, 10_000):
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in D.decontaminate(d, b, part_chars=chars).collect()}
+        assert got == want
+    cut = D._pieces(b.toDF("item", "text"), 10, 7).collect()
+    whole, pieces = D.Windows(items), D.Windows([(r["item"], r["text"]) for r in cut])
+    named = lambda w: {tuple({i: x for x, i in w.ids.items()}[i] for i in p): set(x) for p, x in zip(w.patterns, w.items)}
+    assert len(cut) > 30 and named(whole) == named(pieces)
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
