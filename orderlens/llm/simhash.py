@@ -23,6 +23,8 @@ from .common import connected_components, in_blocks, smallest_labels, written
 
 #: Rows of a block of a shard, and documents' shingle bits that are summed at a time.
 BLOCK_ROWS = 8192
+#: Rows of a partition that are searched at a time, in whole groups.
+STREAM_ROWS = 65_536
 CHUNK = 1 << 16
 #: Fingerprints that a level of the search compares at a time, at most.
 FRONTIER = 1 << 21
@@ -152,18 +154,34 @@ def link_fingerprints(fps: DataFrame, radius: int = 3, block_rows: int = BLOCK_R
     dealt = in_blocks(members, ["band", "value"], "fp", block_rows)
     keys = ["band", "value", "block"]
 
-    def search(batches):
+    def changes(t):
+        col = lambda c: t.column(c).to_numpy()
+        return np.concatenate([[False], np.any([np.diff(col(c)) != 0 for c in keys], axis=0)])
+
+    def links(t):
         import pyarrow as pa
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        t = pa.Table.from_batches(batches)
         col = lambda c: t.column(c).to_numpy()
-        band, value, block = col("band"), col("value"), col("block")
-        cut = np.concatenate([[False], (np.diff(band) != 0) | (np.diff(value) != 0) | (np.diff(block) != 0)])
         node = col("node")
-        a, b = _forest_links(col("fp").view(np.uint64), np.cumsum(cut), np.asarray(col("own"), bool), radius)
-        yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["u", "v"])
+        a, b = _forest_links(col("fp").view(np.uint64), np.cumsum(changes(t)), np.asarray(col("own"), bool), radius)
+        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["u", "v"])
+
+    def search(batches):
+        import pyarrow as pa
+        held, n = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            n += b.num_rows
+            if n >= STREAM_ROWS:  # whole groups go; the last one may go on
+                t = pa.Table.from_batches(held)
+                ends = np.flatnonzero(changes(t))
+                if len(ends):
+                    yield links(t.slice(0, ends[-1]))
+                    t = t.slice(ends[-1])
+                held, n = t.to_batches(), t.num_rows
+        if held:
+            yield links(pa.Table.from_batches(held))
 
     return (dealt.select("node", "fp", *keys, "own")
             .repartition(*keys).sortWithinPartitions(*keys)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from orderlens.llm import simhash
+from orderlens.llm import common, simhash
 
 
 def brute_fingerprint(text, k=3):
@@ -80,3 +80,15 @@ def test_query_against_brute_force(spark):
     want = brute_components(sorted(fps), [fps[i] for i in sorted(fps)], 3)
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.QUERIES["op8_simhash_neardup"](spark, sf).collect()}
     assert got == {i: (f"{fps[i]:016x}", want[i]) for i in fps}
+
+
+def test_partitions_are_searched_in_whole_groups(spark, monkeypatch):
+    """Few rows at a time give the same components as a whole partition at once."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 60)
+    fps = sorted({int(b) ^ sum(1 << int(k) for k in rng.integers(0, 60, rng.integers(0, 3))) for b in base for _ in range(12)})
+    df = spark.createDataFrame(list(enumerate(fps)), "node long, fp long").coalesce(2)
+    parts = lambda: {r.node: r.component for r in common.connected_components(simhash.link_fingerprints(df, 3, 16)).collect()}
+    want = parts()
+    monkeypatch.setattr(simhash, "STREAM_ROWS", 5)
+    assert parts() == want and len(set(want.values())) < len(fps)
