@@ -15,8 +15,9 @@ groups leave as rows of their own; what climbs the tree is two open ends.
 runs of new lines.  Texts fall into units there, which are encoded apart with the same result; any other
 white space stays inside a unit.  A worker keeps units it has met lately, at most about ``CACHE``.
 
-*Counts.*  Tasks count links by id pair, Spark sums them; the pairs with their counts, and whether a pair
-is its B id's highest, are sent to the tasks while they are at most ``MAX_PAIRS``, which is checked.  Beyond it
+*Counts.*  A task encodes and aligns its documents once, and writes them in chunks: what is known of each document, its
+units by number, and the linked pairs of each unit.  Chunks give the links by id pair, which Spark sums; the pairs with their counts, and whether a pair
+is its B id's highest, are sent to the tasks, which read the chunks again, while they are at most ``MAX_PAIRS``, which is checked.  Beyond it
 the documents' pairs are joined with them, with the same result.
 
 Defined results: a null or empty text, and one whose tokens' joined bytes are not the space and the text
@@ -34,6 +35,7 @@ import json
 import re
 import uuid
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -46,7 +48,7 @@ from .common import discard, written
 #: ranges that make a fragment, and fragments that are composed at a node.
 LONG, PIECE, RANGE, FAN = 32_768, 65_536, 16_384, 32
 #: Units that a worker keeps, and documents handled at a time.
-CACHE, ROWS = 400_000, 512
+CACHE, ROWS = 400_000, 2048
 #: Id pairs that are sent to the tasks: 17 bytes each, 51 MB at most.
 MAX_PAIRS = 3_000_000
 
@@ -161,8 +163,12 @@ class Aligner:
         self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         self.b_model = sentencepiece_bpe.Model(b_file)
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, t in self.a_bytes.items():
+            self.a_size[i] = len(t)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) else p.replace(sentencepiece_bpe.SPACE, " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
+        self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
         self.reset()
 
     def reset(self) -> None:
@@ -183,61 +189,74 @@ class Aligner:
                                        for i in memoryview(model.stretches[s]).cast("I")])
                 for u, p, x in zip(units, plain, a)]
 
-    def walk(self, a: list[int], b: list[int]) -> tuple[str, list[int], int]:
-        """(groups as text, linked id pairs, number of groups) of tokens whose bytes are the same."""
-        a_bytes, b_bytes, pairs, groups = self.a_bytes, self.b_bytes, [], []
-        i = j = i0 = j0 = 0
-        ends = len(a_bytes[a[0]]) - len(b_bytes[b[0]]) if a else 0  # end of token i less that of token j
+    def walk(self, a: list[int], b: list[int]) -> list[int]:
+        """Linked id pairs of tokens whose bytes are the same."""
+        a_bytes, b_bytes, pairs = self.a_bytes, self.b_bytes, []
+        i = j = 0
+        ahead = len(a_bytes[a[0]]) - len(b_bytes[b[0]]) if a else 0  # end of token i less that of token j
         while i < len(a):
             pairs.append(a[i] << 32 | b[j])
-            step = ends
+            step = ahead
             if step <= 0:
                 i += 1
                 if i < len(a):
-                    ends += len(a_bytes[a[i]])
+                    ahead += len(a_bytes[a[i]])
             if step >= 0:
                 j += 1
                 if j < len(b):
-                    ends -= len(b_bytes[b[j]])
-            if step == 0:
-                groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-                i0, j0 = i, j
-        return ";".join(groups), pairs, len(groups)
+                    ahead -= len(b_bytes[b[j]])
+        return pairs
 
     def learn(self, units: list[str]) -> None:
-        """Rows for units that have none."""
-        good, stats, pairs, sizes = [], [], [], []
-        for u, (a, b) in zip(units, self.encode(units)):
-            raw = u.encode()
-            ok = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-            text, linked, n = self.walk(a, b) if ok else ("", [], 0)
+        """Rows for units that have none.  All are aligned at once, in offsets of their joined bytes: between two
+        neighbouring token ends of either kind lie one token of A and one of B, which is a link."""
+        encoded = self.encode(units)
+        good = self._lossless(units, encoded)
+        known = [x if ok else ([], []) for ok, x in zip(good.tolist(), encoded)]
+        n_a, n_b = (np.array([len(x[i]) for x in known], np.int64) for i in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable(x[i] for x in known), np.int64, int(n.sum())) for i, n in ((0, n_a), (1, n_b)))
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.union1d(a_end, b_end)
+        pairs = a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)] if len(ends) else np.empty(0, np.int64)
+        a_upto, b_upto = np.cumsum(n_a), np.cumsum(n_b)
+        unit_end = np.concatenate([[0], a_end])[a_upto]  # where each unit's bytes end
+        common = np.intersect1d(a_end, b_end, assume_unique=True)
+        upto = lambda x: np.searchsorted(x, unit_end, "right")
+        groups = np.diff(upto(common), prepend=0)
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        i = np.searchsorted(a_end, common, "right").tolist()
+        j = np.searchsorted(b_end, common, "right").tolist()
+        texts = [",".join(a_text[i0:i1]) + "|" + ",".join(b_text[j0:j1]) for i0, i1, j0, j1 in zip([0, *i], i, [0, *j], j)]
+        at = 0
+        for u, n in zip(units, groups.tolist()):
             self.row[u] = len(self.texts)
-            self.texts.append(text)
-            self._note(good, stats, pairs, sizes, ok, (len(a), len(b), n), linked)
-        self._add(good, stats, pairs, sizes)
+            self.texts.append(texts[at] if n == 1 else ";".join(texts[at:at + n]))
+            at += n
+        self._add(good, np.column_stack([n_a, n_b, groups]), pairs, np.diff(upto(ends), prepend=0))
+
+    def _lossless(self, units: list[str], encoded: list) -> np.ndarray:
+        """Whether the bytes of a unit's tokens, of A and of B, are the unit's."""
+        joined = lambda table, i: [b"".join(map(table.__getitem__, x[i])) for x in encoded]
+        return np.array([u.encode() == x == y for u, x, y in zip(units, joined(self.a_bytes, 0), joined(self.b_bytes, 1))], bool)
 
     def learn_groups(self, groups: list[str]) -> None:
         """As ``learn``, of groups by their texts."""
-        good, stats, pairs, sizes = [], [], [], []
+        stats, pairs, sizes = [], [], []
         for g in groups:
             a, b = ([int(i) for i in ids.split(",")] for ids in g.split("|"))
             self.row[g] = len(self.texts)
             self.texts.append(g)
-            self._note(good, stats, pairs, sizes, True, (len(a), len(b), 1), self.walk(a, b)[1])
-        self._add(good, stats, pairs, sizes)
-
-    @staticmethod
-    def _note(good, stats, pairs, sizes, ok, counts, linked) -> None:
-        good.append(ok)
-        stats.append(counts)
-        pairs.extend(linked)
-        sizes.append(len(linked))
+            linked = self.walk(a, b)
+            stats.append((len(a), len(b), 1))
+            pairs += linked
+            sizes.append(len(linked))
+        self._add(np.ones(len(stats), bool), np.array(stats, np.int64).reshape(-1, 3), np.array(pairs, np.int64), np.array(sizes, np.int64))
 
     def _add(self, good, stats, pairs, sizes) -> None:
-        self.good = np.concatenate([self.good, np.array(good, bool)])
-        self.stats = np.concatenate([self.stats, np.array(stats, np.int64).reshape(-1, 3)])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.array(sizes, np.int64))])
+        self.good = np.concatenate([self.good, good])
+        self.stats = np.concatenate([self.stats, stats])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
 
     def rows(self, lists: list[list[str]], groups: bool = False) -> list[np.ndarray]:
         """The rows of lists of units (or of groups)."""
@@ -247,13 +266,11 @@ class Aligner:
         get = self.row.__getitem__
         return [np.fromiter(map(get, units), np.int64, len(units)) for units in lists]
 
-    def counted(self, times: np.ndarray):
-        """(keys, counts) of the pairs of rows that were met so many times."""
-        keys, at = np.unique(self.pairs, return_inverse=True)
-        # exact in integers: bincount adds in doubles
-        n = np.zeros(len(keys), np.int64)
-        np.add.at(n, at, np.repeat(times, np.diff(self.ends)))
-        return keys[n > 0], n[n > 0]
+    def taken(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pairs of the rows one after another, how many each has)."""
+        sizes = self.ends[rows + 1] - self.ends[rows]
+        ends = np.cumsum(sizes)
+        return self.pairs[np.repeat(self.ends[rows] - ends + sizes, sizes) + np.arange(int(sizes.sum()))], sizes
 
     def scores(self, table) -> np.ndarray:
         """Of every row: tokens of A and B, groups, links, links that are the highest, sum of the links' counts
@@ -410,6 +427,14 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 # ---- counts and results --------------------------------------------------------------------------
 
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys, sum of n of each), exact in integers."""
+    keys, at = np.unique(keys, return_inverse=True)
+    out = np.zeros(len(keys), np.int64)
+    np.add.at(out, at, n)
+    return keys, out
+
+
 def _slices(batches, key: int, groups: bool):
     """(rows of the batch, lists of units or groups), some rows at a time."""
     for b in batches:
@@ -419,54 +444,108 @@ def _slices(batches, key: int, groups: bool):
             yield part, [t.split(";") if groups else units_of(t) if t else [] for t in texts]
 
 
-def _counts(rows: DataFrame, files, groups: bool) -> DataFrame:
-    """(pair, n) of each task: links by id pair.  ``rows``: one column of texts, or of groups."""
-    def count(batches):
+#: A chunk of documents: Arrow bytes of the kept columns, the digests and what is counted without the corpus; the units
+#: of each document by number (``units``, up to ``unit_ends``); the pairs of each unit (``pairs``, up to ``pair_ends``).
+CHUNK = "docs binary, units binary, unit_ends binary, pairs binary, pair_ends binary"
+
+
+def _chunks(docs: DataFrame, keep: list[str], files) -> DataFrame:
+    """Documents (kept columns, text) that one task aligns, in chunks."""
+    n = len(keep)
+
+    def of(batches):
+        import pyarrow as pa
+        for part, lists in _slices(batches, n, False):
+            a = _aligner(files.value, "units")
+            found = [rows if len(rows) and a.good[rows].all() else rows[:0] for rows in a.rows(lists)]
+            sizes = np.array([len(rows) for rows in found], np.int64)
+            used, unit = np.unique(np.concatenate([*found, np.empty(0, np.int64)]), return_inverse=True)
+            pairs, linked = a.taken(used)
+            stats = np.column_stack([a.stats[used], linked])  # tokens of A and B, groups, links
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            counts = np.diff(np.vstack([np.zeros((1, 4), np.int64), np.cumsum(stats[unit], axis=0)])[ends], axis=0)
+            shas = [hashlib.sha256(";".join(map(a.texts.__getitem__, rows.tolist())).encode()).hexdigest() if len(rows) else "" for rows in found]
+            known = pa.RecordBatch.from_arrays([*part.columns[:n], *(pa.array(counts[:, i]) for i in range(4)), pa.array(shas, pa.string())],
+                                               names=[*(f"k{i}" for i in range(n)), *COUNTS[:4], "groups_sha256"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, known.schema) as stream:
+                stream.write_batch(known)
+            cells = [sink.getvalue().to_pybytes(), unit.astype(np.int32).tobytes(), ends[1:].tobytes(), pairs.tobytes(), np.cumsum(linked).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], names=["docs", "units", "unit_ends", "pairs", "pair_ends"])
+
+    return docs.mapInArrow(of, CHUNK)
+
+
+def _chunk_counts(chunks: DataFrame) -> DataFrame:
+    """(pair, n) of each chunk: links by id pair."""
+    def of(batches):
         import pyarrow as pa
-        a, times = None, np.empty(0, np.int64)
+        for b in batches:
+            for units, pairs, pair_ends in zip(*(b.column(i) for i in range(3))):
+                pairs, ends = np.frombuffer(pairs.as_buffer(), np.int64), np.frombuffer(pair_ends.as_buffer(), np.int64)
+                times = np.bincount(np.frombuffer(units.as_buffer(), np.int32), minlength=len(ends))
+                keys, n = summed(pairs, np.repeat(times, np.diff(ends, prepend=0)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+
+    return chunks.select("units", "pairs", "pair_ends").mapInArrow(of, "pair long, n long")
 
-        def out():
-            keys, n = a.counted(np.pad(times, (0, len(a.texts) - len(times))))
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
 
-        for _, lists in _slices(batches, 0, groups):
-            if a is not None and len(a.row) > CACHE:
-                yield out()
-                a = None
-            if a is None:
-                a, times = _aligner(files.value, "groups" if groups else "units"), np.empty(0, np.int64)
-            found = a.rows(lists, groups)
-            times = np.pad(times, (0, len(a.texts) - len(times)))
-            met = [r for r in found if len(r) and a.good[r].all()]
-            if met:
-                times += np.bincount(np.concatenate(met), minlength=len(times))
-        if a is not None:
-            yield out()
+def _group_counts(groups: DataFrame, files) -> DataFrame:
+    """(pair, n) of texts of groups."""
+    def of(batches):
+        import pyarrow as pa
+        for _, lists in _slices(batches, 0, True):
+            a = _aligner(files.value, "groups")
+            pairs, _ = a.taken(np.concatenate(a.rows(lists, True)))
+            keys, n = summed(pairs, np.ones(len(pairs), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
 
-    return rows.mapInArrow(count, "pair long, n long")
+    return groups.select("groups").mapInArrow(of, "pair long, n long")
 
 
-def _short_results(docs: DataFrame, keep: list[str], files, table) -> DataFrame:
-    """Results of documents that one task aligns; without ``table``, no scores."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+def _short_results(chunks: DataFrame, kinds: list, table) -> DataFrame:
+    """``_rid``, the kept columns ``k0, k1, ...`` of the types ``kinds``, and the results of the documents of chunks;
+    scores are 0 where ``table`` has no pairs."""
+    n = len(kinds)
 
     def of(batches):
         import pyarrow as pa
-        for part, lists in _slices(batches, len(keep), False):
-            a = _aligner(files.value, "units")
-            found = a.rows(lists)
-            scores = a.scores(table.value)
-            sums, shas = np.zeros((len(found), 6), np.int64), []
-            for k, rows in enumerate(found):
-                if len(rows) and a.good[rows].all():
-                    sums[k] = scores[rows].sum(0)
-                    shas.append(hashlib.sha256(";".join(map(a.texts.__getitem__, rows.tolist())).encode()).hexdigest())
-                else:
-                    shas.append("")
-            yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *(pa.array(sums[:, i]) for i in range(6)), pa.array(shas, pa.string())],
-                                             names=[*keep, *COUNTS, "groups_sha256"])
+        _, keys, count, best = table.value
+        for b in batches:
+            for chunk, docs, units, unit_ends, pairs, pair_ends in zip(*(b.column(i) for i in range(6))):
+                known = pa.ipc.open_stream(docs.as_buffer()).read_next_batch()
+                units, ends = np.frombuffer(units.as_buffer(), np.int32), np.concatenate([[0], np.frombuffer(unit_ends.as_buffer(), np.int64)])
+                scores = [np.zeros(len(ends) - 1, np.int64)] * 2
+                if len(keys):
+                    at = np.searchsorted(keys, np.frombuffer(pairs.as_buffer(), np.int64))
+                    of_unit = np.concatenate([[0], np.frombuffer(pair_ends.as_buffer(), np.int64)])
+                    sums = lambda v, e: np.diff(np.concatenate([[0], np.cumsum(v)])[e])
+                    scores = [sums(sums(v[at].astype(np.int64), of_unit)[units], ends) for v in (best, count)]
+                rid = (chunk.as_py() << 20) + np.arange(known.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(rid), *known.columns[:n + 4], *map(pa.array, scores), known.column(n + 4)],
+                                                 names=["_rid", *known.schema.names[:n + 4], *COUNTS[4:], "groups_sha256"])
+
+    fields = ["_rid long", *(f"k{i} {t}" for i, t in enumerate(kinds)), *(f"{c} long" for c in COUNTS), "groups_sha256 string"]
+    return chunks.select("chunk", *(c.split()[0] for c in CHUNK.split(", "))).mapInArrow(of, ", ".join(fields))
+
+
+def _chunk_pairs(chunks: DataFrame) -> DataFrame:
+    """(rid, pair, m): how often a document links a pair."""
+    def of(batches):
+        import pyarrow as pa
+        for b in batches:
+            for chunk, units, unit_ends, pairs, pair_ends in zip(*(b.column(i) for i in range(5))):
+                units = np.frombuffer(units.as_buffer(), np.int32)
+                pairs, of_unit = np.frombuffer(pairs.as_buffer(), np.int64), np.concatenate([[0], np.frombuffer(pair_ends.as_buffer(), np.int64)])
+                start = 0
+                for k, end in enumerate(np.frombuffer(unit_ends.as_buffer(), np.int64).tolist()):
+                    if end > start:
+                        unit, times = np.unique(units[start:end], return_counts=True)
+                        keys, m = summed(np.concatenate([pairs[of_unit[u]:of_unit[u + 1]] for u in unit.tolist()]), np.repeat(times, np.diff(of_unit)[unit]))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), (chunk.as_py() << 20) + k)), pa.array(keys), pa.array(m)], names=["rid", "pair", "m"])
+                    start = end
 
-    return docs.mapInArrow(of, ", ".join([*fields, *(f"{c} long" for c in COUNTS), "groups_sha256 string"]))
+    return chunks.select("chunk", "units", "unit_ends", "pairs", "pair_ends").mapInArrow(of, "rid long, pair long, m long")
 
 
 def _long_results(groups: DataFrame, files, table) -> DataFrame:
@@ -499,21 +578,24 @@ def _long_results(groups: DataFrame, files, table) -> DataFrame:
     return ordered.mapInArrow(of, ", ".join(["rid long", *(f"{c} long" for c in COUNTS), "groups_sha256 string"]))
 
 
-def _joined_scores(rows: DataFrame, files, groups: bool, pairs: DataFrame) -> DataFrame:
-    """(rid, n_best, count_sum) by a join of the documents' pairs (``rows``: rid, texts or groups)."""
+def _group_pairs(groups: DataFrame, files) -> DataFrame:
+    """(rid, pair, m) of texts of groups."""
     def of(batches):
         import pyarrow as pa
-        for part, lists in _slices(batches, 1, groups):
-            a = _aligner(files.value, "groups" if groups else "units")
-            for rid, found in zip(part.column(0).to_pylist(), a.rows(lists, groups)):
-                if len(found) and a.good[found].all():
-                    linked = np.concatenate([a.pairs[a.ends[i]:a.ends[i + 1]] for i in found.tolist()])
-                    keys, n = np.unique(linked, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), rid)), pa.array(keys), pa.array(n)], names=["rid", "pair", "m"])
+        for part, lists in _slices(batches, 1, True):
+            a = _aligner(files.value, "groups")
+            for rid, rows in zip(part.column(0).to_pylist(), a.rows(lists, True)):
+                pairs, _ = a.taken(rows)
+                keys, m = summed(pairs, np.ones(len(pairs), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), rid)), pa.array(keys), pa.array(m)], names=["rid", "pair", "m"])
 
-    return (rows.mapInArrow(of, "rid long, pair long, m long").join(pairs, "pair")
-            .groupBy("rid").agg(F.sum(F.when(F.col("best"), F.col("m")).otherwise(0)).alias("n_best"),
-                                F.sum(F.col("m") * F.col("n")).alias("count_sum")))
+    return groups.select("rid", "groups").mapInArrow(of, "rid long, pair long, m long")
+
+
+def _joined_scores(linked: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(rid, n_best, count_sum) of documents' pairs (rid, pair, m) by a join."""
+    return (linked.join(pairs, "pair").groupBy("rid")
+            .agg(F.sum(F.when(F.col("best"), F.col("m")).otherwise(0)).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum")))
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -528,21 +610,28 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, text_col: str = "
     # written, so the numbers stay
     far = written(source.filter(F.length("_text") > long).withColumn("_rid", F.monotonically_increasing_id()), "long")
     groups = _long_groups(far.select(F.col("_rid").alias("rid"), F.col("_text").alias("text")), files, piece, size, fan)
-    counted = _counts(short.select("_text"), files, False).unionByName(_counts(groups.select("groups"), files, True))
+    kinds = [f.dataType.simpleString() for f in docs.select(*keep).schema.fields]
+    chunks = written(_chunks(short, keep, files).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    counted = _chunk_counts(chunks).unionByName(_group_counts(groups, files))
     pairs = written(counted.groupBy("pair").agg(F.sum("n").alias("n")), "pairs").withColumn("b", F.expr("pair & 4294967295"))
     highest = pairs.groupBy("b").agg(F.max("n").alias("most"))
     pairs = written(pairs.join(highest, "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs-best")
+    named = lambda df: df.toDF("_rid", *(f"_keep_{c}" for c in keep), *COUNTS, "groups_sha256")
     if pairs.count() > max_pairs:
-        near = written(short.withColumn("_rid", F.monotonically_increasing_id()), "short")
         empty = spark.sparkContext.broadcast((uuid.uuid4().hex, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)))
-        counts = _short_results(near.select("_rid", "_text"), ["_rid"], files, empty)
-        scores = _joined_scores(near.select("_rid", "_text"), files, False, pairs)
-        far_scores = _joined_scores(groups.select("rid", "groups"), files, True, pairs)
-        return _completed(near, keep, counts, scores).unionByName(_completed(far, keep, _long_results(groups, files, empty), far_scores))
+        near = named(_short_results(chunks, kinds, empty)).drop("n_best", "count_sum")
+        scores = _joined_scores(_chunk_pairs(chunks), pairs).withColumnRenamed("rid", "_rid")
+        near = _selected(near.join(scores, "_rid", "left"), keep)
+        return near.unionByName(_completed(far, keep, _long_results(groups, files, empty), _joined_scores(_group_pairs(groups, files), pairs)))
     found = pairs.toArrow()
     order = np.argsort(found["pair"].to_numpy())
     table = spark.sparkContext.broadcast((uuid.uuid4().hex, *(found[c].to_numpy()[order] for c in ("pair", "n", "best"))))
-    return _short_results(short, keep, files, table).unionByName(_completed(far, keep, _long_results(groups, files, table)))
+    return _selected(named(_short_results(chunks, kinds, table)), keep).unionByName(_completed(far, keep, _long_results(groups, files, table)))
+
+
+def _selected(out: DataFrame, keep: list[str]) -> DataFrame:
+    return out.select(*(F.col(f"_keep_{c}").alias(c) for c in keep), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS),
+                      F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
 
 
 def _completed(rows: DataFrame, keep: list[str], counts: DataFrame, scores: DataFrame | None = None) -> DataFrame:
@@ -550,6 +639,4 @@ def _completed(rows: DataFrame, keep: list[str], counts: DataFrame, scores: Data
     counts = counts.withColumnRenamed(counts.columns[0], "_rid")
     if scores is not None:
         counts = counts.drop("n_best", "count_sum").join(scores.withColumnRenamed("rid", "_rid"), "_rid", "left")
-    out = rows.select("_rid", *(F.col(c).alias(f"_keep_{c}") for c in keep)).join(counts, "_rid", "left")
-    return out.select(*(F.col(f"_keep_{c}").alias(c) for c in keep), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS),
-                      F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
+    return _selected(rows.select("_rid", *(F.col(c).alias(f"_keep_{c}") for c in keep)).join(counts, "_rid", "left"), keep)
