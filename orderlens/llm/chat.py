@@ -6,7 +6,8 @@ becomes ``<\\|``; in a role a line feed becomes ``\\n`` too.
 
 Defined results: rows are ordered by turn (null first), then role, then text; a null text or role is
 empty; rows repeated whole are turns of their own; an invalid order is formatted too and flagged.
-A conversation's output is one string, so one task holds one conversation.
+texts of any length are formatted whole; an empty table gives no rows; only the four named columns are read, so
+other columns may have any names.  A conversation's output is one string, so one task holds one conversation.
 """
 
 from __future__ import annotations

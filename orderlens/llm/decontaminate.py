@@ -14,7 +14,8 @@ part is searched in one pass without a shuffle.  More are searched one after ano
 size; only texts with hits are passed on, named by their SHA-256, and a text's spans and items are merged.
 
 Defined results: a null text has no words; an item without words has no window; rows repeated whole
-are judged one by one; an empty benchmark hits nothing.
+are judged one by one, tied and null ids too; texts of any length are searched whole; item ids that tie are one
+item; an empty benchmark hits nothing, an empty table gives no rows; only the named columns are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ default 10 planes a table and 24 tables a pair at the threshold meets with proba
 
 Defined results: a vector that is null, zero or holds a null or non-finite component, and a null
 label, link with nothing; rows repeated whole link with each other; a row without an id links but is
-never the smallest id; an empty table gives no rows.
+never the smallest id; rows that tie on an id count each and share its component; vectors of another length are
+never compared, vectors of any length are taken whole; an empty table gives no rows; only the id, vector and label are
+read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ and an ``article`` or ``main`` that it wraps is none of it.
 
 Defined results: a null html is empty; a null url has an empty host and path; pages of a host with the very
 same lines (copies) that follow each other have the same neighbours and text; rows repeated whole are pages
-of their own; an empty table gives no rows.
+of their own; tied and null ids and urls give a row each; pages of any length are read whole; an empty table gives
+no rows; only the named columns are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ Text is cut where no merge can cross: between two characters that stand side by
 so before a run of spaces (checked when the model is read) and around characters that are in no
 piece.  A task keeps stretches and units it has met lately, at most ``2 * CACHE`` of each.
 
-Defined results: a null text is empty; an empty text has only the begin and end ids.
+Defined results: a null text is empty; an empty text has only the begin and end ids; texts of any length are
+encoded whole; rows repeated whole, and tied or null ids, give a row each; merges of equal score are done leftmost
+first; an empty table gives no rows; only the named columns are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ group of n copies never becomes n * n pairs.
 
 Defined results: a null or empty text has fingerprint zero, linked like any other; rows repeated
 whole get the same component; a row without an id gets its fingerprint's component but is never its
-smallest id; an empty table gives no rows.
+smallest id; an empty table gives no rows; texts of any length are hashed whole; only the named columns are read, so other columns may have any names (``deduplicate`` hands them all on).
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ A run keeps equal suffixes once, so a passage that a third of the documents shar
 entry a run.  Every step is written to the shared folder.
 
 Defined results: a null text is empty; texts shorter than ``size`` lose nothing; rows repeated whole
-are copies of each other; matches never cross documents; an empty table gives no rows.
+are copies of each other; matches never cross documents; texts of any length are cut whole; tied and null ids give a row each; an empty
+table gives no rows; only the named columns are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ subdomains, if the url's path starts with the rule's path; the longest fitting r
 that no rule fits gets the default verdict.
 
 Defined results: a null url or one without ``://`` has an empty host and path and fits no rule;
-repeated rules count once (the later action wins); no rules, no hits.
+repeated rules count once (the later action wins); no rules, no hits; rows repeated whole, and tied or null ids, are
+judged each; urls of any length are read whole; rules of equal length cannot tie, as a url has one prefix of each
+length; an empty table gives no rows; only the named columns are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -2,7 +2,9 @@
 record headers apart from them, and joins give the original records back.
 
 Defined results: a null payload is empty; rows repeated whole keep one record each; a null id is
-never the response of a payload that some row with an id has; an empty table gives an empty archive.
+never the response of a payload that some row with an id has; tied ids with different payloads are records of
+their own; payloads of any length are kept whole; an empty table gives an empty archive; only the id, url and payload
+columns are read, so other columns may have any names.  A url comes back as it was, null, empty or with line breaks in it.
 """
 
 from __future__ import annotations
@@ -32,15 +34,33 @@ def _lines(*pairs) -> F.Column:
     return F.concat(F.lit("WARC/1.1" + CRLF), *parts, F.lit(CRLF))
 
 
+#: Tells that a url, which had a line break, is percent-encoded in its header; other urls stand there as they are.
+ESCAPED = "X-Target-URI-Encoding"
+_ESCAPES = [("%", "%25"), ("\r", "%0D"), ("\n", "%0A")]
+
+
+def _broken(text: F.Column) -> F.Column:
+    return text.contains("\r") | text.contains("\n")
+
+
 def _header(text: F.Column) -> F.Column:
-    """A value on one header line: CR and LF percent-encoded, as a line break would end the field."""
-    return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    """A value on one header line: with a line break in it, which would end the field, it is percent-encoded."""
+    out = text
+    for a, b in _ESCAPES:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return F.when(_broken(text), out).otherwise(text)
+
+
+def _unheader(text: F.Column) -> F.Column:
+    for a, b in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(b), F.lit(a))
+    return text
 
 
 def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                   min_revisit_bytes: int = MIN_REVISIT_BYTES, path: str | None = None) -> Archive:
-    """Write one record per row of ``pages``.  Only digests and ids are shuffled to choose each
-    payload's response; the payload bytes move once, for the rows that are kept."""
+    """Write one record per row of ``pages``.  Digests and ids choose each payload's response; payload bytes are
+    shuffled once, to their digest, and of equal ones the first that a task meets goes on."""
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
@@ -59,6 +79,7 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         ("WARC-Type", kind),
         ("WARC-Record-ID", F.concat(F.lit("<"), uri, F.lit(">"))),
         ("WARC-Target-URI", _header(F.col("url"))),
+        (ESCAPED, F.when(_broken(F.col("url")), F.lit("percent"))),
         ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         ("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:page:"), F.col("first_id").cast("string"), F.lit(">")))),
         ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
@@ -82,8 +103,8 @@ def read_payloads(spark: SparkSession, archive: Archive) -> DataFrame:
 
 def field(name: str) -> F.Column:
     """A header field's value, read from the record's header bytes; null if the record has none."""
-    found = F.regexp_extract(F.col("headers").cast("string"), rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
-    return F.when(found != "", found)
+    text = F.col("headers").cast("string")
+    return F.when(text.contains(f"\r\n{name}: "), F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)\r\n", 1))
 
 
 def read_archive(spark: SparkSession, archive: Archive, id_type: str = "long", payload: bool = True) -> DataFrame:
@@ -102,7 +123,7 @@ def read_archive(spark: SparkSession, archive: Archive, id_type: str = "long", p
     cols = [
         F.when(F.regexp_extract(field("WARC-Record-ID"), r"^<urn:page:(.*)>$", 1) != "-",
                F.regexp_extract(field("WARC-Record-ID"), r"^<urn:page:(.*)>$", 1)).cast(id_type).alias("id"),
-        field("WARC-Target-URI").alias("url"),
+        F.when(field(ESCAPED).isNotNull(), _unheader(field("WARC-Target-URI"))).otherwise(field("WARC-Target-URI")).alias("url"),
         field("WARC-Type").alias("record_type"),
         F.regexp_extract(field("WARC-Payload-Digest"), r"^sha256:(.*)$", 1).alias("payload_digest"),
         F.when(refers != "", refers).cast(id_type).alias("refers_to"),

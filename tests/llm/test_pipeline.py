@@ -93,6 +93,17 @@ def test_odd_documents(spark):
     assert out.count() == 0
 
 
+def test_clashing_columns(spark):
+    """Columns beyond those of documents, named like a stage's own, change nothing."""
+    docs = common.table(spark, SF, "documents")
+    odd = docs
+    for c in ("kept", "perplexity", "fp", "component_id", "clean_text", "spans", "_text", "digest", "n_words"):
+        odd = odd.selectExpr("*", f"'x' as {c}")
+    for _, stage in C.STAGES:
+        a, b = (stage(spark, d, SF).select("doc_id").collect() for d in (docs, odd))
+        assert sorted(r.doc_id for r in a) == sorted(r.doc_id for r in b)
+
+
 def test_passages_of_over_fifty_words_go(spark):
     """Passages of 51 words or a few more, each in several documents, in words as long as in the given tables."""
     rnd = random.Random(11)

@@ -37,7 +37,18 @@ def test_records_and_payloads_come_back(spark):
         assert fields["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(bytes(r.payload)).hexdigest() == "sha256:" + r.payload_digest
         assert int(fields["Content-Length"]) == len(body) - 4
         assert body == (b"" if r.record_type == "revisit" else bytes(r.payload)) + b"\r\n\r\n"
-    assert next(r.url for r in got if r.id == 4) == "http://b/%0D%0AX: y"
+    assert {(r.id, r.url) for r in got} == {(r[0], r[1]) for r in rows}
+    assert b"%0D%0AX: y" in bytes(next(r.record for r in got if r.id == 4))
+
+
+def test_urls_come_back_as_they_were(spark):
+    urls = ["http://a/%0D%0A", "http://a/\r\n%0D", "http://a/%", "http://a/%25\n", "", None, "http://a/é?x=1%20"]
+    got = archived(spark.createDataFrame([(i, u, f"p{i}") for i, u in enumerate(urls)], "page_id long, url string, html string"))[1]
+    assert [r.url for r in sorted(got, key=lambda r: r.id)] == urls
+    for r in got:
+        head = bytes(r.record).partition(b"\r\n\r\n")[0].decode()
+        if urls[r.id] and "\n" not in urls[r.id]:
+            assert f"\r\nWARC-Target-URI: {urls[r.id]}\r\n" in head
 
 
 def test_a_changed_payload_is_noticed(spark):
