@@ -1,6 +1,16 @@
 """A training corpus from ``documents``: quality, near duplicates, repeated passages, benchmark
 passages, tokens.  Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its
 result is written as Parquet and read again as the next one's documents.
+
+Defined results of every stage: an empty table gives an empty one; texts of any length are handled whole; only the
+columns of documents are read, so other columns may have any names, and only they are returned.
+
+- quality: a document without text (null or empty) goes; rows repeated whole, and rows that tie on an id, are judged each.
+- near-duplicates: of rows that are repeated whole, or are near each other, the one of the smallest id stays; a row without
+  an id stays unless one with an id has its fingerprint; documents that reach it without text are near each other.
+- repeats: a null text becomes empty; copies that are left, under whatever ids, lose all that they share.
+- benchmark: a null text stays null, an empty benchmark takes nothing.
+- tokens: a null text is encoded as an empty one; a row each for repeated rows and tied or null ids.
 """
 
 from __future__ import annotations
@@ -66,6 +76,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:  # what was made of it is written
+            common.discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
