@@ -46,6 +46,34 @@ def test_fourier_features_approximate_the_kernel(data):
     assert np.abs(Z @ Z.T - kernel).max() < 0.15
 
 
+@pytest.mark.parametrize("kernel,gamma", [("rbf", 0.3), ("sigmoid", 0.2)])
+def test_landmark_map_approximates_the_kernel(data, kernel, gamma):
+    fit = lambda df: M.LandmarkMap("features", "z", kernel, 300, gamma).fit(df)
+    model = fit(data)
+    rows = model.transform(data.limit(60)).select(vector_to_array("features").alias("x"), vector_to_array("z").alias("z")).collect()
+    X, Z = np.array([r["x"] for r in rows]), np.array([r["z"] for r in rows])
+    K = M.kernel_matrix(kernel, X, X, gamma)
+    if kernel == "rbf":
+        assert np.abs(Z @ Z.T - K).max() < 0.02
+    else:  # what is left out is the kernel's negative part
+        values, U = np.linalg.eigh(K)
+        positive = (U * np.maximum(values, 0)) @ U.T
+        assert np.abs(Z @ Z.T - K).mean() < 2 * np.abs(positive - K).mean() + 0.05
+    assert np.allclose(fit(data.repartition(7)).rows, model.rows)          # partitions do not matter
+    few = data.limit(5)
+    assert len(fit(few).rows) == 5 and len(fit(few.unionAll(few)).rows) == 5
+
+
+def test_svm_kernels_separate_what_a_line_cannot(spark):
+    rng = np.random.default_rng(1)
+    X = rng.uniform(-1, 1, (800, 2))
+    y = ((X ** 2).sum(1) < 0.5).astype(float)
+    df = spark.createDataFrame([(X[i].tolist(), float(y[i])) for i in range(800)], "x array<double>, label double").select(
+        array_to_vector("x").alias("features"), "label").cache()
+    score = lambda kernel: M.auc(M.svm(2, C=10.0, kernel=kernel, n=1, gamma=2.0, max_iter=50).fit(df).transform(df))
+    assert score("rbf") > 0.95 > 0.7 > score("linear")
+
+
 def test_forest_depth_is_not_clamped():
     with pytest.raises(ValueError):
         M.forest(max_depth=87)
