@@ -647,13 +647,13 @@ def _scored(spark, sf_dir, cutoff=0.5):
     from ..operators import features as FT
     i = inputs(spark, sf_dir, materialize=True)
     spec = FT.fit(i.history)
-    fm = FT.transform(spec, i.known, LOGIT_SUBSET, keep=("return", "item_price"))
+    fm = FT.transform(spec, i.known, LOGIT_SUBSET, keep=("order_item_id", "return", "item_price"))
     # the keep-list already holds item_price as a feature; carry the price separately
-    fm = fm.select(F.col("return").alias("y"), F.col("item_price").alias("price"),
+    fm = fm.select("order_item_id", F.col("return").alias("y"), F.col("item_price").alias("price"),
                    *[F.col(f"`{n}`").alias(f) for n, f in zip(LOGIT_SUBSET, _FN)])
     means, stds = CO.standardize_params(fm, _FN, "global")
     x = CO.standardized_array(_FN, means, stds, intercept=True)
-    return fm.select("y", "price", x.alias("x")).withColumn("p", CO.logit_score(F.col("x"), BETA))
+    return fm.select("order_item_id", "y", "price", x.alias("x")).withColumn("p", CO.logit_score(F.col("x"), BETA))
 
 
 def _scored_sql():
@@ -664,7 +664,7 @@ def _scored_sql():
         "CAST(days_to_delivery AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
         "CAST(item_price AS DOUBLE) / (CAST(state_mean_delivery AS DOUBLE) + 1)",
     ]
-    fm = 'SELECT "return" AS y, item_price AS price, ' + ", ".join(f"{e} AS {f}" for e, f in zip(feats, _FN)) + " FROM featw"
+    fm = 'SELECT order_item_id, "return" AS y, item_price AS price, ' + ", ".join(f"{e} AS {f}" for e, f in zip(feats, _FN)) + " FROM featw"
     st = "SELECT count(*) AS n, " + ", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS v_{f}" for f in _FN) + " FROM fm"
     grand = "(" + " + ".join(f"m_{f}" for f in _FN) + f") / {len(_FN)}"
     gs = f"SELECT *, {grand} AS grand FROM st"
@@ -817,6 +817,83 @@ def elite_topk(spark, sf_dir):
     return _population(spark, sf_dir).filter(F.col("rank") <= 2).select("cand_id", "best_utility", "rank")
 
 
+def _oob_sql():
+    """The pool's best cutoffs inside and outside a sample of half the rows."""
+    import re
+    drawn = ("SELECT *, row_number() OVER (ORDER BY CAST('0x' || substr(md5('7|' || order_item_id), 1, 15) AS BIGINT), order_item_id) "
+             "<= floor(0.5 * count(*) OVER ()) AS inside FROM fm")
+    ctes = [("drawn", drawn)]
+    for tag, where in (("i", "inside"), ("o", "NOT inside")):
+        ctes.append((f"fm_{tag}", f"SELECT * FROM drawn WHERE {where}"))
+        for n, q in _pool_sql():
+            q = re.sub(r"\b(pb|pbc|pfull|putil|pbest|pfit)\b", rf"\1_{tag}", q).replace("FROM fm CROSS JOIN", f"FROM fm_{tag} fm CROSS JOIN")
+            ctes.append((f"{n}_{tag}", q))
+    return ctes
+
+
+@register("population_oob", _cost_oracle(
+    "SELECT i.cand_id, i.best_utility, i.best_cutoff, o.best_utility AS oob_utility, o.best_cutoff AS oob_cutoff, "
+    "(SELECT count(*) FROM fm_i) AS n, (SELECT count(*) FROM fm_o) AS oob_n, "
+    "i.cand_id = (SELECT arg_min(cand_id, (-best_utility, cand_id)) FROM pfit_o) AS chosen "
+    "FROM pfit_i i JOIN pfit_o o ON i.cand_id = o.cand_id", _oob_sql()))
+def population_oob(spark, sf_dir):
+    """Each candidate's utility and cutoff on a sample of exactly half the rows and on the rows out
+    of bag, in one pass; the candidate that is best out of bag is chosen."""
+    import numpy as np
+
+    from ..operators import cost as CO
+    from ..operators import split
+    rows = _scored(spark, sf_dir).drop("p")
+    drawn = split.exact_sample(rows, ["order_item_id"], int(0.5 * rows.count()), 7)
+    fit = CO.population_fitness(drawn, "x", "y", "price", np.asarray(POOL), copies="copies")
+    side = lambda out: fit.filter(F.col("out_of_bag") == out)
+    both = side(False).select("cand_id", "best_utility", "best_cutoff", "n").join(
+        side(True).select("cand_id", F.col("best_utility").alias("oob_utility"), F.col("best_cutoff").alias("oob_cutoff"), F.col("n").alias("oob_n")), "cand_id")
+    best = both.agg(F.max_by("cand_id", F.struct("oob_utility", -F.col("cand_id"))).alias("best"))  # one row
+    return both.crossJoin(F.broadcast(best)).withColumn("chosen", F.col("cand_id") == F.col("best")).drop("best")
+
+
+_PEN = ("SELECT s.split, sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)) AS auc FROM ("
+        "SELECT split, p, pos, neg, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below "
+        "FROM (SELECT split, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg FROM scored_split GROUP BY ALL)) s GROUP BY s.split")
+
+
+def _penalised_sql():
+    sc = dict(_scored_sql())["scored"]
+    split_sc = sc.replace("SELECT y, price, z,", "SELECT order_item_id, y, price, z,", 1)
+    label = ("CASE WHEN ((item_id * 7919 + user_id * 104729 + date_diff('day', DATE '1970-01-01', order_date) * 1299709) % 100 + 100) % 100 < 80 "
+             "THEN 'train' ELSE 'test' END")
+    return [("keyed", split_sc), ("scored_split", f"SELECT {label} AS split, y, p FROM keyed JOIN known USING (order_item_id)"), ("auc_", _PEN),
+            ("two", "SELECT max(CASE WHEN split = 'train' THEN auc END) AS tr, max(CASE WHEN split = 'test' THEN auc END) AS te FROM auc_")]
+
+
+@register("penalised_fixed", _cost_oracle(
+    "SELECT gap, round(tr, 6) AS train_auc, round(te, 6) AS test_auc, round(te - CASE WHEN abs(te - tr) > gap THEN 1 ELSE 0 END, 6) AS two_sided, "
+    "round(te - CASE WHEN tr - te > gap THEN 1 ELSE 0 END, 6) AS one_sided FROM two CROSS JOIN (VALUES (0.0), (0.03), (0.5)) g(gap)", _penalised_sql()))
+def penalised_fixed(spark, sf_dir):
+    """The penalised score of fixed coefficients under three gaps, by the two-sided and the one-sided rule."""
+    from ..operators import cost as CO
+    from ..operators import models as M
+    from ..operators import split
+    rows = _scored(spark, sf_dir).select("order_item_id", "y", "p")
+    sides = rows.join(inputs(spark, sf_dir).known.select("order_item_id", split.train_test_label(80, 0).alias("split")), "order_item_id")
+    tr, te = (CO.auc_exact(sides.filter(F.col("split") == k), "p", "y").first()["auc"] for k in ("train", "test"))
+    out = [(g, round(tr, 6), round(te, 6), round(M.penalised(tr, te, g, True), 6), round(M.penalised(tr, te, g, False), 6)) for g in (0.0, 0.03, 0.5)]
+    return spark.createDataFrame(out, "gap double, train_auc double, test_auc double, two_sided double, one_sided double")
+
+
+@register("cumulative_share", S.with_ctes(
+    "SELECT month, round(share, 9) AS share, round(sum(share) OVER (ORDER BY month), 9) AS cumulative_share FROM "
+    "(SELECT month, count(*) * 1.0 / (SELECT count(*) FROM known) AS share FROM known GROUP BY month)"))
+def cumulative_share(spark, sf_dir):
+    """Each month's share of the labelled rows and the running sum over the months."""
+    from ..operators import eda
+    known = inputs(spark, sf_dir).known
+    shares = known.groupBy("month").agg((F.count(F.lit(1)) / F.lit(known.count())).alias("share"))
+    return eda.cumulative(shares, "month", "share", "cumulative_share").select(
+        "month", F.round("share", 9).alias("share"), F.round("cumulative_share", 9).alias("cumulative_share"))
+
+
 @register("auc_exact", _cost_oracle(
     "SELECT round(sum(pos * (2 * below + neg)) / (2.0 * sum(pos) * sum(neg)), 6) AS auc, "
     "CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM ("
