@@ -16,8 +16,7 @@ from typing import Callable
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import MinMaxScaler, PCA, PolynomialExpansion, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -90,13 +89,12 @@ def boosted(max_iter: int = 20, step: float = 0.1, max_depth: int = 3, subsample
     return Pipeline(stages=_scaled("standard") + [gb])
 
 
-def network(n_features: int, hidden: tuple[int, ...] = (16,), max_iter: int = 100, solver: str = "l-bfgs",
-            step: float = 0.03, block: int = 128, seed: int = 42) -> Pipeline:
-    """M7: min-max scale -> feed-forward network (sigmoid hidden layers, softmax output)."""
-    mlp = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol=LABEL,
-                                         layers=[n_features, *hidden, 2], maxIter=max_iter, solver=solver,
-                                         stepSize=step, blockSize=block, seed=seed)
-    return Pipeline(stages=_scaled("minmax") + [mlp])
+def network(hidden: tuple[int, ...] = (100,), activation: str = "relu", solver: str = "adam", alpha: float = 1e-4, momentum: float = 0.9,
+            max_iter: int = 1000, step: float = 1e-3, steps: int = 8, seed: int = 42) -> Pipeline:
+    """M7: min-max scale -> feed-forward network with early stopping."""
+    from .network import NetworkClassifier
+    net = NetworkClassifier(hidden, activation, solver, alpha, momentum, step, max_iter, steps, seed=seed, featuresCol="scaled", labelCol=LABEL)
+    return Pipeline(stages=_scaled("minmax") + [net])
 
 
 def svm(n_features: int, C: float = 0.5, kernel: str = "linear", n: int = 1, landmarks: int = 200, gamma: float | None = None,
@@ -308,13 +306,14 @@ def evaluate(pipe: Pipeline, train: DataFrame, test: DataFrame, two_sided: bool
 
 
 # The priors of each model family (fixed values: the reference's ranges; those Spark's estimators
-# have no counterpart of -- shrinking, activations, solvers but two, batch rules -- are left out)
+# have no counterpart of -- shrinking, batch rules -- are left out)
 SPACES: dict[str, dict[str, Callable[[random.Random], object]]] = {
     "logistic": {"penalty": lambda r: r.choice(["l1", "l2"]), "C": lambda r: r.uniform(0.0, 1.0)},
     "svm": {"C": lambda r: r.uniform(0.0, 1.0), "kernel": lambda r: r.choice(["linear", "rbf", "sigmoid"])},
     "knn": {"k": lambda r: r.randint(3, 15), "weights": lambda r: r.choice(["distance", "uniform"]), "p": lambda r: r.choice([1, 2, 3])},
     "network": {"hidden": lambda r: r.choice([(100,), (1000,), (500,), (750,), (100, 100, 100), (100, 100), (30, 30, 30, 30)]),
-                "solver": lambda r: r.choice(["l-bfgs", "gd"]), "block": lambda r: r.randint(2, 1000)},
+                "activation": lambda r: r.choice(["identity", "logistic", "tanh", "relu"]), "solver": lambda r: r.choice(["adam", "sgd"]),
+                "alpha": lambda r: r.uniform(0.00001, 0.0005), "momentum": lambda r: r.uniform(0.1, 0.9)},
     "boosted": {"max_iter": lambda r: r.randint(10, 1000), "feature_fraction": lambda r: r.uniform(0.2, 0.5),
                 "max_depth": lambda r: r.randint(1, 5), "min_leaf_fraction": lambda r: r.uniform(0.001, 0.05),
                 "step": lambda r: r.uniform(0.01, 0.3), "subsample": lambda r: r.uniform(0.3, 1.0)},
@@ -332,7 +331,7 @@ def objective(family: str, train: DataFrame, test: DataFrame, n: int, n_features
     build = {
         "logistic": lambda p: logistic(n=n, max_iter=limits.get("max_iter", 100), **p),
         "svm": lambda p: svm(n_features, n=n, max_iter=limits.get("max_iter", 100), **p),
-        "network": lambda p: network(n_features, max_iter=limits.get("max_iter", 1000), **p),
+        "network": lambda p: network(max_iter=limits.get("max_iter", 1000), steps=limits.get("steps", 8), **p),
         "boosted": lambda p: boosted(n=n, **p),
         "forest": lambda p: forest(n=n, **p),
     }

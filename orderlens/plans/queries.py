@@ -1260,9 +1260,9 @@ def gbt_fit(spark, sf_dir):
 
 @register("mlp_fit")
 def mlp_fit(spark, sf_dir):
-    """M7: feed-forward network on min-max scaled features."""
+    """M7: feed-forward network on min-max scaled features: 100 hidden units, Adam, early stopping."""
     M, names, train, test, i, spec = _model_data(spark, sf_dir)
-    return _fit_report(spark, "network", M.network(len(names), hidden=(16,), max_iter=50), train, test)
+    return _fit_report(spark, "network", M.network((100,), "relu", "adam", max_iter=8, step=0.01, steps=4), train, test)
 
 
 @register("svm_fit")
@@ -1320,7 +1320,7 @@ def _search(spark, sf_dir, evals):
         return data.filter("split = 'train'"), data.filter("split = 'test'"), n, len(names)
 
     small, nineteen, three, whole = sides(LOGIT_SUBSET), sides(MODEL_FEATURES), sides(KNN_FEATURES), sides(full)
-    at_most = {"logistic": {"max_iter": 30}, "svm": {"max_iter": 30}, "network": {"max_iter": 15}, "boosted": {"max_iter": 8},
+    at_most = {"logistic": {"max_iter": 30}, "svm": {"max_iter": 30}, "network": {"max_iter": 3, "steps": 4}, "boosted": {"max_iter": 8},
                "forest": {"num_trees": 12, "max_depth": 10}}
     data = {"logistic": small, "svm": small, "knn": three, "network": nineteen, "boosted": whole, "forest": whole}
     tasks = {m: (M.SPACES[m], M.objective(m, *data[m], at_most=at_most.get(m))) for m in M.SPACES}
