@@ -47,8 +47,8 @@ from .common import discard, written
 #: Characters from which a document is dealt to tasks, bytes of the stretches that are encoded apart and of the
 #: ranges that make a fragment, and fragments that are composed at a node.
 LONG, PIECE, RANGE, FAN = 32_768, 65_536, 16_384, 32
-#: Units that a worker keeps, and documents handled at a time.
-CACHE, ROWS = 400_000, 2048
+#: Units that a worker keeps, documents handled at a time, and units aligned at a time.
+CACHE, ROWS, AT_ONCE = 250_000, 512, 20_000
 #: Id pairs that are sent to the tasks: 17 bytes each, 51 MB at most.
 MAX_PAIRS = 3_000_000
 
@@ -119,14 +119,17 @@ def compose(x: Fragment, y: Fragment) -> tuple[Fragment, tuple[int, Tokens] | No
         return Fragment(y.first, y.last, x.prefix + y.prefix, y.suffix), None
     if y.first < 0:
         return Fragment(x.first, x.last, x.prefix, x.suffix + y.prefix), None
-    return Fragment(x.first, y.last, x.prefix, y.suffix), (x.last, x.suffix + y.prefix)
+    between = x.suffix + y.prefix
+    # both may know the same common end: then nothing lies between
+    return Fragment(x.first, y.last, x.prefix, y.suffix), (x.last, between) if between.a else None
 
 
-def fragment_of(t: Tokens, at_start: bool = False) -> tuple[Fragment, list[tuple[int, Tokens]]]:
-    """The fragment of a range's tokens, and its closed groups.  ``at_start``: offset 0 is a common end."""
+def fragment_of(t: Tokens, start: int | None = None) -> tuple[Fragment, list[tuple[int, Tokens]]]:
+    """The fragment of a range's tokens, and its closed groups.  ``start``: where its tokens begin, if that is a
+    common end."""
     cuts = sorted(set(t.a_end).intersection(t.b_end))
-    if at_start:
-        cuts = [0, *cuts]
+    if start is not None:
+        cuts = [start, *cuts]
     if not cuts:
         return Fragment(-1, -1, t, Tokens()), []
     i = np.searchsorted(t.a_end, cuts, "right").tolist()
@@ -261,8 +264,9 @@ class Aligner:
     def rows(self, lists: list[list[str]], groups: bool = False) -> list[np.ndarray]:
         """The rows of lists of units (or of groups)."""
         unknown = set().union(*lists).difference(self.row)
-        if unknown:
-            (self.learn_groups if groups else self.learn)(list(unknown))
+        unknown = list(unknown)
+        for i in range(0, len(unknown), AT_ONCE):
+            (self.learn_groups if groups else self.learn)(unknown[i:i + AT_ONCE])
         get = self.row.__getitem__
         return [np.fromiter(map(get, units), np.int64, len(units)) for units in lists]
 
@@ -338,34 +342,64 @@ def _batch(rows: list[tuple]):
                                       names=["rid", "node", "at", "packed", "groups", "good"])
 
 
+class Stretch:
+    """A stretch of a document from offset ``at`` on: its units, their rows, and where each ends."""
+
+    def __init__(self, a: Aligner, at: int, text: str):
+        self.a, self.at, self.units = a, at, units_of(text, "")
+        self.rows = a.rows([self.units])[0]
+        self.good = bool(a.good[self.rows].all())
+        self.ends = at + np.cumsum([len(u.encode()) for u in self.units])
+        self.starts = np.concatenate([[at], self.ends[:-1]])
+        self.cut: dict[int, Tokens] = {}  # tokens of units that a range cuts
+
+    def tokens(self, unit: int, low: int, high: int) -> Tokens:
+        """Tokens of a unit that end in (low, high]."""
+        if unit not in self.cut:
+            (x, y), begin = self.a.encode([self.units[unit]])[0], self.starts[unit]
+            self.cut[unit] = Tokens(x, (begin + np.cumsum(self.a.a_size[x])).tolist(), y, (begin + np.cumsum(self.a.b_size[y])).tolist())
+        t = self.cut[unit]
+        (i, j), (k, m) = (np.searchsorted(e, [low, high], "right").tolist() for e in (t.a_end, t.b_end))
+        return Tokens(t.a[i:j], t.a_end[i:j], t.b[k:m], t.b_end[k:m])
+
+    def fragment(self, low: int, high: int) -> tuple[Fragment, list[tuple[int, str]]]:
+        """The fragment of what ends in (low, high], and its closed groups as (start, text): units that lie inside are
+        closed, a unit that an edge cuts gives its tokens."""
+        first = int(np.searchsorted(self.starts, low))          # units from here on begin in the range
+        last = int(np.searchsorted(self.ends, high, "right"))   # and up to here end in it
+        parts: list[tuple[Fragment, list]] = []
+        if first and self.ends[first - 1] > low:
+            f, groups = fragment_of(self.tokens(first - 1, low, high))
+            parts.append((f, [(i, t.text()) for i, t in groups]))
+        if first < last:
+            begin, end = int(self.starts[first]), int(self.ends[last - 1])
+            text = ";".join(map(self.a.texts.__getitem__, self.rows[first:last].tolist()))
+            parts.append((Fragment(begin, end, Tokens(), Tokens()), [(begin, text)]))
+        cut = max(last, first)
+        if cut < len(self.units) and self.starts[cut] < high:
+            f, groups = fragment_of(self.tokens(cut, low, high), int(self.starts[cut]))
+            parts.append((f, [(i, t.text()) for i, t in groups]))
+        whole, closed = parts[0] if parts else (EMPTY, [])
+        for f, groups in parts[1:]:
+            whole, between = compose(whole, f)
+            closed = closed + ([(between[0], between[1].text())] if between else []) + groups
+        return whole, closed
+
+
 def _leaves(pieces: DataFrame, files, size: int) -> DataFrame:
     """Fragments of byte ranges (``node`` is the range's number), and their closed groups."""
     def leaf(batches):
-        a = _aligner(files.value, "pieces")
         for b in batches:
-            for rid, at, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                out, end = [], at
-                tokens = Tokens()
-                for u, (xa, xb) in zip(us := units_of(text, ""), a.encode(us)):
-                    raw = u.encode()
-                    good = b"".join(map(a.a_bytes.__getitem__, xa)) == raw == b"".join(map(a.b_bytes.__getitem__, xb))
-                    if not good:
-                        out = [(rid, at // size, at, None, None, False)]
-                        break
-                    tokens.a += xa
-                    tokens.b += xb
-                    tokens.a_end += (end + np.cumsum([len(a.a_bytes[i]) for i in xa])).tolist()
-                    tokens.b_end += (end + np.cumsum([len(a.b_bytes[i]) for i in xb])).tolist()
-                    end += len(raw)
-                else:
-                    for node in range(at // size, (end - 1) // size + 1):  # tokens that end in (node * size, (node + 1) * size]
-                        i0, i1 = np.searchsorted(tokens.a_end, [node * size, (node + 1) * size], "right").tolist()
-                        j0, j1 = np.searchsorted(tokens.b_end, [node * size, (node + 1) * size], "right").tolist()
-                        t = Tokens(tokens.a[i0:i1], tokens.a_end[i0:i1], tokens.b[j0:j1], tokens.b_end[j0:j1])
-                        f, groups = fragment_of(t, at_start=max(at, node * size) == 0)
-                        out.append((rid, node, max(at, node * size), f.pack(), None, True))
-                        if groups:
-                            out.append((rid, node, groups[0][0], None, ";".join(g.text() for _, g in groups), True))
+            for rid, at, text in zip(*(b.column(i) for i in range(3))):
+                rid, at = rid.as_py(), at.as_py()
+                part = Stretch(_aligner(files.value, "units"), at, text.as_py())
+                out = [] if part.good else [(rid, at // size, at, None, None, False)]
+                end = int(part.ends[-1])
+                for node in range(at // size, (end - 1) // size + 1) if part.good else ():
+                    low, high = max(at, node * size), min(end, (node + 1) * size)
+                    f, closed = part.fragment(low, high)
+                    out.append((rid, node, low, f.pack(), None, True))
+                    out += [(rid, node, i, None, text, True) for i, text in closed]
                 yield _batch(out)
 
     return pieces.repartition("rid", "at").mapInArrow(leaf, NODE)
