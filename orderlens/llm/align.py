@@ -30,10 +30,12 @@ only ``keep`` columns and the text are read, so other columns may have any names
 from __future__ import annotations
 
 import copy
+import gc
 import hashlib
 import json
 import re
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -219,28 +221,35 @@ class Aligner:
         n_a, n_b = (np.array([len(x[i]) for x in known], np.int64) for i in (0, 1))
         a, b = (np.fromiter(chain.from_iterable(x[i] for x in known), np.int64, int(n.sum())) for i, n in ((0, n_a), (1, n_b)))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        ends = np.union1d(a_end, b_end)
+        both = np.sort(np.concatenate([a_end, b_end]), kind="stable")  # two rising runs
+        again = np.diff(both, prepend=-1) == 0  # an end of both
+        ends, common = both[~again], both[again]
         pairs = a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)] if len(ends) else np.empty(0, np.int64)
         a_upto, b_upto = np.cumsum(n_a), np.cumsum(n_b)
         unit_end = np.concatenate([[0], a_end])[a_upto]  # where each unit's bytes end
-        common = np.intersect1d(a_end, b_end, assume_unique=True)
         upto = lambda x: np.searchsorted(x, unit_end, "right")
         groups = np.diff(upto(common), prepend=0)
         a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
         i = np.searchsorted(a_end, common, "right").tolist()
         j = np.searchsorted(b_end, common, "right").tolist()
         texts = [",".join(a_text[i0:i1]) + "|" + ",".join(b_text[j0:j1]) for i0, i1, j0, j1 in zip([0, *i], i, [0, *j], j)]
-        at = 0
-        for u, n in zip(units, groups.tolist()):
-            self.row[u] = len(self.texts)
-            self.texts.append(texts[at] if n == 1 else ";".join(texts[at:at + n]))
-            at += n
+        self.row.update(zip(units, range(len(self.texts), len(self.texts) + len(units))))
+        self.texts += [texts[j - 1] if n == 1 else ";".join(texts[j - n:j]) for j, n in zip(np.cumsum(groups).tolist(), groups.tolist())]
         self._add(good, np.column_stack([n_a, n_b, groups]), pairs, np.diff(upto(ends), prepend=0))
 
     def _lossless(self, units: list[str], encoded: list) -> np.ndarray:
         """Whether the bytes of a unit's tokens, of A and of B, are the unit's."""
+        raws = [u.encode() for u in units]
+        whole, size = b"".join(raws), np.array(list(map(len, raws)))
+        same = True
+        for i, (table, sizes) in enumerate(((self.a_bytes, self.a_size), (self.b_bytes, self.b_size))):
+            ids = list(chain.from_iterable(x[i] for x in encoded))
+            upto = np.concatenate([[0], np.cumsum(sizes[ids])])[np.cumsum([len(x[i]) for x in encoded])] if ids else np.zeros(len(units), np.int64)
+            same = same and b"".join(map(table.__getitem__, ids)) == whole and (upto == np.cumsum(size)).all()
+        if same:  # as a rule
+            return np.ones(len(units), bool)
         joined = lambda table, i: [b"".join(map(table.__getitem__, x[i])) for x in encoded]
-        return np.array([u.encode() == x == y for u, x, y in zip(units, joined(self.a_bytes, 0), joined(self.b_bytes, 1))], bool)
+        return np.array([u == x == y for u, x, y in zip(raws, joined(self.a_bytes, 0), joined(self.b_bytes, 1))], bool)
 
     def learn_groups(self, groups: list[str]) -> None:
         """As ``learn``, of groups by their texts."""
@@ -391,6 +400,7 @@ def _leaves(pieces: DataFrame, files, size: int) -> DataFrame:
     def leaf(batches):
         for b in batches:
             for rid, at, text in zip(*(b.column(i) for i in range(3))):
+                gc.disable()
                 rid, at = rid.as_py(), at.as_py()
                 part = Stretch(_aligner(files.value, "units"), at, text.as_py())
                 out = [] if part.good else [(rid, at // size, at, None, None, False)]
@@ -400,6 +410,7 @@ def _leaves(pieces: DataFrame, files, size: int) -> DataFrame:
                     f, closed = part.fragment(low, high)
                     out.append((rid, node, low, f.pack(), None, True))
                     out += [(rid, node, i, None, text, True) for i, text in closed]
+                gc.enable()
                 yield _batch(out)
 
     return pieces.repartition("rid", "at").mapInArrow(leaf, NODE)
@@ -471,11 +482,22 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _slices(batches, key: int, groups: bool):
     """(rows of the batch, lists of units or groups), some rows at a time."""
-    for b in batches:
-        for i in range(0, b.num_rows, ROWS):
-            part = b.slice(i, ROWS)
-            texts = part.column(key).to_pylist()
-            yield part, [t.split(";") if groups else units_of(t) if t else [] for t in texts]
+    with _without_cycles():
+        for b in batches:
+            for i in range(0, b.num_rows, ROWS):
+                part = b.slice(i, ROWS)
+                texts = part.column(key).to_pylist()
+                yield part, [t.split(";") if groups else units_of(t) if t else [] for t in texts]
+
+
+@contextmanager
+def _without_cycles():
+    """Without the search for cycles: there are none here, and it walks through all units that are known."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 #: A chunk of documents: Arrow bytes of the kept columns, the digests and what is counted without the corpus; the units
