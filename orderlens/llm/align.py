@@ -50,7 +50,7 @@ from .common import discard, written
 #: ranges that make a fragment, and fragments that are composed at a node.
 LONG, PIECE, RANGE, FAN = 32_768, 65_536, 16_384, 32
 #: Units that a worker keeps, documents handled at a time, and units aligned at a time.
-CACHE, ROWS, AT_ONCE = 250_000, 512, 20_000
+CACHE, ROWS, AT_ONCE = 250_000, 128, 20_000
 #: Id pairs that are sent to the tasks: 17 bytes each, 51 MB at most.
 MAX_PAIRS = 3_000_000
 
@@ -500,7 +500,18 @@ def _without_cycles():
         gc.enable()
 
 
-#: A chunk of documents: Arrow bytes of the kept columns, the digests and what is counted without the corpus; the units
+def packed(x) -> bytes:
+    """Compressed here, as large cells are a burden to the executor's heap."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(x if isinstance(x, bytes) else x.tobytes())
+
+
+def unpacked(cell, kind=np.int64) -> np.ndarray:
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(cell.as_buffer()), kind)
+
+
+#: A chunk of documents, each cell compressed: Arrow bytes of the kept columns, the digests and what is counted without the corpus; the units
 #: of each document by number (``units``, up to ``unit_ends``); the pairs of each unit (``pairs``, up to ``pair_ends``).
 CHUNK = "docs binary, units binary, unit_ends binary, pairs binary, pair_ends binary"
 
@@ -526,7 +537,7 @@ def _chunks(docs: DataFrame, keep: list[str], files) -> DataFrame:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, known.schema) as stream:
                 stream.write_batch(known)
-            cells = [sink.getvalue().to_pybytes(), unit.astype(np.int32).tobytes(), ends[1:].tobytes(), pairs.tobytes(), np.cumsum(linked).tobytes()]
+            cells = [packed(x) for x in (sink.getvalue().to_pybytes(), unit.astype(np.int32), ends[1:], pairs, np.cumsum(linked))]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], names=["docs", "units", "unit_ends", "pairs", "pair_ends"])
 
     return docs.mapInArrow(of, CHUNK)
@@ -538,8 +549,8 @@ def _chunk_counts(chunks: DataFrame) -> DataFrame:
         import pyarrow as pa
         for b in batches:
             for units, pairs, pair_ends in zip(*(b.column(i) for i in range(3))):
-                pairs, ends = np.frombuffer(pairs.as_buffer(), np.int64), np.frombuffer(pair_ends.as_buffer(), np.int64)
-                times = np.bincount(np.frombuffer(units.as_buffer(), np.int32), minlength=len(ends))
+                pairs, ends = unpacked(pairs), unpacked(pair_ends)
+                times = np.bincount(unpacked(units, np.int32), minlength=len(ends))
                 keys, n = summed(pairs, np.repeat(times, np.diff(ends, prepend=0)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
 
@@ -569,12 +580,12 @@ def _short_results(chunks: DataFrame, kinds: list, table) -> DataFrame:
         _, keys, count, best = table.value
         for b in batches:
             for chunk, docs, units, unit_ends, pairs, pair_ends in zip(*(b.column(i) for i in range(6))):
-                known = pa.ipc.open_stream(docs.as_buffer()).read_next_batch()
-                units, ends = np.frombuffer(units.as_buffer(), np.int32), np.concatenate([[0], np.frombuffer(unit_ends.as_buffer(), np.int64)])
+                known = pa.ipc.open_stream(unpacked(docs, np.uint8)).read_next_batch()
+                units, ends = unpacked(units, np.int32), np.concatenate([[0], unpacked(unit_ends)])
                 scores = [np.zeros(len(ends) - 1, np.int64)] * 2
                 if len(keys):
-                    at = np.searchsorted(keys, np.frombuffer(pairs.as_buffer(), np.int64))
-                    of_unit = np.concatenate([[0], np.frombuffer(pair_ends.as_buffer(), np.int64)])
+                    at = np.searchsorted(keys, unpacked(pairs))
+                    of_unit = np.concatenate([[0], unpacked(pair_ends)])
                     sums = lambda v, e: np.diff(np.concatenate([[0], np.cumsum(v)])[e])
                     scores = [sums(sums(v[at].astype(np.int64), of_unit)[units], ends) for v in (best, count)]
                 rid = (chunk.as_py() << 20) + np.arange(known.num_rows)
@@ -591,10 +602,9 @@ def _chunk_pairs(chunks: DataFrame) -> DataFrame:
         import pyarrow as pa
         for b in batches:
             for chunk, units, unit_ends, pairs, pair_ends in zip(*(b.column(i) for i in range(5))):
-                units = np.frombuffer(units.as_buffer(), np.int32)
-                pairs, of_unit = np.frombuffer(pairs.as_buffer(), np.int64), np.concatenate([[0], np.frombuffer(pair_ends.as_buffer(), np.int64)])
+                units, pairs, of_unit = unpacked(units, np.int32), unpacked(pairs), np.concatenate([[0], unpacked(pair_ends)])
                 start = 0
-                for k, end in enumerate(np.frombuffer(unit_ends.as_buffer(), np.int64).tolist()):
+                for k, end in enumerate(unpacked(unit_ends).tolist()):
                     if end > start:
                         unit, times = np.unique(units[start:end], return_counts=True)
                         keys, m = summed(np.concatenate([pairs[of_unit[u]:of_unit[u + 1]] for u in unit.tolist()]), np.repeat(times, np.diff(of_unit)[unit]))
