@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from orderlens.llm import common, decontaminate, quality, sentencepiece_bpe, simhash, suffix_dedup
 from orderlens.llm.queries import tokenizer_path
 
-#: Bytes of a repeated passage.  Of the passages of 51 words that the given tables hold in two documents, 1 in 100
-#: has under 170 bytes, 1 in 20 under 269 and 1 in 3 under 400; those under 200 repeat one or two words.
+#: Bytes of a repeated passage.  Of the runs of 51 words or more that two texts share among 19,035 different texts of a
+#: given table, 1 in 100 has under 170 bytes, 1 in 20 under 269 and 1 in 3 under 400.
 REPEAT_BYTES = 200
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
