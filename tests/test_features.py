@@ -130,3 +130,31 @@ def test_small_tables_are_broadcast_and_written_once(spark, hist):
         session.materialize = real
     assert sorted(written) == ["fit-brands", "fit-items", "fit-states", "fit-woe_month"]
     assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_array_is_made_of_a_written_table_of_its_columns(spark, hist, monkeypatch):
+    """Many passes read the joined columns; the wide array is never written, and is what ``transform`` gives."""
+    from orderlens import session
+    written = {}
+    plain = session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name="table": written.setdefault(name, plain(df, name)))
+    spec = FT.fit(hist)
+    names = ["item_price", "item_price/order_num_items", "item_price*item_max_price", "is_q1_value*is_q1_value", "price_off/item_price",
+             "item_max_delivery/item_price", "woe_item_color", "user_state_S1", "user_state_none", "month_3"]
+    late = hist.withColumn("item_price", F.when(F.col("item_id") == 13, -1.0).otherwise(F.col("item_price")))  # a denominator of 0
+    got = {(r["item_id"], r["order_date"]): r["x"] for r in
+           FT.feature_array(spec, late, names, keep=("item_id", "order_date"), write="joined").collect()}
+    want = {(r["item_id"], r["order_date"]): [r[n] for n in names] for r in FT.transform(spec, late, names, keep=("item_id", "order_date")).collect()}
+    assert got == want
+    assert "array" not in {t.split("<")[0] for _, t in written["joined"].dtypes}
+
+
+def test_flags_settle_an_interaction_with_a_missing_one(spark, hist):
+    spec = FT.fit(hist)
+    rows = hist.withColumn("delivery_thu", F.when(F.col("item_id") == 10, None).otherwise(F.col("item_id") == 11)).withColumn(
+        "delivery_fri", F.when(F.col("item_id") == 13, None).otherwise(F.col("user_state").isNull()))
+    names = ["delivery_thu*delivery_fri", "delivery_thu/item_price"]
+    key = lambda r: (r["item_id"], r["order_date"], r["user_id"])
+    keep = ("item_id", "order_date", "user_id")
+    got = {key(r): r["x"] for r in FT.feature_array(spec, rows, names, keep=keep).collect()}
+    assert got == {key(r): [r[n] for n in names] for r in FT.transform(spec, rows, names, keep=keep).collect()}
