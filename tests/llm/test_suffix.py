@@ -84,3 +84,13 @@ def test_query_against_brute_force(spark):
     want = dict(zip(docs, brute(docs.values(), 400)))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.QUERIES["op3_suffix_dedup"](spark, SF).collect()}
     assert got == want
+
+
+def test_query_gives_the_text_that_is_left(spark, tmp_path):
+    from orderlens.llm import queries
+    same = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, f"first {same} end"), (2, f"other {same} tail"), (3, "short"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in queries.QUERIES["op3_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert [out[k]["text"] for k in (1, 2, 3, 4)] == ["firstend", "othertail", "short", ""]
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in out.values())
