@@ -81,3 +81,12 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_penalised_scores_are_written_once_for_both_sides(spark, monkeypatch):
+    from orderlens import session
+    from orderlens.plans.registry import QUERIES
+    written, plain = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name="table": written.append(name) or plain(df, name))
+    assert QUERIES["penalised_fixed"](spark, "/root/testdata/sf0.001").count() == 3
+    assert written.count("split-scores") == 1
