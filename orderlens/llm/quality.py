@@ -1,11 +1,12 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of symbols, trained on trusted text;
+"""Quality classifier: an interpolated modified Kneser-Ney model of characters, trained on trusted text;
 a document is kept if its perplexity is at most a quantile of trusted documents of its language.
 
-Characters fall into 64 symbols (letters, one symbol for capitals, common marks, hashed letters
-beyond a-z), so a model of order 4 has at most 64**4 counts whatever the corpus: that bound is what
-allows the finished table to travel to the workers.  Counts are taken over all trusted documents by
-a sharded aggregation; discounts, context totals and lower orders come from joins of the count
-tables, sharded by context; scoring is one pass without a shuffle.
+A symbol is a code point; nothing is folded, so the tables grow with what is written in the trusted text.
+Counts are taken over all trusted documents by a sharded aggregation; discounts, context totals and lower
+orders come from joins of the count tables, sharded by context.  Scoring is joins, too: documents are
+dealt to chunks of about ``CHUNK`` characters, the distinct runs of each chunk are joined with the tables, order by
+order, and their costs go to the chunk, whose documents are summed there.  No table reaches the driver
+or is sent to all tasks.
 
 Text that a model was trained on scores too well, so the quantiles are taken over cross-fitted scores:
 trusted documents are dealt to ``HOLD_OUT`` parts by id hash, and each part is scored by a model of the
@@ -28,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 
 ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
@@ -38,11 +39,81 @@ QUANTILE, HOLD_OUT, PRIOR = 0.995, 5, 60
 MAX_BROADCAST_IDS = 2_000_000
 #: Step of the scores (log perplexity) that quantiles are taken to; -log of the least probability is 69.1.
 STEP = 0.0005
-#: Symbols that a task counts at a time.
+LEAST = 1e-30
+#: Symbols that a task counts at a time, and that a chunk of documents has.
 CHUNK = 4_000_000
+#: Bits of a code point, and the one beyond all that frames a text.
+POINT_BITS, FRAME = 21, 0x110000
 MARKS = " \n.,;:!?-()|#$%&*/'\""
 
 
+# ------------------------------------------------------------------ runs of code points
+
+def framed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, symbol, texts' first runs): each run of ORDER code points of each text, framed, as its first
+    ORDER - 1 in one number and its last."""
+    parts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    sizes = np.array([len(x) for x in parts], np.int64)
+    ends = np.cumsum(sizes + ORDER)
+    s = np.full(int(ends[-1]) if len(ends) else 0, FRAME, np.int64)
+    inside = np.ones(len(s), bool)
+    for k in range(ORDER - 1):
+        inside[ends - sizes - ORDER + k] = False
+    inside[ends - 1] = False
+    if parts:
+        s[inside] = np.concatenate(parts)
+    # a run is told by its last symbol, of which the frame before a text is none
+    last = np.ones(len(s), bool)
+    for k in range(ORDER - 1):
+        last[ends - sizes - ORDER + k] = False
+    at = np.flatnonzero(last)
+    context = np.zeros(len(at), np.int64)
+    for k in range(ORDER - 1, 0, -1):
+        context = (context << POINT_BITS) | s[at - k]
+    return context, s[at], np.cumsum(sizes + 1) - sizes - 1
+
+
+def distinct_runs(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, symbol, n) of the different runs."""
+    contexts, at = np.unique(context, return_inverse=True)
+    runs, n = np.unique((at << POINT_BITS) | symbol, return_counts=True)
+    return contexts[runs >> POINT_BITS], runs & ((1 << POINT_BITS) - 1), n
+
+
+def run_counts(texts: DataFrame) -> DataFrame:
+    """(context, symbol, n) over the text column of ``texts``, for each value of its second column if it has one:
+    counted in the tasks, then summed."""
+    by = texts.columns[1:]
+
+    def count(batches):
+        import pyarrow as pa
+        held, size = {}, 0
+
+        def counted():
+            for key, some in held.items():
+                for i in range(0, len(some), 4096):
+                    context, symbol, n = distinct_runs(*framed(some[i:i + 4096])[:2])
+                    columns = [pa.array(np.full(len(n), key, np.int32))] if by else []
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(context), pa.array(symbol.astype(np.int32)), pa.array(n.astype(np.int64))],
+                                                     names=[*by, "context", "symbol", "n"])
+
+        for b in batches:
+            keys = b.column(1).to_pylist() if by else [None] * b.num_rows
+            for t, key in zip(b.column(0), keys):
+                if text := t.as_py():
+                    held.setdefault(key, []).append(text)
+                    size += len(text) + 1
+                if size >= CHUNK:
+                    yield from counted()
+                    held, size = {}, 0
+        yield from counted()
+
+    fields = "".join(f"{c} int, " for c in by) + "context long, symbol int, n long"
+    return texts.mapInArrow(count, fields).groupBy(*by, "context", "symbol").agg(F.sum("n").alias("n"))
+
+
+# ------------------------------------------------------------------ an alphabet of 64 folded symbols, in one dense table
+
 def _symbol_table() -> np.ndarray:
     """Code point -> symbol: a-z, capitals, digits, each mark, other marks, then hashed ones: letters
     beyond ASCII as many as are left, other scripts 3; the last symbol is the text's edge."""
@@ -128,14 +199,27 @@ def _discounts(counts: DataFrame, by: list[str]) -> dict[tuple, list[float]]:
 
 
 def train(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(probabilities, weights) by order 1..ORDER: (gram, p) of each gram seen, interpolated with the
-    lower orders, and (context, weight) that an unseen gram's lower-order probability is given.  With a
-    column ``model`` in ``counts``, a model each, side by side."""
+    """``train_runs`` of the folded alphabet: (gram, p) and (context, weight) by order."""
+    split = counts.select(F.shiftright("gram", BITS).cast("long").alias("context"), F.col("gram").bitwiseAND(SYMBOLS - 1).alias("symbol"), "n")
+    probs, weights = train_runs(split, BITS, 1.0 / SYMBOLS)
+    return [t.select(F.shiftleft("context", BITS).bitwiseOR(F.col("symbol")).alias("gram"), "p") for t in probs], weights
+
+
+def _without_first(k: int, bits: int):
+    """The context of order ``k`` of a longer one: its last k - 1 symbols."""
+    return F.col("context").bitwiseAND(F.lit((1 << bits * (k - 1)) - 1).cast("long"))
+
+
+def train_runs(counts: DataFrame, bits: int = POINT_BITS, least: float = 1.0) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(probabilities, weights) by order 1..ORDER: (context, symbol, p) of each run seen, interpolated with the
+    lower orders, the lowest being ``least`` for any symbol, and (context, weight) that an unseen run's
+    lower-order probability is given.  With a column ``model`` in ``counts``, a model each, side by side."""
     by = ["model"] if "model" in counts.columns else []
+    run = [*by, "context", "symbol"]
     tables = {ORDER: counts}
-    for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many longer grams a gram ends
-        tables[k] = written(tables[k + 1].groupBy(*by, F.col("gram").bitwiseAND(SYMBOLS ** k - 1).alias("gram"))
-                            .agg(F.count("*").alias("n")), f"grams{k}")
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: in how many longer runs a run ends
+        shorter = tables[k + 1].withColumn("context", _without_first(k, bits))
+        tables[k] = written(shorter.groupBy(*run).agg(F.count("*").alias("n")), f"grams{k}")
     lower = None
     probs, weights = [], []
     for k in range(1, ORDER + 1):
@@ -143,22 +227,39 @@ def train(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         for key, d in _discounts(tables[k], by).items():
             own = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
             cut = F.when(F.col("model") == key[0], own).otherwise(cut) if by else own
-        grams_ = tables[k].withColumn("context", F.shiftright("gram", BITS))
-        contexts = grams_.groupBy(*by, "context").agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
+        contexts = tables[k].groupBy(*by, "context").agg(F.sum("n").alias("total"), F.sum(cut).alias("held"))
         contexts = contexts.select(*by, "context", "total", (F.col("held") / F.col("total")).alias("weight"))
-        joined = grams_.join(contexts, [*by, "context"])
+        joined = tables[k].join(contexts, [*by, "context"])
         if lower is None:
-            joined = joined.withColumn("lower", F.lit(1.0 / SYMBOLS))
+            joined = joined.withColumn("lower", F.lit(least))
         else:
-            joined = (joined.withColumn("suffix", F.col("gram").bitwiseAND(SYMBOLS ** (k - 1) - 1))
-                      .join(lower.select(*by, F.col("gram").alias("suffix"), F.col("p").alias("lower")), [*by, "suffix"]))
-        lower = written(joined.select(*by, "gram", "context", "weight", ((F.col("n") - cut) / F.col("total")
-                                      + F.col("weight") * F.col("lower")).alias("p")), f"probabilities{k}")
-        probs.append(lower.select("gram", "p", *by))
+            joined = (joined.withColumn("suffix", _without_first(k - 1, bits))
+                      .join(lower.select(*by, F.col("context").alias("suffix"), "symbol", F.col("p").alias("lower")), [*by, "suffix", "symbol"]))
+        lower = written(joined.select(*run, "weight", ((F.col("n") - cut) / F.col("total") + F.col("weight") * F.col("lower")).alias("p")),
+                        f"probabilities{k}")
+        probs.append(lower.select("context", "symbol", "p", *by))
         weights.append(lower.groupBy(*by, "context").agg(F.first("weight").alias("weight")).select("context", "weight", *by))
     return probs, weights
 
 
+def run_costs(runs: DataFrame, probs: list[DataFrame], weights: list[DataFrame], least: float) -> DataFrame:
+    """(model, context, symbol, cost) of each of the different ``runs``: -log of its probability.  A run that an order
+    has not seen is given the weight of its context there, if that was seen, of its probability of the next lower order."""
+    def probability(wanted: DataFrame, k: int) -> DataFrame:
+        if k == 0:
+            return wanted.withColumn("p", F.lit(least))
+        below = _without_first(k - 1, POINT_BITS) if k > 1 else F.lit(0).cast("long")
+        lower = probability(wanted.select("model", below.alias("context"), "symbol").distinct(), k - 1)
+        return (wanted.withColumn("suffix", below)
+                .join(lower.select("model", F.col("context").alias("suffix"), "symbol", F.col("p").alias("lower")), ["model", "suffix", "symbol"])
+                .join(weights[k - 1], ["model", "context"], "left")
+                .join(probs[k - 1], ["model", "context", "symbol"], "left")
+                .select("model", "context", "symbol", F.coalesce("p", F.coalesce("weight", F.lit(1.0)) * F.col("lower")).alias("p")))
+
+    found = probability(runs.select("model", "context", "symbol").distinct(), ORDER)
+    return found.select("model", "context", "symbol", (-F.log(F.greatest("p", F.lit(LEAST)))).alias("cost"))
+
+
 class Scorer:
     """-log probability of every gram code.  At most 64**4 entries, whatever the corpus."""
 
@@ -186,52 +287,63 @@ class Scorer:
 
 
 def _arrays(df: DataFrame):
-    """A table of at most 64**ORDER rows as arrays."""
-    return _columns(df.toArrow())
-
-
-def _columns(t):
+    """A table of the folded alphabet, at most 64**ORDER rows, as arrays."""
+    t = df.toArrow()
     return t.column(0).to_numpy().astype(np.int32), t.column(1).to_numpy().astype(np.float32)
 
 
-def _models(probs: list[DataFrame], weights: list[DataFrame], n: int) -> list[tuple]:
-    """Of each of the ``n`` models of ``train``: the arrays that ``Scorer`` takes."""
-    import pyarrow.compute as pc
-
-    def split(df):
-        t = df.toArrow()
-        return [_columns(t.filter(pc.equal(t["model"], k))) for k in range(n)]
-
-    of = [[split(x) for x in tables] for tables in (probs, weights)]
-    return [tuple([tables[k] for tables in kind] for kind in of) for k in range(n)]
-
-
-def scored(docs: DataFrame, models: list[tuple], which, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+# ------------------------------------------------------------------ scores
+
+def summed(docs, costs, at: int, n: int):
+    """The first ``n`` columns of ``docs`` with the sum of the costs of their texts' runs (column ``at``) and the number of these."""
+    import pyarrow as pa
+    total, symbols = [None] * docs.num_rows, [0] * docs.num_rows
+    known, where = np.unique(costs["context"].to_numpy(), return_inverse=True)
+    runs = (where.astype(np.int64) << POINT_BITS) | costs["symbol"].to_numpy()
+    order = np.argsort(runs)
+    runs, cost = runs[order], costs["cost"].to_numpy()[order]
+
+    def flush(rows, texts):
+        context, symbol, first = framed(texts)
+        found = np.searchsorted(runs, (np.searchsorted(known, context) << POINT_BITS) | symbol)
+        for i, x, m in zip(rows, np.add.reduceat(cost[found], first).tolist(), np.diff(first, append=len(found)).tolist()):
+            total[i], symbols[i] = x, m
+
+    rows, texts, size = [], [], 0
+    for i, t in enumerate(docs.column(at)):
+        if text := t.as_py():
+            rows.append(i)
+            texts.append(text)
+            size += len(text)
+            if size >= CHUNK // 4:
+                flush(rows, texts)
+                rows, texts, size = [], [], 0
+    if rows:
+        flush(rows, texts)
+    return pa.table([*docs.columns[:n], pa.array(total, pa.float64()), pa.array(symbols, pa.int64())],
+                    names=[*docs.column_names[:n], "cost", "symbols"])
+
+
+def scored(docs: DataFrame, probs: list[DataFrame], weights: list[DataFrame], least: float, which, text_col: str = "text",
+           keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
     """``keep`` columns, ``cost`` (sum of -log probability; null without text) and ``symbols`` of every row
     by the model of the number ``which``."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields] + ["cost double", "symbols long"]
-    n = len(keep)
-    at = keep.index(text_col) if text_col in keep else n + 1  # a text that is kept is sent once
-
-    def score(batches):
-        import pyarrow as pa
-        number, scorer = None, None  # one at a time: 64 MB while the task runs
-        for b in batches:
-            numbers = b.column(n).to_numpy()
-            cost, symbols = [None] * len(numbers), [0] * len(numbers)
-            for k in np.unique(numbers).tolist():
-                if k != number:
-                    scorer = None
-                    number, scorer = k, Scorer(*shared.value[k])
-                for i in np.flatnonzero(numbers == k).tolist():
-                    if t := b.column(at)[i].as_py():
-                        cost[i], symbols[i] = scorer.score(t)
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(cost, pa.float64()), pa.array(symbols, pa.int64())],
-                                             names=[*keep, "cost", "symbols"])
-
-    wide = docs.select(*keep, which.cast("int").alias("_model"), *([] if at < n else [docs[text_col].cast("string")]))
-    return wide.mapInArrow(score, ", ".join(fields))
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.length(text_col) + 1)).first()[0] or 1
+    # as many chunks as the texts need; of small texts enough to have all tasks at work
+    dealt = max(1, -(-size // CHUNK), min(spark.sparkContext.defaultParallelism, size // 100_000))
+    # a chunk has one model; whatever the ids are, its rows are found by what they hold
+    chunk = F.pmod(F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", text_col)], F.lit("chunk")), F.lit(dealt))
+    rows = docs.select(*keep, *([] if text_col in keep else [text_col]), (which * F.lit(dealt) + chunk).cast("int").alias("_chunk"))
+    runs = written(run_counts(rows.select(text_col, "_chunk").repartition(dealt, "_chunk")).select("_chunk", "context", "symbol")
+                   .withColumn("model", F.floor(F.col("_chunk") / dealt).cast("int")), "runs")
+    release()  # the texts' shuffle
+    costs = written(run_costs(runs, probs, weights, least), "costs")
+    costs = runs.join(costs, ["model", "context", "symbol"]).select("_chunk", "context", "symbol", "cost").repartition(dealt, "_chunk")
+    n, at = len(keep), keep.index(text_col) if text_col in keep else len(keep)
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields] + ["cost double", "symbols long"])
+    return (rows.repartition(dealt, "_chunk").groupBy("_chunk").cogroup(costs.groupBy("_chunk"))
+            .applyInArrow(lambda left, right: summed(left, right, at, n), fields))
 
 
 def _limits(scores: DataFrame, quantile: float) -> DataFrame:
@@ -258,7 +370,7 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
                        *[F.col(c) for c in keep if c not in (id_col, lang_col, text_col)])
     part = F.pmod(F.xxhash64("doc_id", F.lit("hold-out")), F.lit(hold_out)).cast("int")
     known = base.select("doc_id", "lang", "_t").join(trusted, F.col("doc_id") == F.col("_id"), "left_semi")
-    counts = written(gram_counts(known.select("_t", part.alias("part"))), "counts")
+    counts = written(run_counts(known.select("_t", part.alias("part"))), "counts")
     # the text itself is carried along only where it is wanted
     others = [c for c in base.columns if c != "_t" or text_col in keep]
     named = lambda df: df.withColumnRenamed("_t", text_col) if text_col in keep else df
@@ -267,9 +379,13 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
                                  (F.length(F.coalesce("_t", F.lit(""))) > 0).alias("kept")))
     # model k is of all parts but k; the last one is of all
     models = counts.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(hold_out)))).filter("model <> part")
-    models = _models(*train(written(models.groupBy("model", "gram").agg(F.sum("n").alias("n")), "model-counts")), hold_out + 1)
-    trial = written(scored(known, models[:hold_out], part, "_t", ("lang",)).filter("cost is not null"), "trial")
-    marks = scored(base, models[hold_out:], F.lit(0), "_t", tuple(others))
+    models = models.groupBy("model", "context", "symbol").agg(F.sum("n").alias("n"))
+    # the lowest order has each symbol alike, and one for those that no trusted text has
+    least = 1.0 / (counts.select("symbol").distinct().count() + 1)
+    probs, weights = train_runs(written(models, "model-counts"), least=least)
+    trial = scored(known.withColumn("part", part), probs, weights, least, F.col("part"), "_t", ("lang",))
+    trial = written(trial.filter("cost is not null"), "trial")
+    marks = scored(base, probs, weights, least, F.lit(hold_out), "_t", tuple(others))
     # one row a language
     typicals = F.broadcast(trial.groupBy(F.col("lang").alias("_l")).agg((F.sum("cost") / F.sum("symbols")).alias("typical")))
     with_typical = lambda df: (df.join(typicals, F.col("lang").eqNullSafe(F.col("_l")), "left")

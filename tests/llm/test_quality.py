@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm import common, quality
 
@@ -104,3 +105,55 @@ def test_each_language_has_its_own_limit(spark):
     for lang in ("big", "small", None):
         assert sum(out[i].kept for i, _, x in rows[:clean] if x == lang) >= 0.95 * sum(x == lang for _, _, x in rows[:clean])
     assert [out[i].kept for i, *_ in rows[clean:]] == [False, False, True, False]
+
+
+def brute_costs(trusted, texts):
+    """Sums of -log probability over code points, straight from the definition of the model."""
+    n = quality.ORDER
+    runs = lambda t: [(["<"] * (n - 1) + list(t) + ["<"])[i:i + n] for i in range(len(t) + 1)]
+    tables = {n: Counter(tuple(r) for t in trusted for r in runs(t))}
+    for k in range(n - 1, 0, -1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+    least = 1 / (len({g[-1] for g in tables[n]}) + 1)
+
+    def p(gram):
+        if not gram:
+            return least
+        n1, n2, n3, n4 = (sum(v == j for v in tables[len(gram)].values()) + 1 for j in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        d = [min(max(x, 0.05), j - 0.05) for j, x in enumerate([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 1)]
+        same = {g: c for g, c in tables[len(gram)].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        cut = lambda c: d[min(c, 3) - 1]
+        c = same.get(gram, 0)
+        return ((c - cut(c) if c else 0) + sum(map(cut, same.values())) * p(gram[1:])) / sum(same.values())
+
+    return [sum(-np.log(p(tuple(r))) for r in runs(t)) for t in texts], least
+
+
+def test_scores_equal_the_definition_over_code_points(spark):
+    trusted = ["the cat sat on the mat.\nThe dog", "a cat, a dog, 42 mats", "мама мыла раму", "日本語 😀"]
+    # a word of another script, and one of letters that have the same remainders by 3
+    probes = trusted + ["мама", "ргрг", "zzz", "CAT", "cat", "	", "the 􏿿"]
+    want, least = brute_costs(trusted, probes)
+    counts = quality.run_counts(spark.createDataFrame([(t,) for t in trusted], "t string"))
+    counts = common.written(counts.withColumn("model", F.lit(3)), "c")
+    probs, weights = quality.train_runs(counts, least=least)
+    docs = spark.createDataFrame([*enumerate(probes), (90, None), (91, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.scored(docs, probs, weights, least, F.lit(3), keep=("doc_id",)).collect()}
+    assert [got[i].cost for i in range(len(probes))] == pytest.approx(want, rel=1e-9)
+    assert [got[i].symbols for i in range(len(probes))] == [len(t) + 1 for t in probes]
+    assert got[90].cost is None and got[91].cost is None and len(got) == len(probes) + 2
+    assert got[len(trusted)].cost < got[len(trusted) + 1].cost - 1 and got[len(trusted) + 3].cost > got[len(trusted) + 4].cost + 1
+
+
+def test_runs_are_counted_across_batches_and_chunks(spark, monkeypatch):
+    texts = ["".join(chr(0x400 + (i * j) % 90) for j in range(i)) for i in range(60)] + [None, "", "x"]
+    want = Counter((t_[i], t_[i + 1], t_[i + 2], t_[i + 3]) for t in texts if t for t_ in ["<<<" + t + "<"] for i in range(len(t) + 1))
+    monkeypatch.setattr(quality, "CHUNK", 50)
+    rows = quality.run_counts(spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)).collect()
+    char = lambda c: "<" if c == quality.FRAME else chr(c)
+    low = (1 << quality.POINT_BITS) - 1
+    got = {(char(r.context >> 2 * quality.POINT_BITS), char(r.context >> quality.POINT_BITS & low), char(r.context & low), char(r.symbol)): r.n for r in rows}
+    assert got == dict(want) and len(got) == len(rows)
