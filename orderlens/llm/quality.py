@@ -40,8 +40,9 @@ MAX_BROADCAST_IDS = 2_000_000
 #: Step of the scores (log perplexity) that quantiles are taken to; -log of the least probability is 69.1.
 STEP = 0.0005
 LEAST = 1e-30
-#: Symbols that a task counts at a time, and that a chunk of documents has.
-CHUNK = 4_000_000
+#: Symbols that a task counts at a time, and that a chunk of documents has: what is joined for a chunk is a part of its text
+#: that shrinks as it grows.
+CHUNK, CHUNK_SYMBOLS = 4_000_000, 32_000_000
 #: Bits of a code point, and the one beyond all that frames a text.
 POINT_BITS, FRAME = 21, 0x110000
 MARKS = " \n.,;:!?-()|#$%&*/'\""
@@ -80,10 +81,35 @@ def distinct_runs(context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray,
     return contexts[runs >> POINT_BITS], runs & ((1 << POINT_BITS) - 1), n
 
 
-def run_counts(texts: DataFrame) -> DataFrame:
+def packed(rows: DataFrame) -> DataFrame:
+    """(_chunk, _rows): rows of a chunk, compressed together, so that texts are moved at a third of their size."""
+    def pack(batches):
+        import pyarrow as pa
+        how = pa.ipc.IpcWriteOptions(compression="zstd")
+        for b in batches:
+            chunk = b.column("_chunk").to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+                if len(at):
+                    to = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(to, b.schema, options=how) as out:
+                        out.write_batch(b.take(pa.array(at)))
+                    yield pa.RecordBatch.from_arrays([pa.array(chunk[at[:1]]), pa.array([to.getvalue().to_pybytes()], pa.binary())], names=["_chunk", "_rows"])
+
+    return rows.mapInArrow(pack, "_chunk int, _rows binary")
+
+
+def unpacked(batches):
+    import pyarrow as pa
+    for b in batches:
+        for x in b.column("_rows"):
+            yield from pa.ipc.open_stream(x.as_buffer())
+
+
+def run_counts(texts: DataFrame, by: tuple[str, ...] | None = None) -> DataFrame:
     """(context, symbol, n) over the text column of ``texts``, for each value of its second column if it has one:
-    counted in the tasks, then summed."""
-    by = texts.columns[1:]
+    counted in the tasks, then summed.  With ``by`` such rows are ``packed``, and the second column is ``by``."""
+    rows, by = (iter, texts.columns[1:]) if by is None else (unpacked, by)
 
     def count(batches):
         import pyarrow as pa
@@ -97,7 +123,7 @@ def run_counts(texts: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(context), pa.array(symbol.astype(np.int32)), pa.array(n.astype(np.int64))],
                                                      names=[*by, "context", "symbol", "n"])
 
-        for b in batches:
+        for b in rows(batches):
             keys = b.column(1).to_pylist() if by else [None] * b.num_rows
             for t, key in zip(b.column(0), keys):
                 if text := t.as_py():
@@ -294,9 +320,10 @@ def _arrays(df: DataFrame):
 
 # ------------------------------------------------------------------ scores
 
-def summed(docs, costs, at: int, n: int):
-    """The first ``n`` columns of ``docs`` with the sum of the costs of their texts' runs (column ``at``) and the number of these."""
+def summed(packs, costs, at: int, n: int):
+    """The first ``n`` columns of the packed documents with the sum of the costs of their texts' runs (column ``at``) and the number of these."""
     import pyarrow as pa
+    docs = pa.Table.from_batches(unpacked([packs]))
     total, symbols = [None] * docs.num_rows, [0] * docs.num_rows
     known, where = np.unique(costs["context"].to_numpy(), return_inverse=True)
     runs = (where.astype(np.int64) << POINT_BITS) | costs["symbol"].to_numpy()
@@ -331,15 +358,17 @@ def scored(docs: DataFrame, probs: list[DataFrame], weights: list[DataFrame], le
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.length(text_col) + 1)).first()[0] or 1
     # as many chunks as the texts need; of small texts enough to have all tasks at work
-    dealt = max(1, -(-size // CHUNK), min(spark.sparkContext.defaultParallelism, size // 100_000))
+    dealt = max(1, -(-size // CHUNK_SYMBOLS), min(spark.sparkContext.defaultParallelism, size // 1_000_000))
     # a chunk has one model; whatever the ids are, its rows are found by what they hold
     chunk = F.pmod(F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", text_col)], F.lit("chunk")), F.lit(dealt))
-    rows = docs.select(*keep, *([] if text_col in keep else [text_col]), (which * F.lit(dealt) + chunk).cast("int").alias("_chunk"))
-    runs = written(run_counts(rows.select(text_col, "_chunk").repartition(dealt, "_chunk")).select("_chunk", "context", "symbol")
-                   .withColumn("model", F.floor(F.col("_chunk") / dealt).cast("int")), "runs")
+    chunk = (which * F.lit(dealt) + chunk).cast("int").alias("_chunk")
+    runs = run_counts(packed(docs.select(text_col, chunk)).repartition(dealt, "_chunk"), ("_chunk",))
+    runs = written(runs.select("_chunk", "context", "symbol").withColumn("model", F.floor(F.col("_chunk") / dealt).cast("int")), "runs")
     release()  # the texts' shuffle
     costs = written(run_costs(runs, probs, weights, least), "costs")
+    release()
     costs = runs.join(costs, ["model", "context", "symbol"]).select("_chunk", "context", "symbol", "cost").repartition(dealt, "_chunk")
+    rows = packed(docs.select(*keep, *([] if text_col in keep else [text_col]), chunk))
     n, at = len(keep), keep.index(text_col) if text_col in keep else len(keep)
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields] + ["cost double", "symbols long"])
     return (rows.repartition(dealt, "_chunk").groupBy("_chunk").cogroup(costs.groupBy("_chunk"))
@@ -385,6 +414,7 @@ def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col:
     probs, weights = train_runs(written(models, "model-counts"), least=least)
     trial = scored(known.withColumn("part", part), probs, weights, least, F.col("part"), "_t", ("lang",))
     trial = written(trial.filter("cost is not null"), "trial")
+    release()
     marks = scored(base, probs, weights, least, F.lit(hold_out), "_t", tuple(others))
     # one row a language
     typicals = F.broadcast(trial.groupBy(F.col("lang").alias("_l")).agg((F.sum("cost") / F.sum("symbols")).alias("typical")))
