@@ -63,3 +63,35 @@ def test_no_cartesian_product(spark):
     df = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(9)], "id long, v array<double>, label long")
     out = knn.knn_predict(df, df, "id", "v", "label", 3)
     assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("p,exclude", [(1, True), (2, True), (2, False), (3, True)])
+def test_screened_rows_are_those_of_all_distances(p, exclude):
+    """Wide vectors in clusters, with copies and ties: the pairs that the matrix product leaves hold the k nearest, in
+    the order of all distances; a bound leaves out what is beyond it only."""
+    rng = np.random.default_rng(9)
+    X = rng.normal(0, 50, (30, 16))[rng.integers(0, 30, 400)] + rng.integers(0, 3, (400, 16))
+    X[300:340] = X[0]
+    ids, labels, bound = np.arange(400), rng.integers(0, 3, 400), rng.uniform(0, 20, 400)
+    for bounds in (None, bound):
+        got = [f for f in knn._found(ids, X, labels, ids, X, labels, 7, p, exclude, bounds)]
+        got = {i: list(zip(g["distance"], g["near_id"])) for f in got for i, g in f.groupby("id")}
+        d = knn._distances(X, X, p)
+        if exclude:
+            np.fill_diagonal(d, np.inf)
+        for i in range(400):
+            near = [(d[i, j], j) for j in np.lexsort((ids, d[i]))[:7] if bounds is None or d[i, j] <= bounds[i]]
+            assert sorted(got.get(i, [])) == near
+    pairs = knn._screened(X, X, np.eye(400, dtype=bool), 7, p, np.full(400, np.inf))
+    assert (pairs is None) == (p == 1)
+
+
+def test_lists_of_further_blocks_end_at_the_bound(spark):
+    """Rows that the first blocks rule out are not listed, however many blocks a query meets."""
+    rng = np.random.default_rng(3)
+    X = rng.normal(0, 1, (600, 3))
+    df = spark.createDataFrame([(i, X[i].tolist(), i % 2) for i in range(600)], "id long, v array<double>, label long")
+    cells = knn.Cells(df, "id", "v", "label", 2, block_rows=30, pivots=4)
+    listed = cells._first(df, "id", "v", "label", 5, True).count()
+    met = sum(len(r["q_ids"]) // 8 for r in cells.further_pairs.select("q_ids").collect())
+    assert met > 600 and listed < 0.6 * 5 * (600 + met)                # 5 a query and block it meets without a bound
