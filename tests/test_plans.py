@@ -36,6 +36,12 @@ def test_population_fitness_is_batched_not_crossed(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_scored_rows_are_joined_once(spark):
+    """Means, samples and costs are passes over written columns: no pass joins the rows anew."""
+    p = plan(Q._scored(spark, SF))
+    assert "Join" not in p and "scored-features" in p
+
+
 def test_fact_table_is_not_shuffled_on_few_keys(spark):
     """Small fitted tables are broadcast after their rows were counted, static size estimates or not."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
