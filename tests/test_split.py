@@ -58,3 +58,11 @@ def test_subsample_and_its_complement(spark):
     assert (a.count(), b.count()) == (300, 701) and a.join(b, "id").count() == 0
     assert split.subsample(df.limit(0), ["id"], 0.3, 9)[0].count() == 0
     assert split.exact_bootstrap(df.limit(0), ["id"], 5, 9).count() == 0
+
+
+def test_bootstrap_tasks_are_bounded_by_rows(spark):
+    """However few partitions the session has, no task ranks and joins all rows; the draws do not depend on it."""
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"))
+    out = split.exact_bootstrap(df, ["id"], 1500, 3, 50, rows_a_task=100)
+    assert max(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()) <= 300
+    assert sorted(out.collect()) == sorted(split.exact_bootstrap(df, ["id"], 1500, 3, 50).collect())
