@@ -190,6 +190,18 @@ def test_auc_of_margins(spark):
     assert CO.auc_exact(df, "s", "y").first()["auc"] == pytest.approx(want, abs=1e-12)
 
 
+def test_auc_makes_each_score_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.arrow_udf("double")
+    def score(x):
+        made.add(len(x))
+        return x
+    df = spark.range(50).select(F.when(F.col("id") < 40, score(F.col("id").cast("double"))).alias("s"), (F.col("id") % 2).alias("y"))
+    r = CO.auc_exact(df, "s", "y").first()
+    assert made.value == 50 and (r["n_pos"], r["n_neg"]) == (20, 20)
+
+
 def test_integer_sums_are_exact():
     idx = np.array([0, 1, 0, 2])
     units = np.array([2**52 + 1, 3, 2**53 + 1, -7])

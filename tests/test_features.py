@@ -117,6 +117,19 @@ def test_feature_array_equals_columns(spark, hist):
     assert sorted(tuple(r["x"]) for r in FT.feature_array(spec, hist, names, keep=()).collect()) == wide
 
 
+def test_vectors_are_made_without_an_array(spark, hist):
+    from pyspark.ml.linalg import VectorUDT
+    spec = FT.fit(hist)
+    names = ["item_price", "woe_item_color", "item_price/order_num_items", "user_state_S1", "is_q1_value", "history"]
+    df = FT.feature_array(spec, hist, names, keep=(), vectors={"features": names, "two": names[2:4]})
+    assert df.schema["features"].dataType == VectorUDT()
+    rows = df.collect()
+    assert [r["features"].toArray().tolist() for r in rows] == [r["x"] for r in rows]
+    assert [r["two"].toArray().tolist() for r in rows] == [r["x"][2:4] for r in rows]
+    plan = df.select("two")._jdf.queryExecution().executedPlan().toString()
+    assert "UDF(" not in plan and plan.count("ArrowEvalPython") == 1
+
+
 def test_small_tables_are_broadcast_and_written_once(spark, hist):
     from orderlens import session
     spec = FT.fit(hist)

@@ -46,6 +46,14 @@ def test_fourier_features_approximate_the_kernel(data):
     assert np.abs(Z @ Z.T - kernel).max() < 0.15
 
 
+def test_maps_give_vectors_without_a_list_a_row(data):
+    """The batch leaves Python as vectors: no function turns arrays into vectors afterwards."""
+    for t in (M.LandmarkMap("features", "z", "rbf", 20, 0.3).fit(data), M.RandomFourierFeatures(3, inputCol="features", outputCol="z", dim=8)):
+        plan = t.transform(data).select("z")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.split("InMemoryRelation")[0].count("UDF(") == 1  # the input as an array
+        assert t.transform(data.limit(0)).select("z").collect() == []
+
+
 @pytest.mark.parametrize("kernel,gamma", [("rbf", 0.3), ("sigmoid", 0.2)])
 def test_landmark_map_approximates_the_kernel(data, kernel, gamma):
     fit = lambda df: M.LandmarkMap("features", "z", kernel, 300, gamma).fit(df)
