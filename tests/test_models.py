@@ -54,6 +54,13 @@ def test_maps_give_vectors_without_a_list_a_row(data):
         assert t.transform(data.limit(0)).select("z").collect() == []
 
 
+def test_a_missing_value_is_an_error_not_a_zero():
+    x = np.array([[1.0, 2.0], [0.0, 4.0]])
+    assert [v["values"] for v in M.vector_batch(x).to_pylist()] == x.tolist()
+    with pytest.raises(ValueError, match="missing"):
+        M.vector_batch(x, np.array([[False, False], [True, False]]))
+
+
 @pytest.mark.parametrize("kernel,gamma", [("rbf", 0.3), ("sigmoid", 0.2)])
 def test_landmark_map_approximates_the_kernel(data, kernel, gamma):
     fit = lambda df: M.LandmarkMap("features", "z", kernel, 300, gamma).fit(df)
