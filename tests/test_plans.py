@@ -96,3 +96,30 @@ def test_penalised_scores_are_written_once_for_both_sides(spark, monkeypatch):
     monkeypatch.setattr(session, "materialize", lambda df, name="table": written.append(name) or plain(df, name))
     assert QUERIES["penalised_fixed"](spark, "/root/testdata/sf0.001").count() == 3
     assert written.count("split-scores") == 1
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """A query of many tables holds the shuffles of one at a time; other jobs' files stay, and so does the setting."""
+    from pyspark.sql import functions as F
+
+    from orderlens import session
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if f.startswith("shuffle")}
+    before, was = files(), spark.conf.get(session._CLEANUP)
+    rows = spark.range(200_000).groupBy((F.col("id") % 50_021).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    table = session.materialize(rows, "counted")
+    assert not files() - before and spark.conf.get(session._CLEANUP) == was
+    assert table.agg(F.sum("n")).first()[0] == 200_000 and table.count() == 50_021
+    assert rows.agg(F.sum("n")).first()[0] == 200_000          # the frame itself may run again
+    with pytest.raises(Exception):
+        session.materialize(spark.range(3).select(F.raise_error(F.lit("no"))), "none")
+    assert spark.conf.get(session._CLEANUP) == was and not session._cleaners
+
+
+def test_line_items_take_a_word_of_a_parts_name(spark):
+    """The name is cut before the join with parts, so it goes through no shuffle of line items."""
+    from orderlens.sources import adapter
+    lines = adapter.order_items(spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    where = lambda *words: next(i for i, ln in enumerate(lines) if all(w in ln for w in words))
+    assert where("p_name") > where("Join", "l_partkey", "p_partkey")
+    assert where("c_mktsegment") > where("Join", "l_orderkey", "o_orderkey")
