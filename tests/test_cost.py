@@ -207,3 +207,22 @@ def test_integer_sums_are_exact():
     units = np.array([2**52 + 1, 3, 2**53 + 1, -7])
     got = CO._int_bincount(idx, units, 1, 4)
     assert got[:3].tolist() == [2**52 + 2**53 + 2, 3, -7]
+
+
+def test_fitness_from_cells_equals_that_from_the_array(spark):
+    """A generation that makes the matrix where it multiplies it gives what the array gives, copies and out of bag alike."""
+    from orderlens.operators.features import Expansion
+    rng = np.random.default_rng(8)
+    none = np.zeros(0, int)
+    pairs = (np.array([2]), np.array([0]), np.array([1]))                       # the product of both cells
+    expansion = Expansion(2, 3, (np.array([0, 1]), np.array([0, 1])), (none, none, none), pairs, (none, none, none), np.zeros(0), np.zeros(0, bool),
+                          np.zeros(1, bool))
+    cells = rng.normal(size=(9000, 2))
+    rows = [(c.tolist(), [1.0, *c.tolist(), float(c[0] * c[1])], int(rng.random() < 0.5), float(round(rng.uniform(0, 90), 2)), int(rng.integers(0, 3))) for c in cells]
+    df = spark.createDataFrame(rows, "cells array<double>, x array<double>, y int, price double, copies int").repartition(3)
+    pool = rng.normal(size=(5, 4))
+    key = ["cand_id", "out_of_bag"]
+    for copies in (None, "copies"):
+        want = CO.population_fitness(df, "x", "y", "price", pool, copies=copies).orderBy(*key).collect()
+        got = CO.population_fitness(df, "cells", "y", "price", pool, copies=copies, expansion=expansion).orderBy(*key).collect()
+        assert got == want and len(got) == (5 if copies is None else 10)

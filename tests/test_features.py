@@ -171,3 +171,39 @@ def test_flags_settle_an_interaction_with_a_missing_one(spark, hist):
     keep = ("item_id", "order_date", "user_id")
     got = {key(r): r["x"] for r in FT.feature_array(spec, rows, names, keep=keep).collect()}
     assert got == {key(r): [r[n] for n in names] for r in FT.transform(spec, rows, names, keep=keep).collect()}
+
+
+def test_the_matrix_is_equal_by_cells_and_from_rows_joined_once(spark):
+    """A pass that expands cells itself, and rows that were joined for profile and matrix alike, give the array's values."""
+    import numpy as np
+
+    from orderlens.plans.context import inputs
+    i = inputs(spark, "/root/testdata/sf0.001", materialize=True)
+    plain, once = FT.fit(i.history), FT.fit(i.history, raw=i.sentinel, clean=i.cleaned)
+    known = once.joined(("order_item_id",)).filter(F.col("return").isNotNull())
+    names = FT.expand_names(plain, ignore_woe=False, add_dummies=True)
+    assert FT.expand_names(once, ignore_woe=False, add_dummies=True) == names and len(names) > 500
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "joined-rows" in plan
+    want = {r["order_item_id"]: r["x"] for r in FT.feature_array(plain, i.known, names, keep=("order_item_id",)).collect()}
+    cells, expansion = FT.feature_array(once, known, names, keep=("order_item_id",), cells="c", joined=True)
+    cells = cells.drop("x")
+    assert len(cells.first()["c"]) < 100
+    rows = cells.toArrow()
+    got = np.concatenate(list(expansion.parts(rows["c"].combine_chunks(), rows=700)))
+    assert got.shape == (len(want), len(names))
+    wanted = np.array([[np.nan if v is None else v for v in want[k]] for k in rows["order_item_id"].to_pylist()])
+    assert np.allclose(got, wanted, rtol=1e-12, equal_nan=True)
+
+
+def test_cells_with_nulls_expand_as_the_array(spark, hist):
+    import numpy as np
+    names = ["item_price", "woe_item_color", "item_price/order_seqnum", "days_to_delivery*item_price", "month_2", "month_4", "order_seqnum/item_price"]
+    spec = FT.fit(hist)
+    rows = hist.withColumn("days_to_delivery", F.when(F.col("item_id") != 11, F.col("days_to_delivery")))
+    rows = rows.withColumn("item_price", F.when(F.col("item_id") == 10, -1.0).when(F.col("item_id") != 13, F.col("item_price")))
+    want = [[np.nan if v is None else v for v in r["x"]] for r in FT.feature_array(spec, rows, names, keep=()).collect()]
+    cells, expansion = FT.feature_array(spec, rows, names, keep=(), cells="c")
+    got = np.concatenate(list(expansion.parts(cells.select("c").toArrow()["c"].combine_chunks(), rows=2)))
+    key = lambda m: sorted(map(repr, np.round(m, 9).tolist()))
+    assert key(got) == key(np.array(want))
